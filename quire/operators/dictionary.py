@@ -37,27 +37,49 @@ def upsert(existing: DataFrame | None, items: DataFrame) -> DataFrame:
     return latest_per_key(new).select(*ITEM_COLUMNS)
 
 
-def explode_links(items: DataFrame) -> DataFrame:
+def explode_links(items: DataFrame, keep_seq: bool = False) -> DataFrame:
     """One edge row per link of each item (null links give no rows)."""
+    extra = ["seq"] if keep_seq else []
     return (items.select(F.col("item_type").alias("src_item_type"),
-                         F.col("item_id").alias("src_item_id"),
+                         F.col("item_id").alias("src_item_id"), *extra,
                          F.explode("links").alias("l"))
             .select(F.col("l.link_type").alias("link_type"), "src_item_type", "src_item_id",
                     F.col("l.item_type").alias("dst_item_type"),
-                    F.col("l.item_id").alias("dst_item_id")))
+                    F.col("l.item_id").alias("dst_item_id"), *extra))
+
+
+def replace_edges(existing: DataFrame | None, touched: DataFrame, fresh: DataFrame) -> DataFrame:
+    """U3 in row form: every edge of a touched source key is dropped, the
+    fresh edges are added. ``touched`` has ``src_item_type, src_item_id``
+    (keys whose latest item was processed, with or without links)."""
+    fresh = fresh.select(*EDGE_COLUMNS)
+    if existing is None:
+        return fresh
+    kept = existing.join(touched.select("src_item_type", "src_item_id").distinct(),
+                         ["src_item_type", "src_item_id"], "left_anti")
+    return kept.select(*EDGE_COLUMNS).unionByName(fresh)
+
+
+def latest_edges(edges: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges of the latest item per key when one batch touches a key twice.
+
+    ``items(src_item_type, src_item_id, seq)`` lists every processed item
+    (links or not); ``edges`` carry the ``seq`` of their item. The latest
+    seq per key is a ``max`` aggregate; edges are kept by a semi join -
+    no key's edges are ever gathered into one array.
+    """
+    last = items.groupBy("src_item_type", "src_item_id").agg(F.max("seq").alias("seq"))
+    return last, edges.join(last, ["src_item_type", "src_item_id", "seq"], "left_semi")
 
 
 def replace_links(existing: DataFrame | None, items: DataFrame) -> DataFrame:
     """Drop every edge of a touched source key, insert the edges of its
     latest item. Edges of untouched keys stay as they are."""
-    last = latest_per_key(items.select(*KEY, "links", "seq"))
-    fresh = explode_links(last)
-    if existing is None:
-        return fresh.select(*EDGE_COLUMNS)
-    touched = last.select(F.col("item_type").alias("src_item_type"),
-                          F.col("item_id").alias("src_item_id"))
-    kept = existing.join(touched, ["src_item_type", "src_item_id"], "left_anti")
-    return kept.select(*EDGE_COLUMNS).unionByName(fresh.select(*EDGE_COLUMNS))
+    keyed = items.select(F.col("item_type").alias("src_item_type"),
+                         F.col("item_id").alias("src_item_id"), "seq", "links")
+    edges = explode_links(items.select(*KEY, "links", "seq"), keep_seq=True)
+    touched, fresh = latest_edges(edges, keyed.select("src_item_type", "src_item_id", "seq"))
+    return replace_edges(existing, touched, fresh)
 
 
 def links_with_source(links: DataFrame, dictionary: DataFrame) -> DataFrame:
