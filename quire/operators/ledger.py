@@ -35,6 +35,8 @@ from quire.functions.dates import if_modified_since
 LEDGER_COLUMNS = ["source_id", "url", "modified_at"]
 # Rows of one URL per chunk of arrival order; bounds a hot URL's task size.
 DEFAULT_CHUNK = 1 << 20
+# One mark per source; above this the marks are joined by shuffle.
+MAX_BROADCAST_MARKS = 100_000
 
 
 def empty_ledger(spark) -> DataFrame:
@@ -141,7 +143,10 @@ def since_mark(feed: DataFrame, marks: DataFrame, time_col: str = "modified_at")
 
     Sources without a mark (or with a null mark) are read whole.
     """
-    j = feed.join(F.broadcast(marks.select("source_id", "start_date")), "source_id", "left")
+    from quire.session import bounded_broadcast
+
+    m, _ = bounded_broadcast(marks.select("source_id", "start_date"), MAX_BROADCAST_MARKS)
+    j = feed.join(m, "source_id", "left")
     keep = F.col("start_date").isNull() | (F.col(time_col) >= F.to_timestamp("start_date"))
     return j.where(keep).drop("start_date")
 
@@ -171,8 +176,10 @@ def skip_known(frontier: DataFrame, ledger: DataFrame) -> DataFrame:
     return frontier.join(held, "url", "left_anti")
 
 
-def versions(decided: DataFrame, *, url_col: str = "source_url") -> DataFrame:
-    """Version number per URL over accepted items, in arrival order."""
-    w = Window.partitionBy(url_col).orderBy("seq")
-    return (decided.where("accepted").drop("accepted")
-            .withColumn("version", F.row_number().over(w).cast("long")))
+def versions(decided: DataFrame, *, url_col: str = "source_url", chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """Version number per URL over accepted items, in arrival order
+    (a chunked running count, so a hot URL is scanned in parallel)."""
+    from quire.operators.ordering import running
+
+    acc = decided.where("accepted").drop("accepted")
+    return running(acc, [url_col], "seq", {"version": ("count", "seq")}, chunk)
