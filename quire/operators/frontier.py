@@ -45,31 +45,28 @@ def cacheable(responses: DataFrame) -> DataFrame:
     return responses.where(~F.col("status").isin(UNCACHEABLE_STATUSES))
 
 
-def walk(seeds: DataFrame, edges: DataFrame, *, max_steps: int = 10_000,
-         checkpoint_every: int = 8) -> DataFrame:
+def walk(seeds: DataFrame, edges: DataFrame, *, max_steps: int = 10_000) -> DataFrame:
     """Expand ``seeds(node)`` along ``edges(src, dst)`` until no new
     node appears. Returns ``(node, depth)`` with the first depth reached;
     nodes already seen are never expanded again (cycle guard).
 
     Each step is one join and one anti join; only an emptiness check reaches
-    the driver. Lineage is cut into the shared checkpoint folder every few
-    steps, so a lost executor never replays the whole walk.
+    the driver. The edge list, the frontier and the seen set are cut into the
+    shared checkpoint folder at every step: the plan of step k does not
+    contain steps 1..k-1 (constant size), and a lost executor never replays
+    the walk.
     """
-    seen = seeds.select(F.col("node"), F.lit(0).alias("depth")).distinct()
+    edges = cut_lineage(edges.select("src", "dst"))
+    seen = cut_lineage(seeds.select(F.col("node"), F.lit(0).alias("depth")).distinct())
     frontier = seen
-    step = 0
-    while step < max_steps:
-        step += 1
-        nxt = (frontier.join(edges, frontier.node == edges.src)
-               .select(F.col("dst").alias("node")).distinct()
-               .join(seen.select("node"), "node", "left_anti")
-               .withColumn("depth", F.lit(step)))
-        if step % checkpoint_every == 0:
-            nxt = cut_lineage(nxt)
+    for step in range(1, max_steps + 1):
+        nxt = cut_lineage(
+            frontier.join(edges, frontier.node == edges.src)
+            .select(F.col("dst").alias("node")).distinct()
+            .join(seen.select("node"), "node", "left_anti")
+            .withColumn("depth", F.lit(step)))
         if nxt.isEmpty():
             break
-        seen = seen.unionByName(nxt)
-        if step % checkpoint_every == 0:
-            seen = cut_lineage(seen)
+        seen = cut_lineage(seen.unionByName(nxt))
         frontier = nxt
     return seen

@@ -30,6 +30,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            b = b.config("spark.driver.memory", "8g")
     for k, v in {**BASE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     if shuffle_partitions:
