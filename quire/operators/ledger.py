@@ -72,7 +72,7 @@ def decide(items: DataFrame, ledger: DataFrame | None = None, *,
         feed = feed.unionByName(prior, allowMissingColumns=True)
 
     m = F.col("modified_at")
-    feed = feed.withColumn("_chunk", F.floor(F.col("seq") / F.lit(chunk)).cast("long"))
+    feed = feed.withColumn("_chunk", F.expr(f"seq div {int(chunk)}"))
 
     w_local = Window.partitionBy("_url", "_chunk").orderBy("seq")
     w_before = w_local.rowsBetween(Window.unboundedPreceding, -1)
@@ -85,7 +85,7 @@ def decide(items: DataFrame, ledger: DataFrame | None = None, *,
     else:
         chunk_last = F.max(m)
     summary = (local.groupBy("_url", "_chunk")
-               .agg(F.min_by(F.struct(m.alias("m")), F.col("seq"))["m"].alias("_chunk_first_m"),
+               .agg(F.min_by(m, F.col("seq")).alias("_chunk_first_m"),
                     chunk_last.alias("_chunk_last")))
     w_url = Window.partitionBy("_url")
     w_carry = Window.partitionBy("_url").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

@@ -32,7 +32,7 @@ def running(df: DataFrame, key: list[str], order: str, values: dict[str, tuple[s
             chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Add running aggregates ``{out: (op, column)}`` per ``key`` in ``order``
     (inclusive of the current row). ``order`` must be numeric."""
-    d = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk)).cast("long"))
+    d = df.withColumn("_chunk", F.expr(f"`{order}` div {int(chunk)}"))
     w = (Window.partitionBy(*key, "_chunk").orderBy(order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = d.select("*", *[_AGG[op](F.col(c)).over(w).alias(f"_l_{o}") for o, (op, c) in values.items()])

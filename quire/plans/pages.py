@@ -228,7 +228,10 @@ def status_and_empty(spark, sf_dir):
     status = (F.when(F.col("event_type").isin("click", "view", "purchase"), 200)
               .when(F.col("event_type") == "signup", 404).otherwise(500))
     r = e.select("event_id", F.col("user_id").alias("page_id"), status.alias("status"))
-    j = r.join(p, "page_id")
-    text = F.when(F.col("status") == 200, strip_tags(lk.region("html", "article"))).otherwise(F.lit(""))
-    out = j.select("event_id", "page_id", "url", "status", text.alias("text")).where(F.col("text") != "")
-    return out.select("event_id", "page_id", "url", "status", F.length("text").cast("long").alias("n_chars"))
+    # Markup is stripped once per page, below the join: a page is fetched by
+    # many requests, and only its text length travels to them.
+    texts = p.select("page_id", "url", F.length(strip_tags(lk.region("html", "article"))).cast("long").alias("page_chars"))
+    j = r.join(texts, "page_id")
+    n = F.when(F.col("status") == 200, F.col("page_chars")).otherwise(F.lit(0).cast("long"))
+    return (j.select("event_id", "page_id", "url", "status", n.alias("n_chars"))
+            .where(F.col("n_chars") > 0))
