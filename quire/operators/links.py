@@ -33,38 +33,68 @@ def anchors(html: Column | str) -> Column:
     return F.regexp_extract_all(_c(html), F.lit(ANCHOR_HREF), 1)
 
 
+def _dot_resolve(b: Column, h: Column, origin: Column, no_query: Column) -> Column:
+    """Merge a relative path into the base path and remove dot segments with
+    a stack (an ``aggregate`` fold over the path segments)."""
+    bpath = F.regexp_extract(no_query, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/]*(/.*)?$", 1)
+    hpath = F.regexp_extract(h, r"^([^?#]*)", 1)
+    tail = F.substring(h, F.length(hpath) + 1, F.lit(1 << 30))
+    bparts = F.split(bpath, "/", -1)
+    bparts = F.when(F.element_at(bparts, -1) != "", F.slice(bparts, 1, F.size(bparts) - 1)).otherwise(bparts)
+    segs = F.when(hpath.startswith("/"), F.split(hpath, "/", -1)).otherwise(
+        F.concat(bparts, F.split(hpath, "/", -1)))
+    n = F.size(segs)
+    mid = F.filter(F.slice(segs, 2, F.greatest(n - 2, F.lit(0))), lambda x: x != "")
+    # empty middle segments are dropped only when merging with the base path
+    segs = F.when((n <= 2) | hpath.startswith("/"), segs).otherwise(
+        F.concat(F.slice(segs, 1, 1), mid, F.slice(segs, n, 1)))
+
+    def push(acc, seg):
+        pop = F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc)
+        return F.when(seg == "..", pop).when(seg == ".", acc).otherwise(F.array_append(acc, seg))
+
+    stack = F.aggregate(segs, F.array().cast("array<string>"), push)
+    stack = F.when(F.element_at(segs, -1).isin(".", ".."), F.array_append(stack, F.lit(""))).otherwise(stack)
+    path = F.array_join(stack, "/")
+    path = F.when(path == "", F.lit("/")).when(~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
+    return F.concat(origin, path, tail)
+
+
 def resolve_url(base: Column | str, href: Column | str) -> Column:
-    """F7 native form of ``urljoin(base, href)`` for absolute, protocol-
-    relative, root-relative, query, fragment and same-folder hrefs.
-    Hrefs with dot segments go through :func:`resolve_links`."""
-    b, h = _c(base), _c(href)
+    """``urljoin(base, href)`` as a native expression - absolute,
+    protocol-relative, root-relative, query, fragment, same-folder and
+    dot-segment hrefs."""
+    b, h0 = _c(base), _c(href)
+    # "//" followed by a path, query or fragment has an empty authority: the
+    # rest is resolved like a plain href
+    h = F.when(h0.rlike(r"^//[/?#]"), F.substring(h0, 3, 1 << 30)).otherwise(h0)
     origin = F.regexp_extract(b, ORIGIN, 1)
     scheme = F.regexp_extract(b, SCHEME, 1)
     no_frag = F.regexp_replace(b, r"#.*$", "")
     no_query = F.regexp_replace(no_frag, r"\?.*$", "")
     path_dir = F.regexp_extract(no_query, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(?:/.*)?/)", 1)
     folder = F.when(path_dir == "", F.concat(origin, F.lit("/"))).otherwise(path_dir)
-    return (F.when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), h)
-            .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-            .when(h.startswith("/"), F.concat(origin, h))
+    return (F.when(h0.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), h0)
+            .when(h0.rlike(r"^//[^/?#]"), F.concat(scheme, F.lit(":"), h0))
+            .when(h0 == "//", no_frag)
             .when(h == "", b)
             .when(h.startswith("?"), F.concat(no_query, h))
             .when(h.startswith("#"), F.concat(no_frag, h))
+            .when(h.rlike(DOT_SEGMENT) | (~h.startswith("/") & h.contains("//")),
+                  _dot_resolve(b, h, origin, no_query))
+            .when(h.startswith("/"), F.concat(origin, h))
             .otherwise(F.concat(folder, h)))
 
 
 @F.pandas_udf(T.StringType())
-def _urljoin(base: pd.Series, href: pd.Series) -> pd.Series:
+def urljoin_exact(base: pd.Series, href: pd.Series) -> pd.Series:
+    """The standard library's ``urljoin`` over Arrow batches (reference form)."""
     return pd.Series([None if b is None or h is None else urljoin(b, h) for b, h in zip(base, href)])
 
 
 def resolve_links(df: DataFrame, base: str, href: str, out: str = "abs_url") -> DataFrame:
-    """resolve every href; only hrefs with dot segments go through Python
-    (a filtered branch, so the common case stays in the JVM)."""
-    dotted = F.col(href).rlike(DOT_SEGMENT)
-    plain = df.where(~dotted | F.col(href).isNull()).withColumn(out, resolve_url(base, href))
-    dots = df.where(dotted).withColumn(out, _urljoin(F.col(base), F.col(href)))
-    return plain.unionByName(dots)
+    """F7 over a frame of (base, href) pairs."""
+    return df.withColumn(out, resolve_url(base, href))
 
 
 def page_links(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
