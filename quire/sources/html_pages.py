@@ -34,7 +34,7 @@ def review_blocks(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "
               .when(cid == "", F.lit("no comment id")).otherwise(F.lit("ok")))
     ok = status == "ok"
     return ex.select(
-        id_col, F.col("block_no").cast("long").alias("block_no"),
+        id_col, url_col, F.col("block_no").cast("long").alias("block_no"),
         F.when(ok, F.concat(F.col(url_col), F.lit("#"), cid)).alias("source_url"),
         F.when(ok, F.concat(head, F.lit(". "), F.try_element_at(ps, F.lit(4)))).alias("html"),
         status.alias("status"))

@@ -156,3 +156,12 @@ def to_html(node, raw: bool = False) -> str:
         return f"<{node.tag}{attrs}>"
     inner = "".join(to_html(c, node.tag in RAW) for c in node.children)
     return f"<{node.tag}{attrs}>{inner}</{node.tag}>"
+
+
+def select(root: Element, tag: str, cls: str | None = None) -> list[Element]:
+    """``tag.cls`` CSS selection in document order."""
+    return list(root.find_all(tag, cls))
+
+
+def outer_html(e: Element) -> str:
+    return to_html(e)
