@@ -26,3 +26,20 @@ def test_stream_equals_batch_and_replay(spark):
     before = sorted(r.seq for r in spark.read.parquet(f"{stores.docs}/batch=1").collect())
     si.process_batch(feed.where("seq >= 30 AND seq < 60"), 1, stores)
     assert sorted(r.seq for r in spark.read.parquet(f"{stores.docs}/batch=1").collect()) == before
+
+
+def test_stateful_form_equals_batch(spark):
+    from quire.streaming.stateful import decide_stateful
+
+    times = [None, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)]
+    rows = [(i, "text", "s", f"u{i % 5}", times[(i * 7) % 3]) for i in range(60)]
+    feed = spark.createDataFrame(rows, SCHEMA)
+    root = scratch_path(spark, "statefultest")
+    for k in range(3):
+        feed.where(f"seq >= {k * 20} AND seq < {(k + 1) * 20}").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    q = (decide_stateful(stream).writeStream.format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/chk").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted(r.seq for r in spark.read.parquet(f"{root}/out").collect())
+    assert got == sorted(r.seq for r in led.accept(feed).collect())
