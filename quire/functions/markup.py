@@ -49,13 +49,14 @@ def decode_references(c: Column) -> Column:
 
 
 def _token_text(t: Column) -> Column:
+    # cheapest tests first: most tokens are text runs without references
     low = F.lower(F.substring(t, 1, 7))
     return (
-        F.when(low.startswith("<script"), F.regexp_extract(t, SCRIPT_BODY, 1))
-        .when(low.startswith("<style"), F.regexp_extract(t, STYLE_BODY, 1))
+        F.when(~t.startswith("<"), F.when(t.contains("&"), decode_references(t)).otherwise(t))
         .when(t == "<", t)
-        .when(t.startswith("<"), F.lit(""))
-        .otherwise(decode_references(t))
+        .when(low.startswith("<script"), F.regexp_extract(t, SCRIPT_BODY, 1))
+        .when(low.startswith("<style"), F.regexp_extract(t, STYLE_BODY, 1))
+        .otherwise(F.lit(""))
     )
 
 
