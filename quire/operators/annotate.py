@@ -61,5 +61,5 @@ def pre_annotate(docs: DataFrame, annotations: DataFrame, labels: DataFrame, *,
         F.count(F.lit(1)).alias("docs_scanned"),
         F.count("_k").alias("docs_annotated"),
         F.coalesce(F.sum("_k"), F.lit(0)).cast("long").alias("spans"),
-    ).withColumn("labels_added", F.lit(created.count()))
+    ).withColumn("labels_added", created.agg(F.count(F.lit(1))).scalar().cast("long"))
     return AnnotationRun(ann, created, counters, rows)

@@ -152,7 +152,8 @@ def lexicon_codes(spark, sf_dir):
 
 @query("export_jsonl", sql=f"""
 SELECT doc_id, CAST(len(spans) AS BIGINT) AS n_spans,
-       to_json({{'doc_id': doc_id, 'name': 'doc-' || CAST(doc_id AS VARCHAR), 'text': text, 'spans': spans}}) AS line
+       CAST(to_json({{'doc_id': doc_id, 'name': 'doc-' || CAST(doc_id AS VARCHAR), 'text': text, 'spans': spans}})
+            AS VARCHAR) AS line
 FROM (SELECT doc_id, text, {rule_spans_sql('text', TERMS)} AS spans FROM documents)""")
 def export_jsonl(spark, sf_dir):
     """R2: one JSON line per document with its text and its spans (the
@@ -180,7 +181,7 @@ def annotation_store(spark, sf_dir):
     path = scratch_path(spark, "annotations")
     (rows.select("project_id", "doc_id", "start_offset", "end_offset", "label", "prob")
      .write.mode("overwrite").partitionBy("project_id").parquet(path))
-    store = spark.read.parquet(path)
+    store = spark.read.parquet(path).withColumn("project_id", F.col("project_id").cast("long"))
     return store.groupBy("project_id").agg(F.countDistinct("doc_id").alias("n_docs"),
                                            F.count(F.lit(1)).alias("n_annotations"))
 

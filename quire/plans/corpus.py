@@ -76,7 +76,7 @@ acc AS ({ledger_accept_sql('SELECT * FROM feed')}),
 routes AS ({S.routes_sql('feed')})
 SELECT f.source_url, r.project_id, 'spidered' AS filename,
        {strip_tags_sql('f.html')} AS text,
-       to_json({{'source_id': f.source_id, 'source_url': f.source_url}}) AS meta
+       CAST(to_json({{'source_id': f.source_id, 'source_url': f.source_url}}) AS VARCHAR) AS meta
 FROM feed f JOIN acc a ON a.seq = f.seq LEFT JOIN routes r ON r.source_id = f.source_id""")
 def ingest_pages(spark, sf_dir):
     """C1 + J5: pages as html items through the ledger to document rows."""

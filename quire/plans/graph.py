@@ -123,7 +123,7 @@ def _part_items(spark, sf_dir):
 PART_ITEMS_SQL = """
 SELECT p_brand AS item_type, p_name AS item_id, p_type AS name,
        'size ' || CAST(p_size AS VARCHAR) AS description,
-       to_json({'format': p_type || '/' || CAST(p_size AS VARCHAR)}) AS meta,
+       CAST(to_json({'format': p_type || '/' || CAST(p_size AS VARCHAR)}) AS VARCHAR) AS meta,
        p_partkey AS seq, p_size
 FROM part"""
 

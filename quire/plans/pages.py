@@ -184,7 +184,8 @@ def markdown_text(spark, sf_dir):
     """Text of the markdown nodes of nested article JSON,
     depth first; inner string values are not descended."""
     a = jp.parse_article(_articles(spark, sf_dir))
-    return a.select("conv_id", "modified_at", F.col("html").alias("text"))
+    return a.select("conv_id", F.col("modified_at").cast("timestamp_ntz").alias("modified_at"),
+                    F.col("html").alias("text"))
 
 
 # --- tables in markup -----------------------------------------------------------------

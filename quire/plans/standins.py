@@ -31,7 +31,7 @@ def events_feed(spark, sf_dir) -> DataFrame:
         F.col("event_type").alias("source_id"),
         F.concat(F.lit("u/"), F.col("user_id").cast("string"), F.lit("/"), F.col("event_type")).alias("source_url"),
         F.when(F.col("event_id") % 17 == 0, F.lit(None))
-         .otherwise(F.date_trunc("day", F.col("ts"))).alias("modified_at"),
+         .otherwise(F.date_trunc("day", F.col("ts")).cast("timestamp_ntz")).alias("modified_at"),
         F.col("ts"), F.col("value"), F.col("props"))
 
 

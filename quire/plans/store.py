@@ -80,11 +80,11 @@ def route_items(spark, sf_dir):
 
 
 @query("attr_maps", sql="""
-SELECT p_partkey, to_json(map_from_entries(list_filter(map_entries(
+SELECT p_partkey, CAST(to_json(map_from_entries(list_filter(map_entries(
          MAP {'class': p_type, 'brand': p_brand, 'size': CAST(p_size AS VARCHAR)}), lambda e: e.key <> 'class')))
-       AS attrs,
+       AS VARCHAR) AS attrs,
        CASE WHEN nullif(trim(p_type), '') IS NULL THEN NULL
-            ELSE to_json({'format': trim(p_type)}) END AS meta
+            ELSE CAST(to_json({'format': trim(p_type)}) AS VARCHAR) END AS meta
 FROM part""")
 def attr_maps(spark, sf_dir):
     """Attribute map without ``class``; meta JSON, null when
@@ -129,7 +129,7 @@ def csv_dataset(spark, sf_dir):
     rows = back.join(src, "name").join(F.broadcast(routes.select("source_id", "dataset_id")), "source_id")
     store = scratch_path(spark, "datasets")
     rows.select("dataset_id", "name", "text").write.mode("overwrite").partitionBy("dataset_id").parquet(store)
-    return spark.read.parquet(store).select("dataset_id", "name", "text")
+    return spark.read.parquet(store).select(F.col("dataset_id").cast("long").alias("dataset_id"), "name", "text")
 
 
 EXISTING_PROJECTS_SQL = """
