@@ -24,17 +24,28 @@ def latest_per_key(items: DataFrame, key=KEY, order: str = "seq") -> DataFrame:
             .select(*key, "_last.*"))
 
 
+# Keys of one batch broadcast against the stored tables; larger batches shuffle.
+MAX_BROADCAST_BATCH_KEYS = 1_000_000
+
+
 def upsert(existing: DataFrame | None, items: DataFrame) -> DataFrame:
     """Insert or replace name, description and meta on key conflict.
 
     ``items`` carries ``seq``; ``meta`` may be a struct (stored as JSON).
+    The batch always wins over the store, so stored rows are only filtered
+    (anti join on the batch's keys, broadcast when small), never regrouped.
     """
+    from quire.session import keyed_filter
+
     new = items.select(*KEY, "name", "description",
                        (F.to_json("meta") if dict(items.dtypes).get("meta", "").startswith("struct")
                         else F.col("meta")).alias("meta"), "seq")
-    if existing is not None:
-        new = new.unionByName(existing.select(*ITEM_COLUMNS).withColumn("seq", F.lit(-1).cast("long")))
-    return latest_per_key(new).select(*ITEM_COLUMNS)
+    latest = latest_per_key(new).select(*ITEM_COLUMNS)
+    if existing is None:
+        return latest
+    kept = keyed_filter(existing.select(*ITEM_COLUMNS), latest.select(*KEY), KEY, "left_anti",
+                        MAX_BROADCAST_BATCH_KEYS)
+    return kept.unionByName(latest)
 
 
 def explode_links(items: DataFrame, keep_seq: bool = False) -> DataFrame:
@@ -52,11 +63,13 @@ def replace_edges(existing: DataFrame | None, touched: DataFrame, fresh: DataFra
     """U3 in row form: every edge of a touched source key is dropped, the
     fresh edges are added. ``touched`` has ``src_item_type, src_item_id``
     (keys whose latest item was processed, with or without links)."""
+    from quire.session import keyed_filter
+
     fresh = fresh.select(*EDGE_COLUMNS)
     if existing is None:
         return fresh
-    kept = existing.join(touched.select("src_item_type", "src_item_id").distinct(),
-                         ["src_item_type", "src_item_id"], "left_anti")
+    keys = touched.select("src_item_type", "src_item_id").distinct()
+    kept = keyed_filter(existing, keys, ["src_item_type", "src_item_id"], "left_anti", MAX_BROADCAST_BATCH_KEYS)
     return kept.select(*EDGE_COLUMNS).unionByName(fresh)
 
 

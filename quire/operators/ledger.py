@@ -37,6 +37,9 @@ LEDGER_COLUMNS = ["source_id", "url", "modified_at"]
 DEFAULT_CHUNK = 1 << 20
 # One mark per source; above this the marks are joined by shuffle.
 MAX_BROADCAST_MARKS = 100_000
+# URLs of one batch broadcast against the stored ledger (so the ledger is
+# scanned, not shuffled); larger batches use a shuffle join.
+MAX_BROADCAST_BATCH_URLS = 1_000_000
 
 
 def empty_ledger(spark) -> DataFrame:
@@ -63,8 +66,10 @@ def decide(items: DataFrame, ledger: DataFrame | None = None, *,
     cols = items.columns
     feed = items.withColumn("_url", F.col(url_col)).withColumn("_ledger", F.lit(False))
     if ledger is not None:
+        from quire.session import keyed_filter
+
         touched = feed.select(F.col("_url").alias("url")).distinct()
-        prior = (ledger.join(touched, "url", "left_semi")
+        prior = (keyed_filter(ledger, touched, "url", "left_semi", MAX_BROADCAST_BATCH_URLS)
                  .select(F.lit(-1).cast("long").alias("seq"),
                          F.col("url").alias("_url"),
                          F.col("modified_at"),
@@ -127,7 +132,10 @@ def apply(ledger: DataFrame | None, decided: DataFrame, *, url_col: str = "sourc
                     F.col("s.modified_at").alias("modified_at")))
     if ledger is None:
         return last
-    kept = ledger.join(last.select("url"), "url", "left_anti").select(*LEDGER_COLUMNS)
+    from quire.session import keyed_filter
+
+    kept = keyed_filter(ledger, last.select("url"), "url", "left_anti",
+                        MAX_BROADCAST_BATCH_URLS).select(*LEDGER_COLUMNS)
     return kept.unionByName(last)
 
 

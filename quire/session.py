@@ -97,3 +97,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     if n <= max_rows:
         return F.broadcast(df), True
     return df, False
+
+
+def keyed_filter(big: DataFrame, keys: DataFrame, on: list[str] | str, how: str,
+                 max_rows: int) -> DataFrame:
+    """Semi/anti join of a large stored table with a batch's key set.
+
+    When the key set is proven to hold at most ``max_rows`` rows it is
+    broadcast, so the large side is only scanned - never shuffled. Above the
+    bound the planner's shuffle join is used.
+    """
+    k, _ = bounded_broadcast(keys, max_rows)
+    return big.join(k, on, how)
