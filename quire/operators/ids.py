@@ -13,23 +13,26 @@ def sequential_ids(df: DataFrame, order: list[str], start: Column | int = 1,
     """Number the rows of ``df`` 0.. by ``order`` (which must be unique) and
     add ``start``.
 
-    Range-partition by ``order`` (balanced by sampling), number rows within
-    each range, then shift each range by the row count of the ranges before
-    it. Only one row per range partition - a proven bound - is combined in
-    one place; the rows themselves stay distributed. The ranged data is
-    checkpointed so both passes see the same partitioning.
+    Range-partition by ``order`` (balanced by sampling) and sort within each
+    range, number rows within each range, then shift each range by the row
+    count of the ranges before it. Only one row per range partition - a
+    proven bound - is combined in one place; the rows stay where they are.
+    The ranged data is checkpointed so both passes see the same partitions.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(df.repartitionByRange(n, *order)
-                         .withColumn("_pid", F.spark_partition_id()))
+    ranged = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+    # the checkpoint keeps partitions and their row order: the position inside
+    # a partition is the low part of monotonically_increasing_id (no shuffle)
+    ranged = ranged.withColumn("_pid", F.spark_partition_id())
     local = ranged.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)).cast("long"))
+        "_rn", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33) + 1)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
                            F.lit(0)).cast("long").alias("_off"))
     start_c = start if isinstance(start, Column) else F.lit(start)
+    # one row per range partition: bounded by ``n`` by construction
     return (local.join(F.broadcast(offsets), "_pid")
             .withColumn(id_col, (F.col("_off") + F.col("_rn") - 1 + start_c).cast("long"))
             .drop("_pid", "_rn", "_off"))

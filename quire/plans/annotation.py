@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.spans import rule_spans, rule_spans_sql
 from quire.operators import annotate as an
+from quire.operators import ingest as ing
 from quire.operators.ids import get_or_create, sequential_ids
 from quire.plans import standins as S
 from quire.plans.registry import query
@@ -176,8 +177,8 @@ def annotation_store(spark, sf_dir):
     d = S.table(spark, sf_dir, "documents").withColumnRenamed("source", "source_id")
     routes = S.routes_for(d)
     run = an.pre_annotate(d, S.table(spark, sf_dir, "labels"), _existing_labels(spark, sf_dir), pattern=TERMS)
-    rows = run.annotations.join(d.select("doc_id", "source_id"), "doc_id").join(
-        F.broadcast(routes.select("source_id", "project_id")), "source_id")
+    r, _ = bounded_broadcast(routes.select("source_id", "project_id"), ing.MAX_BROADCAST_ROUTES)
+    rows = run.annotations.join(d.select("doc_id", "source_id"), "doc_id").join(r, "source_id")
     path = scratch_path(spark, "annotations")
     (rows.select("project_id", "doc_id", "start_offset", "end_offset", "label", "prob")
      .write.mode("overwrite").partitionBy("project_id").parquet(path))

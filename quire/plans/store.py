@@ -11,7 +11,7 @@ from quire.operators.frontier import walk
 from quire.operators.ordering import first_by
 from quire.plans import standins as S
 from quire.plans.registry import query
-from quire.session import scratch_path
+from quire.session import bounded_broadcast, scratch_path
 from quire.sinks import standoff
 from quire.sources import dictionary_pages as dp
 
@@ -126,7 +126,8 @@ def csv_dataset(spark, sf_dir):
     routes = S.routes_for(d.select(F.col("source").alias("source_id")))
     src = d.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("name"),
                    F.col("source").alias("source_id"))
-    rows = back.join(src, "name").join(F.broadcast(routes.select("source_id", "dataset_id")), "source_id")
+    r, _ = bounded_broadcast(routes.select("source_id", "dataset_id"), ing.MAX_BROADCAST_ROUTES)
+    rows = back.join(src, "name").join(r, "source_id")
     store = scratch_path(spark, "datasets")
     rows.select("dataset_id", "name", "text").write.mode("overwrite").partitionBy("dataset_id").parquet(store)
     return spark.read.parquet(store).select(F.col("dataset_id").cast("long").alias("dataset_id"), "name", "text")
