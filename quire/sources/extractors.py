@@ -9,6 +9,7 @@ function - no crawler process, no spider discovery.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -105,17 +106,24 @@ def css(pages: DataFrame, key: str, html: str, *, links_in: tuple[str, str | Non
 
 # --- C3: the conditions source (index JSON + article JSON) -------------------------
 
-@extractor("conditions")
-def conditions_items(articles: DataFrame, source_id: str = "conditions"):
+@dataclass
+class Release:
+    items: DataFrame      # html items in feed form (+ page_no, position)
+    rejects: DataFrame    # (source_id, url, stage, reason)
+    pending: DataFrame    # responses still waiting, in the input shape
+    released: DataFrame   # (page_no, released_upto): last slot released per page
+
+
+def conditions_release(articles: DataFrame, source_id: str = "conditions") -> Release:
     """Article responses ``(url, status, body, page_no, position, arrival)``
     -> html items released in list order (W2/T4) with ``seq``.
 
     Every response fills its slot. Non-200 responses and articles without
     text give no item (P6, P7); an article without ``dateModified`` is
     rejected alone; a slot filled twice rejects the later arrival (W3).
-    Items behind an empty slot stay pending. Returns
-    ``(items, rejects, pending)``.
+    Items behind an empty slot stay pending.
     """
+    cols = articles.columns
     a = (jp.parse_article(articles).withColumnRenamed("status", "http_status")
          .withColumn("has_date", (F.col("http_status") != 200) |
                      F.get_json_object("body", "$.dateModified").isNotNull()))
@@ -124,15 +132,25 @@ def conditions_items(articles: DataFrame, source_id: str = "conditions"):
               .when(F.col("http_status") != 200, F.concat(F.lit("status "), F.col("http_status").cast("string")))
               .when(~F.col("has_date"), F.lit("no dateModified"))
               .when(F.coalesce(F.col("html"), F.lit("")) == "", F.lit("no text")))
-    r = r.withColumn("reason", reason)
+    r = r.withColumn("reason", F.when(F.col("status") != "pending", reason))
     rejects = r.where(F.col("reason").isNotNull()).select(
         F.lit(source_id).alias("source_id"), "url", F.lit("extract").alias("stage"), "reason")
     ok = r.where((F.col("status") == "released") & F.col("reason").isNull())
     items = assign_seq(ok.select("page_no", "position", "url", "html", "modified_at"), ["page_no", "position"])
     items = items.select("seq", F.lit("html").alias("kind"), F.lit(source_id).alias("source_id"),
-                         F.col("url").alias("source_url"), "html", "modified_at")
-    pending = r.where((F.col("status") == "pending") & F.col("reason").isNull())
-    return items, rejects, pending
+                         F.col("url").alias("source_url"), "html", "modified_at", "page_no", "position")
+    pending = (r.where(F.col("status") == "pending").drop("status")
+               .withColumnRenamed("http_status", "status").select(*cols))
+    released = (r.where(F.col("status") == "released").groupBy("page_no")
+                .agg(F.max("position").alias("released_upto")))
+    return Release(items, rejects, pending, released)
+
+
+@extractor("conditions")
+def conditions_items(articles: DataFrame, source_id: str = "conditions"):
+    """C3 as ``(items, rejects, pending)`` - see :func:`conditions_release`."""
+    rel = conditions_release(articles, source_id)
+    return rel.items.drop("page_no", "position"), rel.rejects, rel.pending
 
 
 def conditions_requests(index_pages: DataFrame) -> DataFrame:

@@ -43,3 +43,30 @@ def test_stateful_form_equals_batch(spark):
     q.awaitTermination()
     got = sorted(r.seq for r in spark.read.parquet(f"{root}/out").collect())
     assert got == sorted(r.seq for r in led.accept(feed).collect())
+
+
+def test_ordered_release_across_batches(spark):
+    import json as _json
+
+    from quire.streaming import release as rs
+
+    def art(text):
+        return _json.dumps({"dateModified": "2024-01-01T00:00:00+00:00",
+                            "mainEntityOfPage": [{"name": "markdown", "text": text}]})
+
+    schema = "url string, status int, body string, page_no long, position long, arrival long"
+    files = [
+        [("u1", 200, art("one"), 1, 1, 1), ("u2", 200, art("two"), 1, 2, 2)],   # slot 0 missing: all wait
+        [("u0", 200, art("zero"), 1, 0, 3)],                                     # releases 0, 1, 2
+        [("u3", 200, art("three"), 1, 3, 4), ("u1b", 200, art("late"), 1, 1, 5)],  # 3 released; 1 already was
+    ]
+    root = scratch_path(spark, "releasetest")
+    for rows in files:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(f"{root}/in")
+    stores = rs.ReleaseStores(root)
+    rs.run(spark, f"{root}/in", spark.createDataFrame([], schema).schema, stores)
+    items = spark.read.parquet(stores.items).orderBy("seq").collect()
+    assert [r.source_url for r in items] == ["u0", "u1", "u2", "u3"]
+    assert [r.html for r in items] == ["zero", "one", "two", "three"]
+    rej = [(r.url, r.reason) for r in spark.read.parquet(stores.rejects).collect()]
+    assert rej == [("u1b", "slot already released")]
