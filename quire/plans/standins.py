@@ -15,7 +15,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    from quire.session import ship_package
+
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
