@@ -148,6 +148,8 @@ def lexicon_codes(spark, sf_dir):
     lex, _ = bounded_broadcast(lex, MAX_LEXICON)
     d = S.table(spark, sf_dir, "documents")
     tok = d.select("doc_id", F.explode(F.split(F.lower("text"), TOKEN_SPLIT, -1)).alias("term"))
+    # the code list only holds long words: drop short tokens before the join
+    tok = tok.where(F.length("term") >= 6)
     return tok.join(lex, "term").groupBy("doc_id", "code", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
