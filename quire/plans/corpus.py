@@ -52,8 +52,15 @@ LEDGER1_SQL = ledger_state_sql(ledger_accept_sql(BATCH1_SQL))
 
 
 def _ledger1(spark, sf_dir):
+    """Ledger after the first half, written as store version 0 and read back
+    (K1) - later batches scan the stored ledger like a production run."""
+    from quire.session import scratch_path
+    from quire.sinks.tables import VersionedTable, write_ledger
+
     b1, b2 = S.split_batches(spark, sf_dir)
-    return led.apply(None, led.decide(b1)), b2
+    store = VersionedTable(scratch_path(spark, "ledger"))
+    write_ledger(store, led.apply(None, led.decide(b1)), 0)
+    return store.read(spark), b2
 
 
 # --- markup ------------------------------------------------------------------
