@@ -208,6 +208,9 @@ def frontier_walk(spark, sf_dir):
 
 # --- dictionary pages built from parts -------------------------------------------------
 
+DICT_SITE = "https://dictionary.example.org/"
+
+
 def _dictionary_pages(spark, sf_dir):
     p = S.table(spark, sf_dir, "part")
     k = F.col("p_partkey")
@@ -238,8 +241,11 @@ def _dictionary_pages(spark, sf_dir):
         F.lit('<html><head><meta name="name" content="'), F.col("p_name"), F.lit('"></head><body><div id="wh_topic_body">'),
         desc, F.coalesce(aka, F.lit("")), F.coalesce(attrs, F.lit("")), F.coalesce(attr, F.lit("")),
         F.coalesce(fmt, F.lit("")), F.lit("</div></body></html>"))
+    from quire.plans.graph import INDEX_DIRS
+
+    dirs = F.create_map(*[x for kv in INDEX_DIRS.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     return p.select(
-        F.concat(F.lit("https://dictionary.example.org/"), F.col("tin"), F.lit("/"), F.col("item_id"),
+        F.concat(F.lit(DICT_SITE), dirs[F.col("item_type")], F.lit("/"), F.col("item_id"),
                  F.lit(".html")).alias("source_url"),
         F.when(F.col("p_size") % 2 == 0, F.lit("Wed, 21 Oct 2015 07:28:00 GMT")).alias("last_modified"),
         "item_type", "item_id", html.alias("html"))

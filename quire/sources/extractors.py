@@ -225,8 +225,10 @@ def dictionary_items(index_pages: DataFrame, item_pages: DataFrame, seeds_df: Da
     bad = entries.where(F.col("status") != "ok").select(
         F.lit(source_id).alias("source_id"), F.col("href").alias("url"),
         F.lit("index").alias("stage"), F.lit("no id in href").alias("reason"))
+    # the fetched page is the URL without its fragment
     want = fr.dedup_requests(entries.where(F.col("status") == "ok")
-                             .select("url", "item_type", "item_id", F.lit(0).cast("long").alias("seq")))
+                             .select(F.regexp_replace("url", "#.*$", "").alias("url"), "item_type", "item_id",
+                                     F.lit(0).cast("long").alias("seq")))
     pages = carry_request_fields(item_pages.select(F.col("url"), "html", "last_modified"),
                                  want, ["item_type", "item_id"]).where(F.col("item_id").isNotNull())
     out = dp.extract_items(pages.withColumnRenamed("url", "source_url"))
