@@ -284,3 +284,34 @@ def late_data_policy(spark, sf_dir):
             F.lit(policy).alias("policy"), "seq", F.col("source_url").alias("url"), "modified_at")
         out = acc if out is None else out.unionByName(acc)
     return out
+
+
+DOC_ITEMS_SQL = """
+SELECT doc_id AS seq, source AS source_id, 'https://corpus.example.org/' || source || '/'
+       || repeat('x', CAST(n_chars % 160 AS INTEGER)) || '/' || CAST(doc_id AS VARCHAR) AS source_url, text
+FROM documents"""
+
+
+@query("doc_meta_json", sql=f"""
+WITH f AS ({DOC_ITEMS_SQL}), r AS ({S.routes_sql('f')})
+SELECT f.source_url, r.project_id, r.dataset_id, 'spidered' AS filename,
+       CAST(to_json({{'source_id': f.source_id, 'source_url': f.source_url}}) AS VARCHAR) AS meta,
+       right(f.source_url, 150) AS name, CAST(length(f.text) AS BIGINT) AS n_chars
+FROM f LEFT JOIN r ON r.source_id = f.source_id
+WHERE length(f.source_url) <= 255""")
+def doc_meta_json(spark, sf_dir):
+    """Documents as text items through ingest - stored rows
+    with their JSON meta, and concept-trainer rows named by the last 150
+    characters of the URL (URLs over 255 characters are rejected first)."""
+    d = S.table(spark, sf_dir, "documents")
+    url = F.concat(F.lit("https://corpus.example.org/"), "source", F.lit("/"),
+                   F.repeat(F.lit("x"), (F.col("n_chars") % 160).cast("int")), F.lit("/"), F.col("doc_id").cast("string"))
+    feed = d.select(F.col("doc_id").alias("seq"), F.lit("text").alias("kind"), F.col("source").alias("source_id"),
+                    url.alias("source_url"), "text")
+    res = ing.ingest(feed, None, S.routes_for(feed), run_ts=F.lit(None).cast("timestamp"))
+    docs = res.documents.select("source_url", "project_id", "filename", "meta", F.length("text").cast("long").alias("n_chars"))
+    trainer = res.trainer.select(F.col("name"), "dataset_id", F.length("text").cast("long").alias("t_chars"))
+    # one trainer row per stored document: pair them on the URL tail (unique here)
+    return (docs.withColumn("name", F.right("source_url", F.lit(150)))
+            .join(trainer, "name").where(F.col("n_chars") == F.col("t_chars")).drop("t_chars")
+            .select("source_url", "project_id", "dataset_id", "filename", "meta", "name", "n_chars"))
