@@ -126,7 +126,8 @@ def _index_pages(spark, sf_dir):
 
 @query("dictionary_source", sql=f"""
 SELECT t AS item_type, count(*) AS n_items,
-       sum(1 + CASE WHEN t = 'element' THEN 1 ELSE 0 END + CASE WHEN t = 'class' THEN 2 ELSE 0 END) AS n_links
+       CAST(sum(1 + CASE WHEN t = 'element' THEN 1 ELSE 0 END + CASE WHEN t = 'class' THEN 2 ELSE 0 END) AS BIGINT)
+         AS n_links
 FROM (SELECT *, {TYPES_SQL}[CAST(p_partkey % 5 + 1 AS INTEGER)] AS t FROM part) GROUP BY t""")
 def dictionary_source(spark, sf_dir):
     """C5 (S9, P12, F3, N5, J8, X4, U2, U3): index pages -> item ids (the

@@ -169,14 +169,16 @@ p AS (SELECT req.name, ex.id, FALSE AS created FROM req JOIN ex USING (name)
       SELECT name, (SELECT coalesce(max(id), 0) FROM ex) + row_number() OVER (ORDER BY name), TRUE
       FROM req WHERE name NOT IN (SELECT name FROM ex))
 SELECT *, 'SequenceLabeling' AS project_type, 'SequenceLabelingProject' AS resource_type,
-       string_split_regex('{cat.EXAMPLE_TYPE_FILTER}', ',\\s*') AS filters
+       array_to_string(string_split_regex('{cat.EXAMPLE_TYPE_FILTER}', ',\\s*'), ',') AS filters
 FROM p""")
 def project_bootstrap(spark, sf_dir):
     """Projects with their settings (type, resource type, concept
     type filter split into a list)."""
     names = S.table(spark, sf_dir, "documents").select(F.col("source").alias("name"))
-    return cat.projects_get_or_create(_existing_projects(spark, sf_dir), names,
-                                      type_filter=cat.EXAMPLE_TYPE_FILTER)
+    out = cat.projects_get_or_create(_existing_projects(spark, sf_dir), names,
+                                     type_filter=cat.EXAMPLE_TYPE_FILTER)
+    # the filter list, shown as text so both engines print it alike
+    return out.withColumn("filters", F.array_join("filters", ","))
 
 
 # --- frontier walk over a customer tree ---------------------------------------------
