@@ -7,7 +7,8 @@ expression - the text never leaves the JVM:
 
 * ``split(text, pattern, -1)`` gives the k+1 pieces between the k matches,
 * ``regexp_extract_all`` gives the k matches (group 0) and labels (group 1),
-* one ``aggregate`` fold walks them left to right carrying the offset.
+* offsets are prefix sums of piece and match lengths, computed in
+  O(k^1.5) per text with block sums (linear in the corpus).
 
 The pattern must not match the empty string. ``skip_one=True`` (resume the
 search one character after each match, as the reference loop does) and
@@ -34,26 +35,66 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _bind(value: Column, body) -> Column:
+    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable
+    (an expression referenced inside a lambda is re-evaluated per call)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _sum(arr: Column) -> Column:
+    return F.aggregate(arr, F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def _exclusive_prefix(steps: Column) -> Column:
+    """Exclusive prefix sums of a ``bigint`` array in O(k^1.5): sums of
+    sqrt(k)-sized blocks, prefix over the blocks, then a short in-block sum
+    per element (Spark SQL has no scan over arrays; a fold that appends
+    would copy the array k times)."""
+    def with_steps(st):
+        k = F.size(st)
+        b = F.greatest(F.lit(1), F.ceil(F.sqrt(k)).cast("int"))
+        nb = F.ceil(k / b).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), nb - 1), lambda j: _sum(F.slice(st, j * b + 1, b)))
+        zero = F.lit(0).cast("long")
+        before = F.aggregate(
+            blocks, F.struct(zero.alias("s"), F.array().cast("array<bigint>").alias("out")),
+            lambda acc, x: F.struct((acc["s"] + x).alias("s"), F.array_append(acc["out"], acc["s"]).alias("out")),
+            lambda acc: acc["out"])
+
+        def with_before(bf):
+            def at(i):
+                blk = F.floor(i / b).cast("int")
+                return F.element_at(bf, blk + 1) + _sum(F.slice(st, blk * b + 1, i - blk * b))
+            return F.transform(F.sequence(F.lit(0), k - 1), at)
+
+        return F.when(k > 0, _bind(before, with_before)).otherwise(F.array().cast("array<bigint>"))
+
+    return _bind(steps, with_steps)
+
+
 def rule_spans(text: Column | str, pattern: str = DEFAULT_PATTERN,
                prob: float = DEFAULT_PROB, group: int = 1) -> Column:
     t = _c(text)
-    pieces = F.split(t, pattern, -1)
-    whole = F.regexp_extract_all(t, F.lit(pattern), 0)
-    labels = F.regexp_extract_all(t, F.lit(pattern), group)
-    steps = F.arrays_zip(F.slice(pieces, 1, F.size(whole)).alias("gap"),
-                         whole.alias("m"), labels.alias("label"))
-    empty = F.array().cast(T.ArrayType(SPAN))
-
-    def step(acc, x):
-        start = acc["pos"] + F.length(x["gap"]).cast("long")
-        end = start + F.length(x["m"]).cast("long")
-        span = F.struct(start.alias("start_offset"), end.alias("end_offset"),
-                        x["label"].alias("label"), F.lit(prob).cast("double").alias("prob"))
-        return F.struct(end.alias("pos"), F.array_append(acc["spans"], span).alias("spans"))
-
-    init = F.struct(F.lit(0).cast("long").alias("pos"), empty.alias("spans"))
-    out = F.aggregate(F.when(F.size(whole) > 0, steps), init, step, lambda acc: acc["spans"])
-    return F.when(t.isNotNull(), F.coalesce(out, empty))
+    found = F.struct(F.split(t, pattern, -1).alias("pieces"),
+                     F.regexp_extract_all(t, F.lit(pattern), 0).alias("whole"),
+                     F.regexp_extract_all(t, F.lit(pattern), group).alias("labels"))
+
+    def spans(r):
+        gaps = F.transform(F.slice(r["pieces"], 1, F.size(r["whole"])), lambda g: F.length(g).cast("long"))
+        lens = F.transform(r["whole"], lambda m: F.length(m).cast("long"))
+
+        def with_lengths(gl):
+            # start_i = sum over j < i of (gap_j + match_j) + gap_i
+            before = _exclusive_prefix(F.zip_with(gl["g"], gl["l"], lambda g, m: g + m))
+            return F.transform(
+                F.arrays_zip(before.alias("p"), gl["g"].alias("g"), gl["l"].alias("l"), r["labels"].alias("label")),
+                lambda x: F.struct((x["p"] + x["g"]).alias("start_offset"),
+                                   (x["p"] + x["g"] + x["l"]).alias("end_offset"),
+                                   x["label"].alias("label"), F.lit(prob).cast("double").alias("prob")))
+
+        return _bind(F.struct(gaps.alias("g"), lens.alias("l")), with_lengths)
+
+    return F.when(t.isNotNull(), _bind(found, spans).cast(T.ArrayType(SPAN)))
 
 
 def rule_spans_sql(text: str, pattern: str = DEFAULT_PATTERN, prob: float = DEFAULT_PROB) -> str:

@@ -53,3 +53,16 @@ def test_custom_annotator_plugin(spark):
     df = spark.createDataFrame([("a BIG word OK",)], "text string")
     s = df.select(python_spans(upper_words)(F.col("text")).alias("s")).first().s
     assert [(x.start_offset, x.end_offset, x.label) for x in s] == [(2, 5, "CAPS"), (11, 13, "CAPS")]
+
+
+def test_many_matches_block_prefix(spark):
+    import random as _r
+
+    rnd = _r.Random(2)
+    texts = []
+    for k in (1, 2, 3, 10, 17, 101, 1000):
+        texts.append("".join(" " * rnd.randrange(0, 4) + "é" * rnd.randrange(0, 2) + " testing" for _ in range(k)))
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in df.select("text", rule_spans("text").alias("s")).collect():
+        want = find_spans(r.text)
+        assert [(s.start_offset, s.end_offset) for s in r.s] == [(w["start_offset"], w["end_offset"]) for w in want]
