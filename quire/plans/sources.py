@@ -134,7 +134,7 @@ def dictionary_source(spark, sf_dir):
     data-set tree walked from its first page) -> fetched item pages ->
     dictionary items and links through the ingest job."""
     index_pages = _index_pages(spark, sf_dir)
-    seeds = spark.createDataFrame([(DICT_SITE + "index/dataSet/0.html", "dataSet")], "url string, item_type string")
+    seeds = ex.seeds(spark, {"dataSet": [DICT_SITE + "index/dataSet/0.html"]}).withColumnRenamed("source_id", "item_type")
     item_pages = _dictionary_pages(spark, sf_dir).withColumnRenamed("source_url", "url")
     items, _ = ex.dictionary_items(index_pages, item_pages, seeds)
     feed = items.withColumn("seq", F.lit(0).cast("long"))

@@ -45,7 +45,7 @@ def seeds(spark, start_urls: dict[str, list[str]]) -> DataFrame:
 
 def read_html_files(spark, path: str) -> DataFrame:
     """Stored HTML files as ``(url, html)`` - one row per file."""
-    return (spark.read.option("wholetext", "true").text(path)
+    return (spark.read.text(path, wholetext=True)
             .select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html")))
 
 

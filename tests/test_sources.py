@@ -102,3 +102,23 @@ def test_dictionary_items(spark):
     res = ing.ingest(items.withColumn("seq", F.lit(1).cast("long")), None,
                      spark.createDataFrame([], "source_id string, project_id long, dataset_id long"))
     assert res.dictionary.count() == 1 and res.links.count() == 1
+
+
+def test_html_files_and_project_reads(spark):
+    from quire.session import scratch_path
+
+    d = scratch_path(spark, "htmlfiles")
+    for i, body in enumerate(["<p>one</p>", "<p>two\nlines</p>"]):
+        with open(f"{d}/page{i}.html", "w", encoding="utf-8") as f:
+            f.write(body)
+    pages = ex.read_html_files(spark, d)
+    got = sorted((r.url.rsplit("/", 1)[-1], r.html) for r in pages.collect())
+    assert got == [("page0.html", "<p>one</p>"), ("page1.html", "<p>two\nlines</p>")]
+    store = scratch_path(spark, "projdocs")
+    spark.createDataFrame([("a", 1), ("b", 2), ("c", 1)], "text string, project_id long") \
+        .write.mode("overwrite").partitionBy("project_id").parquet(store)
+    p1 = ex.project_documents(spark, store, 1)
+    assert sorted(r.text for r in p1.collect()) == ["a", "c"]
+    assert "PartitionFilters: [isnotnull(project_id" in p1._jdf.queryExecution().executedPlan().toString()
+    s = ex.seeds(spark, {"news": ["https://n.org/"], "reviews": ["https://r.org/a", "https://r.org/b"]})
+    assert s.count() == 3
