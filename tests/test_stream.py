@@ -70,3 +70,21 @@ def test_ordered_release_across_batches(spark):
     assert [r.html for r in items] == ["zero", "one", "two", "three"]
     rej = [(r.url, r.reason) for r in spark.read.parquet(stores.rejects).collect()]
     assert rej == [("u1b", "slot already released")]
+
+
+def test_incremental_scheduled_runs(spark):
+    """A second AvailableNow run takes only the files that arrived
+    since the first run; together they equal one batch."""
+    times = [None, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)]
+    rows = [(i, "text", "s", f"u{i % 4}", times[(i * 2) % 3]) for i in range(40)]
+    feed = spark.createDataFrame(rows, SCHEMA)
+    root = scratch_path(spark, "incremental")
+    stores = si.StreamStores(root)
+    feed.where("seq < 20").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    si.run(spark, f"{root}/in", feed.schema, stores)
+    first = spark.read.parquet(stores.docs).count()
+    feed.where("seq >= 20").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    si.run(spark, f"{root}/in", feed.schema, stores)  # the next scheduled run
+    assert stores.ledger.versions() == [0, 1]
+    got = sorted(r.seq for r in si.accepted_documents(spark, stores).collect())
+    assert got == sorted(r.seq for r in led.accept(feed).collect()) and len(got) > first
