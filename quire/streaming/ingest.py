@@ -1,13 +1,19 @@
 """Streaming ingest (T1, T2, T4, T7): item files -> ledger -> documents.
 
 ``readStream`` over an item folder, ``foreachBatch`` applies the ledger
-(U1) to each micro-batch against the ledger version written by the previous
-batch, writes the accepted documents of batch ``n`` to ``docs/batch=n``
+(U1) to each micro-batch against the ledger as it stood before the batch,
+writes the accepted documents of batch ``n`` to ``docs/batch=n``
 (overwrite: a replayed batch rewrites the same rows) and only then writes
-ledger version ``n`` (targets first, ledger last - T7). A batch that is
-re-run after a failure reads the ledger version from *before* it, so it
+the ledger change of batch ``n`` (targets first, ledger last - T7). A batch
+that is re-run after a failure reads the ledger from *before* it, so it
 decides exactly as the first attempt did.
 
+Ledger layouts: ``"log"`` (default) keeps a base snapshot plus one delta
+per batch (:mod:`quire.sinks.ledger_log`): a batch reads only its URLs' rows
+and writes only its delta, and every ``compact_every`` batches the deltas
+are folded into a new base. ``"versions"`` writes the whole ledger per
+batch (simple, for small ledgers).
+
 ``Trigger.AvailableNow`` makes the same job an incremental batch run on a
 schedule (T1, T6): each run takes only the files the source checkpoint has
 not seen.
@@ -22,8 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quire.operators import ledger as led
+from quire.sinks.ledger_log import LedgerLog
 from quire.sinks.tables import VersionedTable, write_ledger
 
+COMPACT_EVERY = 8
+
 
 @dataclass
 class StreamStores:
@@ -37,31 +46,46 @@ class StreamStores:
     def ledger(self) -> VersionedTable:
         return VersionedTable(f"{self.root}/ledger")
 
+    @property
+    def log(self) -> LedgerLog:
+        return LedgerLog(f"{self.root}/ledger_log")
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/_checkpoint"
 
 
-def process_batch(batch: DataFrame, batch_id: int, stores: StreamStores, *, policy: str = "different") -> None:
+def process_batch(batch: DataFrame, batch_id: int, stores: StreamStores, *, policy: str = "different",
+                  layout: str = "log", compact_every: int = COMPACT_EVERY) -> None:
     spark = batch.sparkSession
-    prior = stores.ledger.read(spark, before=batch_id)
+    if layout == "log":
+        prior = stores.log.rows_for(spark, batch.select(F.col("source_url").alias("url")), before=batch_id)
+    else:
+        prior = stores.ledger.read(spark, before=batch_id)
     decided = led.decide(batch, prior, policy=policy).persist()
     try:
         accepted = decided.where("accepted").drop("accepted")
         (accepted.withColumn("batch", F.lit(batch_id))
          .write.mode("overwrite").parquet(f"{stores.docs}/batch={batch_id}"))
-        write_ledger(stores.ledger, led.apply(prior, decided), batch_id)
+        if layout == "log":
+            stores.log.append_delta(led.apply(None, decided), batch_id)
+            if compact_every and (batch_id + 1) % compact_every == 0:
+                stores.log.compact(spark, batch_id)
+        else:
+            write_ledger(stores.ledger, led.apply(prior, decided), batch_id)
     finally:
         decided.unpersist()
 
 
 def run(spark: SparkSession, source_dir: str, schema: StructType, stores: StreamStores, *,
-        max_files_per_trigger: int = 1, policy: str = "different", fmt: str = "parquet"):
+        max_files_per_trigger: int = 1, policy: str = "different", fmt: str = "parquet",
+        layout: str = "log", compact_every: int = COMPACT_EVERY):
     """Run the ingest stream until every available file is processed."""
     stream = (spark.readStream.schema(schema).format(fmt)
               .option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir))
     q = (stream.writeStream
-         .foreachBatch(lambda df, bid: process_batch(df, bid, stores, policy=policy))
+         .foreachBatch(lambda df, bid: process_batch(df, bid, stores, policy=policy, layout=layout,
+                                                     compact_every=compact_every))
          .option("checkpointLocation", stores.checkpoint)
          .trigger(availableNow=True)
          .start())
@@ -71,3 +95,8 @@ def run(spark: SparkSession, source_dir: str, schema: StructType, stores: Stream
 
 def accepted_documents(spark: SparkSession, stores: StreamStores) -> DataFrame:
     return spark.read.parquet(stores.docs)
+
+
+def ledger_state(spark: SparkSession, stores: StreamStores, layout: str = "log") -> DataFrame | None:
+    """The ledger after the last processed batch."""
+    return stores.log.state(spark) if layout == "log" else stores.ledger.read(spark)
