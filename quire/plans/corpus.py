@@ -52,15 +52,15 @@ LEDGER1_SQL = ledger_state_sql(ledger_accept_sql(BATCH1_SQL))
 
 
 def _ledger1(spark, sf_dir):
-    """Ledger after the first half, written as store version 0 and read back
-    (K1) - later batches scan the stored ledger like a production run."""
+    """Ledger log after the first half (its delta for batch 0), as a
+    production run leaves it; returns ``(log, second_half)``."""
     from quire.session import scratch_path
-    from quire.sinks.tables import VersionedTable, write_ledger
+    from quire.sinks.ledger_log import LedgerLog
 
     b1, b2 = S.split_batches(spark, sf_dir)
-    store = VersionedTable(scratch_path(spark, "ledger"))
-    write_ledger(store, led.apply(None, led.decide(b1)), 0)
-    return store.read(spark), b2
+    log = LedgerLog(scratch_path(spark, "ledger"))
+    log.append_delta(led.apply(None, led.decide(b1)), 0)
+    return log, b2
 
 
 # --- markup ------------------------------------------------------------------
@@ -114,8 +114,9 @@ SELECT seq, source_id, source_url AS url, modified_at
 FROM ({ledger_accept_sql(BATCH2_SQL, LEDGER1_SQL)})""")
 def ledger_two_batches(spark, sf_dir):
     """U1 with prior state: second half of the feed against the first half's ledger."""
-    ledger1, b2 = _ledger1(spark, sf_dir)
-    acc = led.accept(b2, ledger1)
+    log, b2 = _ledger1(spark, sf_dir)
+    prior = log.rows_for(spark, b2.select(F.col("source_url").alias("url")), before=1)
+    acc = led.accept(b2, prior)
     return acc.select("seq", "source_id", F.col("source_url").alias("url"), "modified_at")
 
 
@@ -154,8 +155,8 @@ SELECT f.url, f.force_refresh, f.dont_refresh,
 FROM f LEFT JOIN l ON l.url = f.url""")
 def refresh_plan(spark, sf_dir):
     """Fetch decision for the second half's requests."""
-    ledger1, b2 = _ledger1(spark, sf_dir)
-    ledger1 = ledger1.withColumn("modified_at", F.col("modified_at").cast("timestamp"))
+    log, b2 = _ledger1(spark, sf_dir)
+    ledger1 = log.state(spark).withColumn("modified_at", F.col("modified_at").cast("timestamp"))
     plan = led.refresh_plan(_frontier(b2), ledger1)
     return plan.select("url", "force_refresh", "dont_refresh", "action", "if_modified_since")
 
@@ -166,7 +167,8 @@ SELECT DISTINCT source_url AS url FROM ({S.EVENTS_FEED_SQL})
 WHERE source_url NOT IN (SELECT url FROM l WHERE modified_at IS NOT NULL)""")
 def skip_known(spark, sf_dir):
     """URLs of the whole feed not already held with a time."""
-    ledger1, _ = _ledger1(spark, sf_dir)
+    log, _ = _ledger1(spark, sf_dir)
+    ledger1 = log.state(spark)
     reqs = S.events_feed(spark, sf_dir).select(F.col("source_url").alias("url")).distinct()
     return led.skip_known(reqs, ledger1)
 
