@@ -28,6 +28,11 @@ from quire.sources import jsonpages as jp
 
 EXTRACTORS: dict[str, Callable[..., DataFrame]] = {}
 
+# Page layouts of the news source.
+NEWS_POST_REGION = ("div", "post")   # listing: links are taken inside these blocks
+NEWS_OLDER_CLASS = "older-posts"     # listing: link to the next (older) listing page
+NEWS_TEXT_BLOCK = ("div", "text")    # article: the block that is the document
+
 
 def extractor(source_id: str):
     """Register ``fn(...) -> items DataFrame`` under ``source_id``."""
@@ -164,7 +169,7 @@ def conditions_requests(index_pages: DataFrame) -> DataFrame:
 
 @extractor("news")
 def news_requests(listings: DataFrame, ledger: DataFrame | None, allow: str, *,
-                  region=("div", "post"), older_class: str = "older-posts") -> tuple[DataFrame, DataFrame]:
+                  region=NEWS_POST_REGION, older_class: str = NEWS_OLDER_CLASS) -> tuple[DataFrame, DataFrame]:
     """C4 listing side: links inside the post blocks matching ``allow``
     (P11), one request per URL (U8), URLs already held with a time skipped
     (J2). Returns ``(requests, listing_edges)`` - the edges ``(src, dst)``
@@ -183,7 +188,7 @@ def news_requests(listings: DataFrame, ledger: DataFrame | None, allow: str, *,
 
 @extractor("news_articles")
 def news_items(articles: DataFrame, run_ts: Column, source_id: str = "news",
-               block=("div", "text")) -> tuple[DataFrame, DataFrame]:
+               block=NEWS_TEXT_BLOCK) -> tuple[DataFrame, DataFrame]:
     """C4 article side: the first text block's markup is the item (P8: no
     block -> reject); the fetch time is the item's time."""
     found = css(articles, "url", "html", first=block)
