@@ -30,20 +30,26 @@ def main() -> None:
 
     spark = get_session(f"local[{cpus}]", cpus)
     spark.sparkContext.setLogLevel("ERROR")
-    out = {}
+    out, errors = {}, {}
     for name in names:
         fn = QUERIES[name]
         times = []
-        for i in range(runs + 1):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:
-                times.append(time.perf_counter() - t0)
-        out[name] = round(statistics.median(times), 3)
+        try:
+            for i in range(runs + 1):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if i:
+                    times.append(time.perf_counter() - t0)
+            out[name] = round(statistics.median(times), 3)
+        except Exception as ex:  # noqa: BLE001 - report and keep measuring the rest
+            errors[name] = f"{type(ex).__name__}: {str(ex)[:200]}"
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "sum_of_median_query_sec", "value": round(sum(out.values()), 3),
-                      "unit": "sec", "queries": out, "sf": float(m.group(1)) if m else sf_dir,
-                      "cpus": cpus, "runs": runs}))
+    line = {"metric": "sum_of_median_query_sec", "value": round(sum(out.values()), 3),
+            "unit": "sec", "queries": out, "sf": float(m.group(1)) if m else sf_dir,
+            "cpus": cpus, "runs": runs}
+    if errors:
+        line["errors"] = errors
+    print(json.dumps(line))
     spark.stop()
 
 
