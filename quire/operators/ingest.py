@@ -29,7 +29,8 @@ class IngestResult:
     documents: DataFrame        # K2 rows (+ source_url, source_id for lineage)
     dictionary: DataFrame | None
     links: DataFrame | None
-    ledger: DataFrame           # K1 new ledger state
+    ledger: DataFrame           # K1 new ledger state (whole)
+    ledger_delta: DataFrame     # K1 new state of the touched URLs only (ledger log layout)
     rejects: DataFrame          # K13
     passthrough: DataFrame      # P1 unknown kinds, untouched
     trainer: DataFrame          # K5 concept-trainer rows
@@ -95,6 +96,10 @@ def ingest(items: DataFrame, ledger: DataFrame | None, routes: DataFrame, *,
            dictionary: DataFrame | None = None, links: DataFrame | None = None,
            run_ts: Column | None = None, exact_text: bool = False,
            policy: str = "different", chunk: int = led.DEFAULT_CHUNK) -> IngestResult:
+    """C1 for one batch. ``ledger`` is the stored ledger, or just its rows
+    for the batch's URLs (``LedgerLog.rows_for``); write ``ledger_delta`` to
+    the log, or ``ledger`` as a new version. Every output derives from one
+    decision frame: persist it when several outputs are written."""
     run_ts = run_ts if run_ts is not None else F.current_timestamp()
     cand, rejects, passthrough = classify(items)
     decided = led.decide(cand, ledger, policy=policy, chunk=chunk)
@@ -111,5 +116,5 @@ def ingest(items: DataFrame, ledger: DataFrame | None, routes: DataFrame, *,
     dict_items = accepted.where(F.col("kind") == "dictionary")
     new_dict = dct.upsert(dictionary, dict_items)
     new_links = dct.replace_links(links, dict_items)
-    return IngestResult(docs, new_dict, new_links, new_ledger,
+    return IngestResult(docs, new_dict, new_links, new_ledger, led.apply(None, decided),
                         rejects.unionByName(dropped), passthrough, trainer)

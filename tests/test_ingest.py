@@ -49,5 +49,6 @@ def test_ingest_routes_and_rejects(spark):
     assert [(r.dst_item_type, r.dst_item_id) for r in res.links.collect()] == [("attribute", "a1")]
     assert sorted(r.url for r in res.ledger.collect()) == sorted(
         ["http://n.org/1", "http://n.org/2", long_ok, "http://n.org/10", "http://d.org/e1"])
+    assert res.ledger_delta.count() == 5
     trainer = {r.name: r.dataset_id for r in res.trainer.collect()}
     assert trainer[long_ok[-150:]] == 21
