@@ -7,9 +7,13 @@ inserting a space":
 * :func:`strip_tags` - a native expression (JVM side, whole-stage codegen
   friendly): tokenise the markup with one regex, map each token, join.
 * :func:`strip_tags_exact` - an Arrow-batched pandas UDF over the standard
-  library ``html.parser`` for the edge cases the regex cannot see
-  (``>`` inside attribute values, unclosed constructs, any named or numeric
-  reference, a trailing unterminated reference).
+  library ``html.parser``, for references beyond the fixed list below
+  (other named, numeric and legacy references without ';').
+
+The native form follows the parser fed once and never closed: quoted
+attribute values may hold '>', unclosed comments/tags/script bodies and a
+trailing lone '<' swallow the rest, and a final run with a pending '&' is
+held back. Tests compare both forms on every page and on fuzzed markup.
 """
 
 from __future__ import annotations
@@ -19,11 +23,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Token grammar: script body, style body, comment, tag, text run, lone '<'.
+# Token grammar, first match wins: script and style elements (closed, or
+# running to the end of input), comments (closed or not), declarations and
+# processing instructions, tags (quoted attribute values may hold '>'), tags
+# cut off by the end of input, bogus end tags, text runs, a lone '<'.
 TOKEN_PATTERN = (
-    r"(?is)<script[^>]*>.*?</script\s*>|<style[^>]*>.*?</style\s*>|<!--.*?-->"
-    r"|</?[a-z!][^>]*>|[^<]+|<"
+    r"(?is)<script(?:[\s/][^>]*)?>.*?</script\s*>|<style(?:[\s/][^>]*)?>.*?</style\s*>"
+    r"|<script(?:[\s/][^>]*)?>.*\z|<style(?:[\s/][^>]*)?>.*\z"
+    r"|<!--.*?-->|<!--.*\z|<![^>]*>|<![^>]*\z|<\?[^>]*>|<\?[^>]*\z"
+    r"|</?[a-z][^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*>|</?[a-z][^>]*\z|</[^>]*>|</[^>]*\z"
+    r"|[^<]+|<"
 )
+# A parser fed once and never closed holds back, at the end of input, a lone
+# '<' and a final text run whose last '&' (within 34 characters of the end)
+# is not followed by whitespace or ';' - both never reach the text.
+PENDING_REFERENCE = r"&[^\s;&]{0,33}\z"
 SCRIPT_BODY = r"(?is)^<script[^>]*>(.*)</script\s*>$"
 STYLE_BODY = r"(?is)^<style[^>]*>(.*)</style\s*>$"
 
@@ -60,11 +74,18 @@ def _token_text(t: Column) -> Column:
     )
 
 
+def _drop_pending_tail(tokens: Column) -> Column:
+    n = F.size(tokens)
+    last = F.element_at(tokens, -1)
+    pending = (last == "<") | (~last.startswith("<") & last.rlike(PENDING_REFERENCE))
+    return F.when((n > 0) & pending, F.slice(tokens, 1, n - 1)).otherwise(tokens)
+
+
 def strip_tags(html: Column | str) -> Column:
     """Native markup stripping; null in, null out."""
     h = F.col(html) if isinstance(html, str) else html
     tokens = F.regexp_extract_all(h, F.lit(TOKEN_PATTERN), 0)
-    return F.array_join(F.transform(tokens, _token_text), "")
+    return F.array_join(F.transform(_drop_pending_tail(tokens), _token_text), "")
 
 
 def strip_tags_sql(expr: str) -> str:
@@ -73,8 +94,12 @@ def strip_tags_sql(expr: str) -> str:
     for ref, ch in NAMED_REFERENCES:
         lit = ch.replace("'", "''")
         dec = f"replace({dec}, '{ref}', '{lit}')"
+    pat = TOKEN_PATTERN.replace("'", "''")
+    toks = f"regexp_extract_all({expr}, '{pat}', 0)"
+    kept = (f"(CASE WHEN len({toks}) > 0 AND ({toks}[-1] = '<' OR (NOT starts_with({toks}[-1], '<') "
+            f"AND regexp_matches({toks}[-1], '{PENDING_REFERENCE}'))) THEN {toks}[1:len({toks}) - 1] ELSE {toks} END)")
     return (
-        f"array_to_string(list_transform(regexp_extract_all({expr}, '{TOKEN_PATTERN}', 0), "
+        f"array_to_string(list_transform({kept}, "
         f"lambda t: CASE WHEN starts_with(lower(t[1:7]), '<script') "
         f"THEN regexp_extract(t, '{SCRIPT_BODY}', 1) "
         f"WHEN starts_with(lower(t[1:7]), '<style') THEN regexp_extract(t, '{STYLE_BODY}', 1) "
