@@ -23,6 +23,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.functions.arrays import bind
+
 # Token grammar, first match wins: script and style elements (closed, or
 # running to the end of input), comments (closed or not), declarations and
 # processing instructions, tags (quoted attribute values may hold '>'), tags
@@ -85,7 +87,9 @@ def strip_tags(html: Column | str) -> Column:
     """Native markup stripping; null in, null out."""
     h = F.col(html) if isinstance(html, str) else html
     tokens = F.regexp_extract_all(h, F.lit(TOKEN_PATTERN), 0)
-    return F.array_join(F.transform(_drop_pending_tail(tokens), _token_text), "")
+    # the token array is used several times: tokenise once
+    text = bind(tokens, lambda t: F.array_join(F.transform(_drop_pending_tail(t), _token_text), ""))
+    return F.when(h.isNotNull(), text)
 
 
 def strip_tags_sql(expr: str) -> str:

@@ -24,6 +24,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.functions.arrays import bind
 from quire.schemas import SPAN
 
 # The shipped annotator's pattern and probability.
@@ -35,10 +36,7 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _bind(value: Column, body) -> Column:
-    """Evaluate ``value`` once and hand it to ``body`` as a lambda variable
-    (an expression referenced inside a lambda is re-evaluated per call)."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+_bind = bind
 
 
 def _sum(arr: Column) -> Column:
