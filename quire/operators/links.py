@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.functions.arrays import bind
+
 # Markup patterns.
 ANCHOR_HREF = r'(?i)<a\s[^>]*?href="([^"]*)"'
 ORIGIN = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
@@ -41,22 +43,27 @@ def _dot_resolve(b: Column, h: Column, origin: Column, no_query: Column) -> Colu
     tail = F.substring(h, F.length(hpath) + 1, F.lit(1 << 30))
     bparts = F.split(bpath, "/", -1)
     bparts = F.when(F.element_at(bparts, -1) != "", F.slice(bparts, 1, F.size(bparts) - 1)).otherwise(bparts)
-    segs = F.when(hpath.startswith("/"), F.split(hpath, "/", -1)).otherwise(
+    raw = F.when(hpath.startswith("/"), F.split(hpath, "/", -1)).otherwise(
         F.concat(bparts, F.split(hpath, "/", -1)))
-    n = F.size(segs)
-    mid = F.filter(F.slice(segs, 2, F.greatest(n - 2, F.lit(0))), lambda x: x != "")
-    # empty middle segments are dropped only when merging with the base path
-    segs = F.when((n <= 2) | hpath.startswith("/"), segs).otherwise(
-        F.concat(F.slice(segs, 1, 1), mid, F.slice(segs, n, 1)))
+
+    def merged(sg):
+        n = F.size(sg)
+        mid = F.filter(F.slice(sg, 2, F.greatest(n - 2, F.lit(0))), lambda x: x != "")
+        # empty middle segments are dropped only when merging with the base path
+        return F.when((n <= 2) | hpath.startswith("/"), sg).otherwise(
+            F.concat(F.slice(sg, 1, 1), mid, F.slice(sg, n, 1)))
 
     def push(acc, seg):
         pop = F.when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1)).otherwise(acc)
         return F.when(seg == "..", pop).when(seg == ".", acc).otherwise(F.array_append(acc, seg))
 
-    stack = F.aggregate(segs, F.array().cast("array<string>"), push)
-    stack = F.when(F.element_at(segs, -1).isin(".", ".."), F.array_append(stack, F.lit(""))).otherwise(stack)
-    path = F.array_join(stack, "/")
-    path = F.when(path == "", F.lit("/")).when(~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path)
+    def resolve(sg):
+        stack = F.aggregate(sg, F.array().cast("array<string>"), push)
+        stack = F.when(F.element_at(sg, -1).isin(".", ".."), F.array_append(stack, F.lit(""))).otherwise(stack)
+        return F.array_join(stack, "/")
+
+    path = bind(bind(bind(raw, merged), resolve), lambda p: F.when(p == "", F.lit("/"))
+                .when(~p.startswith("/"), F.concat(F.lit("/"), p)).otherwise(p))
     return F.concat(origin, path, tail)
 
 

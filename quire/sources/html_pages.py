@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.functions.arrays import bind
 from quire.functions.markup import strip_tags
 from quire.functions.text import comment_id, trim_ws
 
@@ -51,4 +52,4 @@ def extract_table(html: Column, headers: list[str]) -> Column:
         return F.struct(*[trim_ws(strip_tags(F.try_element_at(cells, F.lit(i + 1)))).alias(h)
                           for i, h in enumerate(headers)])
 
-    return F.when(F.size(rows) > 0, F.transform(rows, row))
+    return bind(rows, lambda rs: F.when(F.size(rs) > 0, F.transform(rs, row)))
