@@ -73,9 +73,7 @@ def _exclusive_prefix(steps: Column) -> Column:
 def rule_spans(text: Column | str, pattern: str = DEFAULT_PATTERN,
                prob: float = DEFAULT_PROB, group: int = 1) -> Column:
     t = _c(text)
-    found = F.struct(F.split(t, pattern, -1).alias("pieces"),
-                     F.regexp_extract_all(t, F.lit(pattern), 0).alias("whole"),
-                     F.regexp_extract_all(t, F.lit(pattern), group).alias("labels"))
+    empty = F.array().cast(T.ArrayType(SPAN))
 
     def spans(r):
         gaps = F.transform(F.slice(r["pieces"], 1, F.size(r["whole"])), lambda g: F.length(g).cast("long"))
@@ -92,7 +90,13 @@ def rule_spans(text: Column | str, pattern: str = DEFAULT_PATTERN,
 
         return _bind(F.struct(gaps.alias("g"), lens.alias("l")), with_lengths)
 
-    return F.when(t.isNotNull(), _bind(found, spans).cast(T.ArrayType(SPAN)))
+    def with_matches(whole):
+        # texts without a match (most of a corpus) skip the other two passes
+        found = F.struct(F.split(t, pattern, -1).alias("pieces"), whole.alias("whole"),
+                         F.regexp_extract_all(t, F.lit(pattern), group).alias("labels"))
+        return F.when(F.size(whole) == 0, empty).otherwise(_bind(found, spans).cast(T.ArrayType(SPAN)))
+
+    return F.when(t.isNotNull(), _bind(F.regexp_extract_all(t, F.lit(pattern), 0), with_matches))
 
 
 def rule_spans_sql(text: str, pattern: str = DEFAULT_PATTERN, prob: float = DEFAULT_PROB) -> str:
