@@ -51,22 +51,29 @@ def walk(seeds: DataFrame, edges: DataFrame, *, max_steps: int = 10_000) -> Data
     nodes already seen are never expanded again (cycle guard).
 
     Each step is one join and one anti join; only an emptiness check reaches
-    the driver. The edge list, the frontier and the seen set are cut into the
-    shared checkpoint folder at every step: the plan of step k does not
-    contain steps 1..k-1 (constant size), and a lost executor never replays
-    the walk.
+    the driver. The edge list and every new frontier are cut into the shared
+    checkpoint folder; the seen set is the union of those pieces, so a step's
+    plan is flat (it never contains earlier steps' joins), nothing is written
+    twice, and a lost executor never replays the walk.
     """
     edges = cut_lineage(edges.select("src", "dst"))
-    seen = cut_lineage(seeds.select(F.col("node"), F.lit(0).alias("depth")).distinct())
-    frontier = seen
+    pieces = [cut_lineage(seeds.select(F.col("node"), F.lit(0).alias("depth")).distinct())]
+
+    def seen():
+        out = pieces[0]
+        for p in pieces[1:]:
+            out = out.unionByName(p)
+        return out
+
+    frontier = pieces[0]
     for step in range(1, max_steps + 1):
         nxt = cut_lineage(
             frontier.join(edges, frontier.node == edges.src)
             .select(F.col("dst").alias("node")).distinct()
-            .join(seen.select("node"), "node", "left_anti")
+            .join(seen().select("node"), "node", "left_anti")
             .withColumn("depth", F.lit(step)))
         if nxt.isEmpty():
             break
-        seen = cut_lineage(seen.unionByName(nxt))
+        pieces.append(nxt)
         frontier = nxt
-    return seen
+    return seen()
