@@ -42,10 +42,6 @@ MAX_BROADCAST_MARKS = 100_000
 MAX_BROADCAST_BATCH_URLS = 1_000_000
 
 
-def empty_ledger(spark) -> DataFrame:
-    return spark.createDataFrame([], "source_id string, url string, modified_at timestamp")
-
-
 def _prev_expr(policy: str, m: Column, w) -> Column:
     if policy == "different":
         return F.last(m, ignorenulls=True).over(w)

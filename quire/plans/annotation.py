@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.functions.spans import rule_spans, rule_spans_sql
+from quire.functions.spans import rule_spans_sql
 from quire.operators import annotate as an
 from quire.operators import ingest as ing
 from quire.operators.ids import get_or_create, sequential_ids

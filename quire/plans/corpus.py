@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from quire.functions.dates import if_modified_since
 from quire.functions.markup import strip_tags, strip_tags_sql
-from quire.functions.text import retry_seconds
 from quire.operators import ingest as ing
 from quire.operators import ledger as led
 from quire.operators import frontier as fr

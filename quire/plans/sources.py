@@ -5,11 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.functions.text import INDEX_ID_PATTERNS, LINK_CLASSES
+from quire.functions.text import LINK_CLASSES
 from quire.operators import ingest as ing
 from quire.plans import standins as S
 from quire.plans.graph import ALLOW, INDEX_DIRS
-from quire.plans.pages import ARRIVAL_SQL
 from quire.plans.registry import query
 from quire.plans.store import DICT_SITE, TYPES_SQL, _dictionary_pages
 from quire.sources import dictionary_pages as dp

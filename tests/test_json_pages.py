@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 
 from quire.sources import jsonpages as jp
 

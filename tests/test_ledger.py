@@ -5,7 +5,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from quire.operators import ledger as led
 

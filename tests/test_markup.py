@@ -1,7 +1,6 @@
 """F1 markup to text: fixture F3 and native-vs-parser on real pages."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from quire.functions.markup import strip_tags, strip_tags_exact
 
