@@ -10,7 +10,6 @@ re-run of step ``n`` reads the version written before ``n``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def _fs(path: str):
@@ -52,11 +51,10 @@ class VersionedTable:
 
     def write(self, df: DataFrame, version: int, *, partition_by: list[str] | None = None,
               sort_within: list[str] | None = None) -> None:
-        w = df
-        if partition_by:
-            w = w.repartition(*[F.col(c) for c in partition_by])
-        if sort_within:
-            w = w.sortWithinPartitions(*sort_within)
+        # no shuffle by the partition column: one hot value would land in one
+        # task. Each task sorts its own rows and writes its files one by one.
+        order = [*(partition_by or []), *(sort_within or [])]
+        w = df.sortWithinPartitions(*order) if order else df
         writer = w.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)

@@ -20,8 +20,16 @@ def test_versioned_table_reads_newest_complete(spark):
     assert t.versions() == [0, 1]
     assert t.read(spark).count() == 1
     assert t.read(spark, before=1).count() == 2
-    # Rows sorted by (source_id, modified_at) within the file
-    assert [r.source_id for r in spark.read.parquet(f"{t.path}/v=0").collect()] == ["a", "b"]
+    # Rows sorted by (source_id, modified_at) within each file
+    many = spark.range(200).select(F.concat(F.lit("s"), (F.col("id") % 3).cast("string")).alias("source_id"),
+                                   F.col("id").cast("string").alias("url"),
+                                   F.timestamp_seconds(F.col("id") * 7919 % 1000).alias("modified_at"))
+    tables.write_ledger(t, many.repartition(4), 3)
+    rows = spark.read.parquet(f"{t.path}/v=3").select(F.input_file_name().alias("f"), "source_id", "modified_at").collect()
+    by_file = {}
+    for r in rows:
+        by_file.setdefault(r.f, []).append((r.source_id, r.modified_at))
+    assert len(by_file) > 1 and all(v == sorted(v) for v in by_file.values())
 
 
 def test_append_and_dynamic_overwrite(spark):
