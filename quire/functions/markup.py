@@ -27,13 +27,23 @@ from quire.functions.arrays import bind
 
 # Token grammar, first match wins: script and style elements (closed, or
 # running to the end of input), comments (closed or not), declarations and
-# processing instructions, tags (quoted attribute values may hold '>'), tags
+# processing instructions, start tags (a value quoted right after '=' may
+# hold '>'; every character has one reading, so a cut-off tag never makes the
+# matcher backtrack), end tags (up to the first '>'), tags
 # cut off by the end of input, bogus end tags, text runs, a lone '<'.
+# Attribute area of a start tag, one item per character or quoted value. The
+# repetition is bounded (Java's matcher recurses once per item; RE2 allows at
+# most 1000): a longer tag falls back to "ends at the first '>'".
+MAX_TAG_ITEMS = 1000
+_ATTRS = r"""(?:[^>=]|=+\s*"[^"]*"|=+\s*'[^']*'|=+\s*[^>="'\s]){0,%d}""" % MAX_TAG_ITEMS
 TOKEN_PATTERN = (
     r"(?is)<script(?:[\s/][^>]*)?>.*?</script\s*>|<style(?:[\s/][^>]*)?>.*?</style\s*>"
     r"|<script(?:[\s/][^>]*)?>.*\z|<style(?:[\s/][^>]*)?>.*\z"
     r"|<!--.*?-->|<!--.*\z|<![^>]*>|<![^>]*\z|<\?[^>]*>|<\?[^>]*\z"
-    r"|</?[a-z][^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*>|</?[a-z][^>]*\z|</[^>]*>|</[^>]*\z"
+    r"|<[a-z][^\s/>]*" + _ATTRS + r"(?:=+\s*)?>"
+    r"|<[a-z][^\s/>]*" + _ATTRS + r"""(?:=+\s*(?:"[^"]*|'[^']*)?)?\z"""
+    r"|<[a-z][^>]*>|<[a-z][^>]*\z"
+    r"|</[a-z][^>]*>|</[^>]*>|</[^>]*\z"
     r"|[^<]+|<"
 )
 # A parser fed once and never closed holds back, at the end of input, a lone

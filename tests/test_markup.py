@@ -67,3 +67,24 @@ def test_native_plan_has_no_python(spark):
     p = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select(strip_tags("html").alias("t"))
     plan = p._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_native_equals_parser_on_malformed_tags(spark):
+    import random
+
+    rnd = random.Random(8)
+    parts = ["a", " ", "<P>", "</P>", "<DIV class='k'>", "<a title='x>y' href=\"z\">", "<img src=x>", "<br/>",
+             "<SCRIPT type=\"t\">if(a<b&&c)x='</p>'</SCRIPT>", "<script>a</script >", "<style media=x>p>q{}</style>",
+             "&gt;", "&#39;", "&", "&x", "<!---->", "<!x y>", ">", "<b", "</", "<!", "<?", "<a href=\"&amp;x\">",
+             "<scripts>", "=", "'", '"', "<a x=='v>w'>", "<a x= >"]
+    rows = [("".join(rnd.choice(parts) for _ in range(rnd.randrange(1, 9))),) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "html string")
+    assert df.where(strip_tags("html") != strip_tags_exact("html")).count() == 0
+
+
+def test_pathological_markup_stays_safe(spark):
+    # a cut-off tag with many quoted attributes, and one with thousands (past
+    # the bounded attribute area: no stack overflow, plain first-'>' rule)
+    rows = [('<a ' + 'x="1" ' * 30 + 'y',), ('text <b ' + 'k="v>w" ' * 2000,), ("<script>" + "a<b;" * 20000,)]
+    got = [r.t for r in spark.createDataFrame(rows, "h string").select(strip_tags("h").alias("t")).collect()]
+    assert got[0] == "" and got[1].startswith("text w\"") and got[2] == ""
