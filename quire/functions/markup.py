@@ -74,6 +74,15 @@ def decode_references(c: Column) -> Column:
     return c
 
 
+def decode_references_sql(expr: str) -> str:
+    """DuckDB SQL of :func:`decode_references`."""
+    out = f"({expr})"
+    for ref, ch in NAMED_REFERENCES:
+        lit = ch.replace("'", "''")
+        out = f"replace({out}, '{ref}', '{lit}')"
+    return out
+
+
 def _token_text(t: Column) -> Column:
     # cheapest tests first: most tokens are text runs without references
     low = F.lower(F.substring(t, 1, 7))
@@ -104,10 +113,7 @@ def strip_tags(html: Column | str) -> Column:
 
 def strip_tags_sql(expr: str) -> str:
     """The same rule as DuckDB SQL text (used by the oracle queries)."""
-    dec = "t"
-    for ref, ch in NAMED_REFERENCES:
-        lit = ch.replace("'", "''")
-        dec = f"replace({dec}, '{ref}', '{lit}')"
+    dec = decode_references_sql("t")
     pat = TOKEN_PATTERN.replace("'", "''")
     toks = f"regexp_extract_all({expr}, '{pat}', 0)"
     kept = (f"(CASE WHEN len({toks}) > 0 AND ({toks}[-1] = '<' OR (NOT starts_with({toks}[-1], '<') "

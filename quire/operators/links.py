@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.arrays import bind
+from quire.functions.markup import decode_references, decode_references_sql
 
-# Markup patterns.
-ANCHOR_HREF = r'(?i)<a\s[^>]*?href="([^"]*)"'
+# Markup patterns. An anchor's href may be double-quoted,
+# single-quoted or bare; it must be its own attribute (not data-href).
+ANCHOR_TAG = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+)"""
+HREF_VALUE = r"""(?is)=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))\z"""
 ORIGIN = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
 SCHEME = r"^([a-zA-Z][a-zA-Z0-9+.-]*):"
 DOT_SEGMENT = r"(^|/)\.\.?(/|$)"
@@ -31,8 +34,19 @@ def region(html: Column | str, tag: str) -> Column:
 
 
 def anchors(html: Column | str) -> Column:
-    """Hrefs of all anchors in document order."""
-    return F.regexp_extract_all(_c(html), F.lit(ANCHOR_HREF), 1)
+    """Hrefs of all anchors in document order (character references in
+    the value decoded, as a parser does)."""
+    def value(m):
+        return decode_references(F.concat(*[F.regexp_extract(m, HREF_VALUE, i) for i in (1, 2, 3)]))
+    return F.transform(F.regexp_extract_all(_c(html), F.lit(ANCHOR_TAG), 0), value)
+
+
+def anchors_sql(expr: str) -> str:
+    """DuckDB SQL of :func:`anchors` (oracle side)."""
+    tag = ANCHOR_TAG.replace("'", "''")
+    val = HREF_VALUE.replace("'", "''")
+    parts = " || ".join(f"regexp_extract(m, '{val}', {i})" for i in (1, 2, 3))
+    return f"list_transform(regexp_extract_all({expr}, '{tag}', 0), lambda m: {decode_references_sql(parts)})"
 
 
 def _dot_resolve(b: Column, h: Column, origin: Column, no_query: Column) -> Column:

@@ -12,7 +12,7 @@ from quire.plans.registry import query
 
 ANCHORS_SQL = f"""
 SELECT page_id, url, unnest(range(len(hs))) AS pos, unnest(hs) AS href
-FROM (SELECT page_id, url, regexp_extract_all(html, '{lk.ANCHOR_HREF}', 1) AS hs FROM pages)"""
+FROM (SELECT page_id, url, {lk.anchors_sql('html')} AS hs FROM pages)"""
 
 
 @query("page_links", sql=f"""
@@ -31,8 +31,7 @@ NAV_REGION = r"(?is)<nav(?:\s[^>]*)?>(.*?)</nav\s*>"
 @query("allowed_links", sql=f"""
 WITH a AS (
   SELECT page_id, url, unnest(range(len(hs))) AS pos, unnest(hs) AS href
-  FROM (SELECT page_id, url, regexp_extract_all(
-          array_to_string(regexp_extract_all(html, '{NAV_REGION}', 1), ''), '{lk.ANCHOR_HREF}', 1) AS hs
+  FROM (SELECT page_id, url, {lk.anchors_sql(f"array_to_string(regexp_extract_all(html, '{NAV_REGION}', 1), '')")} AS hs
         FROM pages)),
 r AS (SELECT page_id, pos, {lk.resolve_url_sql('url', 'href')} AS abs_url FROM a),
 k AS (SELECT * FROM r WHERE regexp_matches(abs_url, '{ALLOW}'))

@@ -143,7 +143,7 @@ def _index_pages(spark, sf_dir):
 
 
 @query("result_links", sql=f"""
-WITH a AS (SELECT page_id, url, list_filter(regexp_extract_all(html, '{lk.ANCHOR_HREF}', 1),
+WITH a AS (SELECT page_id, url, list_filter({lk.anchors_sql('html')},
                                          lambda h: length(h) > 4) AS rs FROM pages)
 SELECT page_id, 'item' AS kind, pos AS position, r AS url, -pos AS priority, url || '&next=1' AS next_page
 FROM (SELECT page_id, url, unnest(range(len(rs))) AS pos, unnest(rs) AS r FROM a)

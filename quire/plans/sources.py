@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.text import LINK_CLASSES
 from quire.operators import ingest as ing
+from quire.operators import links as lk
 from quire.plans import standins as S
 from quire.plans.graph import ALLOW, INDEX_DIRS
 from quire.plans.registry import query
@@ -61,10 +62,10 @@ def conditions_source(spark, sf_dir):
 
 # --- C4: listing pages --------------------------------------------------------------
 
+NAV_REGION_SQL = "array_to_string(regexp_extract_all(html, '(?is)<nav(?:\\s[^>]*)?>(.*?)</nav\\s*>', 1), '')"
 NAV_LINKS_SQL = f"""
 SELECT url AS page, unnest(range(len(hs))) AS pos, unnest(hs) AS href
-FROM (SELECT url, regexp_extract_all(array_to_string(regexp_extract_all(html,
-        '(?is)<nav(?:\\s[^>]*)?>(.*?)</nav\\s*>', 1), ''), '(?i)<a\\s[^>]*?href="([^"]*)"', 1) AS hs FROM pages)"""
+FROM (SELECT url, {lk.anchors_sql(NAV_REGION_SQL)} AS hs FROM pages)"""
 
 
 @query("news_requests", sql=f"""

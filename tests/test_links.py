@@ -45,3 +45,27 @@ def test_resolve_random_dot_paths(spark):
     df = spark.createDataFrame(rows, "base string, href string")
     for r in lk.resolve_links(df, "base", "href").collect():
         assert r.abs_url == urljoin(r.base, r.href), (r.base, r.href)
+
+
+def test_anchors_equal_dom_hrefs(spark):
+    import random as _r
+
+    from quire.sources import html_tree as ht
+
+    rnd = _r.Random(4)
+    hrefs = ["/a", "b.html?x=1&amp;y=2", "http://h.org/c d", "#top", "", "q&quot;z"]
+    forms = ['<a href="{}">t</a>', "<a href='{}'>t</a>", '<A class="k" HREF = "{}">t</A>',
+             '<a data-href="/no" href="{}">t</a>', "<a\nhref='{}'\n>t</a>"]
+    pages = []
+    for _ in range(200):
+        parts = []
+        for _ in range(rnd.randrange(0, 5)):
+            h = rnd.choice(hrefs)
+            parts.append(rnd.choice(forms).format(h) + " text ")
+            if rnd.random() < 0.3 and " " not in h and "&" not in h and h:
+                parts.append(f"<a href={h}>bare</a>")
+        pages.append(("".join(parts),))
+    df = spark.createDataFrame(pages, "html string")
+    for r in df.select("html", lk.anchors("html").alias("h")).collect():
+        want = [a.attrs.get("href") for a in ht.parse(r.html).find_all("a") if "href" in a.attrs]
+        assert list(r.h) == want, r.html
