@@ -52,3 +52,26 @@ def test_ingest_routes_and_rejects(spark):
     assert res.ledger_delta.count() == 5
     trainer = {r.name: r.dataset_id for r in res.trainer.collect()}
     assert trainer[long_ok[-150:]] == 21
+
+
+def test_batches_through_the_ledger_log_equal_one_batch(spark):
+    from quire.session import scratch_path
+    from quire.sinks.ledger_log import LedgerLog
+
+    times = [None, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)]
+    rows = [_item(i, "text", "news", f"http://n.org/{(i * 5) % 7}", times[(i * 3) % 3 if i % 4 else 0], text=f"t{i}")
+            for i in range(60)]
+    feed = spark.createDataFrame(rows, schemas.ITEMS)
+    routes = spark.createDataFrame([("news", 1, 2)], schemas.ROUTES)
+    log = LedgerLog(scratch_path(spark, "usage-log"))
+    got = []
+    for b in range(3):
+        items = feed.where(f"seq >= {b * 20} AND seq < {(b + 1) * 20}")
+        prior = log.rows_for(spark, items.select(F.col("source_url").alias("url")), before=b)
+        res = ing.ingest(items, prior, routes)
+        got += [r.text for r in res.documents.collect()]
+        log.append_delta(res.ledger_delta, b)
+    whole = ing.ingest(feed, None, routes)
+    assert sorted(got) == sorted(r.text for r in whole.documents.collect())
+    assert {tuple(r) for r in log.state(spark).collect()} == \
+           {tuple(r) for r in whole.ledger.select("source_id", "url", "modified_at").collect()}
