@@ -26,8 +26,9 @@ TYPE_IN_ID = {
 }
 # Link classes in precedence order (first hit wins).
 LINK_CLASSES = ["element", "attribute", "class", "businessDefinition", "dataSet"]
-# Review comment id in a report link.
-COMMENT_ID_PATTERN = r"report\?commentID=([\w-]+)"
+# Review comment id in a report link: word characters (Unicode letters,
+# digits, '_') and '-', spelled out so Java and RE2 read it alike.
+COMMENT_ID_PATTERN = r"report\?commentID=([\p{L}\p{N}_-]+)"
 # Document name keeps the last 150 characters of the URL.
 DOC_NAME_CHARS = 150
 # Retry delay when Retry-After is missing or not an integer (seconds).

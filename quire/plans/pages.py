@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.functions.markup import strip_tags, strip_tags_sql
-from quire.functions.text import comment_id, content_key, trim_ws
+from quire.functions.text import COMMENT_ID_PATTERN, comment_id, content_key, trim_ws
 from quire.operators import links as lk
 from quire.operators.ordering import ordered_release as release
 from quire.plans import standins as S
@@ -31,7 +31,7 @@ FROM (SELECT conv_id, turn, cid, '{REVIEW_SITE}' || CAST(conv_id AS VARCHAR) ||
              {_trim_sql(f"regexp_extract(text, '{HEADLINE}', 1)")} || '. ' || text AS review_text
       FROM (SELECT *, regexp_extract(CASE WHEN role = 'system' THEN 'report?comment=' || CAST(conv_id AS VARCHAR)
                       ELSE 'report?commentID=' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) END,
-                      'report\\?commentID=([\\w-]+)', 1) AS cid
+                      '{COMMENT_ID_PATTERN}', 1) AS cid
             FROM conversations))
 WHERE cid <> ''""")
 def comment_ids(spark, sf_dir):
