@@ -33,6 +33,10 @@ COMMENT_ID_PATTERN = r"report\?commentID=([\p{L}\p{N}_-]+)"
 DOC_NAME_CHARS = 150
 # Retry delay when Retry-After is missing or not an integer (seconds).
 DEFAULT_RETRY_SECONDS = 30
+# Whitespace as Python's str.strip() sees it (ASCII, separators, NEL, NBSP,
+# information separators), spelled out so Java and RE2 read it alike.
+WHITESPACE = r"[\s\x{1c}-\x{1f}\x{85}\p{Z}]"
+TRIM_PATTERN = f"^{WHITESPACE}+|{WHITESPACE}+$"
 
 
 def _c(x: Column | str) -> Column:
@@ -67,7 +71,7 @@ def comment_id(href: Column | str) -> Column:
 
 def trim_ws(x: Column | str) -> Column:
     """strip leading/trailing whitespace of any kind (``trim`` strips spaces only)."""
-    return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
+    return F.regexp_replace(_c(x), TRIM_PATTERN, "")
 
 
 def doc_name(url: Column | str) -> Column:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.functions.markup import strip_tags, strip_tags_sql
-from quire.functions.text import COMMENT_ID_PATTERN, comment_id, content_key, trim_ws
+from quire.functions.text import COMMENT_ID_PATTERN, TRIM_PATTERN, comment_id, content_key, trim_ws
 from quire.operators import links as lk
 from quire.operators.ordering import ordered_release as release
 from quire.plans import standins as S
@@ -19,7 +19,7 @@ REVIEW_SITE = "https://reviews.example.org/p/"
 
 
 def _trim_sql(x: str) -> str:
-    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    return f"regexp_replace({x}, '{TRIM_PATTERN}', '', 'g')"
 
 
 # --- review pages: several documents per page ------------------------------------
