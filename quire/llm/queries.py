@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from quire.llm import common as C
-from quire.llm import near_dedup
+from quire.llm import byte_bpe, near_dedup, token_files
 
 QUERIES, ORACLES = {}, {}
 
@@ -43,3 +45,19 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN comp c ON c.doc_id = d.doc_id""
 def op1_minhash_near_dedup(spark, sf_dir):
     """Near-duplicate classes of all documents, four-word shingles, similarity 0.8."""
     return near_dedup.near_duplicates(C.table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+@query("op2_byte_bpe")
+def op2_byte_bpe(spark, sf_dir):
+    """Byte-level BPE of every document, encoded and decoded back."""
+    rows = byte_bpe.decode(byte_bpe.encode(C.table(spark, sf_dir, "documents")))
+    return rows.select("doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op3_token_files")
+def op3_token_files(spark, sf_dir):
+    """Ids of every document written to the binary files and read back."""
+    path = token_files.scratch(spark)
+    token_files.write(C.table(spark, sf_dir, "documents"), path, end_id=2)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
