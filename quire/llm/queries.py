@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.llm import common as C
-from quire.llm import byte_bpe, near_dedup, token_files
+from quire.llm import byte_bpe, fertility, near_dedup, token_files
 
 QUERIES, ORACLES = {}, {}
 
@@ -61,3 +61,9 @@ def op3_token_files(spark, sf_dir):
     path = token_files.scratch(spark)
     token_files.write(C.table(spark, sf_dir, "documents"), path, end_id=2)
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op4_fertility_rules")
+def op4_fertility_rules(spark, sf_dir):
+    """Base counts and vocabulary measures of every document, with verdicts."""
+    return fertility.rules(C.table(spark, sf_dir, "documents"))
