@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.llm import common as C
-from quire.llm import byte_bpe, fertility, near_dedup, token_files
+from quire.llm import byte_bpe, fertility, line_dedup, near_dedup, token_files
 
 QUERIES, ORACLES = {}, {}
 
@@ -67,3 +67,29 @@ def op3_token_files(spark, sf_dir):
 def op4_fertility_rules(spark, sf_dir):
     """Base counts and vocabulary measures of every document, with verdicts."""
     return fertility.rules(C.table(spark, sf_dir, "documents"))
+
+
+@query("op8_line_chunk_dedup", sql=rf"""
+WITH l AS (SELECT doc_id, i, lines[i] AS line, len(lines) AS n
+           FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i
+                 FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL))),
+m AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM l),
+e AS (SELECT *, i = n OR w >= 50 OR lead(w) OVER d >= 50 OR (coalesce(lag(h) OVER d, 0) * 31 + h) % 3 = 0 AS ends
+      FROM m WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+c AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
+      FROM e),
+k AS (SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS lines,
+             sum(w) >= 50 OR (count(*) FILTER (WHERE w > 0) >= 2 AND sum(w) >= 10) AS able
+      FROM c GROUP BY doc_id, chunk),
+r AS (SELECT *, able AND row_number() OVER (PARTITION BY able, body ORDER BY doc_id, chunk) > 1 AS gone FROM k),
+t AS (SELECT doc_id, sum(lines) AS n_lines, count(*) FILTER (WHERE gone) AS n_chunks_removed,
+             coalesce(sum(lines) FILTER (WHERE gone), 0) AS n_lines_removed,
+             string_agg(body, chr(10) ORDER BY chunk) FILTER (WHERE NOT gone) AS kept
+      FROM r GROUP BY doc_id)
+SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(kept, '') END AS text, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(n_chunks_removed, 0) AS BIGINT) AS n_chunks_removed, CAST(coalesce(n_lines_removed, 0) AS BIGINT) AS n_lines_removed
+FROM documents LEFT JOIN t USING (doc_id)""")
+def op8_line_chunk_dedup(spark, sf_dir):
+    """Every document without the line chunks that stand earlier in the corpus."""
+    out = line_dedup.dedup_lines(C.table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "text", "n_lines", "n_chunks_removed", "n_lines_removed")
