@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.llm import common as C
-from quire.llm import byte_bpe, fertility, line_dedup, near_dedup, token_files
+from quire.llm import byte_bpe, decontaminate, fertility, line_dedup, near_dedup, token_files
 
 QUERIES, ORACLES = {}, {}
 
@@ -93,3 +93,15 @@ def op8_line_chunk_dedup(spark, sf_dir):
     """Every document without the line chunks that stand earlier in the corpus."""
     out = line_dedup.dedup_lines(C.table(spark, sf_dir, "documents"))
     return out.select("doc_id", "text", "n_lines", "n_chunks_removed", "n_lines_removed")
+
+
+@query("op6_benchmark_containment", sql=f"""
+WITH d AS MATERIALIZED ({shingles_sql('documents', 'doc_id', 5)}),
+b AS MATERIALIZED ({shingles_sql('benchmark', 'item_id', 5)}),
+n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id)
+SELECT doc_id, item_id, n_item, n_found, n_found / n_item AS containment
+FROM (SELECT doc_id, item_id, count(*) AS n_found FROM d JOIN b USING (s) GROUP BY ALL) JOIN n USING (item_id)
+WHERE 100 * n_found >= 80 * n_item""")
+def op6_benchmark_containment(spark, sf_dir):
+    """Every document that holds a benchmark item, with the item."""
+    return decontaminate.contained_items(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
