@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.llm import common as C
-from quire.llm import byte_bpe, decontaminate, fertility, line_dedup, near_dedup, token_files
+from quire.llm import byte_bpe, decontaminate, fertility, line_dedup, near_dedup, token_files, url_filter
 
 QUERIES, ORACLES = {}, {}
 
@@ -105,3 +105,27 @@ WHERE 100 * n_found >= 80 * n_item""")
 def op6_benchmark_containment(spark, sf_dir):
     """Every document that holds a benchmark item, with the item."""
     return decontaminate.contained_items(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "benchmark"))
+
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+JUNK = "[%*#$&|]{3}"
+_RULES_SQL = "(VALUES " + ", ".join(f"('{v}', '{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}')" for v, r in URL_RULES) + ") r(v, rule, rh, rp)"
+
+
+@query("op5_bloom_cascade_urls", sql=rf"""
+WITH u AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+bad AS (SELECT DISTINCT host || path AS key FROM p WHERE host <> '' AND len(regexp_extract_all(html, '{JUNK}')) >= 5),
+best AS (SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(v, length(rule)) AS v
+         FROM p, {_RULES_SQL} WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id),
+j AS (SELECT page_id, host, path, host <> '' AND host || path IN (SELECT key FROM bad) AS listed FROM p)
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, listed
+FROM j LEFT JOIN best USING (page_id)""")
+def op5_bloom_cascade_urls(spark, sf_dir):
+    """Verdict on every page URL. The list holds the keys (host and path) of
+    pages with five or more runs of junk symbols in their markup."""
+    pages = C.table(spark, sf_dir, "pages")
+    host, path = url_filter.host_and_path(F.col("url"))
+    listed = pages.where(F.regexp_count("html", F.lit(JUNK)) >= 5).select(F.when(host != "", F.concat(host, path)).alias("key"))
+    return url_filter.judged(pages, listed, URL_RULES)
