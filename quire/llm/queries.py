@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.llm import common as C
-from quire.llm import byte_bpe, decontaminate, fertility, line_dedup, near_dedup, token_files, url_filter
+from quire.llm import byte_bpe, decontaminate, fertility, line_dedup, near_dedup, quotes, token_files, url_filter
 
 QUERIES, ORACLES = {}, {}
 
@@ -129,3 +129,66 @@ def op5_bloom_cascade_urls(spark, sf_dir):
     host, path = url_filter.host_and_path(F.col("url"))
     listed = pages.where(F.regexp_count("html", F.lit(JUNK)) >= 5).select(F.when(host != "", F.concat(host, path)).alias("key"))
     return url_filter.judged(pages, listed, URL_RULES)
+
+
+_TURN_SQL = "SELECT conv_id, turn, min(text) AS text FROM conversations GROUP BY conv_id, turn"
+_NORM_SQL = r"trim(regexp_replace(lower({}), '\s+', ' ', 'g'), ' ')"
+
+
+def _mail_view(c):
+    """The conversations as mail: each turn quotes the turn before it, which
+    in its turn quoted the one before that."""
+    turns = c.groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
+    back = lambda n, name: turns.select("conv_id", (F.col("turn") + n).alias("turn"), F.col("text").alias(name))
+    quote = lambda col, mark: F.concat(F.lit(mark), F.regexp_replace(col, "\n", "\n" + mark), F.lit("\n"))
+    m = c.join(back(1, "one"), ["conv_id", "turn"], "left").join(back(2, "two"), ["conv_id", "turn"], "left")
+    return m.select("conv_id", "turn", "role", F.concat(F.coalesce(quote("two", ">> "), F.lit("")), F.coalesce(quote("one", "> "), F.lit("")),
+                                                        F.lit("\n"), F.coalesce("text", F.lit(""))).alias("text"))
+
+
+@query("op9_quote_links", sql=rf"""
+WITH RECURSIVE turns AS MATERIALIZED ({_TURN_SQL}),
+mail AS MATERIALIZED (
+  SELECT c.conv_id, c.turn, min(c.role) AS role,
+         min(coalesce('>> ' || replace(b.text, chr(10), chr(10) || '>> ') || chr(10), '')
+          || coalesce('> ' || replace(a.text, chr(10), chr(10) || '> ') || chr(10), '') || chr(10) || coalesce(c.text, '')) AS text
+  FROM conversations c LEFT JOIN turns a ON a.conv_id = c.conv_id AND a.turn = c.turn - 1
+  LEFT JOIN turns b ON b.conv_id = c.conv_id AND b.turn = c.turn - 2 GROUP BY c.conv_id, c.turn),
+ln AS (SELECT conv_id, turn, i, lines[i] AS x, regexp_extract(lines[i], '^(?:[ \t]*>)+', 0) AS marks
+       FROM (SELECT conv_id, turn, lines, unnest(range(1, len(lines) + 1)) AS i
+             FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS lines FROM mail))),
+lv AS (SELECT conv_id, turn, i, length(replace(replace(marks, ' ', ''), chr(9), '')) AS level,
+              CASE WHEN marks = '' THEN x ELSE regexp_replace(substr(x, length(marks) + 1), '^ ', '') END AS body FROM ln),
+lk AS (SELECT * FROM (SELECT *, lead(level) OVER (PARTITION BY conv_id, turn ORDER BY i) AS nx FROM lv)
+       WHERE NOT (regexp_matches(body, '(?i)\bwrote:\s*$') AND coalesce(nx > level, false))),
+rn AS (SELECT *, sum(CASE WHEN level = pv THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id, turn ORDER BY i) AS run
+       FROM (SELECT *, lag(level) OVER (PARTITION BY conv_id, turn ORDER BY i) AS pv FROM lk)),
+ps AS MATERIALIZED (SELECT conv_id, turn, run, any_value(level) AS level, string_agg(body, chr(10) ORDER BY i) AS body FROM rn GROUP BY ALL),
+own AS MATERIALIZED (SELECT conv_id, turn, regexp_replace(string_agg(body, chr(10) ORDER BY run), '^(?:[ \t]*\n)+|(?:\n[ \t]*)+$', '', 'g') AS own
+       FROM ps WHERE level = 0 GROUP BY ALL),
+units AS (SELECT conv_id, u, min(turn) AS source FROM (
+            SELECT conv_id, turn, {_NORM_SQL.format('own')} AS u FROM own
+            UNION ALL SELECT conv_id, turn, {_NORM_SQL.format('y')} FROM (SELECT conv_id, turn, unnest(regexp_split_to_array(own, '\n[ \t]*\n')) AS y FROM own)
+            UNION ALL SELECT conv_id, turn, {_NORM_SQL.format('y')} FROM (SELECT conv_id, turn, unnest(string_split(own, chr(10))) AS y FROM own))
+          WHERE u <> '' GROUP BY ALL),
+quotes AS (SELECT conv_id, turn, level, u, min(rank) AS rank FROM (
+            SELECT conv_id, turn, level, 0 AS rank, {_NORM_SQL.format('body')} AS u FROM ps WHERE level > 0
+            UNION ALL SELECT conv_id, turn, level, 1, {_NORM_SQL.format('y')}
+            FROM (SELECT conv_id, turn, level, unnest(string_split(body, chr(10))) AS y FROM ps WHERE level > 0))
+          WHERE u <> '' GROUP BY ALL),
+links AS MATERIALIZED (SELECT q.conv_id, q.turn, q.level, arg_min(source, rank * 1000000000 - source) AS source
+          FROM quotes q JOIN units s ON s.conv_id = q.conv_id AND s.u = q.u AND source < q.turn GROUP BY ALL),
+up AS (SELECT conv_id, turn, source AS parent FROM links WHERE level = 1),
+walk AS (SELECT conv_id, turn, parent AS anc, CAST(1 AS BIGINT) AS depth FROM up
+         UNION ALL SELECT w.conv_id, w.turn, u.parent, w.depth + 1 FROM walk w JOIN up u ON u.conv_id = w.conv_id AND u.turn = w.anc),
+ends AS (SELECT conv_id, turn, arg_max(anc, depth) AS root, max(depth) AS depth FROM walk GROUP BY ALL),
+nq AS (SELECT conv_id, turn, count(*) AS n FROM ps WHERE level > 0 AND {_NORM_SQL.format('body')} <> '' GROUP BY ALL),
+nl AS (SELECT conv_id, turn, count(*) AS n FROM links GROUP BY ALL)
+SELECT m.conv_id AS thread, m.turn AS msg, m.role, coalesce(o.own, '') AS own_text, coalesce(nq.n, 0) AS n_quotes, coalesce(nl.n, 0) AS n_linked,
+       up.parent, coalesce(e.root, m.turn) AS root, coalesce(e.depth, 0) AS depth,
+       '<|' || coalesce(m.role, 'user') || '|>' || chr(10) || coalesce(o.own, '') || chr(10) || '<|end|>' || chr(10) AS chat
+FROM mail m LEFT JOIN own o USING (conv_id, turn) LEFT JOIN nq USING (conv_id, turn) LEFT JOIN nl USING (conv_id, turn)
+LEFT JOIN up USING (conv_id, turn) LEFT JOIN ends e USING (conv_id, turn)""")
+def op9_quote_links(spark, sf_dir):
+    """Conversations read as mail with nested quotes, linked back and stripped."""
+    return quotes.formatted(_mail_view(C.table(spark, sf_dir, "conversations")), "conv_id", "turn", "role", "text")
