@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.llm import common as C
-from quire.llm import byte_bpe, decontaminate, fertility, line_dedup, near_dedup, quotes, token_files, url_filter
+from quire.llm import byte_bpe, decontaminate, fertility, html_layout, line_dedup, near_dedup, quotes, token_files, url_filter
 
 QUERIES, ORACLES = {}, {}
 
@@ -192,3 +192,9 @@ LEFT JOIN up USING (conv_id, turn) LEFT JOIN ends e USING (conv_id, turn)""")
 def op9_quote_links(spark, sf_dir):
     """Conversations read as mail with nested quotes, linked back and stripped."""
     return quotes.formatted(_mail_view(C.table(spark, sf_dir, "conversations")), "conv_id", "turn", "role", "text")
+
+
+@query("op10_html_layout")
+def op10_html_layout(spark, sf_dir):
+    """Rendered visible text of every page."""
+    return html_layout.extracted(C.table(spark, sf_dir, "pages"))
