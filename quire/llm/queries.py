@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.llm import common as C
-from quire.llm import byte_bpe, decontaminate, fertility, html_layout, line_dedup, near_dedup, quotes, token_files, url_filter
+from quire.llm import byte_bpe, decontaminate, fertility, html_layout, language_id, line_dedup, near_dedup, quotes, token_files, url_filter
 
 QUERIES, ORACLES = {}, {}
 
@@ -198,3 +198,9 @@ def op9_quote_links(spark, sf_dir):
 def op10_html_layout(spark, sf_dir):
     """Rendered visible text of every page."""
     return html_layout.extracted(C.table(spark, sf_dir, "pages"))
+
+
+@query("op7_byte_gru_language")
+def op7_byte_gru_language(spark, sf_dir):
+    """Language of every document."""
+    return language_id.predicted(C.table(spark, sf_dir, "documents"))
