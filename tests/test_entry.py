@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from quire.plans import QUERIES
 from tools.oracle_check import table_hash
 
 SF = "/root/testdata/sf0.001"
@@ -28,10 +29,10 @@ def test_entry(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) <= set(E.oracle_sql()) and set(QUERIES) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
