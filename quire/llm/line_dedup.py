@@ -1,8 +1,9 @@
 """Global line dedup over content-defined chunks.
 
 A text's lines are hashed; a rolling hash over the last two line hashes sets a
-boundary where it is divisible by ``PERIOD``, so that boundaries depend on the
-lines around them alone and an insertion shifts only its own chunk. A line of
+boundary where it is divisible by ``PERIOD`` and the one before it is not, so
+that chunks have two lines at least, boundaries depend on the lines around
+them alone and an insertion shifts only its own chunk. A line of
 ``LONG_WORDS`` words or more is a whole passage and a chunk by itself. A chunk
 may be removed when it has two lines with words and ``LEAST_WORDS`` words, or
 is such a long line; single short lines stay, however common.
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from quire.functions.arrays import bind
 from quire.llm import common as C
 
-PERIOD = 3
+PERIOD = 2
 LONG_WORDS = 50
 LEAST_WORDS = 10
 WORD = r"[^\x20\x09-\x0D]+"
@@ -46,9 +47,14 @@ def chunked(text: str):
 
         def ends(i):      # 1-based: does a chunk end with line i?
             here, after = F.element_at(marks, i), F.element_at(marks, F.least(i + 1, n))
-            before = F.when(i > 1, F.element_at(marks, F.greatest(i - 1, F.lit(1)))["h"]).otherwise(F.lit(0))
             return ((i == n) | (here["w"] >= LONG_WORDS) | (after["w"] >= LONG_WORDS)
-                    | ((before * 31 + here["h"]) % PERIOD == 0))
+                    | ((roll(i) % PERIOD == 0) & ((i == 1) | (roll(i - 1) % PERIOD != 0))))
+
+        def hash_at(i):   # 0 before the first line
+            return F.when(i > 0, F.element_at(marks, F.greatest(i, F.lit(1)))["h"]).otherwise(F.lit(0))
+
+        def roll(i):
+            return hash_at(i - 1) * 31 + hash_at(i)
 
         return bind(F.filter(F.sequence(F.lit(1), n), ends), lambda last: F.transform(
             last, lambda e, k: bind(F.when(k > 0, F.element_at(last, F.greatest(k, F.lit(1)))).otherwise(F.lit(0)),

@@ -74,8 +74,9 @@ WITH l AS (SELECT doc_id, i, lines[i] AS line, len(lines) AS n
            FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i
                  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL))),
 m AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM l),
-e AS (SELECT *, i = n OR w >= 50 OR lead(w) OVER d >= 50 OR (coalesce(lag(h) OVER d, 0) * 31 + h) % 3 = 0 AS ends
-      FROM m WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+f AS (SELECT *, (coalesce(lag(h) OVER d, 0) * 31 + h) % 2 = 0 AS hit FROM m WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+e AS (SELECT *, i = n OR w >= 50 OR lead(w) OVER d >= 50 OR (hit AND NOT coalesce(lag(hit) OVER d, false)) AS ends
+      FROM f WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
 c AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
       FROM e),
 k AS (SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS lines,
