@@ -46,7 +46,7 @@ DEPTH = 200          # deeper elements become siblings, as in browsers (which st
 CELL_WIDTH = 60      # a longer cell does not widen its column
 
 _TOKEN = re.compile(
-    r"""<!--(?P<comment>.*?)(?:--!?>|\Z)"""
+    r"""<!--(?:-?>|.*?(?:--!?>|\Z))"""
     r"""|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|</[^a-zA-Z>][^>]*+(?:>|\Z)|</>"""
     r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)"""
     r"""(?P<attrs>(?:[\s/]++|[^\s/>=][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)?+|=)*+)>"""
