@@ -9,13 +9,13 @@ threshold, and is then confirmed on the two full sets.
 No group is ever expanded into all its pairs. Equal sets fall into one class
 first. Members of a band bucket are compared with one pivot, components are
 formed, and only buckets that still hold several components go on, without
-the settled pivot. Large open buckets take further pivots; what is left is
+the settled pivot. Large open buckets take a second pivot; what is left is
 compared in blocks of ``BLOCK`` members inside tasks, which send out only
-pairs that pass the estimate. Every candidate pair is thus either compared or
-already in one component.
+confirmed links. Every candidate pair is thus either compared or already in
+one component.
 
 With 32 bands of 4 rows a pair of similarity 0.8 shares no band with
-probability 5e-8; the estimate's margin is over five standard deviations.
+probability 5e-8; the estimate's margin is over four standard deviations.
 """
 
 from __future__ import annotations
@@ -31,9 +31,9 @@ from quire.llm.components import connected_components
 
 PERMS, ROWS, BITS = 128, 4, 4
 SEED = 20240613
-MARGIN = 0.2
-BLOCK = 512
-PIVOT_ROUNDS = 8
+MARGIN = 0.16
+BLOCK = 256
+PIVOT_ROUNDS = 2
 _SIG = "doc_id long, n_shingles long, set_key string, bands array<long>, packed array<long>"
 
 
@@ -110,6 +110,14 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInPandas(run, "doc_id long, members binary")
 
 
+def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union, for sorted sets."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    n = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * n >= percent * (len(x) + len(y) - n)
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union. Only sets
     of documents that occur in a pair are made and shuffled."""
@@ -118,11 +126,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
 
     def run(batches):
         for pdf in batches:
-            keep = []
-            for x, y in zip(pdf["x"], pdf["y"], strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                n = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * n >= percent * (len(x) + len(y) - n))
+            keep = [alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+                    for x, y in zip(pdf["x"], pdf["y"], strict=True)]
             yield pdf.loc[keep, ["a", "b"]]
 
     full = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("members").alias("x")), "a")
@@ -136,28 +141,50 @@ def _estimated(pairs: DataFrame, packed: DataFrame, least: float) -> DataFrame:
     return p.where(_estimate("pa", "pb") >= least).select("a", "b").distinct()
 
 
-def _block_pairs(open_members: DataFrame, packed: DataFrame, least: float) -> DataFrame:
-    """Pairs of different components in open buckets that pass the estimate.
+def _block_links(opened: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between different components of open buckets.
+
     A bucket of n members is dealt into n / BLOCK blocks; each pair of blocks
-    is one bounded group, compared as matrices."""
-    m = open_members.join(packed, "node")
-    m = m.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    is one bounded group, which gets its members' signatures and sets. Inside,
+    a pair that shares several buckets is looked at in its first one, pairs
+    are taken by falling estimate, and a confirmed link joins the two
+    components there and then, so that what it settles is not compared again.
+    """
+    least = percent / 100 - MARGIN
+    nodes = C.stored(opened.select(F.col("node").alias("doc_id")).distinct(), "dedup-nodes")
+    sets = C.stored(shingle_sets(C.with_ids(docs, nodes), width), "dedup-sets")
+    about = (classes.select(F.col("rep").alias("node"), "bands", "packed")
+             .join(sets.select(F.col("doc_id").alias("node"), "members"), "node"))
+    m = opened.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     m = m.withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    m = m.select("key", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"),
-                 "blk", "node", "comp", "packed")
+    m = m.select("key", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "node", "comp").join(about, "node")
 
     def run(pdf):
-        i, j = pdf["i"].iat[0], pdf["j"].iat[0]
+        key, i, j = pdf["key"].iat[0], pdf["i"].iat[0], pdf["j"].iat[0]
         left, right = pdf[pdf["blk"] == i], pdf[pdf["blk"] == j]
         out = []
         if len(left) and len(right):
-            y = np.array(right["packed"].tolist(), np.int64).view(np.uint64)
-            yn, yc = right["node"].to_numpy(), right["comp"].to_numpy()
-            for node, comp, sig in zip(left["node"], left["comp"], left["packed"], strict=True):
-                est = corrected(equal_lanes(np.asarray(sig, np.int64).view(np.uint64), y))
-                hit = (est >= least) & (yc != comp) & ((yn > node) if i == j else True)
-                out += [(node, b) for b in yn[hit]]
+            names = {c: k for k, c in enumerate(pdf["comp"].unique())}
+            lc, rc = (np.array([names[c] for c in x["comp"]]) for x in (left, right))
+            bands = np.array(right["bands"].tolist(), np.int64)
+            packed = np.array(right["packed"].tolist(), np.int64).view(np.uint64)
+            nodes_, sets_ = right["node"].to_numpy(), right["members"].tolist()
+            for k, (node, own, sig, text) in enumerate(zip(left["node"], left["bands"], left["packed"], left["members"], strict=True)):
+                near = np.flatnonzero((rc != lc[k]) & ((nodes_ > node) if i == j else True))
+                if not len(near):
+                    continue
+                est = corrected(equal_lanes(np.asarray(sig, np.int64).view(np.uint64), packed[near]))
+                own = np.asarray(own, np.int64)
+                hit = (est >= least) & (own[(bands[near] == own).argmax(axis=1)] == key)
+                near, est = near[hit], est[hit]
+                mine = np.frombuffer(text, np.uint64)
+                for y in near[np.argsort(-est, kind="stable")].tolist():
+                    if rc[y] != lc[k] and alike(mine, np.frombuffer(sets_[y], np.uint64), percent):
+                        out.append((node, nodes_[y]))
+                        old = rc[y]
+                        rc[rc == old] = lc[k]
+                        lc[lc == old] = lc[k]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return m.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
@@ -170,7 +197,7 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Data
     rows = classes.select(F.col("rep").alias("node"), F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     members = C.stored(rows.join(shared, "key").withColumn("pri", F.xxhash64("node")), "dedup-members")
-    found: list[DataFrame] = []
+    edges: DataFrame | None = None
     comps: DataFrame | None = None
     for step in range(PIVOT_ROUNDS + 1):
         m = members.withColumn("comp", F.col("node")) if comps is None else (
@@ -183,16 +210,14 @@ def links(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> Data
             break
         last = step == PIVOT_ROUNDS or (step and most <= BLOCK)
         if last:
-            pairs = _block_pairs(opened, packed, least)
+            good = _block_links(opened, classes, docs, width, percent)
         else:
             pairs = _estimated(opened.where("comp <> head.comp").select(F.col("node").alias("a"), F.col("head.node").alias("b"))
                                .distinct(), packed, least)
-        good = C.stored(confirmed(C.stored(pairs, "dedup-pairs"), docs, width, percent), "dedup-links")
-        found.append(good)
+            good = confirmed(C.stored(pairs, "dedup-pairs"), docs, width, percent)
+        good = C.stored(good, "dedup-links")
         if good.head() is not None:
-            edges = found[0]
-            for e in found[1:]:
-                edges = edges.union(e)
+            edges = good if edges is None else edges.union(good)
             comps = C.stored(connected_components(edges), "dedup-components")
         if last:
             break
