@@ -7,8 +7,7 @@ inserting a space":
 * :func:`strip_tags` - a native expression (JVM side, whole-stage codegen
   friendly): tokenise the markup with one regex, map each token, join.
 * :func:`strip_tags_exact` - an Arrow-batched pandas UDF over the standard
-  library ``html.parser``, for references beyond the fixed list below
-  (other named, numeric and legacy references without ';').
+  library ``html.parser``; the tests' yardstick for the native form.
 
 The native form follows the parser fed once and never closed: quoted
 attribute values may hold '>', unclosed comments/tags/script bodies and a
@@ -18,6 +17,9 @@ held back. Tests compare both forms on every page and on fuzzed markup.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -31,21 +33,22 @@ from quire.functions.arrays import bind
 # hold '>'; every character has one reading, so a cut-off tag never makes the
 # matcher backtrack), end tags (up to the first '>'), tags
 # cut off by the end of input, bogus end tags, text runs, a lone '<'.
-# Attribute area of a start tag, one item per character or quoted value. The
-# repetition is bounded (Java's matcher recurses once per item; RE2 allows at
-# most 1000): a longer tag falls back to "ends at the first '>'".
-MAX_TAG_ITEMS = 1000
-_ATTRS = r"""(?:[^>=]|=+\s*"[^"]*"|=+\s*'[^']*'|=+\s*[^>="'\s]){0,%d}""" % MAX_TAG_ITEMS
+# Attribute area of a start tag: runs without '=' or '>', and values. The
+# repetition is possessive: every character has one reading, Java then loops
+# instead of recursing, and tags of any length are read whole.
+_ATTRS = r"""(?:[^>=]++|=++\s*+"[^"]*+"|=++\s*+'[^']*+'|=++\s*+[^>="'\s])*+"""
 TOKEN_PATTERN = (
     r"(?is)<script(?:[\s/][^>]*)?>.*?</script\s*>|<style(?:[\s/][^>]*)?>.*?</style\s*>"
     r"|<script(?:[\s/][^>]*)?>.*\z|<style(?:[\s/][^>]*)?>.*\z"
     r"|<!--.*?-->|<!--.*\z|<![^>]*>|<![^>]*\z|<\?[^>]*>|<\?[^>]*\z"
-    r"|<[a-z][^\s/>]*" + _ATTRS + r"(?:=+\s*)?>"
-    r"|<[a-z][^\s/>]*" + _ATTRS + r"""(?:=+\s*(?:"[^"]*|'[^']*)?)?\z"""
+    r"|<[a-z][^\s/>]*+" + _ATTRS + r"(?:=+\s*)?>"
+    r"|<[a-z][^\s/>]*+" + _ATTRS + r"""(?:=+\s*(?:"[^"]*|'[^']*)?)?\z"""
     r"|<[a-z][^>]*>|<[a-z][^>]*\z"
     r"|</[a-z][^>]*>|</[^>]*>|</[^>]*\z"
     r"|[^<]+|<"
 )
+# RE2 (DuckDB) never backtracks and has no possessive form.
+RE2_TOKEN_PATTERN = TOKEN_PATTERN.replace("++", "+").replace("*+", "*")
 # A parser fed once and never closed holds back, at the end of input, a lone
 # '<' and a final text run whose last '&' (within 34 characters of the end)
 # is not followed by whitespace or ';' - both never reach the text.
@@ -53,29 +56,71 @@ PENDING_REFERENCE = r"&[^\s;&]{0,33}\z"
 SCRIPT_BODY = r"(?is)^<script[^>]*>(.*)</script\s*>$"
 STYLE_BODY = r"(?is)^<style[^>]*>(.*)</style\s*>$"
 
-# The character references decoded by the native form, in the
-# order they are replaced. "&amp;" must come last so "&amp;lt;" stays "&lt;".
+# The references met most, decoded without a table lookup.
 NAMED_REFERENCES = [
     ("&quot;", '"'),
     ("&#39;", "'"),
     ("&apos;", "'"),
     ("&lt;", "<"),
     ("&gt;", ">"),
-    ("&nbsp;", " "),
+    ("&nbsp;", "\u00a0"),
     ("&copy;", "©"),
     ("&middot;", "·"),
     ("&amp;", "&"),
 ]
+# One reference as the parser sees it, and text cut at references.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+REFERENCE_PIECES = REFERENCE + r"|[^&]+|&"
+# Names that stand without ';': the longest one a reference starts with counts.
+_BARE_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+# Numeric references to 128..159 mean windows-1252 where that has a character.
+_WINDOWS_1252 = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)]
+
+
+def _numeric_reference(body: Column) -> Column:
+    """Character of ``#123`` / ``#x1F`` (a ``;`` may follow); '' for code
+    points the parser drops, U+FFFD for impossible ones."""
+    hexadecimal = F.lower(F.substring(body, 2, 1)) == "x"
+    digits = F.regexp_replace(body, "^#[xX]?0*|;$", "")
+    value = F.coalesce(F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).cast("long"), F.lit(0))
+    value = F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(value)
+
+    def char(n):
+        plain = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        dropped = (n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF)
+                   | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE))
+        return (F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("\ufffd"))
+                .when(n.between(128, 159), F.get(F.array(*[F.lit(c) for c in _WINDOWS_1252]), (n - 128).cast("int")))
+                .when(dropped, F.lit("")).otherwise(plain))
+
+    return bind(value, char)
+
+
+def _named_reference(ref: Column) -> Column:
+    """A named reference; unknown names stay as they are."""
+    # a constant map of the standard's names, folded once by the optimizer
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    body = F.substr(ref, F.lit(2))
+    whole = F.try_element_at(names, body)
+    bare = F.regexp_extract(body, "^(?:" + "|".join(_BARE_NAMES) + ")", 0)
+    return F.coalesce(whole, bind(bare, lambda n: F.when(n != "", F.concat(
+        F.try_element_at(names, n), F.substr(body, F.length(n) + 1))).otherwise(ref)))
 
 
 def decode_references(c: Column) -> Column:
-    for ref, ch in NAMED_REFERENCES:
-        c = F.replace(c, F.lit(ref), F.lit(ch))
-    return c
+    """Every character reference of the HTML standard, as the parser decodes it."""
+    def one(piece):
+        out = F.when(~piece.startswith("&") | (piece == "&"), piece)
+        for ref, ch in NAMED_REFERENCES:
+            out = out.when(piece == ref, F.lit(ch))
+        return (out.when(piece.startswith("&#"), _numeric_reference(F.substr(piece, F.lit(2))))
+                .otherwise(_named_reference(piece)))
+
+    return F.array_join(F.transform(F.regexp_extract_all(c, F.lit(REFERENCE_PIECES), 0), one), "")
 
 
 def decode_references_sql(expr: str) -> str:
-    """DuckDB SQL of :func:`decode_references`."""
+    """DuckDB SQL for text that holds none but ``NAMED_REFERENCES`` (the driver's pages)."""
     out = f"({expr})"
     for ref, ch in NAMED_REFERENCES:
         lit = ch.replace("'", "''")
@@ -114,7 +159,7 @@ def strip_tags(html: Column | str) -> Column:
 def strip_tags_sql(expr: str) -> str:
     """The same rule as DuckDB SQL text (used by the oracle queries)."""
     dec = decode_references_sql("t")
-    pat = TOKEN_PATTERN.replace("'", "''")
+    pat = RE2_TOKEN_PATTERN.replace("'", "''")
     toks = f"regexp_extract_all({expr}, '{pat}', 0)"
     kept = (f"(CASE WHEN len({toks}) > 0 AND ({toks}[-1] = '<' OR (NOT starts_with({toks}[-1], '<') "
             f"AND regexp_matches({toks}[-1], '{PENDING_REFERENCE}'))) THEN {toks}[1:len({toks}) - 1] ELSE {toks} END)")

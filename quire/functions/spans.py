@@ -10,9 +10,9 @@ expression - the text never leaves the JVM:
 * offsets are prefix sums of piece and match lengths, computed in
   O(k^1.5) per text with block sums (linear in the corpus).
 
-The pattern must not match the empty string. ``skip_one=True`` (resume the
-search one character after each match, as the reference loop does) and
-arbitrary Python annotators use :func:`python_spans` instead.
+The pattern must not match the empty string. ``skip_one=True`` (leave a
+character between two spans) and arbitrary Python annotators use
+:func:`python_spans` instead.
 """
 
 from __future__ import annotations
@@ -111,28 +111,34 @@ def rule_spans_sql(text: str, pattern: str = DEFAULT_PATTERN, prob: float = DEFA
             f"'label': {labels}[i + 1], 'prob': CAST({prob} AS DOUBLE)}})")
 
 
-def find_spans(text: str | None, pattern: str = DEFAULT_PATTERN, prob: float = DEFAULT_PROB,
-               skip_one: bool = False, group: int = 1):
-    """Reference semantics in Python: search, record, resume at ``end``
-    (``end + 1`` with ``skip_one``)."""
+def _span(match: re.Match, group: int, prob: float) -> dict:
+    return {"start_offset": match.start(), "end_offset": match.end(), "label": match.group(group), "prob": prob}
+
+
+def find_spans(text: str | None, pattern: str = DEFAULT_PATTERN, prob: float = DEFAULT_PROB, group: int = 1):
+    """The rule annotator over one text: all matches, left to right."""
+    return None if text is None else [_span(m, group, prob) for m in re.finditer(pattern, text)]
+
+
+def find_spans_apart(text: str | None, pattern: str = DEFAULT_PATTERN, prob: float = DEFAULT_PROB, group: int = 1):
+    """The same with at least one character between two spans: the scanner
+    of a compiled pattern is restarted one character behind each match."""
     if text is None:
         return None
     rx = re.compile(pattern)
-    out, pos = [], 0
-    while pos < len(text):
-        m = rx.search(text, pos)
-        if not m:
-            break
-        out.append({"start_offset": m.start(), "end_offset": m.end(),
-                    "label": m.group(group), "prob": prob})
-        pos = m.end() + 1 if skip_one else max(m.end(), m.start() + 1)
-    return out
-
-
-def python_spans(annotator=None, **kw):
+    first = rx.search(text)
+    chain = [first] if first else []
+    while chain and (m := rx.search(text, chain[-1].end() + 1)):
+        chain.append(m)
+    return [_span(m, group, prob) for m in chain]
+
+
+def python_spans(annotator=None, skip_one: bool = False, **kw):
     """X3 plug-in: wrap a Python ``annotate(text) -> [span dict]`` (default:
-    :func:`find_spans` with ``kw``) as an Arrow-batched pandas UDF."""
-    fn = annotator or (lambda s: find_spans(s, **kw))
+    :func:`find_spans`, or :func:`find_spans_apart` with ``skip_one``, with
+    ``kw``) as an Arrow-batched pandas UDF."""
+    rule = find_spans_apart if skip_one else find_spans
+    fn = annotator or (lambda s: rule(s, **kw))
 
     @F.pandas_udf(T.ArrayType(SPAN))
     def _spans(texts: pd.Series) -> pd.Series:

@@ -80,8 +80,8 @@ def doc_name(url: Column | str) -> Column:
 
 
 def doc_meta_json(source_id: Column | str, source_url: Column | str) -> Column:
-    """stored document meta ``{"source_id":..,"source_url":..}``."""
-    return F.to_json(F.struct(_c(source_id).alias("source_id"), _c(source_url).alias("source_url")))
+    """stored document meta ``{"source_id":..,"source_url":..}``, both keys always."""
+    return F.to_json(F.struct(_c(source_id).alias("source_id"), _c(source_url).alias("source_url")), {"ignoreNullFields": "false"})
 
 
 def content_key(url: Column | str, text: Column | str) -> Column:

@@ -45,19 +45,25 @@ def cacheable(responses: DataFrame) -> DataFrame:
     return responses.where(~F.col("status").isin(UNCACHEABLE_STATUSES))
 
 
-def walk(seeds: DataFrame, edges: DataFrame, *, max_steps: int = 10_000) -> DataFrame:
+# Frontier pieces kept apart before they are folded into one.
+FOLD_PIECES = 8
+
+
+def walk(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """Expand ``seeds(node)`` along ``edges(src, dst)`` until no new
     node appears. Returns ``(node, depth)`` with the first depth reached;
-    nodes already seen are never expanded again (cycle guard).
+    nodes already seen are never expanded again, so the walk ends by itself
+    however long a chain is. Null nodes are not followed.
 
     Each step is one join and one anti join; only an emptiness check reaches
-    the driver. The edge list and every new frontier are cut into the shared
-    checkpoint folder; the seen set is the union of those pieces, so a step's
-    plan is flat (it never contains earlier steps' joins), nothing is written
-    twice, and a lost executor never replays the walk.
+    the driver. Edges are partitioned by ``src`` once; every new frontier is
+    cut into the shared checkpoint folder, and after ``FOLD_PIECES`` steps the
+    seen pieces become one, so that neither a plan nor the number of files a
+    step reads grows with the length of the walk.
     """
-    edges = cut_lineage(edges.select("src", "dst"))
-    pieces = [cut_lineage(seeds.select(F.col("node"), F.lit(0).alias("depth")).distinct())]
+    edges = cut_lineage(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct().repartition("src"))
+    frontier = cut_lineage(seeds.select(F.col("node"), F.lit(0).alias("depth")).distinct())
+    pieces, depth = [frontier], 0
 
     def seen():
         out = pieces[0]
@@ -65,15 +71,15 @@ def walk(seeds: DataFrame, edges: DataFrame, *, max_steps: int = 10_000) -> Data
             out = out.unionByName(p)
         return out
 
-    frontier = pieces[0]
-    for step in range(1, max_steps + 1):
-        nxt = cut_lineage(
+    while True:
+        depth += 1
+        frontier = cut_lineage(
             frontier.join(edges, frontier.node == edges.src)
             .select(F.col("dst").alias("node")).distinct()
             .join(seen().select("node"), "node", "left_anti")
-            .withColumn("depth", F.lit(step)))
-        if nxt.isEmpty():
-            break
-        pieces.append(nxt)
-        frontier = nxt
-    return seen()
+            .withColumn("depth", F.lit(depth)))
+        if frontier.isEmpty():
+            return seen()
+        pieces.append(frontier)
+        if len(pieces) > FOLD_PIECES:
+            pieces = [cut_lineage(seen())]

@@ -33,7 +33,7 @@ class IngestResult:
     ledger_delta: DataFrame     # K1 new state of the touched URLs only (ledger log layout)
     rejects: DataFrame          # K13
     passthrough: DataFrame      # P1 unknown kinds, untouched
-    trainer: DataFrame          # K5 concept-trainer rows
+    trainer: DataFrame | None   # K5 concept-trainer rows, if enabled
 
 
 def conform(items: DataFrame) -> DataFrame:
@@ -45,6 +45,14 @@ def conform(items: DataFrame) -> DataFrame:
     return items
 
 
+def with_seq(items: DataFrame) -> DataFrame:
+    """O1: every item an arrival number. Rows without one (or all rows, when
+    the source produces none) are numbered in row order, behind the others."""
+    row = F.lit(1 << 62) + F.monotonically_increasing_id()
+    seq = F.coalesce(F.col("seq"), row) if "seq" in items.columns else row
+    return items.withColumn("seq", seq)
+
+
 def classify(items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Split a feed into (candidates, rejects, passthrough)."""
     items = conform(items)
@@ -95,13 +103,16 @@ def document_rows(corpus: DataFrame, run_ts: Column) -> DataFrame:
 def ingest(items: DataFrame, ledger: DataFrame | None, routes: DataFrame, *,
            dictionary: DataFrame | None = None, links: DataFrame | None = None,
            run_ts: Column | None = None, exact_text: bool = False,
-           policy: str = "different", chunk: int = led.DEFAULT_CHUNK) -> IngestResult:
+           policy: str = "different", chunk: int = led.DEFAULT_CHUNK, trainer: bool = True) -> IngestResult:
     """C1 for one batch. ``ledger`` is the stored ledger, or just its rows
     for the batch's URLs (``LedgerLog.rows_for``); write ``ledger_delta`` to
     the log, or ``ledger`` as a new version. Every output derives from one
-    decision frame: persist it when several outputs are written."""
+    decision frame: persist it when several outputs are written.
+
+    Nothing vanishes: accepted items, rejects and passthrough rows add up to
+    the input. ``trainer=False`` leaves the concept-trainer rows out (K5)."""
     run_ts = run_ts if run_ts is not None else F.current_timestamp()
-    cand, rejects, passthrough = classify(items)
+    cand, rejects, passthrough = classify(with_seq(items))
     decided = led.decide(cand, ledger, policy=policy, chunk=chunk)
     new_ledger = led.apply(ledger, decided)
     dropped = (decided.where(~F.col("accepted"))
@@ -111,10 +122,10 @@ def ingest(items: DataFrame, ledger: DataFrame | None, routes: DataFrame, *,
 
     corpus = route(to_text(accepted.where(F.col("kind").isin(schemas.CORPUS_KINDS)), exact_text), routes)
     docs = document_rows(corpus, run_ts)
-    trainer = corpus.select(doc_name("source_url").alias("name"), "text", "dataset_id")
+    train = corpus.select(doc_name("source_url").alias("name"), "text", "dataset_id") if trainer else None
 
     dict_items = accepted.where(F.col("kind") == "dictionary")
     new_dict = dct.upsert(dictionary, dict_items)
     new_links = dct.replace_links(links, dict_items)
     return IngestResult(docs, new_dict, new_links, new_ledger, led.apply(None, decided),
-                        rejects.unionByName(dropped), passthrough, trainer)
+                        rejects.unionByName(dropped), passthrough, train)

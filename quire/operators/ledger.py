@@ -21,8 +21,9 @@ its time differs from the last non-null time before it.
 Skew: a per-URL window would put a hot URL's whole history in one task. The
 scan is therefore split by ``seq`` range into chunks: a window per
 ``(url, chunk)`` computes everything local, one small per-chunk summary row
-carries the "last time before this chunk" across chunks, and the two are
-joined back on ``(url, chunk)`` - the wide rows are shuffled exactly once.
+carries the "last time before this chunk" across chunks. Windows and
+summaries only see ``(url, seq, modified_at)``; the wide rows are shuffled
+once, to be marked with the accepted keys.
 """
 
 from __future__ import annotations
@@ -56,23 +57,20 @@ def decide(items: DataFrame, ledger: DataFrame | None = None, *,
     """Mark each item ``accepted`` against the ledger, in ``seq`` order.
 
     ``items`` needs ``seq`` (unique per URL), ``source_id``, ``url_col`` and
-    ``modified_at``; every other column is carried through. Returns the
-    items with a boolean ``accepted`` column.
+    ``modified_at``; every other column is carried through. Returns all
+    items with a boolean ``accepted`` column; a null URL or ``seq`` has no
+    place in the order and is not accepted.
     """
-    cols = items.columns
-    feed = items.withColumn("_url", F.col(url_col)).withColumn("_ledger", F.lit(False))
+    m = F.col("modified_at")
+    keys = items.select(F.col(url_col).alias("_url"), "seq", m, F.lit(False).alias("_ledger"))
+    feed = keys.where("_url IS NOT NULL AND seq IS NOT NULL")
     if ledger is not None:
         from quire.session import keyed_filter
 
         touched = feed.select(F.col("_url").alias("url")).distinct()
         prior = (keyed_filter(ledger, touched, "url", "left_semi", MAX_BROADCAST_BATCH_URLS)
-                 .select(F.lit(-1).cast("long").alias("seq"),
-                         F.col("url").alias("_url"),
-                         F.col("modified_at"),
-                         F.lit(True).alias("_ledger")))
-        feed = feed.unionByName(prior, allowMissingColumns=True)
-
-    m = F.col("modified_at")
+                 .select(F.col("url").alias("_url"), F.lit(-1).cast("long").alias("seq"), m, F.lit(True).alias("_ledger")))
+        feed = feed.unionByName(prior)
     feed = feed.withColumn("_chunk", F.expr(f"seq div {int(chunk)}"))
 
     w_local = Window.partitionBy("_url", "_chunk").orderBy("seq")
@@ -105,9 +103,11 @@ def decide(items: DataFrame, ledger: DataFrame | None = None, *,
         changed = m > prev
     first_row = F.col("_first_chunk") & (F.col("_rn") == 1)
     accepted = first_row | (m.isNotNull() & F.col("_fm").isNotNull() & F.coalesce(changed, F.lit(False)))
-    return (j.where(~F.col("_ledger"))
-            .withColumn("accepted", accepted)
-            .select(*cols, "accepted"))
+    good = (j.where(~F.col("_ledger") & accepted)
+            .select("_url", F.col("seq").alias("_seq"), F.lit(True).alias("_accepted")).distinct())
+    # a left join: no item can get lost, whatever its key
+    return (items.join(good, (items[url_col] == good["_url"]) & (items["seq"] == good["_seq"]), "left")
+            .select(*[items[c] for c in items.columns], F.coalesce("_accepted", F.lit(False)).alias("accepted")))
 
 
 def accept(items: DataFrame, ledger: DataFrame | None = None, **kw) -> DataFrame:

@@ -47,20 +47,28 @@ def running(df: DataFrame, key: list[str], order: str, values: dict[str, tuple[s
 
 
 def ordered_release(items: DataFrame, *, page: str = "page_no", position: str = "position",
-                    arrival: str = "arrival", chunk: int = DEFAULT_CHUNK) -> DataFrame:
+                    arrival: str = "arrival", tie: list[str] | None = None,
+                    chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """W2 + W3: items put into per-page slots by ``position`` in ``arrival``
     order are released in position order once every earlier slot is filled.
 
     Adds ``status`` ('released', 'pending' - waiting behind an empty slot -
     or 'rejected' - a slot filled twice, later arrivals lose) and
-    ``release_at`` (the arrival at which the item was released).
+    ``release_at`` (the arrival at which the item was released). Of equal
+    arrivals for a slot the one with the smaller ``tie`` columns fills it,
+    then the one that stands first in the input: exactly one item per slot.
     """
-    first = (items.groupBy(page, position).agg(F.min(arrival).alias("_first")))
-    tagged = items.join(first, [page, position])
-    rejected = (tagged.where(F.col(arrival) != F.col("_first")).drop("_first")
+    cols = items.columns
+    rank = F.struct(F.col(arrival), *[F.col(c) for c in tie or []], F.col("_row"))
+    items = items.withColumn("_row", F.monotonically_increasing_id()).withColumn("_rank", rank)
+    first = (items.groupBy(F.col(page).alias("_page"), F.col(position).alias("_slot"))
+             .agg(F.min("_rank").alias("_first")))
+    tagged = (items.join(first, F.col(page).eqNullSafe(F.col("_page")) & F.col(position).eqNullSafe(F.col("_slot")))
+              .select(*cols, F.col("_rank").eqNullSafe(F.col("_first")).alias("_won")))
+    rejected = (tagged.where(~F.col("_won")).drop("_won")
                 .withColumn("status", F.lit("rejected"))
                 .withColumn("release_at", F.lit(None).cast("long")))
-    kept = tagged.where(F.col(arrival) == F.col("_first")).drop("_first")
+    kept = tagged.where("_won").drop("_won")
     r = running(kept, [page], position, {"_upto": ("max", arrival), "_n": ("count", arrival)}, chunk)
     complete = F.col("_n") == F.col(position) + 1
     out = (r.withColumn("status", F.when(complete, F.lit("released")).otherwise(F.lit("pending")))

@@ -127,7 +127,7 @@ def sentence_terms(spark, sf_dir):
             .where(F.col("n_terms") > 0))
 
 
-TOKEN_SPLIT = r"[^a-z]+"
+TOKEN_SPLIT = r"[^\p{L}]+"
 MAX_LEXICON = 5_000_000
 
 
@@ -135,21 +135,19 @@ MAX_LEXICON = 5_000_000
 WITH lex AS (
   SELECT term, 'B' || CAST(min(item_id) AS VARCHAR) AS code FROM (
     SELECT item_id, unnest(regexp_split_to_array(lower(text), '{TOKEN_SPLIT}')) AS term FROM benchmark)
-  WHERE length(term) >= 6 GROUP BY term),
+  WHERE term <> '' GROUP BY term),
 tok AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '{TOKEN_SPLIT}')) AS term FROM documents)
 SELECT doc_id, code, term, count(*) AS n FROM tok JOIN lex USING (term) GROUP BY ALL""")
 def lexicon_codes(spark, sf_dir):
-    """Document tokens coded from a code list (the lexicon is the long
-    words of ``benchmark``; broadcast only after its size is checked)."""
+    """Every word of every document coded from a code list (the lexicon
+    is all words of ``benchmark``, letters of any script; broadcast only when
+    its size has been checked)."""
     b = S.table(spark, sf_dir, "benchmark")
-    lex = (b.select("item_id", F.explode(F.split(F.lower("text"), TOKEN_SPLIT, -1)).alias("term"))
-           .where(F.length("term") >= 6)
+    lex = (b.select("item_id", F.explode(F.split(F.lower("text"), TOKEN_SPLIT, -1)).alias("term")).where("term <> ''")
            .groupBy("term").agg(F.concat(F.lit("B"), F.min("item_id").cast("string")).alias("code")))
     lex, _ = bounded_broadcast(lex, MAX_LEXICON)
     d = S.table(spark, sf_dir, "documents")
     tok = d.select("doc_id", F.explode(F.split(F.lower("text"), TOKEN_SPLIT, -1)).alias("term"))
-    # the code list only holds long words: drop short tokens before the join
-    tok = tok.where(F.length("term") >= 6)
     return tok.join(lex, "term").groupBy("doc_id", "code", "term").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -297,7 +297,7 @@ FROM documents"""
 WITH f AS ({DOC_ITEMS_SQL}), r AS ({S.routes_sql('f')})
 SELECT f.source_url, r.project_id, r.dataset_id, 'spidered' AS filename,
        CAST(to_json({{'source_id': f.source_id, 'source_url': f.source_url}}) AS VARCHAR) AS meta,
-       right(f.source_url, 150) AS name, CAST(length(f.text) AS BIGINT) AS n_chars
+       right(f.source_url, 150) AS name, CAST(length(f.text) AS BIGINT) AS n_chars, CAST(length(f.text) AS BIGINT) AS trainer_chars
 FROM f LEFT JOIN r ON r.source_id = f.source_id
 WHERE length(f.source_url) <= 255""")
 def doc_meta_json(spark, sf_dir):
@@ -311,8 +311,8 @@ def doc_meta_json(spark, sf_dir):
                     url.alias("source_url"), "text")
     res = ing.ingest(feed, None, S.routes_for(feed), run_ts=F.lit(None).cast("timestamp"))
     docs = res.documents.select("source_url", "project_id", "filename", "meta", F.length("text").cast("long").alias("n_chars"))
-    trainer = res.trainer.select(F.col("name"), "dataset_id", F.length("text").cast("long").alias("t_chars"))
-    # one trainer row per stored document: pair them on the URL tail (unique here)
-    return (docs.withColumn("name", F.right("source_url", F.lit(150)))
-            .join(trainer, "name").where(F.col("n_chars") == F.col("t_chars")).drop("t_chars")
-            .select("source_url", "project_id", "dataset_id", "filename", "meta", "name", "n_chars"))
+    trainer = res.trainer.select(F.col("name"), "dataset_id", F.length("text").cast("long").alias("trainer_chars"))
+    # one trainer row per stored document, paired on the URL tail (unique here);
+    # a full join, so that a lost row on either side shows
+    return (docs.withColumn("name", F.right("source_url", F.lit(150))).join(trainer, "name", "full_outer")
+            .select("source_url", "project_id", "dataset_id", "filename", "meta", "name", "n_chars", "trainer_chars"))

@@ -48,7 +48,7 @@ def comment_ids(spark, sf_dir):
     return out.withColumn("content_key", content_key("doc_url", "review_text"))
 
 
-def _review_pages(spark, sf_dir):
+def review_pages(spark, sf_dir):
     """One review page per conversation; each turn is one review block.
     System turns have no headline; short turns have no comment id."""
     c = S.table(spark, sf_dir, "conversations")
@@ -56,34 +56,53 @@ def _review_pages(spark, sf_dir):
     href = F.when(F.length("text") < 80, F.lit("report")).otherwise(
         F.concat(F.lit("report?commentID="), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")))
     block = F.concat(
-        F.lit('<div aria-label="Organisation review"><div><h3><span>Rated</span>'),
-        F.when(F.col("role") == "system", F.lit("")).otherwise(F.concat(F.lit("<span> "), head, F.lit(" </span>"))),
-        F.lit("</h3><p>r1</p><p>r2</p><p>r3</p><p>"), F.col("text"), F.lit("</p><p>r5</p><p><a href=\""),
-        href, F.lit("\">Report</a></p></div></div>"))
+        F.lit('<div class="card x" aria-label="Organisation review"><div data-n="1"><h3 class="h"><span class="v">Rated <b>4 stars</b>'),
+        F.when(F.col("role") == "system", F.lit("")).otherwise(F.concat(F.lit(" "), head, F.lit(" "))),
+        F.lit('</span></h3><p class="a">r1</p><div><p>not counted</p></div><p>r2</p><p>r3</p><p lang="x">'), F.col("text"),
+        F.lit('</p><p>r5</p><p id="last">see <a class="r" href="'), href, F.lit('">Report</a></p></div></div>'))
     pages = c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", block.alias("b")))).alias("bs"))
     return pages.select(
         F.col("conv_id").alias("page_id"),
         F.concat(F.lit(REVIEW_SITE), F.col("conv_id").cast("string")).alias("url"),
-        F.concat(F.lit("<html><body><main>"), F.array_join(F.transform("bs", lambda x: x["b"]), ""),
+        F.concat(F.lit('<html><body><p>not here</p><main id="m">'), F.array_join(F.transform("bs", lambda x: x["b"]), ""),
                  F.lit("</main></body></html>")).alias("html"))
 
 
+REVIEW_STATUS_SQL = f"""
+SELECT conv_id, turn, '{REVIEW_SITE}' || CAST(conv_id AS VARCHAR) AS page_url,
+       '{REVIEW_SITE}' || CAST(conv_id AS VARCHAR) || '#' || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS source_url,
+       head || '. ' || text AS body,
+       CASE WHEN role = 'system' THEN 'no headline' WHEN length(text) < 80 THEN 'no comment id' ELSE 'ok' END AS status
+FROM (SELECT *, {_trim_sql(f"regexp_extract(text, '{HEADLINE}', 1)")} AS head FROM conversations)"""
+
+
 @query("multi_doc_pages", sql=f"""
-SELECT conv_id AS page_id, turn AS block_no,
-       CASE WHEN status = 'ok' THEN '{REVIEW_SITE}' || CAST(conv_id AS VARCHAR) || '#'
-            || CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) END AS source_url,
-       CASE WHEN status = 'ok' THEN head || '. ' || text END AS text, status
-FROM (SELECT *, CASE WHEN role = 'system' OR head = '' THEN 'no headline'
-                     WHEN length(text) < 80 THEN 'no comment id' ELSE 'ok' END AS status
-      FROM (SELECT *, {_trim_sql(f"regexp_extract(text, '{HEADLINE}', 1)")} AS head FROM conversations))""")
+SELECT conv_id AS page_id, turn AS block_no, CASE WHEN status = 'ok' THEN source_url END AS source_url,
+       CASE WHEN status = 'ok' THEN body END AS text, status FROM ({REVIEW_STATUS_SQL})""")
 def multi_doc_pages(spark, sf_dir):
     """Review blocks of each page become documents; blocks without
     headline or comment id are rejected with a reason."""
-    reviews = hp.review_blocks(_review_pages(spark, sf_dir))
+    reviews = hp.review_blocks(review_pages(spark, sf_dir))
     return reviews.select("page_id", "block_no", "source_url",
                           strip_tags("html").alias("text"), "status")
 
 
+# --- character references ----------------------------------------------------------
+
+@query("references_text", sql="SELECT doc_id, text FROM documents")
+def references_text(spark, sf_dir):
+    """documents written with character references of every form (named,
+    legacy names without ';', decimal, hexadecimal, leading zeros) come back
+    as they were; the expected text is the table's own."""
+    d = S.table(spark, sf_dir, "documents")
+    out = F.replace(F.col("text"), F.lit("&"), F.lit("&amp;"))
+    for char, ref in (("<", "&lt;"), (",", "&comma;"), (".", "&period;"), ("é", "&eacute;"), ("ß", "&szlig;"), ("ñ", "&#241;"),
+                      ("ó", "&#xF3;"), ("ä", "&#x000E4;"), ("ç", "&#00231;"), ("!", "&excl;"), ("|", "&VerticalLine;")):
+        out = F.replace(out, F.lit(char), F.lit(ref))
+    out = F.regexp_replace(F.regexp_replace(out, "ü(?!;)", "&uuml"), "ü", "&uuml;")
+    return d.select("doc_id", strip_tags(F.concat(F.lit('<p title="a > b">'), out, F.lit("</p>"))).alias("text"))
+
+
 # --- ordered release ---------------------------------------------------------------
 
 ARRIVAL_SQL = "CAST(('0x' || substr(md5(CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR)), 1, 8)) AS BIGINT)"
@@ -97,23 +116,28 @@ def _arrivals(spark, sf_dir):
     return c.select(F.col("conv_id").alias("page_no"), pos.alias("position"), arrival.alias("arrival"), "turn")
 
 
+TIED_ARRIVAL = 5
+
+
 @query("ordered_release", sql=f"""
 WITH it AS (SELECT conv_id AS page_no, CASE WHEN role = 'system' THEN turn + 1 ELSE turn END AS position,
-                   {ARRIVAL_SQL} AS arrival, turn FROM conversations),
-f AS (SELECT *, min(arrival) OVER (PARTITION BY page_no, position) AS first_arrival FROM it),
-k AS (SELECT *, max(arrival) OVER w AS upto, count(*) OVER w AS n FROM f WHERE arrival = first_arrival
+                   {ARRIVAL_SQL} % {TIED_ARRIVAL} AS arrival, turn FROM conversations),
+f AS (SELECT *, row_number() OVER (PARTITION BY page_no, position ORDER BY arrival, turn) AS place FROM it),
+k AS (SELECT *, max(arrival) OVER w AS upto, count(*) OVER w AS n FROM f WHERE place = 1
       WINDOW w AS (PARTITION BY page_no ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 SELECT page_no, position, arrival, turn,
        CASE WHEN n = position + 1 THEN 'released' ELSE 'pending' END AS status,
        CASE WHEN n = position + 1 THEN upto END AS release_at
 FROM k
 UNION ALL
-SELECT page_no, position, arrival, turn, 'rejected', CAST(NULL AS BIGINT) FROM f WHERE arrival <> first_arrival""")
+SELECT page_no, position, arrival, turn, 'rejected', CAST(NULL AS BIGINT) FROM f WHERE place > 1""")
 def ordered_release(spark, sf_dir):
     """Conversation turns arrive shuffled and are released in
     position order; a system turn takes the next slot (collision -> the later
-    arrival is rejected; its own slot stays empty -> later turns wait)."""
-    return release(_arrivals(spark, sf_dir))
+    arrival is rejected; its own slot stays empty -> later turns wait). Many
+    arrivals are equal; the earlier turn then fills the slot."""
+    a = _arrivals(spark, sf_dir)
+    return release(a.withColumn("arrival", F.col("arrival") % TIED_ARRIVAL), tie=["turn"])
 
 
 @query("conversation_text", sql="""
@@ -212,27 +236,24 @@ ARTICLE = r"(?is)<article(?:\s[^>]*)?>(.*?)</article\s*>"
 
 
 @query("status_and_empty", sql=f"""
-SELECT event_id, page_id, url, status, CAST(length(text) AS BIGINT) AS n_chars FROM (
-  SELECT e.event_id, p.page_id, p.url,
-         CASE WHEN e.event_type IN ('click', 'view', 'purchase') THEN 200
-              WHEN e.event_type = 'signup' THEN 404 ELSE 500 END AS status,
-         CASE WHEN e.event_type IN ('click', 'view', 'purchase')
-              THEN {strip_tags_sql(f"array_to_string(regexp_extract_all(p.html, '{ARTICLE}', 1), '')")}
-              ELSE '' END AS text
-  FROM events e JOIN pages p ON p.page_id = e.user_id)
-WHERE text <> ''""")
+WITH t AS MATERIALIZED (
+  SELECT page_id, url, {strip_tags_sql("article")} AS text
+  FROM (SELECT page_id, url, array_to_string(regexp_extract_all(html, '{ARTICLE}', 1), '') AS article FROM pages)),
+e AS (SELECT event_id, user_id, CASE WHEN event_type IN ('click', 'view', 'purchase') THEN 200
+                                     WHEN event_type = 'signup' THEN 404 ELSE 500 END AS status FROM events)
+SELECT event_id, page_id, url, status, CAST(length(text) AS BIGINT) AS n_chars, md5(text) AS text_md5
+FROM e JOIN t ON page_id = user_id WHERE status = 200 AND text <> ''""")
 def status_and_empty(spark, sf_dir):
-    """Responses carry their request's fields; only
-    status 200 yields text (from the article region); empty items dropped."""
+    """Responses carry their request's fields; only status 200
+    yields text (from the article region); empty items dropped."""
     e = S.table(spark, sf_dir, "events")
     p = S.table(spark, sf_dir, "pages")
     status = (F.when(F.col("event_type").isin("click", "view", "purchase"), 200)
               .when(F.col("event_type") == "signup", 404).otherwise(500))
     r = e.select("event_id", F.col("user_id").alias("page_id"), status.alias("status"))
     # Markup is stripped once per page, below the join: a page is fetched by
-    # many requests, and only its text length travels to them.
-    texts = p.select("page_id", "url", F.length(strip_tags(lk.region("html", "article"))).cast("long").alias("page_chars"))
-    j = r.join(texts, "page_id")
-    n = F.when(F.col("status") == 200, F.col("page_chars")).otherwise(F.lit(0).cast("long"))
-    return (j.select("event_id", "page_id", "url", "status", n.alias("n_chars"))
-            .where(F.col("n_chars") > 0))
+    # many requests, and only its text's length and digest travel to them.
+    texts = (p.select("page_id", "url", strip_tags(lk.region("html", "article")).alias("text")).where("text <> ''")
+             .select("page_id", "url", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5")))
+    return (r.where("status = 200").join(texts, "page_id")
+            .select("event_id", "page_id", "url", "status", "n_chars", "text_md5"))

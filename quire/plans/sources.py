@@ -10,6 +10,7 @@ from quire.operators import ingest as ing
 from quire.operators import links as lk
 from quire.plans import standins as S
 from quire.plans.graph import ALLOW, INDEX_DIRS
+from quire.plans.pages import REVIEW_STATUS_SQL, review_pages
 from quire.plans.registry import query
 from quire.plans.store import DICT_SITE, TYPES_SQL, _dictionary_pages
 from quire.sources import dictionary_pages as dp
@@ -90,6 +91,57 @@ def news_requests(spark, sf_dir):
     return reqs.select("url", "page", F.col("pos").cast("long").alias("pos"), "n_refs", "dont_refresh")
 
 
+# --- C4: news articles and reviews into the corpus -------------------------------------
+
+NEWS_TIME = "2024-03-01 06:00:00"
+
+
+def _news_pages(spark, sf_dir):
+    """One fetched article per document; every document over 3,000
+    characters lies on a page without a text block."""
+    d = S.table(spark, sf_dir, "documents")
+    esc = F.replace(F.replace(F.col("text"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    block = F.when(F.col("n_chars") > 3000, F.concat(F.lit('<div class="wide">'), esc, F.lit("</div>"))).otherwise(
+        F.concat(F.lit('<div class="text main"><p>'), esc, F.lit('</p></div><div class="text">second</div>')))
+    return d.select(F.concat(F.lit("https://news.example.org/"), "source", F.lit("/"), F.col("doc_id").cast("string")).alias("url"),
+                    F.concat(F.lit("<html><body><div>menu</div>"), block, F.lit("</body></html>")).alias("html"))
+
+
+def _outcome(res: ing.IngestResult, rejects):
+    """Stored documents and rejects of a source run as one frame."""
+    return (res.documents.select(F.lit("document").alias("outcome"), "source_url", "project_id", "text",
+                                 F.lit(None).cast("string").alias("reason"))
+            .unionByName(rejects.unionByName(res.rejects).select(
+                F.lit("reject").alias("outcome"), F.col("url").alias("source_url"), F.lit(None).cast("long").alias("project_id"),
+                F.lit(None).cast("string").alias("text"), "reason")))
+
+
+@query("news_ingest", sql=f"""
+WITH n AS (SELECT 'https://news.example.org/' || source || '/' || CAST(doc_id AS VARCHAR) AS source_url, text, n_chars FROM documents),
+r AS ({S.routes_sql("(SELECT 'news' AS source_id)")})
+SELECT 'document' AS outcome, source_url, project_id, text, CAST(NULL AS VARCHAR) AS reason FROM n, r WHERE n_chars <= 3000
+UNION ALL SELECT 'reject', source_url, NULL, NULL, 'no text block' FROM n WHERE n_chars > 3000""")
+def news_ingest(spark, sf_dir):
+    """C4 article side to the corpus (P8, P3, P5, J5): the first text block of
+    every fetched article goes through ingest, which numbers the items itself;
+    pages without a block are rejected."""
+    items, rejects = ex.news_items(_news_pages(spark, sf_dir), F.lit(NEWS_TIME).cast("timestamp"))
+    routes = S.routes_for(spark.createDataFrame([("news",)], "source_id string"))
+    return _outcome(ing.ingest(items, None, routes, run_ts=F.lit(NEWS_TIME).cast("timestamp")), rejects)
+
+
+@query("review_ingest", sql=f"""
+WITH b AS ({REVIEW_STATUS_SQL}), r AS ({S.routes_sql("(SELECT 'reviews' AS source_id)")})
+SELECT 'document' AS outcome, source_url, project_id, body AS text, CAST(NULL AS VARCHAR) AS reason FROM b, r WHERE status = 'ok'
+UNION ALL SELECT 'reject', page_url, NULL, NULL, status FROM b WHERE status <> 'ok'""")
+def review_ingest(spark, sf_dir):
+    """C4 reviews to the corpus (N6, P14, F4, F5): several documents per page,
+    no time, numbered by ingest; blocks without headline or id are rejected."""
+    items, rejects = ex.review_items(review_pages(spark, sf_dir))
+    routes = S.routes_for(spark.createDataFrame([("reviews",)], "source_id string"))
+    return _outcome(ing.ingest(items, None, routes, run_ts=F.lit(NEWS_TIME).cast("timestamp")), rejects)
+
+
 # --- C5: the dictionary source ------------------------------------------------------
 
 # Where each index page lists its items (see dictionary_pages).
@@ -137,8 +189,7 @@ def dictionary_source(spark, sf_dir):
     seeds = ex.seeds(spark, {"dataSet": [DICT_SITE + "index/dataSet/0.html"]}).withColumnRenamed("source_id", "item_type")
     item_pages = _dictionary_pages(spark, sf_dir).withColumnRenamed("source_url", "url")
     items, _ = ex.dictionary_items(index_pages, item_pages, seeds)
-    feed = items.withColumn("seq", F.lit(0).cast("long"))
-    res = ing.ingest(feed, None, spark.createDataFrame([], "source_id string, project_id long, dataset_id long"))
+    res = ing.ingest(items, None, spark.createDataFrame([], "source_id string, project_id long, dataset_id long"))
     n_items = res.dictionary.groupBy("item_type").agg(F.count(F.lit(1)).alias("n_items"))
     n_links = res.links.groupBy(F.col("src_item_type").alias("item_type")).agg(F.count(F.lit(1)).alias("n_links"))
     return n_items.join(n_links, "item_type", "left").select(

@@ -254,17 +254,25 @@ def _dictionary_pages(spark, sf_dir):
 
 
 @query("dictionary_extract", sql=f"""
-SELECT t AS item_type, 'p' || CAST(p_partkey AS VARCHAR) AS item_id, p_name AS name,
-       CAST(1 + CASE WHEN t = 'element' THEN 1 ELSE 0 END + CASE WHEN t = 'class' THEN 2 ELSE 0 END AS INTEGER)
-         AS n_links,
-       p_size > 25 OR p_partkey % 7 = 0 AS has_meta, p_size % 2 = 0 AS has_time, 'ok' AS status
-FROM (SELECT *, {TYPES_SQL}[CAST(p_partkey % 5 + 1 AS INTEGER)] AS t FROM part)""")
+SELECT t AS item_type, 'p' || p AS item_id, p_name AS name,
+       '<article>Part ' || p_name || ' <a data-item-type="element" data-item-id="p' || q || '">next</a>, <a data-item-type="element" data-item-id="p'
+       || q || '">again</a>, <a data-item-type="' || t || '" data-item-id="p' || p
+       || '">self</a>, <a data-item-type="attribute" data-item-id="">bad</a>, <a href="{DICT_SITE}ext/' || p || '">ext</a></article>' AS description,
+       '-:element:p' || q || CASE WHEN t = 'element' THEN ' element_attribute:attribute:a' || p
+         WHEN t = 'class' THEN ' key_attribute:attribute:k' || p || ' attribute:attribute:n' || p ELSE '' END AS links,
+       CASE WHEN p_partkey % 7 = 0 THEN 'max ' || CAST(p_size AS VARCHAR) END AS format,
+       CASE WHEN p_size > 25 THEN 'ctx=' || p_type END AS alias, p_size % 2 = 0 AS has_time, 'ok' AS status
+FROM (SELECT *, CAST(p_partkey AS VARCHAR) AS p, CAST(p_partkey + 1 AS VARCHAR) AS q, {TYPES_SQL}[CAST(p_partkey % 5 + 1 AS INTEGER)] AS t
+      FROM part)""")
 def dictionary_extract(spark, sf_dir):
-    """Dictionary pages (built from parts) to typed items with
-    rewritten descriptions, distinct links and meta."""
+    """Dictionary pages (built from parts)
+    to typed items: the rewritten markup, every link, format and alias."""
     items = dp.extract_items(_dictionary_pages(spark, sf_dir))
-    return items.select("item_type", "item_id", "name", F.size("links").alias("n_links"),
-                        F.col("meta").isNotNull().alias("has_meta"),
+    links = F.array_join(F.transform("links", lambda x: F.concat_ws(
+        ":", F.coalesce(x["link_type"], F.lit("-")), x["item_type"], x["item_id"])), " ")
+    alias = F.get("meta.aliases", F.lit(0))
+    return items.select("item_type", "item_id", "name", "description", links.alias("links"), F.col("meta.format").alias("format"),
+                        F.concat(alias["context"], F.lit("="), alias["alias"]).alias("alias"),
                         F.col("modified_at").isNotNull().alias("has_time"), "status")
 
 

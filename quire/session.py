@@ -109,17 +109,26 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+# What a broadcast may weigh, measured before it is sent.
+MAX_BROADCAST_BYTES = 64 << 20
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows.
+    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows
+    that weigh at most ``MAX_BROADCAST_BYTES``.
 
     Returns ``(frame, broadcasted)``. The check reads at most
-    ``max_rows + 1`` rows; above the bound the frame is returned as-is and
-    the planner picks a shuffle join (AQE can still demote it at runtime).
+    ``max_rows + 1`` rows and sums their widths (the bytes of strings, eight
+    for anything else); above a bound the frame is returned as-is and the
+    planner picks a shuffle join (AQE can still demote it at runtime).
     """
     from pyspark.sql import functions as F
 
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    width = F.lit(16)
+    for name, kind in df.dtypes:
+        width = width + (F.coalesce(F.octet_length(f"`{name}`"), F.lit(0)) if kind in ("string", "binary") else F.lit(8))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width.cast("long"))).head()
+    if n <= max_rows and (size or 0) <= MAX_BROADCAST_BYTES:
         return F.broadcast(df), True
     return df, False
 

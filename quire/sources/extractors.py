@@ -204,7 +204,7 @@ def news_items(articles: DataFrame, run_ts: Column, source_id: str = "news",
 @extractor("reviews")
 def review_items(pages: DataFrame, source_id: str = "reviews") -> tuple[DataFrame, DataFrame]:
     """C4 reviews: several documents per page (N6), no time; blocks without
-    headline or comment id are rejected (P14)."""
+    headline, text or comment id are rejected (P14)."""
     b = hp.review_blocks(pages)
     items = b.where(F.col("status") == "ok").select(
         F.lit("html").alias("kind"), F.lit(source_id).alias("source_id"), "source_url", "html",
@@ -237,8 +237,10 @@ def dictionary_items(index_pages: DataFrame, item_pages: DataFrame, seeds_df: Da
     pages = carry_request_fields(item_pages.select(F.col("url"), "html", "last_modified"),
                                  want, ["item_type", "item_id"]).where(F.col("item_id").isNotNull())
     out = dp.extract_items(pages.withColumnRenamed("url", "source_url"))
-    items = out.where(F.col("status") == "ok").drop("status").withColumn("source_id", F.lit(source_id))
-    rejects = bad.unionByName(out.where(F.col("status") != "ok").select(
-        F.lit(source_id).alias("source_id"), F.col("source_url").alias("url"),
-        F.lit("extract").alias("stage"), F.col("status").alias("reason")))
+    items = out.where(F.col("status") == "ok").drop("status", "bad_rows").withColumn("source_id", F.lit(source_id))
+    # a page without an item is one reject, an attribute row without a link another
+    reasons = F.when(F.col("status") != "ok", F.array("status")).otherwise(
+        F.array_repeat(F.lit("attribute row without link"), F.col("bad_rows")))
+    rejects = bad.unionByName(out.select(F.lit(source_id).alias("source_id"), F.col("source_url").alias("url"),
+                                         F.lit("extract").alias("stage"), F.explode(reasons).alias("reason")))
     return items, rejects

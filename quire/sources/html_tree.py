@@ -81,6 +81,12 @@ class Element:
         self.children.append(child)
 
 
+def ancestors(e: Element):
+    """Elements around ``e``, innermost first."""
+    while (e := e.parent) is not None:
+        yield e
+
+
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)

@@ -30,3 +30,12 @@ def test_walk_cycles_and_depth(spark):
     seeds = spark.createDataFrame([(1,)], "node long")
     got = {r.node: r.depth for r in fr.walk(seeds, edges).collect()}
     assert got == {1: 0, 2: 1, 4: 1, 3: 2, 5: 2}
+
+
+def test_walk_has_no_bound_and_folds(spark, monkeypatch):
+    from quire.operators import frontier as fr
+
+    monkeypatch.setattr(fr, "FOLD_PIECES", 3)
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(14)] + [("n5", "n2"), ("n3", None), (None, "n1")], "src string, dst string")
+    got = {r.node: r.depth for r in fr.walk(spark.createDataFrame([("n0",)], "node string"), edges).collect()}
+    assert got == {f"n{i}": i for i in range(15)}

@@ -75,3 +75,26 @@ def test_batches_through_the_ledger_log_equal_one_batch(spark):
     assert sorted(got) == sorted(r.text for r in whole.documents.collect())
     assert {tuple(r) for r in log.state(spark).collect()} == \
            {tuple(r) for r in whole.ledger.select("source_id", "url", "modified_at").collect()}
+
+
+def test_nothing_vanishes(spark):
+    """Documents, rejects and passthrough add up to the input, whatever is null."""
+    rows = [(None, "text", "s", "u/1", "t", None), (None, "text", "s", "u/1", "t", None), (3, "html", None, "u/2", None, "<p>x</p>"),
+            (4, "text", "s", None, "t", None), (None, "text", "s", None, None, None), (6, None, "s", "u/3", "t", None),
+            (7, "other", "s", "u/4", "t", None), (8, "text", "s", "u" * 300, "t", None), (9, "text", None, "u/5", None, None)]
+    items = spark.createDataFrame([(*r, None) for r in rows],
+                                  "seq long, kind string, source_id string, source_url string, text string, html string, modified_at timestamp")
+    routes = spark.createDataFrame([("s", 1, 2)], "source_id string, project_id long, dataset_id long")
+    for feed in (items, items.drop("seq")):
+        res = ing.ingest(feed, None, routes, trainer=False)
+        assert res.documents.count() + res.rejects.count() + res.passthrough.count() == len(rows)
+        assert res.passthrough.count() == 2 and res.documents.count() == 3 and res.trainer is None
+        assert {r.reason for r in res.rejects.collect()} == {"missing source_url", "source_url too long", "unchanged"}
+
+
+def test_decide_returns_every_row(spark):
+    from quire.operators import ledger as led
+
+    items = spark.createDataFrame([(1, "s", "u", None), (None, "s", "u", None), (2, "s", None, None)],
+                                  "seq long, source_id string, source_url string, modified_at timestamp")
+    assert sorted((r.seq or 0, r.accepted) for r in led.decide(items).collect()) == [(0, False), (1, True), (2, False)]

@@ -1,8 +1,10 @@
 """F1 markup to text: fixture F3 and native-vs-parser on real pages."""
 
+import random
+
 import pytest
 
-from quire.functions.markup import strip_tags, strip_tags_exact
+from quire.functions.markup import _strip_one, strip_tags, strip_tags_exact
 
 # (html, expected) - expected values follow the parser rules in the survey.
 F3 = [
@@ -83,8 +85,22 @@ def test_native_equals_parser_on_malformed_tags(spark):
 
 
 def test_pathological_markup_stays_safe(spark):
-    # a cut-off tag with many quoted attributes, and one with thousands (past
-    # the bounded attribute area: no stack overflow, plain first-'>' rule)
-    rows = [('<a ' + 'x="1" ' * 30 + 'y',), ('text <b ' + 'k="v>w" ' * 2000,), ("<script>" + "a<b;" * 20000,)]
+    # cut-off and closed tags with thousands of quoted attributes: read whole, no stack overflow
+    long = "k=\"v>w\" " * 20000
+    rows = [('<a ' + 'x="1" ' * 30 + 'y',), ("text <b " + long,), ("text <b " + long + ">z .",), ("<script>" + "a<b;" * 20000,),
+            ("<i " + "a " * 50000 + "t='>'>k .",), ("<b " + "=" * 5000 + ">k .",)]
     got = [r.t for r in spark.createDataFrame(rows, "h string").select(strip_tags("h").alias("t")).collect()]
-    assert got[0] == "" and got[1].startswith("text w\"") and got[2] == ""
+    assert got == [_strip_one(h) for h, in rows]
+
+
+def test_every_reference_equals_the_parser(spark):
+    from html.entities import html5
+
+    rng = random.Random(3)
+    numbers = [*range(300), 0xD800, 0xFDD0, 0xFDEF, 0xFFFE, 0xFFFF, 0x1FFFE, 0x10FFFF, 0x110000, 99999999999, 8211, 128512]
+    refs = ["&" + n for n in html5] + [f"&#{n};" for n in numbers] + [f"&#x{n:X}" for n in numbers]
+    refs += ["&#0000233;", "&#x;", "&#;", "&bogus;", "&ampb", "&lt5", "&notit;", "&notin;", "&", "&&amp", "&a", "&#38;amp;"]
+    rows = [(r + "z .",) for r in refs]
+    rows += [("".join(rng.choice([*refs, " ", "a", ";", "<b>", "é"]) for _ in range(12)) + " .",) for _ in range(2000)]
+    got = spark.createDataFrame(rows, "h string").select("h", strip_tags("h").alias("t")).collect()
+    assert [(r.h, r.t) for r in got if r.t != _strip_one(r.h)] == []

@@ -37,3 +37,14 @@ def test_first_by(spark):
                                "c long, p string, k long")
     got = {r.c: (r.k, r.n) for r in first_by(df, ["c"], ["p", "k"], ["k"]).collect()}
     assert got == {1: (6, 3), 2: (1, 1)}
+
+
+def test_equal_arrivals_fill_a_slot_once(spark):
+    rows = [(1, 0, 5, "a"), (1, 0, 5, "b"), (1, 0, 5, "b"), (1, 1, 5, "c"), (1, 2, 1, "d"), (2, 1, 3, "e"), (2, 1, 3, "e")]
+    df = spark.createDataFrame(rows, "page_no long, position long, arrival long, name string")
+    got = ordered_release(df, tie=["name"]).collect()
+    assert len(got) == len(rows)
+    by = sorted((r.page_no, r.position, r.name, r.status) for r in got)
+    assert by == [(1, 0, "a", "released"), (1, 0, "b", "rejected"), (1, 0, "b", "rejected"), (1, 1, "c", "released"),
+                  (1, 2, "d", "released"), (2, 1, "e", "pending"), (2, 1, "e", "rejected")]
+    assert sorted(r.status for r in ordered_release(df).collect()) == sorted(s for *_, s in by)

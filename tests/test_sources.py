@@ -73,15 +73,18 @@ def test_news_items_and_reviews(spark):
     items, rejects = ex.news_items(arts, F.lit("2024-01-01 00:00:00").cast("timestamp"))
     assert [(r.source_url, r.html) for r in items.collect()] == [("https://n.org/news/a", '<div class="text"><p>Body</p></div>')]
     assert [r.url for r in rejects.collect()] == ["https://n.org/news/b"]
-    block = ('<div aria-label="Organisation review"><div><h3><span>R</span>{h}</h3><p>1</p><p>2</p><p>3</p>'
-             '<p>{t}</p><p>5</p><p><a href="{href}">Report</a></p></div></div>')
-    page = ("<main>" + block.format(h="<span> Great </span>", t="Nice staff", href="report?commentID=c-1")
-            + block.format(h="", t="No headline", href="report?commentID=c-2")
-            + block.format(h="<span>Bad</span>", t="No id", href="report") + "</main>")
+    block = ('<section><div class="c" aria-label="Organisation review"><div><h3 id="x"><span>Rated<b>4</b>{h}</span></h3><p>1</p>'
+             '<div><p>inner</p></div><p class="k">2</p><p>3</p>{t}<p>5</p><p><a class="z" href="{href}">Report</a></p></div></div></section>')
+    text = '<p lang="en">Nice <i>staff</i></p>'
+    page = ("<main>" + block.format(h=" Great ", t=text, href="report?commentID=c-1") + block.format(h="", t=text, href="report?commentID=c-2")
+            + block.format(h="Bad", t=text, href="report") + block.format(h=" ", t=text, href="report?commentID=c-4")
+            + '<div aria-label="Organisation review"><div><h3><span>a<b>1</b>h</span></h3><p>only</p></div></div></main>'
+            + block.format(h="outside main", t=text, href="report?commentID=c-5"))
     pages = spark.createDataFrame([(1, "https://r.org/p", page)], "page_id long, url string, html string")
     items, rejects = ex.review_items(pages)
-    assert [(r.source_url, r.html) for r in items.collect()] == [("https://r.org/p#c-1", "Great. <p>Nice staff</p>")]
-    assert sorted(r.reason for r in rejects.collect()) == ["no comment id", "no headline"]
+    assert [(r.source_url, r.html) for r in items.collect()] == [
+        ("https://r.org/p#c-1", "Great. " + text), ("https://r.org/p#c-4", ". " + text)]
+    assert sorted(r.reason for r in rejects.collect()) == ["no comment id", "no headline", "no text"]
 
 
 def test_dictionary_items(spark):

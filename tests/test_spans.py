@@ -66,3 +66,11 @@ def test_many_matches_block_prefix(spark):
     for r in df.select("text", rule_spans("text").alias("s")).collect():
         want = find_spans(r.text)
         assert [(s.start_offset, s.end_offset) for s in r.s] == [(w["start_offset"], w["end_offset"]) for w in want]
+
+
+def test_spans_apart_leave_a_character():
+    from quire.functions.spans import find_spans_apart
+
+    assert [x["start_offset"] for x in find_spans("aaaa", "(a)")] == [0, 1, 2, 3]
+    assert [x["start_offset"] for x in find_spans_apart("aaaa", "(a)")] == [0, 2]
+    assert find_spans_apart(None) is None and find_spans_apart("none") == []
