@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.spans import DEFAULT_PATTERN, DEFAULT_PROB, python_spans, rule_spans
 from quire.operators.ids import get_or_create
-from quire.session import bounded_broadcast
+from quire.session import bounded_broadcast, cut_lineage
 
 MAX_BROADCAST_LABELS = 1_000_000
 
@@ -47,19 +47,21 @@ class AnnotationRun:
 def pre_annotate(docs: DataFrame, annotations: DataFrame, labels: DataFrame, *,
                  key: str = "doc_id", text_col: str = "text", **annotator) -> AnnotationRun:
     """C2 as one job: annotate only unannotated documents, create missing
-    labels (one per distinct unseen text), attach label ids, count."""
-    todo = spans(unannotated(docs, annotations, key), text_col, **annotator)
-    rows = explode_spans(todo, [key])
+    labels (one per distinct unseen text), attach label ids, count.
+
+    The texts are matched once: the spans go to the shared checkpoint folder,
+    and labels, ids, annotations and counters derive from them."""
+    open_docs = unannotated(docs, annotations, key)
+    rows = cut_lineage(explode_spans(spans(open_docs, text_col, **annotator), [key]))
     matched = rows.select(F.col("label").alias("text"))
     all_labels, created = get_or_create(labels.select("id", "text"), matched, "text")
     lab, _ = bounded_broadcast(all_labels.select(F.col("text").alias("label"), F.col("id").alias("label_id")),
                                MAX_BROADCAST_LABELS)
     ann = rows.join(lab, "label").select(key, "start_offset", "end_offset",
                                          F.col("label_id").alias("label"), "prob")
-    doc_flags = docs.select(key).join(todo.select(key, F.size("spans").alias("_k")), key, "left")
-    counters = doc_flags.agg(
-        F.count(F.lit(1)).alias("docs_scanned"),
-        F.count("_k").alias("docs_annotated"),
-        F.coalesce(F.sum("_k"), F.lit(0)).cast("long").alias("spans"),
-    ).withColumn("labels_added", created.agg(F.count(F.lit(1))).scalar().cast("long"))
+    counters = docs.agg(F.count(F.lit(1)).alias("docs_scanned")).select(
+        "docs_scanned",
+        open_docs.select(key).agg(F.count(F.lit(1))).scalar().alias("docs_annotated"),
+        rows.agg(F.count(F.lit(1))).scalar().alias("spans"),
+        created.agg(F.count(F.lit(1))).scalar().cast("long").alias("labels_added"))
     return AnnotationRun(ann, created, counters, rows)

@@ -34,6 +34,7 @@ class IngestResult:
     rejects: DataFrame          # K13
     passthrough: DataFrame      # P1 unknown kinds, untouched
     trainer: DataFrame | None   # K5 concept-trainer rows, if enabled
+    decided: DataFrame          # the items with their decision; every output above derives from it
 
 
 def conform(items: DataFrame) -> DataFrame:
@@ -103,17 +104,21 @@ def document_rows(corpus: DataFrame, run_ts: Column) -> DataFrame:
 def ingest(items: DataFrame, ledger: DataFrame | None, routes: DataFrame, *,
            dictionary: DataFrame | None = None, links: DataFrame | None = None,
            run_ts: Column | None = None, exact_text: bool = False,
-           policy: str = "different", chunk: int = led.DEFAULT_CHUNK, trainer: bool = True) -> IngestResult:
+           policy: str = "different", chunk: int = led.DEFAULT_CHUNK, trainer: bool = True,
+           persist: bool = False) -> IngestResult:
     """C1 for one batch. ``ledger`` is the stored ledger, or just its rows
     for the batch's URLs (``LedgerLog.rows_for``); write ``ledger_delta`` to
     the log, or ``ledger`` as a new version. Every output derives from one
-    decision frame: persist it when several outputs are written.
+    decision frame, kept with ``persist`` when several outputs are written
+    (``decided.unpersist()`` afterwards).
 
     Nothing vanishes: accepted items, rejects and passthrough rows add up to
     the input. ``trainer=False`` leaves the concept-trainer rows out (K5)."""
     run_ts = run_ts if run_ts is not None else F.current_timestamp()
     cand, rejects, passthrough = classify(with_seq(items))
     decided = led.decide(cand, ledger, policy=policy, chunk=chunk)
+    if persist:
+        decided = decided.persist()
     new_ledger = led.apply(ledger, decided)
     dropped = (decided.where(~F.col("accepted"))
                .select("source_id", F.col("source_url").alias("url"),
@@ -128,4 +133,4 @@ def ingest(items: DataFrame, ledger: DataFrame | None, routes: DataFrame, *,
     new_dict = dct.upsert(dictionary, dict_items)
     new_links = dct.replace_links(links, dict_items)
     return IngestResult(docs, new_dict, new_links, new_ledger, led.apply(None, decided),
-                        rejects.unionByName(dropped), passthrough, train)
+                        rejects.unionByName(dropped), passthrough, train, decided)

@@ -11,38 +11,40 @@ from quire.session import scratch_path
 from quire.streaming import ingest as si
 
 CHUNKS = 4
-FILES_PER_CHUNK = 2
-
-
-def _count_files(path: str) -> int:
-    from pyarrow import fs as pafs
-
-    uri = "file://" + path if path.startswith("/") else path
-    filesystem, base = pafs.FileSystem.from_uri(uri)
-    infos = filesystem.get_file_info(pafs.FileSelector(base, allow_not_found=True))
-    return sum(1 for i in infos if i.base_name.endswith(".parquet"))
+# Files of one micro-batch; a scheduled run takes all that landed.
+MAX_FILES = 1_000_000
 
 
 @query("stream_ingest", sql=f"""
-SELECT seq, source_id, source_url AS url, modified_at
-FROM ({ledger_accept_sql(S.EVENTS_FEED_SQL)})""")
+WITH a AS ({ledger_accept_sql(S.EVENTS_FEED_SQL)}), f AS ({S.EVENTS_FEED_SQL}), r AS ({S.routes_sql('f')})
+SELECT 'accepted' AS outcome, seq, source_id, source_url AS url, modified_at, CAST(NULL AS BIGINT) AS project_id, CAST(1 AS BIGINT) AS n FROM a
+UNION ALL SELECT 'document', NULL, a.source_id, a.source_url, NULL, r.project_id, count(*) FROM a JOIN r USING (source_id) GROUP BY ALL
+UNION ALL SELECT 'unchanged', NULL, source_id, source_url, NULL, NULL, count(*) FROM f WHERE seq NOT IN (SELECT seq FROM a) GROUP BY ALL""")
 def stream_ingest(spark, sf_dir):
-    """The events feed lands in a folder in four arrival
-    chunks; an AvailableNow stream ingests it micro-batch by micro-batch
-    through the ledger. The accepted rows equal the one-batch run."""
-    feed = S.events_feed(spark, sf_dir).select("seq", "kind", "source_id", "source_url", "modified_at")
+    """The events feed lands in a folder in four
+    arrival chunks; after each a scheduled AvailableNow run ingests what is
+    new, the last chunk's batch twice (a replay). Accepted items, stored
+    documents and rejects of the four batches equal the one-batch run."""
+    feed = S.events_feed(spark, sf_dir).select("seq", "kind", "source_id", "source_url", "modified_at",
+                                               F.coalesce("props", F.lit("")).alias("text"))
     root = scratch_path(spark, "stream")
-    src = f"{root}/feed"
+    src, stores, routes = f"{root}/feed", si.StreamStores(root), S.routes_for(feed)
     lo = feed.agg(F.min("seq")).scalar()
     span = feed.agg(F.max("seq") - F.min("seq") + 1).scalar()
     chunked = feed.withColumn("_chunk", F.floor((F.col("seq") - lo) * CHUNKS / span))
-    for k in range(CHUNKS):  # arrival: chunk k lands before chunk k + 1
-        before = _count_files(src)
-        (chunked.where(F.col("_chunk") == k).drop("_chunk")
-         .repartitionByRange(FILES_PER_CHUNK, "seq").write.mode("append").parquet(src))
-        if _count_files(src) - before != FILES_PER_CHUNK:
-            raise RuntimeError("a feed chunk did not land as the expected number of files")
-    stores = si.StreamStores(root)
-    si.run(spark, src, feed.schema, stores, max_files_per_trigger=FILES_PER_CHUNK)
-    docs = si.accepted_documents(spark, stores)
-    return docs.select("seq", "source_id", F.col("source_url").alias("url"), "modified_at")
+    options = {"routes": routes, "run_ts": F.lit(None).cast("timestamp"), "trainer": False}
+    for k in range(CHUNKS):
+        chunk = chunked.where(F.col("_chunk") == k).drop("_chunk")
+        chunk.write.mode("append").parquet(src)
+        si.run(spark, src, feed.schema, stores, max_files_per_trigger=MAX_FILES, **options)
+    si.process_batch(chunk, CHUNKS - 1, stores, **options)
+    none = F.lit(None)
+    accepted = si.read_target(spark, stores, "accepted").select(
+        F.lit("accepted").alias("outcome"), "seq", "source_id", F.col("source_url").alias("url"), "modified_at",
+        none.cast("long").alias("project_id"), F.lit(1).cast("long").alias("n"))
+    docs = si.read_target(spark, stores, "documents").select(F.lit("document").alias("outcome"), "source_id",
+                                                             F.col("source_url").alias("url"), "project_id")
+    rejects = si.read_target(spark, stores, "rejects").select(F.col("reason").alias("outcome"), "source_id", "url",
+                                                              none.cast("long").alias("project_id"))
+    counted = docs.unionByName(rejects).groupBy("outcome", "source_id", "url", "project_id").agg(F.count(F.lit(1)).alias("n"))
+    return accepted.unionByName(counted.withColumn("seq", none.cast("long")).withColumn("modified_at", none.cast("timestamp_ntz")))

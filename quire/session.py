@@ -92,15 +92,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint directory for written tables."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[5:]
-    if "://" in base:
-        import uuid
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """A fresh path under the shared checkpoint directory for written tables
+    (in that folder's own file system; writers create it)."""
+    import uuid
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:

@@ -5,11 +5,13 @@ write per batch. Here a batch writes only its *delta* - the new state of the
 URLs it touched (one row per URL) - to ``delta/batch=n``. The current row of
 a URL is its row in the newest delta that has it, else its base row:
 
-* a batch reads only the rows of its own URLs: base and deltas are scanned
-  (two columns) and semi-joined with the batch's URL set (broadcast when its
-  size is proven small), then reduced to the newest row per URL;
+* base and deltas are partitioned by a hash bucket of the URL: a batch reads
+  the buckets its URLs fall into and no others (a partition filter), semi-joins
+  them with its URL set (broadcast when its size is proven small) and reduces
+  to the newest row per URL;
 * ``compact(n)`` folds base + deltas up to ``n`` into base version ``n``
-  (one shuffle, run on a schedule - not per batch);
+  (one shuffle, run on a schedule - not per batch), and removes what the base
+  before it had already folded - a replay of batch ``n`` still finds its input;
 * the whole state (for high-water marks or export) is the same reduction
   over everything.
 
@@ -23,40 +25,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.session import keyed_filter
+from quire.sinks.files import finished_folders, remove_folder
 from quire.sinks.tables import VersionedTable
 
 LEDGER_COLUMNS = ["source_id", "url", "modified_at"]
 MAX_BROADCAST_BATCH_URLS = 1_000_000
 
 
+# Hash buckets of the stored ledger; a larger ledger takes more.
+BUCKETS = 64
+
+
 class LedgerLog:
-    def __init__(self, path: str):
+    def __init__(self, path: str, buckets: int = BUCKETS):
         self.path = path.rstrip("/")
+        self.buckets = buckets
         self.base = VersionedTable(f"{self.path}/base")
         self.delta_path = f"{self.path}/delta"
 
+    def _bucket(self, url: str):
+        return F.pmod(F.xxhash64(url), F.lit(self.buckets)).cast("int")
+
     def _deltas(self, spark: SparkSession, after: int, before: int | None) -> DataFrame | None:
-        from pyarrow import fs as pafs
-
-        uri = "file://" + self.delta_path if self.delta_path.startswith("/") else self.delta_path
-        filesystem, base = pafs.FileSystem.from_uri(uri)
-        infos = filesystem.get_file_info(pafs.FileSelector(base, allow_not_found=True))
-        done = [int(i.base_name.split("=", 1)[1]) for i in infos
-                if i.base_name.startswith("batch=") and
-                filesystem.get_file_info(f"{base}/{i.base_name}/_SUCCESS").type == pafs.FileType.File]
-        keep = [b for b in done if b > after and (before is None or b < before)]
+        keep = [b for b in finished_folders(spark, self.delta_path, "batch=") if b > after and (before is None or b < before)]
         if not keep:
             return None
         paths = [f"{self.delta_path}/batch={b}" for b in keep]
         return (spark.read.option("basePath", self.delta_path).parquet(*paths)
-                .select(*LEDGER_COLUMNS, F.col("batch").cast("long").alias("_ver")))
+                .select(*LEDGER_COLUMNS, "bucket", F.col("batch").cast("long").alias("_ver")))
 
     def _parts(self, spark: SparkSession, before: int | None) -> DataFrame | None:
-        bases = [v for v in self.base.versions() if before is None or v < before]
+        bases = [v for v in self.base.versions(spark) if before is None or v < before]
         parts = []
         if bases:
             parts.append(self.base.read(spark, before=bases[-1] + 1).select(
-                *LEDGER_COLUMNS, F.lit(-1).cast("long").alias("_ver")))
+                *LEDGER_COLUMNS, "bucket", F.lit(-1).cast("long").alias("_ver")))
         d = self._deltas(spark, bases[-1] if bases else -1, before)
         if d is not None:
             parts.append(d)
@@ -77,7 +80,10 @@ class LedgerLog:
         parts = self._parts(spark, before)
         if parts is None:
             return None
-        touched = keyed_filter(parts, urls.select("url").distinct(), "url", "left_semi", MAX_BROADCAST_BATCH_URLS)
+        urls = urls.select("url").where("url IS NOT NULL").distinct()
+        # at most BUCKETS numbers: the partition filter of base and deltas
+        hit = [r[0] for r in urls.select(self._bucket("url")).distinct().collect()]
+        touched = keyed_filter(parts.where(F.col("bucket").isin(hit)), urls, "url", "left_semi", MAX_BROADCAST_BATCH_URLS)
         return self._newest(touched)
 
     def state(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
@@ -85,11 +91,23 @@ class LedgerLog:
         parts = self._parts(spark, before)
         return None if parts is None else self._newest(parts)
 
+    def _laid_out(self, rows: DataFrame) -> DataFrame:
+        """Rows with their bucket, one bucket's rows together (a hash spreads them evenly)."""
+        return rows.select(*LEDGER_COLUMNS).withColumn("bucket", self._bucket("url")).repartition("bucket")
+
     def append_delta(self, delta: DataFrame, batch_id: int) -> None:
-        delta.select(*LEDGER_COLUMNS).write.mode("overwrite").parquet(f"{self.delta_path}/batch={batch_id}")
+        self._laid_out(delta).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.delta_path}/batch={batch_id}")
 
     def compact(self, spark: SparkSession, upto: int) -> None:
-        """Fold base + deltas ``<= upto`` into base version ``upto``."""
+        """Fold base + deltas ``<= upto`` into base version ``upto``; what was
+        folded into the base before this one is removed."""
         state = self.state(spark, before=upto + 1)
-        if state is not None:
-            self.base.write(state.sortWithinPartitions("source_id", "modified_at"), upto)
+        if state is None:
+            return
+        older = [v for v in self.base.versions(spark) if v < upto]
+        self.base.write(self._laid_out(state), upto, partition_by=["bucket"], sort_within=["source_id", "modified_at"])
+        if older:
+            self.base.remove_before(spark, older[-1])
+            for b in finished_folders(spark, self.delta_path, "batch="):
+                if b <= older[-1]:
+                    remove_folder(spark, f"{self.delta_path}/batch={b}")

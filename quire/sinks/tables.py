@@ -11,13 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def _fs(path: str):
-    from pyarrow import fs as pafs
-
-    uri = "file://" + path if path.startswith("/") else path
-    return pafs.FileSystem.from_uri(uri)
-
+from quire.sinks.files import finished_folders, remove_folder
 
 class VersionedTable:
     """``{path}/v={n}`` directories; version ``n`` is the state after step ``n``."""
@@ -25,26 +19,12 @@ class VersionedTable:
     def __init__(self, path: str):
         self.path = path.rstrip("/")
 
-    def versions(self) -> list[int]:
-        from pyarrow import fs as pafs
-
-        filesystem, base = _fs(self.path)
-        try:
-            infos = filesystem.get_file_info(pafs.FileSelector(base, allow_not_found=True))
-        except FileNotFoundError:
-            return []
-        out = []
-        for info in infos:
-            name = info.base_name
-            if info.type == pafs.FileType.Directory and name.startswith("v="):
-                ok = filesystem.get_file_info(f"{base}/{name}/_SUCCESS")
-                if ok.type == pafs.FileType.File:
-                    out.append(int(name[2:]))
-        return sorted(out)
+    def versions(self, spark: SparkSession) -> list[int]:
+        return finished_folders(spark, self.path, "v=")
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame | None:
         """Newest complete version (strictly before ``before`` when given)."""
-        vs = [v for v in self.versions() if before is None or v < before]
+        vs = [v for v in self.versions(spark) if before is None or v < before]
         if not vs:
             return None
         return spark.read.parquet(f"{self.path}/v={vs[-1]}")
@@ -60,11 +40,17 @@ class VersionedTable:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path}/v={version}")
 
+    def remove_before(self, spark: SparkSession, version: int) -> None:
+        """Delete the versions older than ``version``."""
+        for v in self.versions(spark):
+            if v < version:
+                remove_folder(spark, f"{self.path}/v={v}")
+
 
 def write_ledger(table: VersionedTable, ledger: DataFrame, version: int) -> None:
     """K1 + K12: ledger version laid out for (source_id, modified_at) access:
-    partitioned by source, sorted by time within (row-group statistics let
-    a high-water-mark or since-date read skip most of it)."""
+    each task sorts its rows by source and time, so that row-group statistics
+    let a high-water-mark or since-date read skip most of them."""
     table.write(ledger, version, sort_within=["source_id", "modified_at"])
 
 

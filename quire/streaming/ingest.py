@@ -1,12 +1,13 @@
-"""Streaming ingest (T1, T2, T4, T7): item files -> ledger -> documents.
+"""Streaming ingest (T1, T2, T7): the whole ingest job per micro-batch.
 
-``readStream`` over an item folder, ``foreachBatch`` applies the ledger
-(U1) to each micro-batch against the ledger as it stood before the batch,
-writes the accepted documents of batch ``n`` to ``docs/batch=n``
-(overwrite: a replayed batch rewrites the same rows) and only then writes
-the ledger change of batch ``n`` (targets first, ledger last - T7). A batch
-that is re-run after a failure reads the ledger from *before* it, so it
-decides exactly as the first attempt did.
+``readStream`` over an item folder, ``foreachBatch`` runs C1 on each
+micro-batch against the ledger as it stood before the batch: rejects (P2,
+P13), documents, dictionary items, links, trainer and passthrough rows of
+batch ``n`` go to ``{target}/batch=n`` (overwrite: a replayed batch rewrites
+the same rows) and only then the ledger change of batch ``n`` is written
+(targets first, ledger last - T7). A batch that is re-run after a failure
+reads the ledger from *before* it, so it decides exactly as the first
+attempt did.
 
 Ledger layouts: ``"log"`` (default) keeps a base snapshot plus one delta
 per batch (:mod:`quire.sinks.ledger_log`): a batch reads only its URLs' rows
@@ -23,11 +24,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from quire.operators import ledger as led
+from quire.operators import ingest as ing
 from quire.sinks.ledger_log import LedgerLog
 from quire.sinks.tables import VersionedTable, write_ledger
 
@@ -38,9 +39,8 @@ COMPACT_EVERY = 8
 class StreamStores:
     root: str
 
-    @property
-    def docs(self) -> str:
-        return f"{self.root}/docs"
+    def target(self, name: str) -> str:
+        return f"{self.root}/{name}"
 
     @property
     def ledger(self) -> VersionedTable:
@@ -55,37 +55,45 @@ class StreamStores:
         return f"{self.root}/_checkpoint"
 
 
-def process_batch(batch: DataFrame, batch_id: int, stores: StreamStores, *, policy: str = "different",
-                  layout: str = "log", compact_every: int = COMPACT_EVERY) -> None:
+# Targets of a batch, in the order they are written.
+TARGETS = ["rejects", "passthrough", "documents", "dictionary", "links", "trainer", "accepted"]
+ROUTES_SCHEMA = "source_id string, project_id long, dataset_id long"
+
+
+def process_batch(batch: DataFrame, batch_id: int, stores: StreamStores, *, routes: DataFrame | None = None,
+                  policy: str = "different", layout: str = "log", compact_every: int = COMPACT_EVERY,
+                  trainer: bool = True, run_ts: Column | None = None) -> None:
     spark = batch.sparkSession
     if layout == "log":
         prior = stores.log.rows_for(spark, batch.select(F.col("source_url").alias("url")), before=batch_id)
     else:
         prior = stores.ledger.read(spark, before=batch_id)
-    decided = led.decide(batch, prior, policy=policy).persist()
+    routes = routes if routes is not None else spark.createDataFrame([], ROUTES_SCHEMA)
+    res = ing.ingest(batch, prior, routes, run_ts=run_ts, policy=policy, trainer=trainer, persist=True)
+    accepted = res.decided.where("accepted").select("seq", "kind", "source_id", "source_url", "modified_at")
     try:
-        accepted = decided.where("accepted").drop("accepted")
-        (accepted.withColumn("batch", F.lit(batch_id))
-         .write.mode("overwrite").parquet(f"{stores.docs}/batch={batch_id}"))
+        for name in TARGETS:
+            rows = accepted if name == "accepted" else getattr(res, name)
+            if rows is not None:
+                rows.write.mode("overwrite").parquet(f"{stores.target(name)}/batch={batch_id}")
         if layout == "log":
-            stores.log.append_delta(led.apply(None, decided), batch_id)
+            stores.log.append_delta(res.ledger_delta, batch_id)
             if compact_every and (batch_id + 1) % compact_every == 0:
                 stores.log.compact(spark, batch_id)
         else:
-            write_ledger(stores.ledger, led.apply(prior, decided), batch_id)
+            write_ledger(stores.ledger, res.ledger, batch_id)
     finally:
-        decided.unpersist()
+        res.decided.unpersist()
 
 
 def run(spark: SparkSession, source_dir: str, schema: StructType, stores: StreamStores, *,
-        max_files_per_trigger: int = 1, policy: str = "different", fmt: str = "parquet",
-        layout: str = "log", compact_every: int = COMPACT_EVERY):
-    """Run the ingest stream until every available file is processed."""
+        max_files_per_trigger: int = 1, fmt: str = "parquet", **batch_options):
+    """Run the ingest stream until every available file is processed;
+    ``batch_options`` go to :func:`process_batch`."""
     stream = (spark.readStream.schema(schema).format(fmt)
               .option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir))
     q = (stream.writeStream
-         .foreachBatch(lambda df, bid: process_batch(df, bid, stores, policy=policy, layout=layout,
-                                                     compact_every=compact_every))
+         .foreachBatch(lambda df, bid: process_batch(df, bid, stores, **batch_options))
          .option("checkpointLocation", stores.checkpoint)
          .trigger(availableNow=True)
          .start())
@@ -93,8 +101,14 @@ def run(spark: SparkSession, source_dir: str, schema: StructType, stores: Stream
     return q
 
 
+def read_target(spark: SparkSession, stores: StreamStores, name: str) -> DataFrame:
+    """All batches of one target so far (column ``batch`` added)."""
+    return spark.read.parquet(stores.target(name))
+
+
 def accepted_documents(spark: SparkSession, stores: StreamStores) -> DataFrame:
-    return spark.read.parquet(stores.docs)
+    """Keys of the accepted items."""
+    return read_target(spark, stores, "accepted")
 
 
 def ledger_state(spark: SparkSession, stores: StreamStores, layout: str = "log") -> DataFrame | None:

@@ -17,7 +17,7 @@ def test_versioned_table_reads_newest_complete(spark):
     tables.write_ledger(t, led, 0)
     tables.write_ledger(t, led.where("source_id = 'a'"), 1)
     os.makedirs(f"{t.path}/v=2")  # a crashed write: no _SUCCESS, never read
-    assert t.versions() == [0, 1]
+    assert t.versions(spark) == [0, 1]
     assert t.read(spark).count() == 1
     assert t.read(spark, before=1).count() == 2
     # Rows sorted by (source_id, modified_at) within each file

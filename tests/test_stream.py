@@ -24,26 +24,9 @@ def test_stream_equals_batch_and_replay(spark):
     want_state = {tuple(r) for r in led.apply(None, led.decide(feed)).select("source_id", "url", "modified_at").collect()}
     assert {tuple(r) for r in si.ledger_state(spark, stores).collect()} == want_state
     # replay batch 1: it must read ledger v=0 and write the same rows again
-    before = sorted(r.seq for r in spark.read.parquet(f"{stores.docs}/batch=1").collect())
+    before = sorted(r.seq for r in spark.read.parquet(f"{stores.target("accepted")}/batch=1").collect())
     si.process_batch(feed.where("seq >= 30 AND seq < 60"), 1, stores)
-    assert sorted(r.seq for r in spark.read.parquet(f"{stores.docs}/batch=1").collect()) == before
-
-
-def test_stateful_form_equals_batch(spark):
-    from quire.streaming.stateful import decide_stateful
-
-    times = [None, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)]
-    rows = [(i, "text", "s", f"u{i % 5}", times[(i * 7) % 3]) for i in range(60)]
-    feed = spark.createDataFrame(rows, SCHEMA)
-    root = scratch_path(spark, "statefultest")
-    for k in range(3):
-        feed.where(f"seq >= {k * 20} AND seq < {(k + 1) * 20}").coalesce(1).write.mode("append").parquet(f"{root}/in")
-    stream = spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    q = (decide_stateful(stream).writeStream.format("parquet").option("path", f"{root}/out")
-         .option("checkpointLocation", f"{root}/chk").trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = sorted(r.seq for r in spark.read.parquet(f"{root}/out").collect())
-    assert got == sorted(r.seq for r in led.accept(feed).collect())
+    assert sorted(r.seq for r in spark.read.parquet(f"{stores.target("accepted")}/batch=1").collect()) == before
 
 
 def test_ordered_release_across_batches(spark):
@@ -83,7 +66,7 @@ def test_incremental_scheduled_runs(spark):
     stores = si.StreamStores(root)
     feed.where("seq < 20").coalesce(1).write.mode("append").parquet(f"{root}/in")
     si.run(spark, f"{root}/in", feed.schema, stores)
-    first = spark.read.parquet(stores.docs).count()
+    first = si.accepted_documents(spark, stores).count()
     feed.where("seq >= 20").coalesce(1).write.mode("append").parquet(f"{root}/in")
     si.run(spark, f"{root}/in", feed.schema, stores)  # the next scheduled run
     assert si.ledger_state(spark, stores).count() == 4
@@ -110,3 +93,39 @@ def test_ledger_layouts_agree_with_compaction(spark):
         results[layout] = (docs, state)
     assert results["log"] == results["versions"]
     assert results["log"][0] == sorted(r.seq for r in led.accept(feed).collect())
+
+
+def test_every_target_and_bad_rows(spark):
+    """Rejects, passthrough, documents, dictionary and links per batch; nothing vanishes."""
+    schema = ("seq long, kind string, source_id string, source_url string, text string, item_type string, item_id string, name string, "
+              "links array<struct<link_type:string,item_type:string,item_id:string>>, modified_at timestamp")
+    link = [(None, "attribute", "a1")]
+    rows = [(1, "text", "s", "u1", "t", None, None, None, None, None), (2, "text", "s", None, "t", None, None, None, None, None),
+            (3, "text", "s", "u" * 300, "t", None, None, None, None, None), (4, None, "s", "u4", "t", None, None, None, None, None),
+            (5, "dictionary", "s", "u5", None, "element", "e1", "E", link, None), (None, "text", "s", "u6", "t", None, None, None, None, None),
+            (7, "text", "s", "u1", "again", None, None, None, None, None)]
+    stores = si.StreamStores(scratch_path(spark, "targets"))
+    for b, part in enumerate((rows[:4], rows[4:])):
+        si.process_batch(spark.createDataFrame(part, schema), b, stores)
+    count = lambda name: si.read_target(spark, stores, name).count()
+    assert {n: count(n) for n in si.TARGETS} == {"rejects": 3, "passthrough": 1, "documents": 2, "dictionary": 1, "links": 1,
+                                                 "trainer": 2, "accepted": 3}
+    assert {r.reason for r in si.read_target(spark, stores, "rejects").collect()} == {"missing source_url", "source_url too long", "unchanged"}
+
+
+def test_ledger_log_reads_touched_buckets_and_removes_old(spark):
+    from quire.sinks.files import finished_folders
+    from quire.sinks.ledger_log import LedgerLog
+
+    log = LedgerLog(scratch_path(spark, "buckets"), buckets=8)
+    rows = spark.range(200).selectExpr("'s' AS source_id", "concat('u', id) AS url", "CAST(NULL AS timestamp) AS modified_at")
+    for b in range(6):
+        log.append_delta(rows.where(f"pmod(int(substr(url, 2)), 6) = {b}"), b)
+        if b in (1, 3, 5):
+            log.compact(spark, b)
+    assert log.base.versions(spark) == [3, 5] and finished_folders(spark, log.delta_path, "batch=") == [4, 5]
+    assert log.state(spark).count() == 200 and log.state(spark, before=5).count() == 200 - 33
+    one = log.rows_for(spark, spark.createDataFrame([("u7",), (None,)], "url string"))
+    assert [r.url for r in one.collect()] == ["u7"]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
