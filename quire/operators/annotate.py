@@ -65,3 +65,21 @@ def pre_annotate(docs: DataFrame, annotations: DataFrame, labels: DataFrame, *,
         rows.agg(F.count(F.lit(1))).scalar().alias("spans"),
         created.agg(F.count(F.lit(1))).scalar().cast("long").alias("labels_added"))
     return AnnotationRun(ann, created, counters, rows)
+
+
+# Offsets are cut into cells of this many characters to join overlapping spans.
+CELL = 64
+
+
+def overlapping(a: DataFrame, b: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The spans of ``a`` with ``overlaps``, whether a span of ``b`` in the
+    same document shares a character with it. Spans meet in the offset cells
+    they cover, so a text with many spans is never paired span by span."""
+    def cells(df, start, end):
+        return df.withColumn("_cell", F.explode(F.sequence(F.expr(f"{start} div {CELL}"), F.expr(f"greatest({end} - 1, {start}) div {CELL}"))))
+
+    k = [key, "start_offset", "end_offset"]
+    left = cells(a.select(*k).distinct(), "start_offset", "end_offset")
+    right = cells(b.select(F.col(key), F.col("start_offset").alias("_s"), F.col("end_offset").alias("_e")).distinct(), "_s", "_e")
+    hit = left.join(right, [key, "_cell"]).where("_s < end_offset AND start_offset < _e").select(*k).distinct()
+    return a.join(hit.withColumn("overlaps", F.lit(True)), k, "left").withColumn("overlaps", F.coalesce("overlaps", F.lit(False)))

@@ -187,3 +187,11 @@ def versions(decided: DataFrame, *, url_col: str = "source_url", chunk: int = DE
 
     acc = decided.where("accepted").drop("accepted")
     return running(acc, [url_col], "seq", {"version": ("count", "seq")}, chunk)
+
+
+def as_of(decided: DataFrame, seq, *, url_col: str = "source_url") -> DataFrame:
+    """The corpus as it stood after arrival ``seq``: per URL the columns
+    of its last accepted item up to then (an aggregate combined map-side)."""
+    rest = [c for c in decided.columns if c not in (url_col, "accepted")]
+    return (decided.where(F.col("accepted") & (F.col("seq") <= seq))
+            .groupBy(url_col).agg(F.max_by(F.struct(*rest), "seq").alias("_i")).select(url_col, "_i.*"))

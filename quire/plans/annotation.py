@@ -165,26 +165,63 @@ def export_jsonl(spark, sf_dir):
     return d.select("doc_id", F.size("spans").cast("long").alias("n_spans"), line.alias("line"))
 
 
+@query("annotator_overlap", sql=f"""
+WITH a AS ({_spans_rows_sql('SELECT * FROM documents', 'doc_id', TERMS)}),
+b AS ({_spans_rows_sql('SELECT * FROM documents', 'doc_id', WIDE)})
+SELECT doc_id, start_offset, end_offset, label, EXISTS (
+  SELECT 1 FROM b WHERE b.doc_id = a.doc_id AND b.start_offset < a.end_offset AND a.start_offset < b.end_offset) AS overlaps
+FROM a""")
+def annotator_overlap(spark, sf_dir):
+    """Which spans of one annotator another one's spans overlap."""
+    d = S.table(spark, sf_dir, "documents")
+    a = an.explode_spans(an.spans(d, pattern=TERMS), ["doc_id"])
+    b = an.explode_spans(an.spans(d, pattern=WIDE), ["doc_id"])
+    return an.overlapping(a, b).select("doc_id", "start_offset", "end_offset", "label", "overlaps")
+
+
+@query("label_breakdown", sql=f"""
+WITH r AS ({S.routes_sql('(SELECT source AS source_id FROM documents)')}),
+sp AS ({_spans_rows_sql('SELECT * FROM documents', 'doc_id', TERMS)})
+SELECT r.project_id, d.source, sp.label, count(DISTINCT doc_id) AS n_docs, count(*) AS n_spans
+FROM sp JOIN documents d USING (doc_id) JOIN r ON r.source_id = d.source GROUP BY ALL""")
+def label_breakdown(spark, sf_dir):
+    """Spans counted by project, source and label; counted per document
+    before anything is joined."""
+    d = S.table(spark, sf_dir, "documents").withColumnRenamed("source", "source_id")
+    per = (an.explode_spans(an.spans(d, pattern=TERMS), ["doc_id", "source_id"])
+           .groupBy("doc_id", "source_id", "label").agg(F.count(F.lit(1)).alias("n")))
+    per = per.groupBy("source_id", "label").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_spans"))
+    return (per.join(S.routes_for(d), "source_id")
+            .select("project_id", F.col("source_id").alias("source"), "label", "n_docs", "n_spans"))
+
+
 @query("annotation_store", sql=f"""
 WITH r AS ({S.routes_sql('(SELECT source AS source_id FROM documents)')}),
-sp AS ({_spans_rows_sql(UNLABELLED_SQL, 'doc_id', TERMS)})
-SELECT r.project_id, count(DISTINCT sp.doc_id) AS n_docs, count(*) AS n_annotations
-FROM sp JOIN documents d USING (doc_id) JOIN r ON r.source_id = d.source
-GROUP BY r.project_id""")
+sp AS ({_spans_rows_sql(UNLABELLED_SQL, 'doc_id', TERMS)}),
+ex AS ({EXISTING_LABELS_SQL}),
+new AS (SELECT text, (SELECT coalesce(max(id), 0) FROM ex) + row_number() OVER (ORDER BY text) AS id
+        FROM (SELECT DISTINCT label AS text FROM sp) WHERE text NOT IN (SELECT text FROM ex)),
+lab AS (SELECT text, id FROM ex UNION ALL SELECT text, id FROM new)
+SELECT r.project_id, sp.doc_id, sp.start_offset, sp.end_offset, lab.id AS label_id, lab.text AS label
+FROM sp JOIN documents d USING (doc_id) JOIN r ON r.source_id = d.source JOIN lab ON lab.text = sp.label""")
 def annotation_store(spark, sf_dir):
-    """K7 + S5/S8: annotation rows written partitioned by project, then read
-    back project by project through partition pruning."""
+    """Annotation rows with their label ids written partitioned by
+    project, created labels appended to the label store, both read back."""
     d = S.table(spark, sf_dir, "documents").withColumnRenamed("source", "source_id")
-    routes = S.routes_for(d)
-    run = an.pre_annotate(d, S.table(spark, sf_dir, "labels"), _existing_labels(spark, sf_dir), pattern=TERMS)
-    r, _ = bounded_broadcast(routes.select("source_id", "project_id"), ing.MAX_BROADCAST_ROUTES)
+    old = _existing_labels(spark, sf_dir)
+    run = an.pre_annotate(d, S.table(spark, sf_dir, "labels"), old, pattern=TERMS)
+    r, _ = bounded_broadcast(S.routes_for(d).select("source_id", "project_id"), ing.MAX_BROADCAST_ROUTES)
     rows = run.annotations.join(d.select("doc_id", "source_id"), "doc_id").join(r, "source_id")
-    path = scratch_path(spark, "annotations")
+    path, labels = scratch_path(spark, "annotations"), scratch_path(spark, "labels")
     (rows.select("project_id", "doc_id", "start_offset", "end_offset", "label", "prob")
      .write.mode("overwrite").partitionBy("project_id").parquet(path))
-    store = spark.read.parquet(path).withColumn("project_id", F.col("project_id").cast("long"))
-    return store.groupBy("project_id").agg(F.countDistinct("doc_id").alias("n_docs"),
-                                           F.count(F.lit(1)).alias("n_annotations"))
+    old.select("id", "text").write.parquet(labels)
+    run.labels.select("id", "text").write.mode("append").parquet(labels)
+    lab, _ = bounded_broadcast(spark.read.parquet(labels).select(F.col("id").alias("label_id"), F.col("text").alias("_text")),
+                               an.MAX_BROADCAST_LABELS)
+    return (spark.read.parquet(path).join(lab, F.col("label") == F.col("label_id"))
+            .select(F.col("project_id").cast("long").alias("project_id"), "doc_id", "start_offset", "end_offset", "label_id",
+                    F.col("_text").alias("label")))
 
 
 @query("source_overview", sql=f"""

@@ -316,3 +316,52 @@ def doc_meta_json(spark, sf_dir):
     # a full join, so that a lost row on either side shows
     return (docs.withColumn("name", F.right("source_url", F.lit(150))).join(trainer, "name", "full_outer")
             .select("source_url", "project_id", "dataset_id", "filename", "meta", "name", "n_chars", "trainer_chars"))
+
+
+HALF_SQL = "(SELECT (min(event_id) + max(event_id)) // 2 FROM events)"
+
+
+@query("corpus_as_of", sql=f"""
+WITH a AS ({ledger_accept_sql(S.EVENTS_FEED_SQL)})
+SELECT source_url, seq, source_id, modified_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY source_url ORDER BY seq DESC) AS rk FROM a WHERE seq <= {HALF_SQL}) WHERE rk = 1""")
+def corpus_as_of(spark, sf_dir):
+    """The corpus as it stood half-way through the feed's arrivals."""
+    feed = S.events_feed(spark, sf_dir)
+    half = S.table(spark, sf_dir, "events").agg(F.expr("(min(event_id) + max(event_id)) div 2")).scalar()
+    return led.as_of(led.decide(feed), half).select("source_url", "seq", "source_id", "modified_at")
+
+
+@query("incremental_start", sql=f"""
+WITH a AS ({ledger_accept_sql(BATCH1_SQL)}),
+m AS (SELECT source_id, date_trunc('day', max(modified_at)) AS d FROM ({ledger_state_sql('SELECT * FROM a')}) GROUP BY source_id)
+SELECT f.seq, f.source_id, f.source_url, f.modified_at
+FROM ({S.EVENTS_FEED_SQL}) f LEFT JOIN m USING (source_id) WHERE d IS NULL OR f.modified_at >= d""")
+def incremental_start(spark, sf_dir):
+    """An incremental run starts at each source's high-water
+    mark, cut to its day; the marks come from the stored ledger."""
+    log, _ = _ledger1(spark, sf_dir)
+    marks = led.high_water_mark(log.state(spark))
+    return led.since_mark(S.events_feed(spark, sf_dir), marks).select("seq", "source_id", "source_url", "modified_at")
+
+
+@query("project_store", sql=f"""
+WITH r AS ({S.routes_sql('(SELECT source AS source_id FROM documents)')}), p AS (SELECT min(project_id) AS project_id FROM r)
+SELECT project_id, 'https://corpus.example.org/' || source || '/' || CAST(doc_id AS VARCHAR) AS source_url, text
+FROM documents JOIN r ON r.source_id = source WHERE project_id = (SELECT project_id FROM p)""")
+def project_store(spark, sf_dir):
+    """Documents ingested in two appends to a store partitioned by
+    project; the documents of one project come from its partition alone."""
+    from quire.sinks.tables import append_documents
+    from quire.session import scratch_path
+    from quire.sources.extractors import project_documents
+
+    d = S.table(spark, sf_dir, "documents")
+    url = F.concat(F.lit("https://corpus.example.org/"), "source", F.lit("/"), F.col("doc_id").cast("string"))
+    feed = d.select(F.col("doc_id").alias("seq"), F.lit("text").alias("kind"), F.col("source").alias("source_id"),
+                    url.alias("source_url"), "text")
+    routes, path = S.routes_for(feed), scratch_path(spark, "documents")
+    for part in (feed.where("length(text) < 1000"), feed.where("length(text) >= 1000")):
+        append_documents(ing.ingest(part, None, routes, run_ts=F.lit(None).cast("timestamp"), trainer=False).documents, path)
+    first = routes.agg(F.min("project_id")).head()[0]
+    return project_documents(spark, path, first).select(F.col("project_id").cast("long").alias("project_id"), "source_url", "text")

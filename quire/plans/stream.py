@@ -28,7 +28,7 @@ def stream_ingest(spark, sf_dir):
     feed = S.events_feed(spark, sf_dir).select("seq", "kind", "source_id", "source_url", "modified_at",
                                                F.coalesce("props", F.lit("")).alias("text"))
     root = scratch_path(spark, "stream")
-    src, stores, routes = f"{root}/feed", si.StreamStores(root), S.routes_for(feed)
+    src, stores, routes = f"{root}/feed", si.StreamStores(root, buckets=8), S.routes_for(feed)
     lo = feed.agg(F.min("seq")).scalar()
     span = feed.agg(F.max("seq") - F.min("seq") + 1).scalar()
     chunked = feed.withColumn("_chunk", F.floor((F.col("seq") - lo) * CHUNKS / span))

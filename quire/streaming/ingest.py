@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quire.operators import ingest as ing
-from quire.sinks.ledger_log import LedgerLog
+from quire.sinks.ledger_log import BUCKETS, LedgerLog
 from quire.sinks.tables import VersionedTable, write_ledger
 
 COMPACT_EVERY = 8
@@ -38,6 +38,7 @@ COMPACT_EVERY = 8
 @dataclass
 class StreamStores:
     root: str
+    buckets: int = BUCKETS
 
     def target(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -48,7 +49,7 @@ class StreamStores:
 
     @property
     def log(self) -> LedgerLog:
-        return LedgerLog(f"{self.root}/ledger_log")
+        return LedgerLog(f"{self.root}/ledger_log", self.buckets)
 
     @property
     def checkpoint(self) -> str:
