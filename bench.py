@@ -17,7 +17,8 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = ["html_to_text", "ledger_accept", "page_links", "annotate_terms", "link_replace",
-            "ingest_pages", "ledger_two_batches", "dictionary_upsert", "lexicon_codes", "status_and_empty"]
+            "ingest_pages", "ledger_two_batches", "dictionary_upsert", "lexicon_codes", "status_and_empty",
+            "annotation_store", "conditions_source", "frontier_walk"]
 
 
 def main() -> None:
