@@ -13,7 +13,6 @@ per merge.
 from __future__ import annotations
 
 import base64
-import functools
 import heapq
 
 import numpy as np
@@ -27,7 +26,7 @@ VOCAB = "byte_bpe_multi_50k.tiktoken"
 LONG = 256
 BUCKETS = (4, 6, 8, 12, 16, 24, 32, 64, 128, LONG)
 MATRIX_CELLS = 1 << 20
-CACHED_PIECES = 400_000
+CACHED_PIECES = 150_000
 TEXT_CHARS = 4_000_000
 NONE = np.int32(2 ** 31 - 1)
 
@@ -90,7 +89,7 @@ class ByteBpe:
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pairs = PairTable(self.ranks)
         self.pieces_of = regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
+        self.known: C.Recent = C.Recent(CACHED_PIECES)     # piece -> ids
 
     def merge_rows(self, rows: list[bytes], width: int) -> list[np.ndarray]:
         """Token ids of each row; rows have 1 to ``width`` bytes."""
@@ -153,10 +152,8 @@ class ByteBpe:
 
     def learn(self, pieces: set[str]) -> None:
         """Put the ids of the pieces into ``known``."""
-        if len(self.known) > CACHED_PIECES:
-            self.known.clear()
         by_width: dict[int, list[tuple[str, bytes]]] = {}
-        for p in pieces:
+        for p in self.known.missing(pieces):
             raw = p.encode("utf-8")
             whole = self.ranks.get(raw)
             if whole is not None:
@@ -185,9 +182,7 @@ class ByteBpe:
             new = set()
             for pieces in cut:
                 new.update(pieces)
-            if len(self.known) + len(new) > CACHED_PIECES:
-                self.known.clear()
-            self.learn({p for p in new if p not in self.known})
+            self.learn(new)
             out += [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
         return out
 
@@ -195,10 +190,9 @@ class ByteBpe:
         return b"".join(map(self.token_bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@functools.lru_cache(maxsize=4)
 def load(path: str, pattern: str) -> ByteBpe:
-    """One encoder per worker process."""
-    return ByteBpe(path, pattern)
+    """The worker's encoder."""
+    return C.one_model(("byte_bpe", path, pattern), lambda: ByteBpe(path, pattern))
 
 
 def _parts(vocab: str, folder: str | None, pattern: str | None) -> tuple[str, str]:

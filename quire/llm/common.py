@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from quire.session import checkpoint_dir, ship_package
 
 # Rows of one Arrow batch: texts of 100 kB and more must not pile up in a worker.
-ARROW_ROWS = 1024
+ARROW_ROWS = 512
 # A key set of at most this many rows (16 bytes each) may be broadcast.
 BROADCAST_KEYS = 1_000_000
 
@@ -44,21 +44,60 @@ def ids_only(docs: DataFrame, id_col: str, *cols: str) -> DataFrame:
                        *[F.col(f"`{c}`").alias(a) for c, a in zip(cols, ("text", "lang"), strict=False)])
 
 
+def small(keys: DataFrame, rows: int | None = None) -> DataFrame:
+    """``keys`` (a few short columns) with a broadcast hint if it is counted to
+    at most ``rows`` (``BROADCAST_KEYS``) rows; beyond that Spark joins by shuffle."""
+    rows = BROADCAST_KEYS if rows is None else rows
+    return F.broadcast(keys) if keys.limit(rows + 1).count() <= rows else keys
+
+
 def without_ids(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose id is not in ``ids`` (one column ``doc_id``, no
     repeats). The ids are broadcast only when counted to at most
     ``BROADCAST_KEYS``; beyond that Spark joins by shuffle. Null ids stay."""
-    gone = ids.select(F.col("doc_id").alias("_gone"))
-    if gone.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
-        gone = F.broadcast(gone)
+    gone = small(ids.select(F.col("doc_id").alias("_gone")))
     return docs.join(gone, docs[f"`{id_col}`"].cast("long") == gone["_gone"], "left_anti")
 
 
 def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` (column ``doc_id``) whose id is in ``ids``; broadcast rule as above."""
-    if ids.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
-        ids = F.broadcast(ids)
-    return docs.join(ids, "doc_id", "left_semi")
+    return docs.join(small(ids), "doc_id", "left_semi")
+
+
+_MODEL: dict = {}
+
+
+def one_model(key: tuple, build):
+    """The worker process's model under ``key``, built on first use. Workers
+    are used again by later stages, so a new model takes the old one's place."""
+    if key not in _MODEL:
+        _MODEL.clear()
+        _MODEL[key] = build()
+    return _MODEL[key]
+
+
+class Recent(dict):
+    """A cache of at most ``2 * limit`` entries in two generations: when the
+    young one is full it becomes the old one, and what is used again moves
+    back. Frequent entries stay, memory is bounded."""
+
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.old = limit, {}
+
+    def missing(self, keys: set) -> list:
+        """Keys to be computed; the others are in the young generation afterwards."""
+        if len(self) + len(keys) > self.limit:
+            self.old = dict(self)
+            self.clear()
+        old, new = self.old, []
+        for k in keys:
+            if k not in self:
+                if k in old:
+                    self[k] = old[k]
+                else:
+                    new.append(k)
+        return new
 
 
 # --- words and shingles -------------------------------------------------------

@@ -158,16 +158,9 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
                        (F.col("b.n_found") / F.col("b.n_item")).alias("containment"))
 
 
-_INDEXES: dict[tuple[int, int], ItemIndex] = {}
-
-
 def _index(shared, width: int) -> ItemIndex:
     """The index of a broadcast block, built once in a worker process."""
-    key = (hash(tuple(shared.value)), width)
-    if key not in _INDEXES:
-        _INDEXES.clear()
-        _INDEXES[key] = ItemIndex(shared.value, width)
-    return _INDEXES[key]
+    return C.one_model(("items", hash(tuple(shared.value)), width), lambda: ItemIndex(shared.value, width))
 
 
 def _search(shared, width: int, percent: int):

@@ -12,7 +12,7 @@ token count.
 
 from __future__ import annotations
 
-import functools
+import itertools
 
 import numpy as np
 import pandas as pd
@@ -26,7 +26,7 @@ from quire.llm import common as C
 PIECES = "piece_bpe_32k.model"
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 120_000
 # Width of the bands in robust standard deviations (IQR / 1.349), the least
 # deviation taken, and the documents a language needs for a band of its own.
 CHARS_BAND, ENTROPY_BAND, FALLBACK_BAND = 8.0, 6.0, 10.0
@@ -43,21 +43,43 @@ class Meter:
     def __init__(self, bpe_path: str, pattern: str, piece_path: str):
         import sentencepiece
 
-        self.bpe = byte_bpe.load(bpe_path, pattern)
+        self.bpe = byte_bpe.ByteBpe(bpe_path, pattern)
         self.sp = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         self.is_byte = np.array([self.sp.is_byte(i) for i in range(self.sp.vocab_size())], bool)
-        self.known: dict[bytes, tuple[bytes, int, int]] = {}
+        self.known: C.Recent = C.Recent(CACHED_WORDS)     # word -> ids, pieces, byte pieces
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
+        new = self.known.missing(words)
         if not new:
             return
         strs = [w.decode("utf-8") for w in new]
-        ids = self.bpe.encode([" " + s for s in strs])
-        for w, own, pieces in zip(new, ids, self.sp.encode(strs, num_threads=1), strict=True):
-            self.known[w] = (own, len(pieces), int(self.is_byte[pieces].sum()) if pieces else 0)
+        pieces = self.sp.encode(strs, num_threads=1)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        flags = self.is_byte[np.fromiter(itertools.chain.from_iterable(pieces), np.int64, int(sizes.sum()))]
+        ends = np.cumsum(sizes)
+        upto = np.concatenate(([0], np.cumsum(flags)))
+        in_bytes = upto[ends] - upto[ends - sizes]
+        for w, own, n, b in zip(new, self._token_ids(strs), sizes.tolist(), in_bytes.tolist(), strict=True):
+            self.known[w] = (own, n, b)
+        self.bpe.known.clear()      # ids are kept per word here
+
+    def _token_ids(self, strs: list[str]) -> list[bytes]:
+        """Byte-BPE ids of each word behind one blank. Words without white
+        space run as one text: there every word's first piece, and no other,
+        starts with the blank."""
+        plain = [k for k, s in enumerate(strs) if s.isascii() or not any(map(str.isspace, s))]
+        out = [b""] * len(strs)
+        if plain:
+            pieces = self.bpe.pieces_of(" " + " ".join([strs[k] for k in plain]))
+            self.bpe.learn(set(pieces))
+            ids = list(map(self.bpe.known.__getitem__, pieces))
+            first = [i for i, p in enumerate(pieces) if p[0] == " "] + [len(pieces)]
+            for k, i, j in zip(plain, first, first[1:], strict=False):
+                out[k] = ids[i] if j == i + 1 else b"".join(ids[i:j])
+        rest = sorted(set(range(len(strs))).difference(plain))
+        for k, own in zip(rest, self.bpe.encode([" " + strs[k] for k in rest]), strict=True):
+            out[k] = own
+        return out
 
     def measures(self, words: list[bytes], chars: int) -> tuple[int, float, float, float]:
         if not words:
@@ -68,9 +90,8 @@ class Meter:
         return (len(ids), chars / len(ids), sum(byte_pieces) / max(1, sum(pieces)), float(-(share * np.log2(share)).sum()))
 
 
-@functools.lru_cache(maxsize=2)
 def meter(bpe_path: str, pattern: str, piece_path: str) -> Meter:
-    return Meter(bpe_path, pattern, piece_path)
+    return C.one_model(("meter", bpe_path, pattern, piece_path), lambda: Meter(bpe_path, pattern, piece_path))
 
 
 def repeat_words(words: list[bytes], span: int = 3) -> int:
@@ -151,7 +172,8 @@ def bands(passing: DataFrame) -> DataFrame:
     """Per language or script: fitted entropy line, median and deviation of each measure. One row a language."""
     line = passing.groupBy("band").agg(F.count(F.lit(1)).alias("docs"), F.regr_slope("entropy", F.log2("n_tokens")).alias("slope"),
                                        F.regr_intercept("entropy", F.log2("n_tokens")).alias("offset"))
-    rest = passing.join(line, "band").withColumn("entropy_rest", _entropy_rest())
+    # one row a language: no shuffle by language, of which one may hold most rows
+    rest = passing.join(C.small(C.stored(line, "fertility-lines")), "band").withColumn("entropy_rest", _entropy_rest())
     aggs = []
     for c in LEAST_SD:
         q = F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000)
@@ -173,7 +195,7 @@ def rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     m = C.stored(m.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))),
                  "fertility")
     of = C.stored(bands(m.where(~F.col("base_failed"))), "fertility-bands")
-    out = m.join(of, "band", "left")
+    out = m.join(C.small(of), "band", "left")
     low = F.col("chars_per_token") < F.col("chars_per_token_mid") - CHARS_BAND * F.col("chars_per_token_sd")
     high = F.col("chars_per_token") > F.col("chars_per_token_mid") + CHARS_BAND * F.col("chars_per_token_sd")
     bytes_ = F.col("fallback_share") > F.col("fallback_share_mid") + FALLBACK_BAND * F.col("fallback_share_sd")

@@ -45,7 +45,7 @@ def test_long_piece_follows_the_same_rule(both):
 
 def test_cache_limit_keeps_results(both, monkeypatch):
     own, lib = both
-    monkeypatch.setattr(byte_bpe, "CACHED_PIECES", 10)
+    monkeypatch.setattr(own.known, "limit", 10)
     monkeypatch.setattr(byte_bpe, "TEXT_CHARS", 50)
     sample = [t or "" for t in texts()[:40]]
     assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(sample)] == [lib.encode_ordinary(t) for t in sample]
