@@ -20,7 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without line chunks that stand earlier in the corpus; n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(docs, counts=False)
     return out.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -35,7 +35,7 @@ def _line_hash(line):
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
 
 
-def chunked(text: str):
+def chunked(column: str):
     """array<struct<pos, body, lines, able>> of a text column: start line,
     bytes, number of lines, and whether the chunk may be removed."""
     def with_hashes(lines):
@@ -67,7 +67,8 @@ def chunked(text: str):
                         (end - start).alias("lines"),
                         ((words >= LONG_WORDS) | ((F.size(F.filter(own, lambda m: m["w"] > 0)) >= 2) & (words >= LEAST_WORDS))).alias("able"))
 
-    return F.when(F.col(text).isNotNull(), bind(F.split(text, "\n", -1), with_hashes))
+    text = F.col(f"`{column}`")
+    return F.when(text.isNotNull(), bind(F.split(text, "\n", -1), with_hashes))
 
 
 def _able_chunks(own: DataFrame) -> DataFrame:
@@ -82,18 +83,17 @@ def repeats(own: DataFrame) -> DataFrame:
     # (1) keys alone are shuffled, counted per task first
     common = C.stored(_able_chunks(own).select("key", at.alias("at")).groupBy("key")
                       .agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first <> last").select("key", "first"), "line-keys")
-    if common.limit(C.BROADCAST_KEYS + 1).count() <= C.BROADCAST_KEYS:
-        common = F.broadcast(common)
     # (2) bodies of repeated chunks only
-    rows = C.stored(_able_chunks(own).join(common, "key"), "line-chunks")
+    rows = C.stored(_able_chunks(own).join(C.small(common), "key"), "line-chunks")
     stays = (rows.where(at.eqNullSafe(F.col("first"))).groupBy("key").agg(F.first("body").alias("kept_body")))
     return (rows.where(~at.eqNullSafe(F.col("first"))).join(stays, "key").where("body = kept_body")
             .select("doc_id", "thash", "pos").distinct())
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated chunks cut out of the text column, and three
-    counts: n_lines, n_chunks_removed, n_lines_removed.
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
+    """``docs`` with repeated chunks cut out of the text column, and with
+    ``counts`` three more: n_lines, n_chunks_removed, n_lines_removed (input
+    columns of these names give way to them).
 
     Every row stays; a text whose chunks all stand elsewhere becomes empty.
     Null texts stay null with zero counts, empty and blank texts as they are.
@@ -103,20 +103,19 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     C.prepare(docs.sparkSession)
     own = C.ids_only(docs, id_col, text_col)
-    gone = C.stored(repeats(own).groupBy("doc_id", "thash").agg(F.collect_set("pos").alias("_gone"))
-                    .select(F.col("doc_id").alias("_id"), F.col("thash").alias("_thash"), "_gone"), "line-removals")
-    if gone.limit(BROADCAST_DOCS + 1).count() <= BROADCAST_DOCS:
-        gone = F.broadcast(gone)
-    names = docs.columns
+    gone = C.stored(repeats(own).groupBy("doc_id", "thash").agg(F.collect_set("pos").alias("__gone"))
+                    .select(F.col("doc_id").alias("__id"), F.col("thash").alias("__thash"), "__gone"), "line-removals")
+    gone = C.small(gone, BROADCAST_DOCS)
     text = f"`{text_col}`"
-    base = docs.select("*", F.md5(text).alias("_own_hash"))
-    out = base.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_id")) & (F.col("_own_hash") == F.col("_thash")), "left")
+    base = docs.select("*", F.md5(text).alias("__own_hash"))
+    out = base.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own_hash") == F.col("__thash")), "left")
     # only documents that lose something are cut again
-    cut = F.when(F.col("_gone").isNotNull(), bind(chunked(text), lambda cs: F.struct(
-        F.array_join(F.transform(F.filter(cs, lambda c: ~F.array_contains("_gone", c["pos"])), lambda c: c["body"]), "\n").alias("body"),
-        F.aggregate(F.filter(cs, lambda c: F.array_contains("_gone", c["pos"])), F.lit(0).cast("int"), lambda a, c: a + c["lines"]).alias("lost"))))
-    out = out.withColumn("_cut", cut)
-    return out.select(*[F.coalesce("_cut.body", text).alias(c) if c == text_col else F.col(f"`{c}`") for c in names],
-                      F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)).cast("long").alias("n_lines"),
-                      F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_chunks_removed"),
-                      F.coalesce("_cut.lost", F.lit(0)).cast("long").alias("n_lines_removed"))
+    cut = F.when(F.col("__gone").isNotNull(), bind(chunked(text_col), lambda cs: F.struct(
+        F.array_join(F.transform(F.filter(cs, lambda c: ~F.array_contains("__gone", c["pos"])), lambda c: c["body"]), "\n").alias("body"),
+        F.aggregate(F.filter(cs, lambda c: F.array_contains("__gone", c["pos"])), F.lit(0).cast("int"), lambda a, c: a + c["lines"]).alias("lost"))))
+    out = out.withColumn("__cut", cut)
+    more = {"n_lines": F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)),
+            "n_chunks_removed": F.coalesce(F.size("__gone"), F.lit(0)),
+            "n_lines_removed": F.coalesce("__cut.lost", F.lit(0))} if counts else {}
+    return out.select(*[F.coalesce("__cut.body", text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in more],
+                      *[c.cast("long").alias(name) for name, c in more.items()])

@@ -93,3 +93,11 @@ def test_hash_collision_is_not_removed(spark, monkeypatch):
     a, b = (" ".join(f"{c}{i}" for i in range(50)) for c in "ab")
     got = dict(run(spark, [(1, a), (2, b), (3, a)]))
     assert got[2][0] == b and got[3][0] == ""
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b c\nd e f", 5, "k", "g"), (2, None, 6, None, None)], "doc_id long, `the text` string, n_lines int, key string, _gone string")
+    out = ld.dedup_lines(df, text_col="the text")
+    assert out.columns == ["doc_id", "the text", "key", "_gone", "n_lines", "n_chunks_removed", "n_lines_removed"]
+    assert sorted(r["n_lines"] for r in out.collect()) == [0, 2]
+    assert ld.dedup_lines(df, text_col="the text", counts=False).columns == df.columns
