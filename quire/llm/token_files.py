@@ -14,15 +14,16 @@ so that files of raw bytes are committed task by task on any file system.
 A reader walks from the end of the file, shard by shard, and opens only the
 frames it wants.
 
-The dictionary is trained on serialized id arrays of a fixed sample: the
-``DICT_DOCS`` documents of at most ``DICT_CHARS`` characters with the smallest
-id hashes. It affects file sizes only.
+The dictionary is trained on serialized id arrays of a bounded sample:
+about ``DICT_DOCS`` documents (at most twice as many) drawn by id hash, those
+of at most ``DICT_CHARS`` characters. It affects file sizes only.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import os
 import re
 import struct
@@ -45,22 +46,32 @@ FILE_TEXT_BYTES = 32 << 20
 SHARD_BYTES = 8 << 20
 LEVEL = 3
 MAGIC = b"IDFRAME\n"
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 _INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("at", "<u8"), ("size", "<u4"), ("ids", "<u4")])
 _FOOTER = struct.Struct("<QQB32sQ")
-_TAIL = re.compile(r"[.,!?;:]+$")
-_BREAK = re.compile(r"[ \n\t\r]+")
 
 
 # --- encoding -----------------------------------------------------------------
 
+# Byte to character as byte-level vocabularies write it (fixed values of that
+# scheme): printable Latin-1 bytes stand for themselves, the others follow at 256.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_REST = [b for b in range(256) if b not in _PRINTABLE]
+_BYTE_CHARS = {b: b if b in _PRINTABLE else 256 + _REST.index(b) for b in range(256)}
+# Below this every letter is composed and lower-cases to one letter by itself.
+_SIMPLE_LETTERS = "\u0130"
+_PROBES = ["word", "Word", "ÜBER", "naïve", "straße", "ĀĐĦ", "ª", "x" * 40]
+
+
 class WordEncoder:
     """Ids by the ``tokenizers`` library, which sees each distinct word once.
 
     For a vocabulary whose pre-tokenizer drops white space no token spans two
     words, so a text's ids are its words' ids in a row. Trailing ASCII
-    punctuation behind a letter is a pre-token of its own as well, and ASCII
-    words are keyed in lower case when the vocabulary lower-cases.
+    punctuation behind a letter is a pre-token of its own as well. A word of
+    simple letters only goes straight to the library's BPE model, in lower
+    case and byte characters as its normalizer would hand it over; the probes
+    make sure that the vocabulary is one for which this holds.
     """
 
     def __init__(self, path: str):
@@ -68,37 +79,40 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _raw(self, words: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch(words, add_special_tokens=False)
-        return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(words, found, strict=True)}
+        self.known: C.Recent = C.Recent(CACHED_WORDS)      # word -> ids
+        self.direct = [self._letters(w) for w in _PROBES] == [self.tokenizer.encode(w, add_special_tokens=False).ids for w in _PROBES]
+
+    def _letters(self, word: str) -> list[int]:
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode("utf-8").decode("latin-1").translate(_BYTE_CHARS)
+        return [t.id for t in self.tokenizer.model.tokenize(word)]
+
+    def _ids(self, words: list[str]) -> dict[str, bytes]:
+        simple = [w for w in words if self.direct and w.isalpha() and max(w) < _SIMPLE_LETTERS]
+        other = list(set(words).difference(simple))
+        ids = [*map(self._letters, simple), *(e.ids for e in self.tokenizer.encode_batch(other, add_special_tokens=False))]
+        ends = list(itertools.accumulate(map(len, ids), initial=0))
+        flat = np.fromiter(itertools.chain.from_iterable(ids), "<u4", ends[-1]).tobytes()
+        return {w: flat[4 * i:4 * j] for w, i, j in zip([*simple, *other], ends, ends[1:], strict=False)}
 
     def learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.known.clear()
-        split: dict[str, tuple[str, str]] = {}
-        for w in words:
-            if w in self.known:
-                continue
-            tail = _TAIL.search(w)
-            core = w[:tail.start()] if tail else w
-            rest = w[len(core):]
+        whole, split = [], []
+        for w in self.known.missing(words):
+            core = w.rstrip(".,!?;:")
             # the last letter as the vocabulary's normalizer leaves it
-            if not core or not unicodedata.normalize("NFC", core[-1]).lower()[-1].isalpha():
-                core, rest = w, ""
-            if core.isascii() and core.isalpha():
-                core = core.lower()
-            split[w] = (core, rest)
-        parts = {p for pair in split.values() for p in pair if p}
-        new = [p for p in parts if p not in self.known]
-        ids = self._raw(new)
-        at = lambda p: (ids[p] if p in ids else self.known[p]) if p else b""
-        for w, (core, rest) in split.items():
-            self.known[w] = at(core) + at(rest)
+            if len(core) < len(w) and core and unicodedata.normalize("NFC", core[-1]).lower()[-1].isalpha():
+                split.append((w, core, w[len(core):]))
+            else:
+                whole.append(w)
+        ids = self._ids(list({*whole, *(core for _, core, _ in split), *(rest for _, _, rest in split)}))
+        for w in whole:
+            self.known[w] = ids[w]
+        for w, core, rest in split:
+            self.known[w] = ids[core] + ids[rest]
 
     def encode(self, texts: list) -> list[bytes]:
-        cut = [[w for w in _BREAK.split(t) if w] if t else [] for t in texts]
+        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if t else [] for t in texts]
         new: set[str] = set()
         for words in cut:
             new.update(words)
@@ -106,9 +120,8 @@ class WordEncoder:
         return [b"".join(map(self.known.__getitem__, words)) for words in cut]
 
 
-@functools.lru_cache(maxsize=4)
 def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    return C.one_model(("words", path), lambda: WordEncoder(path))
 
 
 # --- the file format ----------------------------------------------------------
@@ -179,10 +192,13 @@ def fetch(data: bytes, dictionary: bytes, doc_id: int) -> np.ndarray | None:
 
 # --- Spark --------------------------------------------------------------------
 
-def train_dictionary(docs: DataFrame, path: str) -> bytes:
-    """Dictionary over the sample described above; empty when there is too little to train on."""
-    sample = (docs.where(F.length("text").between(1, DICT_CHARS)).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-              .limit(DICT_DOCS).select("text").collect())
+def train_dictionary(docs: DataFrame, path: str, count: int) -> bytes:
+    """Dictionary over the sample described above; ``count``: rows of the
+    table. Empty when there is too little to train on."""
+    sample = (docs.where(F.length("text").between(1, DICT_CHARS))
+              .where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, count))) < DICT_DOCS)
+              .select("text").limit(2 * DICT_DOCS).collect())
+    sample.sort()
     arrays = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in encoder(path).encode([r[0] for r in sample])]
     try:
         return zstandard.train_dictionary(min(DICT_BYTES, max(1, sum(map(len, arrays)) // 8)), arrays).as_bytes()
@@ -202,10 +218,10 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     C.prepare(docs.sparkSession)
     vocab_path = C.tokenizer_file(vocab, folder)
     own = C.ids_only(docs, id_col, text_col)
-    dictionary = train_dictionary(own, vocab_path)
+    count, size = own.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).head()
+    dictionary = train_dictionary(own, vocab_path, count)
     spark = docs.sparkSession
     spark.createDataFrame([(bytearray(dictionary),)], "dictionary binary").write.parquet(f"{path}/dictionary")
-    size = own.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     parts = max(1, -(-size // FILE_TEXT_BYTES))
     ordered = (own.withColumn("tie", F.xxhash64("text")).repartitionByRange(int(parts), "doc_id", "tie")
                .sortWithinPartitions("doc_id", "tie").select("doc_id", "text"))
