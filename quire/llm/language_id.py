@@ -6,9 +6,9 @@ document's probabilities are the mean over all positions of its whole text.
 Texts run in sequences of ``SEQUENCE`` bytes, thousands side by side.
 
 The network is trained here with numpy by backpropagation through time, on a
-bounded sample: of each language the ``SAMPLE_DOCS`` labelled documents with
-the smallest id hashes, and of each at most ``SAMPLE_CHARS`` characters from
-its middle. ``SAMPLE_DOCS`` shrinks when there are over ``SAMPLE_LANGS``
+bounded sample: of each language at most ``SAMPLE_DOCS`` labelled documents
+drawn by id hash, and of each at most ``SAMPLE_CHARS`` characters from its
+middle. ``SAMPLE_DOCS`` shrinks when there are over ``SAMPLE_LANGS``
 languages. Prediction has no bounds.
 """
 
@@ -220,15 +220,20 @@ def held_out(doc_id):
 
 
 def training_rows(docs: DataFrame) -> list[tuple[str, str]]:
-    """The bounded sample of labelled documents that are not held out."""
+    """The bounded sample of labelled documents that are not held out.
+
+    Counts per language come first; about twice the wanted documents are then
+    drawn by id hash, so that only these are shuffled, however many documents
+    a language has."""
     ok = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").where(~held_out(F.col("doc_id")))
-    ok = ok.where(F.regexp_like("text", F.lit(r"\p{L}")))
+    per = C.stored(ok.groupBy("lang").agg(F.count(F.lit(1)).alias("docs")), "language-counts")
+    each = max(8, SAMPLE_DOCS * SAMPLE_LANGS // max(SAMPLE_LANGS, per.count()))
+    drawn = ok.join(C.small(per), "lang").where(F.pmod(F.xxhash64("doc_id"), F.col("docs")) < 2 * each)
     middle = F.greatest(F.lit(1), ((F.length("text") - SAMPLE_CHARS) / 2).cast("int") + 1)
-    cut = ok.select("lang", "doc_id", F.xxhash64("text").alias("tie"), F.substr("text", middle, F.lit(SAMPLE_CHARS)).alias("text"))
-    per = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "tie")
-    langs = cut.agg(F.approx_count_distinct("lang")).head()[0]
-    each = max(8, SAMPLE_DOCS * SAMPLE_LANGS // max(SAMPLE_LANGS, langs))
-    rows = cut.withColumn("rn", F.row_number().over(per)).where(F.col("rn") <= each).select("text", "lang").collect()
+    cut = drawn.where(F.regexp_like("text", F.lit(r"\p{L}"))).select(
+        "lang", "doc_id", F.xxhash64("text").alias("tie"), F.substr("text", middle, F.lit(SAMPLE_CHARS)).alias("text"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "tie")
+    rows = cut.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= each).select("text", "lang").collect()
     return sorted((r["text"], r["lang"]) for r in rows)
 
 
