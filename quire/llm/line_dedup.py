@@ -26,8 +26,8 @@ PERIOD = 2
 LONG_WORDS = 50
 LEAST_WORDS = 10
 WORD = r"[^\x20\x09-\x0D]+"
-# A removal list of at most this many documents may be broadcast.
-BROADCAST_DOCS = 200_000
+# Repeated keys, and documents that lose chunks, are broadcast up to this many rows (about 50 MB).
+BROADCAST_ROWS = 200_000
 
 
 def _line_hash(line):
@@ -84,7 +84,7 @@ def repeats(own: DataFrame) -> DataFrame:
     common = C.stored(_able_chunks(own).select("key", at.alias("at")).groupBy("key")
                       .agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first <> last").select("key", "first"), "line-keys")
     # (2) bodies of repeated chunks only
-    rows = C.stored(_able_chunks(own).join(C.small(common), "key"), "line-chunks")
+    rows = C.stored(_able_chunks(own).join(C.small(common, BROADCAST_ROWS), "key"), "line-chunks")
     stays = (rows.where(at.eqNullSafe(F.col("first"))).groupBy("key").agg(F.first("body").alias("kept_body")))
     return (rows.where(~at.eqNullSafe(F.col("first"))).join(stays, "key").where("body = kept_body")
             .select("doc_id", "thash", "pos").distinct())
@@ -105,7 +105,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     own = C.ids_only(docs, id_col, text_col)
     gone = C.stored(repeats(own).groupBy("doc_id", "thash").agg(F.collect_set("pos").alias("__gone"))
                     .select(F.col("doc_id").alias("__id"), F.col("thash").alias("__thash"), "__gone"), "line-removals")
-    gone = C.small(gone, BROADCAST_DOCS)
+    gone = C.small(gone, BROADCAST_ROWS)
     text = f"`{text_col}`"
     base = docs.select("*", F.md5(text).alias("__own_hash"))
     out = base.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own_hash") == F.col("__thash")), "left")

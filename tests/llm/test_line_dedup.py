@@ -63,8 +63,7 @@ def test_equals_brute_force(spark, monkeypatch):
     want = brute(rows)
     assert any(v[2] for v in want.values())
     assert dict(run(spark, rows)) == want
-    monkeypatch.setattr(ld, "BROADCAST_DOCS", 0)
-    monkeypatch.setattr(ld.C, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(ld, "BROADCAST_ROWS", 0)
     assert dict(run(spark, rows)) == want
 
 
