@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -111,6 +112,7 @@ def test_html_files_and_project_reads(spark):
     from quire.session import scratch_path
 
     d = scratch_path(spark, "htmlfiles")
+    os.makedirs(d)
     for i, body in enumerate(["<p>one</p>", "<p>two\nlines</p>"]):
         with open(f"{d}/page{i}.html", "w", encoding="utf-8") as f:
             f.write(body)
