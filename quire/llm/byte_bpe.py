@@ -169,6 +169,7 @@ class ByteBpe:
                 for (p, _), ids in zip(part, self.merge_rows([raw for _, raw in part], width), strict=True):
                     self.known[p] = ids.astype("<u4").tobytes()
 
+    @C.no_gc()
     def encode(self, texts: list) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; null is empty."""
         out: list[bytes] = []

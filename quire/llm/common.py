@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import os
 import uuid
 
@@ -64,6 +66,19 @@ def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(small(ids), "doc_id", "left_semi")
 
 
+@contextlib.contextmanager
+def no_gc():
+    """Cycle collection off for one batch of work that makes many lists and no
+    cycles; it would walk the caches again and again."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 _MODEL: dict = {}
 
 

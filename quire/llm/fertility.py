@@ -48,6 +48,7 @@ class Meter:
         self.is_byte = np.array([self.sp.is_byte(i) for i in range(self.sp.vocab_size())], bool)
         self.known: C.Recent = C.Recent(CACHED_WORDS)     # word -> ids, pieces, byte pieces
 
+    @C.no_gc()
     def learn(self, words: set[bytes]) -> None:
         new = self.known.missing(words)
         if not new:

@@ -44,7 +44,7 @@ VOCAB = "word_bpe_49k.json"
 DICT_DOCS, DICT_CHARS, DICT_BYTES = 1024, 4096, 64 << 10
 FILE_TEXT_BYTES = 32 << 20
 SHARD_BYTES = 8 << 20
-LEVEL = 3
+LEVEL = 1
 MAGIC = b"IDFRAME\n"
 CACHED_WORDS = 200_000
 _INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("at", "<u8"), ("size", "<u4"), ("ids", "<u4")])
@@ -97,20 +97,23 @@ class WordEncoder:
         return {w: flat[4 * i:4 * j] for w, i, j in zip([*simple, *other], ends, ends[1:], strict=False)}
 
     def learn(self, words: set[str]) -> None:
-        whole, split = [], []
+        split = []
         for w in self.known.missing(words):
             core = w.rstrip(".,!?;:")
             # the last letter as the vocabulary's normalizer leaves it
-            if len(core) < len(w) and core and unicodedata.normalize("NFC", core[-1]).lower()[-1].isalpha():
-                split.append((w, core, w[len(core):]))
-            else:
-                whole.append(w)
-        ids = self._ids(list({*whole, *(core for _, core, _ in split), *(rest for _, _, rest in split)}))
-        for w in whole:
-            self.known[w] = ids[w]
+            if len(core) == len(w) or not core or not unicodedata.normalize("NFC", core[-1]).lower()[-1].isalpha():
+                core = w
+            rest = w[len(core):]
+            if self.direct and core.isascii() and core.isalpha():
+                core = core.lower()
+            split.append((w, core, rest))
+        ids = self._ids(list({p for _, core, rest in split for p in (core, rest) if p not in self.known}))
+        known = self.known
         for w, core, rest in split:
-            self.known[w] = ids[core] + ids[rest]
+            own = ids[core] if core in ids else known[core]
+            known[w] = own + (ids[rest] if rest in ids else known[rest]) if rest else own
 
+    @C.no_gc()
     def encode(self, texts: list) -> list[bytes]:
         cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if t else [] for t in texts]
         new: set[str] = set()
@@ -229,11 +232,11 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     def run(batches):
         enc = encoder(vocab_path)
         out = ShardWriter(dictionary, 2 if enc.tokenizer.get_vocab_size() <= 1 << 16 else 4)
-        end = [] if end_id is None else [end_id]
+        end = b"" if end_id is None else np.uint32(end_id).tobytes()
         for pdf in batches:
             for doc_id, ids in zip(pdf["doc_id"].tolist(), enc.encode(pdf["text"].tolist()), strict=True):
                 doc_id = None if doc_id is None or doc_id != doc_id else int(doc_id)
-                out.add(doc_id, np.append(np.frombuffer(ids, "<u4"), np.array(end, "<u4")))
+                out.add(doc_id, np.frombuffer(ids + end, "<u4"))
                 if len(out.frames) >= SHARD_BYTES:
                     yield pd.DataFrame({"shard": [out.finish()]})
         if out.index:
