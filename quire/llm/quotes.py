@@ -111,16 +111,20 @@ def linked(messages: DataFrame, thread_col: str, order_col: str, role_col: str,
 
 
 def _roots(parents: DataFrame) -> DataFrame:
-    """(thread, msg, parent, root, depth) by pointer doubling: a chain of n replies takes log2(n) steps."""
-    at = C.stored(parents.select("thread", "msg", "parent", F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth")), "quotes-step")
+    """(thread, msg, parent, root, depth) by pointer doubling: a chain of n
+    replies takes log2(n) steps. Messages whose pointer has reached a root
+    are set aside, so that a step only joins what still moves."""
+    cols = ["thread", "msg", "parent", "root", "depth"]
+    moving = C.stored(parents.select("thread", "msg", "parent", F.col("parent").alias("root"), F.lit(1).cast("long").alias("depth")), "quotes-step")
+    done = moving.limit(0)
     while True:
-        up = at.select("thread", F.col("msg").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
-        step = C.stored(at.join(up, ["thread", "root"], "left").select(
+        up = done.union(moving).select("thread", F.col("msg").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
+        step = C.stored(moving.join(up, ["thread", "root"], "left").select(
             "thread", "msg", "parent", F.coalesce("next", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
             F.col("next").isNotNull().alias("moved")), "quotes-step")
-        at = step.drop("moved")
-        if step.where("moved").head() is None:
-            return at
+        done, moving = done.union(step.where("NOT moved").select(cols)), step.where("moved").select(cols)
+        if moving.head() is None:
+            return done
 
 
 def formatted(messages: DataFrame, thread_col: str, order_col: str, role_col: str, text_col: str) -> DataFrame:
