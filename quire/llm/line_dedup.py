@@ -12,6 +12,12 @@ Of each chunk that occurs more than once in the whole corpus the first
 occurrence (smallest doc_id, then position) stays. Hashes only find the
 candidates: every removal has been compared byte by byte with the occurrence
 that stays.
+
+The cut misses repeats that hold no whole chunk. ``dedup_runs`` has no cut:
+every two neighbouring lines with words are a candidate (with the blank lines
+between them), and so is every long line. A line goes when such a repeat
+covers it, so a repeated passage goes from its first line to its last,
+whatever stands around it and however few words it has.
 """
 
 from __future__ import annotations
@@ -90,6 +96,67 @@ def repeats(own: DataFrame) -> DataFrame:
             .select("doc_id", "thash", "pos").distinct())
 
 
+def paired(column: str):
+    """array<struct<pos, body, lines>> of a text column: every two neighbouring
+    lines with words, and every line of ``LONG_WORDS`` words or more."""
+    def of(lines, at, words):       # 0-based places of the lines with words, and their word counts
+        def piece(i, j):
+            return F.struct(i.alias("pos"), F.array_join(F.slice(lines, i + 1, j - i + 1), "\n").alias("body"), (j - i + 1).alias("lines"))
+        pairs = F.transform(F.slice(at, 2, F.greatest(F.size(at) - 1, F.lit(0))), lambda j, k: piece(F.element_at(at, k + 1), j))
+        long = F.filter(at, lambda i, k: F.element_at(words, k + 1) >= LONG_WORDS)
+        return F.concat(pairs, F.transform(long, lambda i: piece(i, i)))
+
+    def with_counts(lines):
+        counts = F.transform(lines, lambda x, i: F.struct(i.alias("i"), F.regexp_count(x, F.lit(WORD)).alias("w")))
+        return bind(F.filter(counts, lambda c: c["w"] > 0), lambda own: bind(
+            F.transform(own, lambda c: c["i"]), lambda at: of(lines, at, F.transform(own, lambda c: c["w"]))))
+
+    text = F.col(f"`{column}`")
+    return F.when(text.isNotNull(), bind(F.split(text, "\n", -1), with_counts))
+
+
+def _pieces(own: DataFrame) -> DataFrame:
+    """One row per piece of ``paired``: (doc_id, thash, pos, lines, key, body)."""
+    rows = own.select("doc_id", F.unhex(F.md5("text")).alias("thash"), F.explode(paired("text")).alias("c"))
+    return rows.select("doc_id", "thash", F.col("c.pos").alias("pos"), F.col("c.lines").alias("lines"),
+                       F.unhex(F.md5("c.body")).alias("key"), F.col("c.body").alias("body"))
+
+
+def repeated_lines(own: DataFrame) -> DataFrame:
+    """(doc_id, thash, gone): the places of the lines of a text that repeat an earlier passage."""
+    at = F.struct("doc_id", "thash", "pos")
+    common = C.stored(_pieces(own).select("key", at.alias("at")).groupBy("key")
+                      .agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first <> last").select("key", "first"), "run-keys")
+    rows = C.stored(_pieces(own).join(C.small(common, BROADCAST_ROWS), "key"), "run-pieces")
+    stays = rows.where(at.eqNullSafe(F.col("first"))).groupBy("key").agg(F.first("body").alias("kept_body"))
+    found = rows.where(~at.eqNullSafe(F.col("first"))).join(stays, "key").where("body = kept_body")
+    # a piece that overlaps the one that stays loses only what lies behind it
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("thash") == F.col("first.thash"))
+    start = F.when(same, F.greatest("pos", F.col("first.pos") + F.col("lines"))).otherwise(F.col("pos"))
+    return (found.select("doc_id", "thash", F.explode(F.sequence(start, F.col("pos") + F.col("lines") - 1)).alias("i"))
+            .groupBy("doc_id", "thash").agg(F.collect_set("i").alias("gone")))
+
+
+def dedup_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with every repeated run of two or more lines with words, and
+    every repeated long line, cut out of the text column; the earliest
+    occurrence (smallest doc_id, then text hash and place) stays.
+
+    Single short lines stay, and so do blank lines at the ends of a run. Rows,
+    null texts and ids as in ``dedup_lines``. The other columns pass unread.
+    """
+    C.prepare(docs.sparkSession)
+    gone = C.stored(repeated_lines(C.ids_only(docs, id_col, text_col))
+                    .select(F.col("doc_id").alias("__id"), F.col("thash").alias("__thash"), F.col("gone").alias("__gone")), "run-removals")
+    text = f"`{text_col}`"
+    base = docs.select("*", F.unhex(F.md5(text)).alias("__own_hash"))
+    out = base.join(C.small(gone, BROADCAST_ROWS),
+                    F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own_hash") == F.col("__thash")), "left")
+    cut = F.when(F.col("__gone").isNotNull(), bind(F.split(text, "\n", -1), lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__gone"), lambda i: F.element_at(lines, i + 1)), "\n")))
+    return out.select(*[F.coalesce(cut, F.col(text)).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
     """``docs`` with repeated chunks cut out of the text column, and with
     ``counts`` three more: n_lines, n_chunks_removed, n_lines_removed (input

@@ -1,0 +1,52 @@
+"""Planted passages of every shape go whole; what stands once stays."""
+
+import random
+
+from quire.llm import line_dedup as ld
+
+SCHEMA = "doc_id long, text string, other string"
+
+
+def planted(rng, lines, words, blank=False):
+    """A passage in two documents of otherwise different lines."""
+    new = lambda n: " ".join(f"w{rng.getrandbits(48)}" for _ in range(n))
+    run = [new(words) for _ in range(lines)]
+    if blank:
+        run = [x for line in run for x in (line, "")][:-1]
+    hosts = [[new(7) for _ in range(rng.randint(0, 5))] for _ in range(4)]
+    return hosts[0] + run + hosts[1], hosts[2] + run + hosts[3], hosts[2] + hosts[3]
+
+
+def run(spark, rows):
+    out = ld.dedup_runs(spark.createDataFrame([(i, t, "x") for i, t in rows], SCHEMA))
+    assert out.columns == ["doc_id", "text", "other"]
+    return [(r["doc_id"], r["text"]) for r in out.collect()]
+
+
+def test_planted_passages_go(spark, monkeypatch):
+    rng = random.Random(4)
+    shapes = [(2, 30), (3, 20), (4, 16), (6, 12), (8, 12), (12, 12)] * 8
+    cases = [planted(rng, n, w, k % 2 == 1) for k, (n, w) in enumerate(shapes)]
+    rows = [(2 * k + j, "\n".join(c[j])) for k, c in enumerate(cases) for j in (0, 1)]
+    want = {2 * k + j: "\n".join(c[2 * j]) for k, c in enumerate(cases) for j in (0, 1)}
+    assert dict(run(spark, rows)) == want
+    monkeypatch.setattr(ld, "BROADCAST_ROWS", 0)
+    assert dict(run(spark, rows)) == want
+
+
+def test_edges(spark):
+    long = " ".join(f"w{i}" for i in range(55))
+    rows = [(1, None), (2, ""), (3, "\n\n"), (4, long), (4, long), (None, long), (5, "x\n" + long), (6, "a\na\na\na\nb"),
+            (7, "p q\nr\np q\nr\np q\nr"), (8, "eins\nzwei"), (8, "eins\nzwei\ndrei")]
+    assert sorted(run(spark, rows), key=str) == sorted([
+        (1, None), (2, ""), (3, "\n\n"), (4, ""), (4, ""), (None, long), (5, "x"), (6, "a\na\nb"), (7, "p q\nr"),
+        (8, ""), (8, "eins\nzwei\ndrei")], key=str)      # of one id the smaller text hash keeps
+    assert run(spark, []) == []
+
+
+def test_collision_is_not_removed(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    real = ld._pieces
+    monkeypatch.setattr(ld, "_pieces", lambda own: real(own).withColumn("key", F.lit(b"same")))
+    assert dict(run(spark, [(1, "a b\nc d"), (2, "e f\ng h"), (3, "a b\nc d")])) == {1: "a b\nc d", 2: "e f\ng h", 3: ""}
