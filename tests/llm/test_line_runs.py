@@ -34,6 +34,14 @@ def test_planted_passages_go(spark, monkeypatch):
     assert dict(run(spark, rows)) == want
 
 
+def test_few_words_go(spark):
+    menu = "Home\nAbout us\n\nContact\nImprint"
+    rows = [(i, f"host {i} top\n{menu}\nhost {i} end") for i in range(5)] + [(9, "Home\nalone"), (10, "other\nHome")]
+    got = dict(run(spark, rows))
+    assert got[0] == rows[0][1] and all(got[i] == f"host {i} top\nhost {i} end" for i in range(1, 5))
+    assert got[9] == "Home\nalone" and got[10] == "other\nHome"      # single short lines stay
+
+
 def test_edges(spark):
     long = " ".join(f"w{i}" for i in range(55))
     rows = [(1, None), (2, ""), (3, "\n\n"), (4, long), (4, long), (None, long), (5, "x\n" + long), (6, "a\na\na\na\nb"),
