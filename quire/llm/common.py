@@ -18,6 +18,9 @@ from quire.session import checkpoint_dir, ship_package
 ARROW_ROWS = 512
 # A key set of at most this many rows (16 bytes each) may be broadcast.
 BROADCAST_KEYS = 1_000_000
+# The column of row keys (``by_row``); they are 50 bytes long, so fewer are broadcast.
+ROW = "__row_key"
+BROADCAST_ROW_KEYS = 200_000
 
 
 def prepare(spark: SparkSession) -> None:
@@ -42,7 +45,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def ids_only(docs: DataFrame, id_col: str, *cols: str) -> DataFrame:
     """Only the columns an operator reads, under fixed names: other columns of
     the input, whatever they are called, cannot clash with its own."""
-    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+    return docs.select(F.col(f"`{id_col}`").cast(id_type(id_col)).alias("doc_id"),
                        *[F.col(f"`{c}`").alias(a) for c, a in zip(cols, ("text", "lang"), strict=False)])
 
 
@@ -57,13 +60,32 @@ def without_ids(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose id is not in ``ids`` (one column ``doc_id``, no
     repeats). The ids are broadcast only when counted to at most
     ``BROADCAST_KEYS``; beyond that Spark joins by shuffle. Null ids stay."""
-    gone = small(ids.select(F.col("doc_id").alias("_gone")))
-    return docs.join(gone, docs[f"`{id_col}`"].cast("long") == gone["_gone"], "left_anti")
+    gone = small(ids.select(F.col("doc_id").alias("_gone")), BROADCAST_ROW_KEYS if id_col == ROW else None)
+    return docs.join(gone, docs[f"`{id_col}`"].cast(id_type(id_col)) == gone["_gone"], "left_anti")
+
+
+def id_type(id_col: str) -> str:
+    return "string" if id_col == ROW else "long"
+
+
+def row_key(id_col: str, text_col: str):
+    """Id and MD5 of the text as one string that is never null. Keys sort like
+    the ids, null ids last."""
+    number = F.col(f"`{id_col}`").cast("long").bitwiseXOR(F.lit(-2 ** 63).cast("long"))
+    return F.concat(F.coalesce(F.lpad(F.hex(number), 16, "0"), F.lit("~")), F.lit(":"), F.coalesce(F.md5(f"`{text_col}`"), F.lit("")))
+
+
+def by_row(docs: DataFrame, id_col: str, text_col: str, drop) -> DataFrame:
+    """``drop(docs, key column)`` with row keys in place of ids: rows without
+    id are judged like all others, and of an id with several texts only the
+    rows whose own text is to go."""
+    return drop(docs.withColumn(ROW, row_key(id_col, text_col)), ROW).drop(ROW)
 
 
 def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` (column ``doc_id``) whose id is in ``ids``; broadcast rule as above."""
-    return docs.join(small(ids), "doc_id", "left_semi")
+    rows = BROADCAST_ROW_KEYS if dict(ids.dtypes)["doc_id"] == "string" else None
+    return docs.join(small(ids, rows), "doc_id", "left_semi")
 
 
 @contextlib.contextmanager

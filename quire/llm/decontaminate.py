@@ -143,7 +143,7 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     """
     spark = docs.sparkSession
     C.prepare(spark)
-    own = C.ids_only(docs, id_col, text_col)
+    own, kind = C.ids_only(docs, id_col, text_col), C.id_type(id_col)
     tests = items.select(F.col(f"`{item_id_col}`").cast("long").alias("item_id"), F.col(f"`{item_text_col}`").alias("text"))
     size = tests.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     blocks = max(1, -(-size // (2 * BLOCK_SHINGLES)))       # a word and its blank take two bytes at least
@@ -151,7 +151,7 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     for k in range(int(blocks)):
         part = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(int(blocks))) == k) if blocks > 1 else tests
         shared = spark.sparkContext.broadcast([(r["item_id"], r["text"]) for r in part.toLocalIterator()])
-        found = own.mapInPandas(_search(shared, width, percent), "doc_id long, item_id long, n_item long, n_found long")
+        found = own.mapInPandas(_search(shared, width, percent, kind), f"doc_id {kind}, item_id long, n_item long, n_found long")
         out = found if out is None else out.union(found)
     best = out.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_found", "n_item")).alias("b"))
     return best.select("doc_id", "item_id", F.col("b.n_item").alias("n_item"), F.col("b.n_found").alias("n_found"),
@@ -163,18 +163,23 @@ def _index(shared, width: int) -> ItemIndex:
     return C.one_model(("items", hash(tuple(shared.value)), width), lambda: ItemIndex(shared.value, width))
 
 
-def _search(shared, width: int, percent: int):
+def _search(shared, width: int, percent: int, kind: str = "long"):
     def run(batches):
         index = _index(shared, width)
         for pdf in batches:
             rows = [(doc_id, *hit) for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True)
                     for hit in index.contained(text, percent)]
-            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "n_item", "n_found"]).astype({"doc_id": "Int64", "item_id": "Int64"})
+            out = pd.DataFrame(rows, columns=["doc_id", "item_id", "n_item", "n_found"])
+            yield out.astype({"item_id": "Int64"} | ({"doc_id": "Int64"} if kind == "long" else {}))
     return run
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents that hold a test item; all columns as they were."""
+                      width: int = 5, percent: int = 80, by_row: bool = False) -> DataFrame:
+    """``docs`` without the documents that hold a test item; all columns as
+    they were. A doc_id goes with all its rows, rows without id stay; with
+    ``by_row`` the rows whose own text holds an item go, with or without id."""
+    if by_row:
+        return C.by_row(docs, id_col, text_col, lambda d, key: drop_contaminated(d, items, key, text_col, width, percent))
     found = C.stored(contained_items(docs, items, id_col, text_col, width=width, percent=percent), "decontaminate")
     return C.without_ids(docs, id_col, found.where("doc_id IS NOT NULL").select("doc_id").distinct())

@@ -143,7 +143,8 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     bpe_path, pattern = byte_bpe._parts(byte_bpe.VOCAB, folder, None)
     piece_path = C.tokenizer_file(PIECES, folder)
     lang = F.col(f"`{lang_col}`").cast("string") if lang_col and lang_col in docs.columns else F.lit(None).cast("string")
-    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), lang.alias("lang"))
+    kind = C.id_type(id_col)
+    own = docs.select(F.col(f"`{id_col}`").cast(kind).alias("doc_id"), F.col(f"`{text_col}`").alias("text"), lang.alias("lang"))
 
     def run(batches):
         m = meter(bpe_path, pattern, piece_path)
@@ -160,9 +161,9 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
                 rows.append((doc_id, f"lang:{lang}" if isinstance(lang, str) else f"script:{script_of(text)}", len(words), chars,
                              sum(map(text.count, SYMBOLS)), dup_lines(text), repeat_words(words), *m.measures(words, chars)))
             out = pd.DataFrame(rows, columns=[c.split(" ")[0] for c in _SCHEMA.split(", ")])
-            yield out.astype({"doc_id": "Int64"})
+            yield out.astype({"doc_id": "Int64"}) if kind == "long" else out
 
-    return own.mapInPandas(run, _SCHEMA)
+    return own.mapInPandas(run, _SCHEMA.replace("doc_id long", f"doc_id {kind}"))
 
 
 def _entropy_rest():
@@ -207,8 +208,11 @@ def rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def drop_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang",
-                  folder: str | None = None) -> DataFrame:
+                  folder: str | None = None, by_row: bool = False) -> DataFrame:
     """``docs`` without the documents the rules reject; all columns as they
-    were. A doc_id goes if any of its rows is rejected; rows without id stay."""
+    were. A doc_id goes if any of its rows is rejected; rows without id stay.
+    With ``by_row`` every row goes or stays by its own verdict, with or without id."""
+    if by_row:
+        return C.by_row(docs, id_col, text_col, lambda d, key: drop_rejected(d, key, text_col, lang_col, folder))
     found = C.stored(rules(docs, id_col, text_col, lang_col, folder).select("doc_id", "kept"), "fertility-verdicts")
     return C.without_ids(docs, id_col, found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct())

@@ -76,10 +76,16 @@ def shingle_set(text, width: int) -> np.ndarray:
     return np.unique(C.shingle_hashes(C.word_hashes(C.words_of(text)), width))
 
 
+def _kind(docs: DataFrame) -> str:
+    """Type of the ids: bigint, or string for row keys."""
+    return dict(docs.dtypes)["doc_id"]
+
+
 def signatures(docs: DataFrame, width: int) -> DataFrame:
     """One row per document: set size, key of the set, band keys, packed low bits."""
     perms = C.permutations(PERMS, SEED)
     salt = C.mix64(np.arange(1, PERMS // ROWS + 1, dtype=np.uint64))
+    kind = _kind(docs)
 
     def run(batches):
         for pdf in batches:
@@ -96,9 +102,9 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                     keys = C.mix64(keys ^ rest[:, k])
                 rows.append((doc_id, len(s), xxhash.xxh3_128_hexdigest(s.tobytes()), keys.view(np.int64), pack(m).view(np.int64)))
             out = pd.DataFrame(rows, columns=["doc_id", "n_shingles", "set_key", "bands", "packed"])
-            yield out.astype({"doc_id": "Int64"})
+            yield out.astype({"doc_id": "Int64"}) if kind == "bigint" else out
 
-    return docs.mapInPandas(run, _SIG)
+    return docs.mapInPandas(run, _SIG.replace("doc_id long", f"doc_id {kind}"))
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -107,7 +113,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "members": [shingle_set(t, width).tobytes() for t in pdf["text"]]})
 
-    return docs.mapInPandas(run, "doc_id long, members binary")
+    return docs.mapInPandas(run, f"doc_id {_kind(docs)}, members binary")
 
 
 def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -132,7 +138,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
 
     full = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("members").alias("x")), "a")
             .join(sets.select(F.col("doc_id").alias("b"), F.col("members").alias("y")), "b"))
-    return full.mapInPandas(run, "a long, b long")
+    return full.mapInPandas(run, f"a {_kind(docs)}, b {_kind(docs)}")
 
 
 def _estimated(pairs: DataFrame, packed: DataFrame, least: float) -> DataFrame:
@@ -150,7 +156,7 @@ def _block_links(opened: DataFrame, classes: DataFrame, docs: DataFrame, width:
     are taken by falling estimate, and a confirmed link joins the two
     components there and then, so that what it settles is not compared again.
     """
-    least = percent / 100 - MARGIN
+    least, kind = percent / 100 - MARGIN, _kind(docs)
     nodes = C.stored(opened.select(F.col("node").alias("doc_id")).distinct(), "dedup-nodes")
     sets = C.stored(shingle_sets(C.with_ids(docs, nodes), width), "dedup-sets")
     about = (classes.select(F.col("rep").alias("node"), "bands", "packed")
@@ -185,9 +191,9 @@ def _block_links(opened: DataFrame, classes: DataFrame, docs: DataFrame, width:
                         old = rc[y]
                         rc[rc == old] = lc[k]
                         lc[lc == old] = lc[k]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64" if kind == "bigint" else "object")
 
-    return m.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
+    return m.groupBy("key", "i", "j").applyInPandas(run, f"a {kind}, b {kind}").distinct()
 
 
 def links(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame | None:
@@ -254,7 +260,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
-                         percent: int = 80) -> DataFrame:
-    """``docs`` without the documents that are not the kept one of their group; all columns as they were."""
+                         percent: int = 80, by_row: bool = False) -> DataFrame:
+    """``docs`` without the documents that are not the kept one of their
+    group; all columns as they were. A doc_id goes with all its rows, rows
+    without id stay. With ``by_row`` the nodes are rows (id and text): rows
+    without id are compared and dropped like all others, behind those with an
+    id, and of their exact copies with words one stays; rows that repeat an id
+    and its text are one document still."""
+    if by_row:
+        out = C.by_row(docs, id_col, text_col, lambda d, key: drop_near_duplicates(d, key, text_col, width, percent))
+        bare = F.col(f"`{id_col}`").isNull() & F.coalesce(F.regexp_like(f"`{text_col}`", F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+        if docs.where(F.col(f"`{id_col}`").isNull()).head() is None:
+            return out
+        return out.where(~bare).unionByName(out.where(bare).dropDuplicates([text_col]))
     found = C.stored(near_duplicates(docs, id_col, text_col, width, percent), "dedup-result")
     return C.without_ids(docs, id_col, found.where(~F.col("kept")).select("doc_id").where("doc_id IS NOT NULL").distinct())
