@@ -15,7 +15,7 @@ from quire.llm.common import stored, table
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the vocabulary bands accept."""
-    return fertility.drop_rejected(docs, by_row=True)
+    return fertility.drop_rejected(docs, by_row=True, judge_all=True)
 
 
 def line_chunks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

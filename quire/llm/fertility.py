@@ -5,13 +5,15 @@ of byte-fallback tokens of a piece vocabulary, and the entropy of the byte-BPE
 token distribution. Tokens are those of the words, each behind one blank, so
 that layout does not count. Rejection bands come from the corpus itself, per
 language (or script where no language is given): median and interquartile
-range over all documents that pass the base rules. Entropy grows with length,
+range over all documents that pass the base rules; a language with few of them
+takes the wider band of its script, or of the corpus. Entropy grows with length,
 so its band is on what is left after a line fitted to the logarithm of the
 token count.
 """
 
 from __future__ import annotations
 
+import functools
 import itertools
 
 import numpy as np
@@ -28,12 +30,14 @@ SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 CACHED_WORDS = 120_000
 # Width of the bands in robust standard deviations (IQR / 1.349), the least
-# deviation taken, and the documents a language needs for a band of its own.
+# deviation taken, and the documents a language or script needs for a band of
+# its own. WHOLE names the corpus's band.
 CHARS_BAND, ENTROPY_BAND, FALLBACK_BAND = 8.0, 6.0, 10.0
 LEAST_SD = {"chars_per_token": 0.02, "fallback_share": 0.01, "entropy_rest": 0.05}
 LEAST_DOCS = 50
+WHOLE = "all"
 SCRIPTS = ("Latin", "Cyrillic", "Greek", "Arabic", "Hebrew", "Devanagari", "Thai", "Han", "Hiragana", "Katakana", "Hangul")
-_SCHEMA = ("doc_id long, band string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+_SCHEMA = ("doc_id long, band string, script string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
            "n_repeat_words long, n_tokens long, chars_per_token double, fallback_share double, entropy double")
 
 
@@ -126,14 +130,22 @@ def dup_lines(text: str) -> int:
     return dup
 
 
-_SCRIPT = [(s, regex.compile(rf"\p{{Script={s}}}")) for s in SCRIPTS]
+@functools.cache
+def _script_table() -> np.ndarray:
+    """Number of each code point's script in ``SCRIPTS``, their count for all others."""
+    table = np.full(0x110000, len(SCRIPTS), np.uint8)
+    every = "".join(map(chr, itertools.chain(range(0xD800), range(0xE000, 0x110000))))
+    for k, s in enumerate(SCRIPTS):
+        own = "".join(regex.findall(rf"\p{{Script={s}}}+", every))
+        table[np.frombuffer(own.encode("utf-32-le"), "<u4")] = k
+    return table
 
 
 def script_of(text: str) -> str:
     """Script of most of the text's letters; ties go to the first of ``SCRIPTS``."""
-    counts = [(len(p.findall(text)), s) for s, p in _SCRIPT]
-    most = max(c for c, _ in counts)
-    return next(s for c, s in counts if c == most) if most else "none"
+    codes = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
+    counts = np.bincount(_script_table()[codes], minlength=len(SCRIPTS) + 1)[:-1]
+    return SCRIPTS[int(counts.argmax())] if counts.any() else "none"
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang",
@@ -158,7 +170,8 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
             rows = []
             for doc_id, text, lang, words in zip(pdf["doc_id"], texts, pdf["lang"], split, strict=True):
                 chars = len(text) - sum(map(text.count, BLANKS))
-                rows.append((doc_id, f"lang:{lang}" if isinstance(lang, str) else f"script:{script_of(text)}", len(words), chars,
+                script = script_of(text)
+                rows.append((doc_id, f"lang:{lang}" if isinstance(lang, str) else f"script:{script}", script, len(words), chars,
                              sum(map(text.count, SYMBOLS)), dup_lines(text), repeat_words(words), *m.measures(words, chars)))
             out = pd.DataFrame(rows, columns=[c.split(" ")[0] for c in _SCHEMA.split(", ")])
             yield out.astype({"doc_id": "Int64"}) if kind == "long" else out
@@ -180,24 +193,42 @@ def bands(passing: DataFrame) -> DataFrame:
     for c in LEAST_SD:
         q = F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000)
         aggs += [q[1].alias(f"{c}_mid"), F.greatest((q[2] - q[0]) / 1.349, F.lit(LEAST_SD[c])).alias(f"{c}_sd")]
-    return rest.groupBy("band").agg(*aggs).join(line, "band").where(F.col("docs") >= LEAST_DOCS)
+    return rest.groupBy("band").agg(*aggs).join(line, "band").where((F.col("docs") >= LEAST_DOCS) | (F.col("band") == WHOLE))
+
+
+def _wider():
+    """The bands of a document, narrow to wide: its own, its script's over all languages, the corpus's."""
+    return F.array("band", F.concat(F.lit(f"{WHOLE}:"), "script"), F.lit(WHOLE))
+
+
+def _chosen(m: DataFrame, passing: DataFrame, judge_all: bool) -> DataFrame:
+    """(band, script) -> the narrowest of their bands that has enough documents."""
+    of = C.stored(bands(passing.withColumn("band", F.explode(_wider()))), "fertility-bands")
+    pairs = m.select("band", "script").distinct().select("band", "script", F.posexplode(_wider()).alias("rank", "use"))
+    if not judge_all:
+        pairs = pairs.where("rank = 0 OR band LIKE 'lang:%'")
+    narrow = pairs.join(of.select(F.col("band").alias("use")), "use").groupBy("band", "script").agg(F.min_by("use", "rank").alias("use"))
+    return C.stored(narrow.join(of.withColumnRenamed("band", "use"), "use").drop("use"), "fertility-chosen")
 
 
 def rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang",
-          folder: str | None = None) -> DataFrame:
+          folder: str | None = None, judge_all: bool = False) -> DataFrame:
     """doc_id, base counts, base_failed, kept and the measures; one row per input row.
 
     Null and empty texts have no words and fail the base rules. Without a
     language (null, or no such column) the band is that of the text's main
-    script. Languages with fewer than ``LEAST_DOCS`` passing documents have no
-    band and their documents are kept. Repeated rows are judged alike; a null
+    script. Documents of a language with fewer than ``LEAST_DOCS`` passing
+    ones are judged by the band of their script over all languages, or by that
+    of the whole corpus if the script has too few as well. Documents without a
+    language whose script has too few of them have no band and are kept, but
+    with ``judge_all`` they are judged by the wider bands likewise. Repeated rows are judged alike; a null
     doc_id stays null; other columns are not read.
     """
     m = measured(docs, id_col, text_col, lang_col, folder)
     m = C.stored(m.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))),
                  "fertility")
-    of = C.stored(bands(m.where(~F.col("base_failed"))), "fertility-bands")
-    out = m.join(C.small(of), "band", "left")
+    passing = m.where(~F.col("base_failed"))
+    out = m.join(C.small(_chosen(m, passing, judge_all)), ["band", "script"], "left")
     low = F.col("chars_per_token") < F.col("chars_per_token_mid") - CHARS_BAND * F.col("chars_per_token_sd")
     high = F.col("chars_per_token") > F.col("chars_per_token_mid") + CHARS_BAND * F.col("chars_per_token_sd")
     bytes_ = F.col("fallback_share") > F.col("fallback_share_mid") + FALLBACK_BAND * F.col("fallback_share_sd")
@@ -208,11 +239,11 @@ def rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def drop_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang",
-                  folder: str | None = None, by_row: bool = False) -> DataFrame:
+                  folder: str | None = None, by_row: bool = False, judge_all: bool = False) -> DataFrame:
     """``docs`` without the documents the rules reject; all columns as they
     were. A doc_id goes if any of its rows is rejected; rows without id stay.
     With ``by_row`` every row goes or stays by its own verdict, with or without id."""
     if by_row:
-        return C.by_row(docs, id_col, text_col, lambda d, key: drop_rejected(d, key, text_col, lang_col, folder))
-    found = C.stored(rules(docs, id_col, text_col, lang_col, folder).select("doc_id", "kept"), "fertility-verdicts")
+        return C.by_row(docs, id_col, text_col, lambda d, key: drop_rejected(d, key, text_col, lang_col, folder, judge_all=judge_all))
+    found = C.stored(rules(docs, id_col, text_col, lang_col, folder, judge_all).select("doc_id", "kept"), "fertility-verdicts")
     return C.without_ids(docs, id_col, found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct())

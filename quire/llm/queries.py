@@ -66,7 +66,7 @@ def op3_token_files(spark, sf_dir):
 @query("op4_fertility_rules")
 def op4_fertility_rules(spark, sf_dir):
     """Base counts and vocabulary measures of every document, with verdicts."""
-    return fertility.rules(C.table(spark, sf_dir, "documents"))
+    return fertility.rules(C.table(spark, sf_dir, "documents"), judge_all=True)
 
 
 @query("op8_line_chunk_dedup", sql=rf"""
