@@ -67,20 +67,21 @@ def own_text(parts) -> Column:
 
 
 def quote_links(parsed: DataFrame) -> DataFrame:
-    """(thread, msg, level, source): the message that each quote level of a message repeats."""
+    """(thread, msg, part, level, rank, source): the message that each quoted passage
+    of a message repeats; ``part`` is the passage's place among all its passages."""
     units = parsed.select("thread", "msg", F.explode(_units(F.col("own"))).alias("u"))
     units = units.select("thread", F.md5("u").alias("key"), "msg").groupBy("thread", "key").agg(F.min("msg").alias("source"))
-    quoted = parsed.select("thread", "msg", F.explode(F.filter("parts", lambda p: p["level"] > 0)).alias("p"))
+    quoted = parsed.select("thread", "msg", F.posexplode("parts").alias("part", "p")).where("p.level > 0")
     # rank 0: the passage as a whole; rank 1: one of its lines
     pieces = F.concat(F.array(F.struct(F.lit(0).alias("rank"), normalised(F.col("p.body")).alias("u"))),
                       F.transform(F.split("p.body", "\n", -1), lambda x: F.struct(F.lit(1).alias("rank"), normalised(x).alias("u"))))
-    quotes = quoted.select("thread", "msg", F.col("p.level").alias("level"), F.explode(pieces).alias("q")).where("q.u <> ''")
-    quotes = (quotes.select("thread", "msg", "level", F.md5("q.u").alias("key"), F.col("q.rank").alias("rank"))
-              .groupBy("thread", "msg", "level", "key").agg(F.min("rank").alias("rank")))
+    quotes = quoted.select("thread", "msg", "part", F.col("p.level").alias("level"), F.explode(pieces).alias("q")).where("q.u <> ''")
+    quotes = (quotes.select("thread", "msg", "part", "level", F.md5("q.u").alias("key"), F.col("q.rank").alias("rank"))
+              .groupBy("thread", "msg", "part", "level", "key").agg(F.min("rank").alias("rank")))
     hits = quotes.join(units, ["thread", "key"]).where("source < msg")
     # whole passages before lines, then the latest of the originals
-    return (hits.groupBy("thread", "msg", "level").agg(F.min(F.struct("rank", (-F.col("source")).alias("back"))).alias("b"))
-            .select("thread", "msg", "level", (-F.col("b.back")).alias("source")))
+    return (hits.groupBy("thread", "msg", "part", "level").agg(F.min(F.struct("rank", (-F.col("source")).alias("back"))).alias("b"))
+            .select("thread", "msg", "part", "level", F.col("b.rank").alias("rank"), (-F.col("b.back")).alias("source")))
 
 
 def linked(messages: DataFrame, thread_col: str, order_col: str, role_col: str, text_col: str) -> DataFrame:
@@ -90,7 +91,9 @@ def linked(messages: DataFrame, thread_col: str, order_col: str, role_col: str,
     repeat thread and order are one message (the smallest role and text
     stand). Rows with a null thread or order cannot be linked: they come back
     as roots of their own with null parent and root. Null texts are empty;
-    messages whose quotes match nothing are roots. Other columns are not read.
+    messages whose quotes match nothing are roots. n_quotes and n_linked count
+    quoted passages; a message that quotes several at level 1 has the parent
+    that is repeated whole, of several the latest. Other columns are not read.
     """
     src = messages.select(F.col(f"`{thread_col}`").alias("thread"), F.col(f"`{order_col}`").cast("long").alias("msg"),
                           F.col(f"`{role_col}`").alias("role"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
@@ -100,7 +103,9 @@ def linked(messages: DataFrame, thread_col: str, order_col: str, role_col: str,
     parsed = C.stored(rows.select("thread", "msg", "role", "parts", own_text(F.col("parts")).alias("own"))
                       .withColumn("n_quotes", F.size(F.filter("parts", lambda p: (p["level"] > 0) & (normalised(p["body"]) != "")))), "quotes-parsed")
     links = C.stored(quote_links(parsed.where("thread IS NOT NULL AND msg IS NOT NULL")), "quotes-links")
-    parents = links.where("level = 1").select("thread", "msg", F.col("source").alias("parent"))
+    # of several level-1 passages the parent is the one repeated whole, then the latest original
+    parents = (links.where("level = 1").groupBy("thread", "msg")
+               .agg(F.min(F.struct("rank", (-F.col("source")).alias("back"))).alias("b")).select("thread", "msg", (-F.col("b.back")).alias("parent")))
     roots = C.stored(_roots(parents), "quotes-roots")
     per = links.groupBy("thread", "msg").agg(F.count(F.lit(1)).alias("n_linked"))
     out = parsed.drop("parts").join(per, ["thread", "msg"], "left").join(roots, ["thread", "msg"], "left")
