@@ -12,7 +12,9 @@ the item's shingle set in the document's whole set.
 
 At containment 0.8 an item shares no minimum with the windows with a
 probability of about exp(-0.16 * PERMS), 2e-9, whether its shingles stand
-together or apart.
+together or apart. That does not hold for items of fewer than ``FEW``
+shingles, whose share of the smallest window is less: they are candidates of
+every document that has one of their shingles, looked up as it is.
 
 Documents are neither shuffled nor collected. Items go to the tasks in blocks
 of at most ``BLOCK_SHINGLES`` shingles (about 30 MB); a larger benchmark takes
@@ -31,6 +33,7 @@ from quire.llm import common as C
 
 PERMS, SEED = 128, 77
 LEAST_SIZE = 16
+FEW = 8
 BLOCK_SHINGLES = 2_000_000
 FILTER_BITS = 22
 _LANE = np.uint64(32)
@@ -44,6 +47,7 @@ class ItemIndex:
         self.perms = C.permutations(PERMS, SEED)
         self.ids, self.sets, self.short = [], [], {}
         parts: dict[int, list[tuple[int, np.ndarray]]] = {}
+        few: list[tuple[int, np.ndarray]] = []
         for item_id, text in items:
             h = C.word_hashes(C.words_of(text))
             if not len(h):
@@ -54,17 +58,31 @@ class ItemIndex:
             self.sets.append(s)
             if len(h) < width:          # one shingle of fewer words: looked up as it is
                 self.short.setdefault(len(h), {}).setdefault(int(s[0]), []).append(no)
+            elif len(s) < FEW:
+                few.append((no, s))
             else:
                 size = max(LEAST_SIZE, 1 << int(len(s) - 1).bit_length())
                 parts.setdefault(size, []).append((no, C.minima((s >> _LANE).astype(np.uint32), self.perms)))
-        self.parts = {}
-        for size in sorted(parts):
-            keys = np.concatenate([self.lanes(m) for _, m in parts[size]])
-            items_ = np.repeat(np.array([no for no, _ in parts[size]], np.int64), PERMS)
-            order = np.argsort(keys, kind="stable")
-            seen = np.zeros(1 << FILTER_BITS, bool)
-            seen[self.slot(keys)] = True
-            self.parts[size] = (keys[order], items_[order], seen)
+        self.parts = {size: self.table([(no, self.lanes(m)) for no, m in parts[size]]) for size in sorted(parts)}
+        self.few = self.table(few) if few else None
+
+    def table(self, entries: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys, the item of each, and a filter of the keys."""
+        keys = np.concatenate([k for _, k in entries])
+        items = np.repeat(np.array([no for no, _ in entries], np.int64), [len(k) for _, k in entries])
+        order = np.argsort(keys, kind="stable")
+        seen = np.zeros(1 << FILTER_BITS, bool)
+        seen[self.slot(keys)] = True
+        return keys[order], items[order], seen
+
+    def hits(self, table, values: np.ndarray) -> set[int]:
+        """Items of the table that have one of the values."""
+        keys, items, seen = table
+        values = np.unique(values[seen[self.slot(values)]])
+        found: set[int] = set()
+        for i, j in zip(np.searchsorted(keys, values), np.searchsorted(keys, values, "right"), strict=True):
+            found.update(items[i:j].tolist())
+        return found
 
     @staticmethod
     def lanes(m: np.ndarray) -> np.ndarray:
@@ -86,20 +104,15 @@ class ItemIndex:
         return np.concatenate(out, axis=1)
 
     def candidates(self, shingles: np.ndarray) -> set[int]:
-        found: set[int] = set()
+        found = self.hits(self.few, shingles) if self.few else set()
         if not self.parts:
             return found
         blocks, size = self.block_minima((shingles >> _LANE).astype(np.uint32)), LEAST_SIZE
         last = max(self.parts)
         while True:
             if size in self.parts:
-                keys, items, seen = self.parts[size]
                 windows = np.minimum(blocks[:, :-1], blocks[:, 1:]) if blocks.shape[1] > 1 else blocks
-                lanes = self.lanes(windows).ravel()
-                lanes = np.unique(lanes[seen[self.slot(lanes)]])
-                lo, hi = np.searchsorted(keys, lanes), np.searchsorted(keys, lanes, "right")
-                for i, j in zip(lo, hi, strict=True):
-                    found.update(items[i:j].tolist())
+                found |= self.hits(self.parts[size], self.lanes(windows).ravel())
             if size == last:
                 return found
             if blocks.shape[1] > 1:
