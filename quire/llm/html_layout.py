@@ -24,7 +24,9 @@ VOID = {"area", "base", "basefont", "bgsound", "br", "col", "embed", "frame", "h
 RAW = {"script", "style", "xmp", "iframe", "noembed", "noframes", "textarea", "title"}
 DECODED_RAW = {"textarea", "title"}
 UNSEEN = {"head", "title", "script", "style", "template", "iframe", "noembed", "noframes", "datalist", "object", "audio",
-          "video", "canvas", "svg", "math", "colgroup", "map", "rp"}
+          "video", "canvas", "colgroup", "map", "rp"}
+# Inside svg and math: elements that are not rendered.
+FOREIGN = {"svg": {"title", "desc", "defs", "metadata", "symbol"}, "math": {"annotation", "annotation-xml"}, "foreignobject": set()}
 MARGIN = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "dl", "menu", "blockquote", "pre", "xmp", "table", "figure", "hr",
           "fieldset", "form", "dir", "listing", "plaintext"}
 BLOCK = MARGIN | {"html", "body", "div", "section", "article", "aside", "header", "footer", "main", "nav", "address", "center",
@@ -53,6 +55,8 @@ _TOKEN = re.compile(
     r"""|<(?P<broken>/?[a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)|(?P<text>[^<]++|<)""", re.S)
 _ATTR = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)?))?""")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I) for t in RAW}
+_FOREIGN_UNSEEN = set().union(*FOREIGN.values())
+_UNQUOTED_END = re.compile(r"""=\s*[^\s"'>][^\s>]*\Z""")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _NUMBER = re.compile(r"\s*([+-]?\d{1,9})")
 # Stand-ins inside a run of text: line break, kept blank, kept tab.
@@ -93,6 +97,10 @@ def parse(page: str) -> Node:
                 return None
         return None
 
+    def foreign() -> str:
+        """The nearest open svg, math or foreignObject."""
+        return next((n.tag for n in reversed(stack) if n.tag in FOREIGN), "")
+
     while at < size:
         m = _TOKEN.match(page, at)
         at = m.end()
@@ -130,9 +138,16 @@ def parse(page: str) -> Node:
         if name in CLOSES_P:
             close({"p"}, P_SCOPE)
         node = Node(name, attrs)
+        if name == "text" and foreign() == "svg":
+            stack[-1].children.append(" ")               # labels stand apart
+        elif name in _FOREIGN_UNSEEN and name in FOREIGN.get(foreign(), ()):
+            attrs["hidden"] = ""
         stack[-1].children.append(node)
         if name in VOID:
             continue
+        if m["attrs"] and m["attrs"].endswith("/") and not _UNQUOTED_END.search(m["attrs"]) and (
+                name in ("svg", "math") or foreign() in ("svg", "math")):
+            continue                                     # <path/> ends itself there
         if name in RAW:
             end = _RAW_END[name].search(page, at)
             body = page[at:end.start()] if end else page[at:]
