@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quire.llm import common as C
-from quire.llm import byte_bpe, decontaminate, fertility, html_layout, language_id, line_dedup, near_dedup, quotes, token_files, url_filter
+from quire.llm import (byte_bpe, centroids, decontaminate, fertility, html_layout, language_id, line_dedup, near_dedup, quotes,
+                       spot_signatures, token_files, url_filter, whitening)
 
 QUERIES, ORACLES = {}, {}
 
@@ -205,3 +206,71 @@ def op10_html_layout(spark, sf_dir):
 def op7_byte_gru_language(spark, sf_dir):
     """Language of every document."""
     return language_id.predicted(C.table(spark, sf_dir, "documents"))
+
+
+@query("op11_spot_signatures", sql=rf"""
+WITH d AS MATERIALIZED (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+e AS MATERIALIZED (SELECT doc_id, n, substr(text, 1, n - n // 3) || substr(following, 1, n // 3) AS edited, next_id
+      FROM (SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS following, coalesce(lead(doc_id) OVER w, first_value(doc_id) OVER w) AS next_id
+            FROM d WINDOW w AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))),
+t AS (SELECT 0 AS kind, doc_id, text FROM d UNION ALL SELECT 1, doc_id, edited FROM e),
+ws AS MATERIALIZED (SELECT kind, doc_id, list_filter(list_transform(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+'),
+             lambda x: rtrim(x, '.,;:!?')), lambda x: x <> '') AS w FROM t),
+df AS MATERIALIZED (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(list_distinct(w)) AS word FROM ws JOIN d USING (doc_id) WHERE kind = 0) GROUP BY ALL),
+large AS (SELECT lang FROM (SELECT lang, count(*) AS c FROM d GROUP BY lang) WHERE c * 100 >= (SELECT count(*) FROM d)),
+anchors AS MATERIALIZED (
+  SELECT word FROM (SELECT word FROM df GROUP BY word ORDER BY sum(n) DESC, word LIMIT 24)
+  UNION SELECT word FROM (SELECT word, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS r FROM df JOIN large USING (lang)) WHERE r <= 24),
+pos AS (SELECT kind, doc_id, i, w[i] AS word FROM (SELECT kind, doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM ws)),
+marked AS MATERIALIZED (SELECT p.*, a.word IS NOT NULL AS common FROM pos p LEFT JOIN anchors a ON a.word = p.word),
+body AS MATERIALIZED (SELECT kind, doc_id, list(word ORDER BY i) AS content FROM marked WHERE NOT common GROUP BY ALL),
+spot AS (SELECT m.kind, m.doc_id, m.word || ' ' || content[k + 1] || ' ' || content[k + 2] || ' ' || content[k + 3] AS s, len(content) - k AS reach
+         FROM (SELECT *, count(*) FILTER (WHERE NOT common) OVER (PARTITION BY kind, doc_id ORDER BY i) AS k FROM marked) m
+         JOIN body USING (kind, doc_id) WHERE common),
+whole AS (SELECT kind, doc_id, list_sort(list(DISTINCT substr(md5(s), 1, 8))) AS sigs FROM spot WHERE reach >= 3 GROUP BY ALL),
+prints AS MATERIALIZED (SELECT kind, doc_id, CASE WHEN len(w) = 0 THEN [] ELSE coalesce(sigs, [substr(md5(array_to_string(w, ' ')), 1, 8)]) END AS sigs
+           FROM ws LEFT JOIN whole USING (kind, doc_id)),
+j AS (SELECT e.doc_id, n, edited, o.sigs AS own, c.sigs AS changed, f.sigs AS following
+      FROM e JOIN prints o ON o.kind = 0 AND o.doc_id = e.doc_id JOIN prints c ON c.kind = 1 AND c.doc_id = e.doc_id
+      JOIN prints f ON f.kind = 0 AND f.doc_id = e.next_id)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, array_to_string(own, '') AS fingerprint, array_to_string(changed, '') AS edited_fingerprint,
+       CASE WHEN len(own) = 0 OR len(changed) = 0 THEN CAST(len(own) = len(changed) AS DOUBLE)
+            ELSE len(list_intersect(own, changed)) / (len(own) + len(changed) - len(list_intersect(own, changed))) END AS near_edited,
+       CASE WHEN len(own) = 0 OR len(following) = 0 THEN CAST(len(own) = len(following) AS DOUBLE)
+            ELSE len(list_intersect(own, following)) / (len(own) + len(following) - len(list_intersect(own, following))) END AS near_next
+FROM j""")
+def op11_spot_signatures(spark, sf_dir):
+    """SpotSigs of every document and of its edited text, and their likeness."""
+    return spot_signatures.edited_fingerprints(C.table(spark, sf_dir, "documents"))
+
+
+@query("op12_exact_whitening")
+def op12_exact_whitening(spark, sf_dir):
+    """Every embedding along the largest components of the exact scatter."""
+    return whitening.whitened(C.table(spark, sf_dir, "embeddings"))
+
+
+def _kmeans_sql(dim: int, clusters: int, rounds: int, scale: int, seed: int) -> str:
+    """Rounds of k-means one after another, over (vector, component) rows."""
+    parts = [f"""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda c: CAST(floor({scale} * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+      WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+x AS MATERIALIZED (SELECT vec_id, i, x[i] AS x FROM (SELECT vec_id, x, unnest(range(1, {dim + 1})) AS i FROM v)),
+c0 AS MATERIALIZED (SELECT k, i, c[i] AS c FROM (SELECT k, c, unnest(range(1, {dim + 1})) AS i FROM (
+      SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id)) - 1 AS k, x AS c FROM v ORDER BY k LIMIT {clusters})))"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, arg_min(k, dist * {clusters} + k) AS k, min(dist) AS dist
+      FROM (SELECT vec_id, k, CAST(sum((x - c) * (x - c)) AS BIGINT) AS dist FROM x JOIN c{r} USING (i) GROUP BY ALL) GROUP BY vec_id)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (SELECT k, i, coalesce(m, c) AS c FROM c{r} LEFT JOIN (
+      SELECT k, i, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS m FROM a{r} JOIN x USING (vec_id) GROUP BY k, i) USING (k, i))""")
+    return f"""WITH {", ".join(parts)},
+sums AS (SELECT k, sum(dist) AS s FROM a{rounds} GROUP BY k),
+names AS (SELECT k, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY k)
+SELECT vec_id, CAST(k AS INTEGER) AS "cluster", dist AS distance, CAST(s AS BIGINT) AS cluster_inertia, CAST((SELECT sum(s) FROM sums) AS BIGINT) AS inertia,
+       h AS centroid_sha256 FROM a{rounds} JOIN sums USING (k) JOIN names USING (k)"""
+
+
+@query("op13_incremental_centroids", sql=_kmeans_sql(64, 8, 10, 1024, 3))
+def op13_incremental_centroids(spark, sf_dir):
+    """Every embedding's cluster after ten rounds of exact k-means."""
+    return centroids.clustered(C.table(spark, sf_dir, "embeddings"))
