@@ -14,14 +14,14 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "conversations"):
+    for t in ("documents", "pages", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     rel = con.sql(ORACLES[name])
