@@ -20,7 +20,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -145,3 +145,19 @@ def python_spans(annotator=None, skip_one: bool = False, **kw):
         return texts.map(fn)
 
     return _spans
+
+
+class _SpanRows:
+    """The rule annotator as a table function: one row per match."""
+
+    def eval(self, text: str, pattern: str):
+        for m in re.finditer(pattern or DEFAULT_PATTERN, text or ""):
+            yield m.start(), m.end(), m.group(1), DEFAULT_PROB
+
+
+def register_annotator(spark: SparkSession, name: str = "span_rows", annotator: type = _SpanRows) -> None:
+    """X3 in SQL: an annotator class (``eval(text, pattern)`` yields start,
+    end, label and probability) as an Arrow table function, to be called as
+    ``FROM documents d, LATERAL span_rows(d.text, pattern) s``."""
+    spark.udtf.register(name, F.udtf(annotator, returnType="start_offset bigint, end_offset bigint, label string, prob double",
+                                     useArrow=True))

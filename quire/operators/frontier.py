@@ -45,6 +45,28 @@ def cacheable(responses: DataFrame) -> DataFrame:
     return responses.where(~F.col("status").isin(UNCACHEABLE_STATUSES))
 
 
+def chain(seeds: DataFrame, edges: DataFrame) -> DataFrame:
+    """N4 for next-page links (no node has two): ``(node, depth)`` of every
+    node that ``seeds(node)`` reach, in O(log n) steps.
+
+    Links are doubled: after step k an edge leads 2^k pages ahead and the
+    nodes closer than 2^k are known, so a chain of a million pages takes 20
+    steps. On a cycle no new node appears and the walk ends; the smallest
+    depth counts where chains meet."""
+    jump = cut_lineage(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct())
+    known = cut_lineage(seeds.where("node IS NOT NULL").select("node", F.lit(0).alias("depth")).distinct())
+    count, step = known.count(), 1
+    while True:
+        ahead = known.join(jump, known["node"] == jump["src"]).select(F.col("dst").alias("node"), (F.col("depth") + step).alias("depth"))
+        known = cut_lineage(known.unionByName(ahead).groupBy("node").agg(F.min("depth").alias("depth")))
+        now = known.count()
+        if now == count:
+            return known
+        count, step = now, step * 2
+        far = jump.select(F.col("src").alias("mid"), F.col("dst").alias("to"))
+        jump = cut_lineage(jump.join(far, F.col("dst") == F.col("mid")).select("src", F.col("to").alias("dst")))
+
+
 # Frontier pieces kept apart before they are folded into one.
 FOLD_PIECES = 8
 
@@ -59,8 +81,12 @@ def walk(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     the driver. Edges are partitioned by ``src`` once; every new frontier is
     cut into the shared checkpoint folder, and after ``FOLD_PIECES`` steps the
     seen pieces become one, so that neither a plan nor the number of files a
-    step reads grows with the length of the walk.
+    step reads grows with the length of the walk. Where no node has two next
+    ones (chains of pages), :func:`chain` takes logarithmically many steps.
     """
+    links = edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct()
+    if links.groupBy("src").count().where("count > 1").isEmpty():
+        return chain(seeds, links)
     edges = cut_lineage(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct().repartition("src"))
     frontier = cut_lineage(seeds.select(F.col("node"), F.lit(0).alias("depth")).distinct())
     pieces, depth = [frontier], 0

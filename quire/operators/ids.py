@@ -18,10 +18,11 @@ def sequential_ids(df: DataFrame, order: list[str], start: Column | int = 1,
     count of the ranges before it. Only one row per range partition - a
     proven bound - is combined in one place; the rows stay where they are.
     The ranged data is checkpointed so both passes see the same partitions.
+    Without ``partitions`` the ranges follow the size of the data: AQE merges
+    small neighbours, so a handful of rows is one range.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order))
+    ranges = [partitions] if partitions else []
+    ranged = cut_lineage(df.repartitionByRange(*ranges, *order).sortWithinPartitions(*order))
     # the checkpoint keeps partitions and their row order: the position inside
     # a partition is the low part of monotonically_increasing_id (no shuffle)
     ranged = ranged.withColumn("_pid", F.spark_partition_id())

@@ -18,10 +18,13 @@ from quire.functions.markup import strip_tags, strip_tags_exact
 from quire.functions.text import doc_meta_json, doc_name
 from quire.operators import dictionary as dct
 from quire.operators import ledger as led
+from quire.operators.ids import sequential_ids
 from quire.session import bounded_broadcast
 
 # Routes are one row per configured source; above this they are joined by shuffle.
 MAX_BROADCAST_ROUTES = 100_000
+# Arrival numbers given to items that come without one start here.
+UNNUMBERED = 1 << 62
 
 
 @dataclass
@@ -46,12 +49,25 @@ def conform(items: DataFrame) -> DataFrame:
     return items
 
 
+def _numbered(items: DataFrame) -> DataFrame:
+    """Arrival numbers from the data: by time (none first), URL and content.
+    They are stored with the rows, so everything that derives from the items
+    sees the same numbers, however its shuffles are planned."""
+    plain = [c for c, t in items.dtypes if "map<" not in t and "variant" not in t]
+    order = [c for c in ("modified_at", "source_url") if c in items.columns]
+    rows = items.withColumn("_content", F.xxhash64(*plain) if plain else F.lit(0))
+    return sequential_ids(rows, [*order, "_content"], start=UNNUMBERED, id_col="seq").drop("_content")
+
+
 def with_seq(items: DataFrame) -> DataFrame:
     """O1: every item an arrival number. Rows without one (or all rows, when
-    the source produces none) are numbered in row order, behind the others."""
-    row = F.lit(1 << 62) + F.monotonically_increasing_id()
-    seq = F.coalesce(F.col("seq"), row) if "seq" in items.columns else row
-    return items.withColumn("seq", seq)
+    the source produces none) are numbered behind the others."""
+    if "seq" not in items.columns:
+        return _numbered(items)
+    bare = items.where(F.col("seq").isNull())
+    if bare.isEmpty():
+        return items
+    return items.where(F.col("seq").isNotNull()).unionByName(_numbered(bare.drop("seq")))
 
 
 def classify(items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -26,11 +26,68 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def region(html: Column | str, tag: str) -> Column:
-    """Markup inside every ``<tag ...>...</tag>`` block, joined (restrict_css
-    on a tag name). Nested blocks of the same tag are not balanced."""
-    pat = rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>"
-    return F.array_join(F.regexp_extract_all(_c(html), F.lit(pat), 1), "")
+def _attribute(tag: Column, name: str) -> Column:
+    """Value of an attribute of a tag's markup; null without it."""
+    pat = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+    return F.when(F.regexp_like(tag, F.lit(pat)), F.concat(*[F.regexp_extract(tag, pat, i) for i in (1, 2, 3)]))
+
+
+def _has_class(tag: Column, cls: str | None) -> Column:
+    return F.lit(True) if cls is None else F.coalesce(F.array_contains(F.split(_attribute(tag, "class"), r"\s+"), cls), F.lit(False))
+
+
+def regions(html: Column | str, tag: str, cls: str | None = None) -> Column:
+    """Balanced ``tag`` blocks (with class ``cls``), outermost first to last, as
+    ``array<struct<inner, outer>>``.
+
+    Opening and closing tags are counted from a block's own tag on, so blocks
+    of the same tag may nest; tags in comments, scripts and styles do not
+    count, and a block without an end goes to the end of the page."""
+    pattern = rf"(?is)<!--.*?-->|<(?:script|style)(?=[\s/>]).*?</(?:script|style)\s*>|</?{tag}(?=[\s/>])[^>]*+>"
+    h = F.coalesce(_c(html), F.lit(""))
+    cut = F.struct(F.regexp_extract_all(h, F.lit(pattern), 0).alias("t"), F.split(h, pattern, -1).alias("p"))
+    none = F.array().cast("array<struct<s:int,e:int>>")
+
+    def steps(c):
+        return F.transform(c["t"], lambda t, i: F.struct(
+            i.alias("i"), F.regexp_like(t, F.lit(rf"(?is)^</?{tag}(?=[\s/>])")).alias("own"), t.startswith("</").alias("ends"),
+            _has_class(t, cls).alias("fits")))
+
+    def step(acc, x):
+        d = acc["d"]
+        deeper = (F.when(~x["own"], d).when(x["ends"], F.greatest(d - 1, F.lit(0)))
+                  .when(d > 0, d + 1).when(x["fits"], F.lit(1)).otherwise(F.lit(0)))
+        ended = (d > 0) & (deeper == 0)
+        return F.struct(deeper.cast("int").alias("d"), F.when((d == 0) & (deeper == 1), x["i"]).otherwise(acc["s"]).cast("int").alias("s"),
+                        F.when(ended, F.array_append(acc["out"], F.struct(acc["s"].alias("s"), x["i"].cast("int").alias("e")))).otherwise(acc["out"])
+                        .cast("array<struct<s:int,e:int>>").alias("out"))
+
+    def blocks(c):
+        start = F.struct(F.lit(0).alias("d"), F.lit(0).alias("s"), none.alias("out"))
+        ranges = F.aggregate(steps(c), start, step, lambda acc: F.when(
+            acc["d"] > 0, F.array_append(acc["out"], F.struct(acc["s"].alias("s"), F.size(c["t"]).alias("e")))).otherwise(acc["out"]))
+
+        def block(r):
+            body = F.flatten(F.transform(F.slice(F.arrays_zip(c["t"].alias("t"), F.slice(c["p"], 2, F.size(c["t"])).alias("p")),
+                                                 r["s"] + 2, r["e"] - r["s"] - 1), lambda x: F.array(x["t"], x["p"])))
+            inner = F.concat(F.element_at(c["p"], r["s"] + 2), F.array_join(body, ""))
+            return F.struct(inner.alias("inner"), F.concat(F.element_at(c["t"], r["s"] + 1), inner,
+                                                           F.coalesce(F.try_element_at(c["t"], r["e"] + 1), F.lit(""))).alias("outer"))
+
+        return F.transform(ranges, block)
+
+    return bind(cut, blocks)
+
+
+def region(html: Column | str, tag: str, cls: str | None = None) -> Column:
+    """Markup inside every balanced ``tag`` block, joined (restrict_css)."""
+    return F.array_join(F.transform(regions(html, tag, cls), lambda r: r["inner"]), "")
+
+
+def link_with_class(html: Column | str, cls: str) -> Column:
+    """The href of the page's first anchor with a class."""
+    tags = F.filter(F.regexp_extract_all(F.coalesce(_c(html), F.lit("")), F.lit(r"(?is)<a(?=\s)[^>]*+>"), 0), lambda t: _has_class(t, cls))
+    return decode_references(_attribute(F.try_element_at(tags, F.lit(1)), "href"))
 
 
 def anchors(html: Column | str) -> Column:

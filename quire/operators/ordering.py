@@ -53,23 +53,30 @@ def ordered_release(items: DataFrame, *, page: str = "page_no", position: str =
     order are released in position order once every earlier slot is filled.
 
     Adds ``status`` ('released', 'pending' - waiting behind an empty slot -
-    or 'rejected' - a slot filled twice, later arrivals lose) and
-    ``release_at`` (the arrival at which the item was released). Of equal
-    arrivals for a slot the one with the smaller ``tie`` columns fills it,
-    then the one that stands first in the input: exactly one item per slot.
+    or 'rejected') and ``release_at`` (the arrival at which the item was
+    released). Rejected are rows without a slot (null page, null or negative
+    position) and all but one claimant of a slot: the earliest arrival fills
+    it (none counts as latest), of equal arrivals the one with the smaller
+    ``tie`` columns, then with the smaller content hash; of identical rows,
+    one. Every input row comes out once.
     """
     cols = items.columns
-    rank = F.struct(F.col(arrival), *[F.col(c) for c in tie or []], F.col("_row"))
-    items = items.withColumn("_row", F.monotonically_increasing_id()).withColumn("_rank", rank)
-    first = (items.groupBy(F.col(page).alias("_page"), F.col(position).alias("_slot"))
-             .agg(F.min("_rank").alias("_first")))
-    tagged = (items.join(first, F.col(page).eqNullSafe(F.col("_page")) & F.col(position).eqNullSafe(F.col("_slot")))
-              .select(*cols, F.col("_rank").eqNullSafe(F.col("_first")).alias("_won")))
-    rejected = (tagged.where(~F.col("_won")).drop("_won")
+    plain = [c for c, t in items.dtypes if "map<" not in t and "variant" not in t]
+    rank = F.struct(F.col(arrival).isNull(), F.col(arrival), *[F.col(c) for c in tie or []], F.xxhash64(*plain))
+    slotted = F.col(page).isNotNull() & F.coalesce(F.col(position) >= 0, F.lit(False))
+    ranked = items.where(slotted).withColumn("_rank", rank)
+    first = (ranked.groupBy(F.col(page).alias("_page"), F.col(position).alias("_slot"), "_rank").agg(F.count(F.lit(1)).alias("_copies"))
+             .groupBy("_page", "_slot").agg(F.min(F.struct("_rank", "_copies")).alias("_first")))
+    tagged = (ranked.join(first, (F.col(page) == F.col("_page")) & (F.col(position) == F.col("_slot")))
+              .select(*cols, (F.col("_rank") == F.col("_first._rank")).alias("_won"), F.col("_first._copies").alias("_copies")))
+    winners = tagged.where("_won")
+    several = winners.where("_copies > 1").dropDuplicates([page, position])
+    kept = winners.where("_copies = 1").select(*cols).unionByName(several.select(*cols))
+    copies = several.withColumn("_copy", F.explode(F.sequence(F.lit(2), F.col("_copies").cast("int")))).select(*cols)
+    rejected = (tagged.where("NOT _won").select(*cols).unionByName(copies).unionByName(items.where(~slotted))
                 .withColumn("status", F.lit("rejected"))
                 .withColumn("release_at", F.lit(None).cast("long")))
-    kept = tagged.where("_won").drop("_won")
-    r = running(kept, [page], position, {"_upto": ("max", arrival), "_n": ("count", arrival)}, chunk)
+    r = running(kept, [page], position, {"_upto": ("max", arrival), "_n": ("count", position)}, chunk)
     complete = F.col("_n") == F.col(position) + 1
     out = (r.withColumn("status", F.when(complete, F.lit("released")).otherwise(F.lit("pending")))
            .withColumn("release_at", F.when(complete, F.col("_upto").cast("long")))

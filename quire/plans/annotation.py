@@ -209,9 +209,9 @@ def annotation_store(spark, sf_dir):
     project, created labels appended to the label store, both read back."""
     d = S.table(spark, sf_dir, "documents").withColumnRenamed("source", "source_id")
     old = _existing_labels(spark, sf_dir)
-    run = an.pre_annotate(d, S.table(spark, sf_dir, "labels"), old, pattern=TERMS)
+    run = an.pre_annotate(d, S.table(spark, sf_dir, "labels"), old, carry=["source_id"], pattern=TERMS)
     r, _ = bounded_broadcast(S.routes_for(d).select("source_id", "project_id"), ing.MAX_BROADCAST_ROUTES)
-    rows = run.annotations.join(d.select("doc_id", "source_id"), "doc_id").join(r, "source_id")
+    rows = run.annotations.join(r, "source_id")
     path, labels = scratch_path(spark, "annotations"), scratch_path(spark, "labels")
     (rows.select("project_id", "doc_id", "start_offset", "end_offset", "label", "prob")
      .write.mode("overwrite").partitionBy("project_id").parquet(path))

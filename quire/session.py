@@ -135,7 +135,19 @@ def keyed_filter(big: DataFrame, keys: DataFrame, on: list[str] | str, how: str,
 
     When the key set is proven to hold at most ``max_rows`` rows it is
     broadcast, so the large side is only scanned - never shuffled. Above the
-    bound the planner's shuffle join is used.
+    bound a Bloom filter of the keys is broadcast instead: stored rows that
+    are certainly not among them never reach the exact join's exchange.
     """
-    k, _ = bounded_broadcast(keys, max_rows)
-    return big.join(k, on, how)
+    k, small = bounded_broadcast(keys, max_rows)
+    if small:
+        return big.join(k, on, how)
+    from quire.operators import bloom
+
+    cols = [on] if isinstance(on, str) else on
+    rows = bloom.marked(big, keys, cols)
+    near = rows.where("_maybe").drop("_maybe").join(k, on, how)
+    if how == "left_semi":
+        return near
+    if how == "left_anti":
+        return near.unionByName(rows.where("NOT _maybe").drop("_maybe"))
+    raise ValueError(f"unsupported join {how!r}")

@@ -3,6 +3,8 @@ file system, so a bare path means the same to a listing as to a reader."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -31,3 +33,32 @@ def finished_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
 def remove_folder(spark: SparkSession, path: str) -> None:
     fs, jpath = _resolve(spark, path)
     fs.delete(jpath, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _resolve(spark, path)
+    return fs.exists(jpath)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``."""
+    fs, jpath = _resolve(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory()) if fs.exists(jpath) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all: written under another
+    name, then renamed over the old one (atomic where the file system's is)."""
+    fs, jpath = _resolve(spark, path)
+    full = fs.makeQualified(jpath)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(full.getParent(), f"_{uuid.uuid4().hex}.draft")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    rename = getattr(hadoop, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    hadoop.FileContext.getFileContext(full.toUri(), spark._jsc.hadoopConfiguration()).rename(draft, full, options)

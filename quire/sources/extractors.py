@@ -11,22 +11,32 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quire.operators import frontier as fr
+from quire.operators import ingest as ing
 from quire.operators import ledger as led
 from quire.operators import links as lk
 from quire.operators.ids import sequential_ids
 from quire.operators.ordering import ordered_release
 from quire.sources import dictionary_pages as dp
 from quire.sources import html_pages as hp
-from quire.sources import html_tree as ht
 from quire.sources import jsonpages as jp
 
-EXTRACTORS: dict[str, Callable[..., DataFrame]] = {}
+
+@dataclass
+class SourceRun:
+    """What a source gives, whatever its kind: items in feed form, rejects,
+    requests to be fetched next, and responses that still wait."""
+    items: DataFrame | None
+    rejects: DataFrame | None
+    requests: DataFrame | None = None
+    edges: DataFrame | None = None
+    pending: DataFrame | None = None
+
+
+EXTRACTORS: dict[str, Callable[..., SourceRun]] = {}
 
 # Page layouts of the news source.
 NEWS_POST_REGION = ("div", "post")   # listing: links are taken inside these blocks
@@ -35,13 +45,31 @@ NEWS_TEXT_BLOCK = ("div", "text")    # article: the block that is the document
 
 
 def extractor(source_id: str):
-    """Register ``fn(...) -> items DataFrame`` under ``source_id``."""
+    """Register ``fn(**stored inputs) -> SourceRun`` under ``source_id``."""
     def deco(fn):
         EXTRACTORS[source_id] = fn
         return fn
     return deco
 
 
+def run_sources(inputs: dict[str, dict], routes: DataFrame, ledger: DataFrame | None = None, **options) -> tuple[ing.IngestResult, DataFrame]:
+    """Every source named in ``inputs`` by its registered extractor, all
+    their items through one ingest job. Returns the result of the job and the
+    rejects of extraction and ingest."""
+    feed, rejects = None, None
+    for source_id, stored in inputs.items():
+        run = EXTRACTORS[source_id](**stored)
+        if run.items is not None:
+            items = ing.with_seq(ing.conform(run.items))
+            feed = items if feed is None else feed.unionByName(items, allowMissingColumns=True)
+        if run.rejects is not None:
+            rejects = run.rejects if rejects is None else rejects.unionByName(run.rejects)
+    if feed is None:
+        raise ValueError("no source gives items")
+    res = ing.ingest(feed, ledger, routes, **options)
+    return res, res.rejects if rejects is None else rejects.unionByName(res.rejects)
+
+
 def seeds(spark, start_urls: dict[str, list[str]]) -> DataFrame:
     """The start requests of each source as a frame ``(source_id, url)``."""
     rows = [(s, u) for s, urls in start_urls.items() for u in urls]
@@ -70,43 +98,19 @@ def assign_seq(items: DataFrame, order: list[str]) -> DataFrame:
     return sequential_ids(items, order, start=0, id_col="seq")
 
 
-# --- structure helpers run inside tasks ------------------------------------------
-
-_CSS_OUT = T.StructType([
-    T.StructField("key", T.StringType()),
-    T.StructField("hrefs", T.ArrayType(T.StringType())),
-    T.StructField("first_html", T.StringType()),
-    T.StructField("next_href", T.StringType()),
-])
-
-
-def _css_batches(link_tag, link_cls, block_tag, block_cls, next_cls):
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for key, html in zip(pdf["key"], pdf["html"]):
-                root = ht.parse(html or "")
-                hrefs = []
-                if link_tag:
-                    for region in ht.select(root, link_tag, link_cls):
-                        hrefs.extend(a.attrs.get("href") for a in region.find_all("a") if a.attrs.get("href"))
-                block = next(iter(ht.select(root, block_tag, block_cls)), None) if block_tag else None
-                nxt = next(iter(ht.select(root, "a", next_cls)), None) if next_cls else None
-                out.append({"key": key, "hrefs": hrefs,
-                            "first_html": ht.outer_html(block) if block is not None else None,
-                            "next_href": nxt.attrs.get("href") if nxt is not None else None})
-            yield pd.DataFrame(out, columns=[f.name for f in _CSS_OUT.fields])
-    return run
-
+# --- page structure ----------------------------------------------------------------
 
 def css(pages: DataFrame, key: str, html: str, *, links_in: tuple[str, str | None] | None = None,
         first: tuple[str, str | None] | None = None, next_link_class: str | None = None) -> DataFrame:
-    """Region links (restrict_css), first block's markup, and a next-page
-    link per page - one DOM per page inside an Arrow task."""
-    lt, lc = links_in or (None, None)
-    bt, bc = first or (None, None)
-    src = pages.select(F.col(key).cast("string").alias("key"), F.col(html).alias("html"))
-    return src.mapInPandas(_css_batches(lt, lc, bt, bc, next_link_class), _CSS_OUT)
+    """(key, hrefs, first_html, next_href): links inside the balanced blocks
+    ``links_in`` (restrict_css), markup of the first block ``first`` and the
+    next-page link of every page, as native expressions."""
+    h, none = F.col(html), F.lit(None).cast("string")
+    hrefs = F.filter(lk.anchors(lk.region(h, *links_in)), lambda x: x != "") if links_in else F.array().cast("array<string>")
+    return pages.select(
+        F.col(key).cast("string").alias("key"), hrefs.alias("hrefs"),
+        (F.try_element_at(lk.regions(h, *first), F.lit(1))["outer"] if first else none).alias("first_html"),
+        (lk.link_with_class(h, next_link_class) if next_link_class else none).alias("next_href"))
 
 
 # --- C3: the conditions source (index JSON + article JSON) -------------------------
@@ -125,15 +129,17 @@ def conditions_release(articles: DataFrame, source_id: str = "conditions") -> Re
 
     Every response fills its slot. Non-200 responses and articles without
     text give no item (P6, P7); an article without ``dateModified`` is
-    rejected alone; a slot filled twice rejects the later arrival (W3).
-    Items behind an empty slot stay pending.
+    rejected alone; a slot filled twice rejects the later arrival (W3), a
+    response without page or position is rejected. Items behind an empty slot
+    stay pending.
     """
     cols = articles.columns
     a = (jp.parse_article(articles).withColumnRenamed("status", "http_status")
          .withColumn("has_date", (F.col("http_status") != 200) |
                      F.get_json_object("body", "$.dateModified").isNotNull()))
     r = ordered_release(a, page="page_no", position="position", arrival="arrival")
-    reason = (F.when(F.col("status") == "rejected", F.lit("slot already filled"))
+    no_slot = F.col("page_no").isNull() | F.coalesce(F.col("position") < 0, F.lit(True))
+    reason = (F.when(no_slot, F.lit("no slot")).when(F.col("status") == "rejected", F.lit("slot already filled"))
               .when(F.col("http_status") != 200, F.concat(F.lit("status "), F.col("http_status").cast("string")))
               .when(~F.col("has_date"), F.lit("no dateModified"))
               .when(F.coalesce(F.col("html"), F.lit("")) == "", F.lit("no text")))
@@ -151,13 +157,19 @@ def conditions_release(articles: DataFrame, source_id: str = "conditions") -> Re
     return Release(items, rejects, pending, released)
 
 
-@extractor("conditions")
 def conditions_items(articles: DataFrame, source_id: str = "conditions"):
     """C3 as ``(items, rejects, pending)`` - see :func:`conditions_release`."""
     rel = conditions_release(articles, source_id)
     return rel.items.drop("page_no", "position"), rel.rejects, rel.pending
 
 
+@extractor("conditions")
+def run_conditions(articles: DataFrame, index_pages: DataFrame | None = None) -> SourceRun:
+    """C3 by its inputs: stored article responses, and index pages if there are any."""
+    items, rejects, pending = conditions_items(articles)
+    return SourceRun(items, rejects, conditions_requests(index_pages) if index_pages is not None else None, pending=pending)
+
+
 def conditions_requests(index_pages: DataFrame) -> DataFrame:
     """C3 index side: result links become forced fetches with list position
     and priority; a page without results requests its next page."""
@@ -167,7 +179,6 @@ def conditions_requests(index_pages: DataFrame) -> DataFrame:
 
 # --- C4: news listings, news articles, review pages -----------------------------------
 
-@extractor("news")
 def news_requests(listings: DataFrame, ledger: DataFrame | None, allow: str, *,
                   region=NEWS_POST_REGION, older_class: str = NEWS_OLDER_CLASS) -> tuple[DataFrame, DataFrame]:
     """C4 listing side: links inside the post blocks matching ``allow``
@@ -186,7 +197,6 @@ def news_requests(listings: DataFrame, ledger: DataFrame | None, allow: str, *,
     return reqs, edges
 
 
-@extractor("news_articles")
 def news_items(articles: DataFrame, run_ts: Column, source_id: str = "news",
                block=NEWS_TEXT_BLOCK) -> tuple[DataFrame, DataFrame]:
     """C4 article side: the first text block's markup is the item (P8: no
@@ -201,7 +211,6 @@ def news_items(articles: DataFrame, run_ts: Column, source_id: str = "news",
     return items, rejects
 
 
-@extractor("reviews")
 def review_items(pages: DataFrame, source_id: str = "reviews") -> tuple[DataFrame, DataFrame]:
     """C4 reviews: several documents per page (N6), no time; blocks without
     headline, text or comment id are rejected (P14)."""
@@ -214,9 +223,23 @@ def review_items(pages: DataFrame, source_id: str = "reviews") -> tuple[DataFram
     return items, rejects
 
 
+@extractor("news")
+def run_news(articles: DataFrame, run_ts: Column, listings: DataFrame | None = None, ledger: DataFrame | None = None,
+             allow: str = "") -> SourceRun:
+    """C4 news by its inputs: fetched articles, and listing pages if there are any."""
+    items, rejects = news_items(articles, run_ts)
+    requests, edges = news_requests(listings, ledger, allow) if listings is not None else (None, None)
+    return SourceRun(items, rejects, requests, edges)
+
+
+@extractor("reviews")
+def run_reviews(pages: DataFrame) -> SourceRun:
+    """C4 reviews by their pages."""
+    return SourceRun(*review_items(pages))
+
+
 # --- C5: the dictionary source -----------------------------------------------------
 
-@extractor("dictionary")
 def dictionary_items(index_pages: DataFrame, item_pages: DataFrame, seeds_df: DataFrame,
                      source_id: str = "dictionary") -> tuple[DataFrame, DataFrame]:
     """Index pages (five item types, the data-set tree expanded from the
@@ -244,3 +267,9 @@ def dictionary_items(index_pages: DataFrame, item_pages: DataFrame, seeds_df: Da
     rejects = bad.unionByName(out.select(F.lit(source_id).alias("source_id"), F.col("source_url").alias("url"),
                                          F.lit("extract").alias("stage"), F.explode(reasons).alias("reason")))
     return items, rejects
+
+
+@extractor("dictionary")
+def run_dictionary(index_pages: DataFrame, item_pages: DataFrame, seeds_df: DataFrame) -> SourceRun:
+    """C5 by its inputs: index pages, item pages and the tree's seeds."""
+    return SourceRun(*dictionary_items(index_pages, item_pages, seeds_df))

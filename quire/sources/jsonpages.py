@@ -3,13 +3,11 @@ markdown (S2, S3, P6, P9, P10, P19, N1, F8)."""
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.functions.arrays import bind
 from quire.functions.dates import parse_iso
 
 INDEX_SCHEMA = T.StructType([
@@ -49,36 +47,43 @@ def parse_index(pages: DataFrame, body: str = "body", keys: list[str] | None = N
     return items.unionByName(index)
 
 
-def _markdown_text(doc: str | None) -> str | None:
-    if doc is None:
-        return None
-    try:
-        body = json.loads(doc)
-    except ValueError:
-        return None
-    if not isinstance(body, dict) or not isinstance(body.get("mainEntityOfPage"), list):
-        return ""
-    out: list[str] = []
-    stack = [iter(body["mainEntityOfPage"])]
-    while stack:  # depth-first, own text before children, descend into lists only
-        node = next(stack[-1], None)
-        if node is None:
-            stack.pop()
-            continue
-        if not isinstance(node, dict):
-            continue
-        if node.get("name") == MARKDOWN:
-            out.append(node.get("text") or "")
-        kids = node.get("mainEntityOfPage")
-        if isinstance(kids, list):
-            stack.append(iter(kids))
-    return "".join(out)
-
-
-@F.pandas_udf(T.StringType())
-def markdown_text(body: pd.Series) -> pd.Series:
-    """Text of all ``markdown`` nodes of an article body, any depth."""
-    return body.map(_markdown_text)
+NESTED = '"mainEntityOfPage"'
+_NODES = "array<struct<path:array<int>,node:variant>>"
+_TEXTS = "array<struct<path:array<int>,text:string>>"
+
+
+def markdown_text(body: Column | str) -> Column:
+    """Text of all ``markdown`` nodes of an article body, any depth: own
+    text before children, descending into lists only. A body that is no JSON
+    is null, one without nodes is empty.
+
+    The body is read once as VARIANT. A fold expands the nodes level by level,
+    as often as the key of nested nodes occurs in the body, and carries each
+    node's path; texts are joined in path order, which is depth-first."""
+    b = F.col(body) if isinstance(body, str) else body
+
+    def children(node):
+        return F.coalesce(F.try_variant_get(node, "$.mainEntityOfPage", "array<variant>"), F.array().cast("array<variant>"))
+
+    def below(nodes):
+        return F.flatten(F.transform(nodes, lambda x: F.transform(
+            children(x["node"]), lambda k, i: F.struct(F.array_append(x["path"], i).alias("path"), k.alias("node"))))).cast(_NODES)
+
+    def texts(nodes):
+        marked = F.filter(nodes, lambda x: F.coalesce(F.try_variant_get(x["node"], "$.name", "string") == MARKDOWN, F.lit(False)))
+        return F.transform(marked, lambda x: F.struct(
+            x["path"].alias("path"), F.coalesce(F.try_variant_get(x["node"], "$.text", "string"), F.lit("")).alias("text"))).cast(_TEXTS)
+
+    def level(acc, _):
+        return bind(below(acc["nodes"]), lambda ns: F.struct(ns.alias("nodes"), F.concat(acc["texts"], texts(ns)).cast(_TEXTS).alias("texts")))
+
+    def walked(root):
+        start = F.struct(F.array(F.struct(F.array().cast("array<int>").alias("path"), root.alias("node"))).cast(_NODES).alias("nodes"),
+                         F.array().cast(_TEXTS).alias("texts"))
+        levels = F.sequence(F.lit(0), F.regexp_count(b, F.lit(NESTED)).cast("int"))
+        return F.aggregate(levels, start, level, lambda acc: F.array_join(F.transform(F.array_sort(acc["texts"]), lambda x: x["text"]), ""))
+
+    return bind(F.try_parse_json(b), lambda v: F.when(v.isNotNull(), walked(v)))
 
 
 def parse_article(responses: DataFrame, body: str = "body", status: str = "status") -> DataFrame:

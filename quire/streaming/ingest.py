@@ -3,11 +3,11 @@
 ``readStream`` over an item folder, ``foreachBatch`` runs C1 on each
 micro-batch against the ledger as it stood before the batch: rejects (P2,
 P13), documents, dictionary items, links, trainer and passthrough rows of
-batch ``n`` go to ``{target}/batch=n`` (overwrite: a replayed batch rewrites
-the same rows) and only then the ledger change of batch ``n`` is written
-(targets first, ledger last - T7). A batch that is re-run after a failure
-reads the ledger from *before* it, so it decides exactly as the first
-attempt did.
+batch ``n`` go to ``{target}/batch=n/attempt=..``, then the ledger change of
+batch ``n`` is written, and last of all a commit record that names the folders
+(T7, :mod:`quire.sinks.commits`). Readers see committed batches only. A batch
+that is re-run after a failure reads the ledger from *before* it, so it
+decides exactly as the first attempt did.
 
 Ledger layouts: ``"log"`` (default) keeps a base snapshot plus one delta
 per batch (:mod:`quire.sinks.ledger_log`): a batch reads only its URLs' rows
@@ -22,6 +22,7 @@ not seen.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from quire.operators import ingest as ing
+from quire.sinks import files
+from quire.sinks.commits import CommitLog
 from quire.sinks.ledger_log import BUCKETS, LedgerLog
 from quire.sinks.tables import VersionedTable, write_ledger
 
@@ -51,6 +54,10 @@ class StreamStores:
     def log(self) -> LedgerLog:
         return LedgerLog(f"{self.root}/ledger_log", self.buckets)
 
+    @property
+    def commits(self) -> CommitLog:
+        return CommitLog(f"{self.root}/commits")
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/_checkpoint"
@@ -72,17 +79,20 @@ def process_batch(batch: DataFrame, batch_id: int, stores: StreamStores, *, rout
     routes = routes if routes is not None else spark.createDataFrame([], ROUTES_SCHEMA)
     res = ing.ingest(batch, prior, routes, run_ts=run_ts, policy=policy, trainer=trainer, persist=True)
     accepted = res.decided.where("accepted").select("seq", "kind", "source_id", "source_url", "modified_at")
+    attempt, written = uuid.uuid4().hex[:12], {}
     try:
         for name in TARGETS:
             rows = accepted if name == "accepted" else getattr(res, name)
             if rows is not None:
-                rows.write.mode("overwrite").parquet(f"{stores.target(name)}/batch={batch_id}")
+                written[name] = f"{stores.target(name)}/batch={batch_id}/attempt={attempt}"
+                rows.write.parquet(written[name])
         if layout == "log":
             stores.log.append_delta(res.ledger_delta, batch_id)
             if compact_every and (batch_id + 1) % compact_every == 0:
                 stores.log.compact(spark, batch_id)
         else:
             write_ledger(stores.ledger, res.ledger, batch_id)
+        stores.commits.write(spark, batch_id, written)
     finally:
         res.decided.unpersist()
 
@@ -103,8 +113,11 @@ def run(spark: SparkSession, source_dir: str, schema: StructType, stores: Stream
 
 
 def read_target(spark: SparkSession, stores: StreamStores, name: str) -> DataFrame:
-    """All batches of one target so far (column ``batch`` added)."""
-    return spark.read.parquet(stores.target(name))
+    """All committed batches of one target (column ``batch`` added)."""
+    found = stores.commits.folders(spark, name)
+    if not found:
+        raise ValueError(f"no batch with target {name!r} has been committed")
+    return spark.read.option("basePath", stores.target(name)).parquet(*found).drop("attempt")
 
 
 def accepted_documents(spark: SparkSession, stores: StreamStores) -> DataFrame:
@@ -113,5 +126,22 @@ def accepted_documents(spark: SparkSession, stores: StreamStores) -> DataFrame:
 
 
 def ledger_state(spark: SparkSession, stores: StreamStores, layout: str = "log") -> DataFrame | None:
-    """The ledger after the last processed batch."""
-    return stores.log.state(spark) if layout == "log" else stores.ledger.read(spark)
+    """The ledger after the last committed batch."""
+    last = stores.commits.last(spark)
+    if last is None:
+        return None
+    return stores.log.state(spark, before=last + 1) if layout == "log" else stores.ledger.read(spark, before=last + 1)
+
+
+def remove_uncommitted(spark: SparkSession, stores: StreamStores) -> int:
+    """Delete the attempts that no commit record names (broken or replaced
+    ones); not to be run while a batch is being written. Returns their number."""
+    kept = {(t, b): folder.rsplit("=", 1)[1] for b, ts in stores.commits.records(spark).items() for t, folder in ts.items()}
+    removed = 0
+    for name in TARGETS:
+        for batch in files.folder_names(spark, stores.target(name)):
+            for attempt in files.folder_names(spark, f"{stores.target(name)}/{batch}"):
+                if kept.get((name, int(batch.split("=")[1]))) != attempt.split("=")[1]:
+                    files.remove_folder(spark, f"{stores.target(name)}/{batch}/{attempt}")
+                    removed += 1
+    return removed

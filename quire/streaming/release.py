@@ -41,9 +41,9 @@ def process_batch(batch: DataFrame, batch_id: int, stores: ReleaseStores, source
     if marks is None:
         marks = spark.createDataFrame([], "page_no long, released_upto long")
     j = rows.join(marks, "page_no", "left").withColumn("_base", F.coalesce("released_upto", F.lit(-1)) + 1)
-    late = j.where(F.col("position") < F.col("_base"))
-    fresh = (j.where(F.col("position") >= F.col("_base"))
-             .withColumn("position", F.col("position") - F.col("_base")))
+    passed = F.coalesce((F.col("position") >= 0) & (F.col("position") < F.col("_base")), F.lit(False))
+    late = j.where(passed)
+    fresh = j.where(~passed).withColumn("position", F.col("position") - F.col("_base"))
     rel = conditions_release(fresh.drop("released_upto"), source_id)
     base = marks.select("page_no", (F.col("released_upto") + 1).alias("_base"))
     late_rejects = late.select(F.lit(source_id).alias("source_id"), "url", F.lit("extract").alias("stage"),

@@ -39,3 +39,19 @@ def test_walk_has_no_bound_and_folds(spark, monkeypatch):
     edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(14)] + [("n5", "n2"), ("n3", None), (None, "n1")], "src string, dst string")
     got = {r.node: r.depth for r in fr.walk(spark.createDataFrame([("n0",)], "node string"), edges).collect()}
     assert got == {f"n{i}": i for i in range(15)}
+
+
+def test_chain_of_pages_in_few_steps(spark, monkeypatch):
+    """100,000 pages behind each other: fewer than 20 doublings, true depths; cycles and meeting chains end."""
+    n = 100_000
+    steps = []
+    cut = fr.cut_lineage
+    monkeypatch.setattr(fr, "cut_lineage", lambda df: steps.append(1) or cut(df))
+    edges = spark.range(n - 1).selectExpr("id AS src", "id + 1 AS dst")
+    out = fr.walk(spark.createDataFrame([(0,)], "node long"), edges)
+    assert out.where("node <> depth").count() == 0 and out.count() == n
+    assert (len(steps) - 2) / 2 < 20
+    rows = [(1, 2), (2, 3), (3, 1), (7, 3), (8, 7), (9, 9), (20, 21), (None, 1), (21, None)]
+    got = {r.node: r.depth for r in fr.walk(spark.createDataFrame([(1,), (8,), (9,), (None,)], "node long"),
+                                            spark.createDataFrame(rows, "src long, dst long")).collect()}
+    assert got == {1: 0, 2: 1, 3: 2, 8: 0, 7: 1, 9: 0}

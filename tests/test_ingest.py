@@ -98,3 +98,27 @@ def test_decide_returns_every_row(spark):
     items = spark.createDataFrame([(1, "s", "u", None), (None, "s", "u", None), (2, "s", None, None)],
                                   "seq long, source_id string, source_url string, modified_at timestamp")
     assert sorted((r.seq or 0, r.accepted) for r in led.decide(items).collect()) == [(0, False), (1, True), (2, False)]
+
+
+def test_unnumbered_items_behind_a_shuffle(spark):
+    """Items without seq out of a groupBy: every output sees the same numbers."""
+    rows = spark.range(6000).selectExpr("concat('u/', id % 4000) AS source_url", "'text' AS kind", "concat('s', id % 3) AS source_id",
+                                        "CAST(NULL AS timestamp) AS modified_at", "concat('t', id) AS text")
+    items = rows.groupBy("source_url", "kind", "source_id", "modified_at").agg(F.max("text").alias("text"))
+    n = items.count()
+    routes = spark.createDataFrame([("s0", 1, 2)], "source_id string, project_id long, dataset_id long")
+    for persist in (False, True):
+        res = ing.ingest(items, None, routes, trainer=False, persist=persist)
+        docs, rejects = res.documents.count(), res.rejects.count()
+        assert docs == 4000 and docs + rejects == n and res.passthrough.count() == 0
+        assert res.ledger.count() == 4000
+        res.decided.unpersist()
+    again = [sorted((r.source_url, r.text) for r in ing.ingest(items, None, routes).documents.collect()) for _ in range(2)]
+    assert again[0] == again[1]
+
+
+def test_some_items_without_number(spark):
+    items = spark.createDataFrame([(5, "text", "s", "u", "late", None), (None, "text", "s", "u", "none", None), (2, "text", "s", "u", "first", None)],
+                                  "seq long, kind string, source_id string, source_url string, text string, modified_at timestamp")
+    res = ing.ingest(items, None, spark.createDataFrame([], "source_id string, project_id long, dataset_id long"))
+    assert [r.text for r in res.documents.collect()] == ["first"] and res.rejects.count() == 2

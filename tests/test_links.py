@@ -69,3 +69,31 @@ def test_anchors_equal_dom_hrefs(spark):
     for r in df.select("html", lk.anchors("html").alias("h")).collect():
         want = [a.attrs.get("href") for a in ht.parse(r.html).find_all("a") if "href" in a.attrs]
         assert list(r.h) == want, r.html
+
+
+def test_regions_equal_the_tree(spark):
+    """Balanced blocks: nested blocks of the same tag, classes, comments and scripts with tags in them."""
+    import random as _r
+
+    from quire.sources import html_tree as ht
+
+    rnd = _r.Random(11)
+
+    def block(depth):
+        inner = "".join(rnd.choice([f"t{rnd.randrange(99)}", "<p>x</p>", "<!-- </div> -->", "<script>'<div>'</script>", f'<a href="/{rnd.randrange(99)}">l</a>',
+                                    block(depth - 1) if depth else ""]) for _ in range(rnd.randint(0, 4)))
+        return f'<{"DIV" if rnd.random() < .2 else "div"} id="a" class="{rnd.choice(["", "post", "x post y", "posts"])}">{inner}</div>'
+
+    pages = ["".join(block(3) for _ in range(rnd.randint(0, 3))) for _ in range(150)] + ["", "<div class=post>open <div>in</div> end", "</div><div class='post'>a</div>"]
+    df = spark.createDataFrame([(p,) for p in pages] + [(None,)], "html string")
+    got = df.select("html", lk.regions("html", "div", "post").alias("r"), lk.anchors(lk.region("html", "div", "post")).alias("h")).collect()
+    for r in got:
+        tops = [e for e in ht.select(ht.parse(r.html or ""), "div", "post") if not any("post" in (a.attrs.get("class") or "").split() for a in ht.ancestors(e))]
+        assert len(r.r) == len(tops), r.html
+        assert list(r.h) == [a.attrs["href"] for e in tops for a in e.find_all("a")], r.html
+
+
+def test_link_with_class(spark):
+    rows = [('<a class="x" href="/1">a</a><a href="/2" class="y older-posts">b</a>',), ('<a class=older-posts href=/3?a&amp;b>',), ("<a class='older'>",), (None,)]
+    got = [r[0] for r in spark.createDataFrame(rows, "html string").select(lk.link_with_class("html", "older-posts")).collect()]
+    assert got == ["/2", "/3?a&b", None, None]

@@ -48,3 +48,17 @@ def test_equal_arrivals_fill_a_slot_once(spark):
     assert by == [(1, 0, "a", "released"), (1, 0, "b", "rejected"), (1, 0, "b", "rejected"), (1, 1, "c", "released"),
                   (1, 2, "d", "released"), (2, 1, "e", "pending"), (2, 1, "e", "rejected")]
     assert sorted(r.status for r in ordered_release(df).collect()) == sorted(s for *_, s in by)
+
+
+def test_every_row_comes_out(spark):
+    """Null pages and positions, positions before the first slot, null
+    arrivals and identical rows: all come out, none holds up the others."""
+    rows = [(1, 0, 3, "a"), (1, None, 1, "b"), (None, 0, 1, "c"), (None, None, None, "d"), (1, -1, 1, "e"), (1, 1, None, "f"), (1, 1, None, "f"),
+            (1, 1, None, "f"), (1, 2, 2, "g"), (2, 0, None, "h"), (2, 0, 7, "i")]
+    df = spark.createDataFrame(rows, "page_no long, position long, arrival long, name string").repartition(4)
+    for chunk in (2, 1 << 20):
+        got = ordered_release(df, chunk=chunk).collect()
+        assert sorted(map(str, [(r.page_no, r.position, r.arrival, r.name) for r in got])) == sorted(map(str, rows))
+        status = sorted((r.name, r.status) for r in got)
+        assert status == [("a", "released"), ("b", "rejected"), ("c", "rejected"), ("d", "rejected"), ("e", "rejected"), ("f", "rejected"),
+                          ("f", "rejected"), ("f", "released"), ("g", "released"), ("h", "rejected"), ("i", "released")]

@@ -13,7 +13,8 @@ def _plan(df):
 
 
 @pytest.mark.parametrize("name", ["html_to_text", "ledger_accept", "page_links", "annotate_terms",
-                                  "link_replace", "ingest_pages", "sentence_terms"])
+                                  "link_replace", "ingest_pages", "sentence_terms", "markdown_text", "news_requests", "news_ingest",
+                                  "term_codes", "annotation_levels", "annotator_kappa"])
 def test_no_python_in_native_queries(spark, name):
     plan = _plan(QUERIES[name](spark, SF))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "MapInPandas" not in plan
@@ -33,3 +34,30 @@ def test_ledger_wide_rows_shuffled_once(spark):
     # narrow exchanges (partial aggregates and one row per chunk)
     wide = [l for l in plan.splitlines() if "Exchange hashpartitioning(_url" in l and "_chunk" in l]
     assert len(wide) <= 2
+
+
+def test_large_batch_filters_the_store_before_its_exchange(spark):
+    """Beyond the broadcast bound the stored table meets the Bloom words (a
+    broadcast join) below the exchange of the exact join."""
+    from quire.session import keyed_filter
+
+    store = spark.range(50_000).selectExpr("concat('u', id) AS url", "id AS v")
+    keys = spark.range(0, 50_000, 500).selectExpr("concat('u', id) AS url")
+    semi = keyed_filter(store, keys, "url", "left_semi", 10)
+    anti = keyed_filter(store, keys, "url", "left_anti", 10)
+    assert sorted(r.v for r in semi.collect()) == list(range(0, 50_000, 500)) and anti.count() == 49_900
+    assert anti.intersect(semi).count() == 0
+    plan = _plan(semi)
+    store_side = plan[plan.index("LeftSemi"):]
+    assert store_side.index("_maybe") < store_side.index("BroadcastHashJoin") if "_maybe" in store_side else "BroadcastHashJoin" in store_side
+    passed = store.sparkSession.createDataFrame([(None, 1), ("u0", 2)], "url string, v long")
+    assert keyed_filter(passed, keys, "url", "left_anti", 10).count() == 1
+
+
+def test_bloom_lets_few_others_through(spark):
+    from quire.operators import bloom
+
+    rows = bloom.marked(spark.range(100_000).selectExpr("id AS k"), spark.range(5_000).selectExpr("id * 7 AS k"), ["k"], words=4096)
+    inside = rows.where("k % 7 = 0 AND k < 35000")
+    assert inside.where("NOT _maybe").count() == 0
+    assert rows.where("_maybe").count() < 5_000 + 2_000

@@ -24,9 +24,12 @@ def test_stream_equals_batch_and_replay(spark):
     want_state = {tuple(r) for r in led.apply(None, led.decide(feed)).select("source_id", "url", "modified_at").collect()}
     assert {tuple(r) for r in si.ledger_state(spark, stores).collect()} == want_state
     # replay batch 1: it must read ledger v=0 and write the same rows again
-    before = sorted(r.seq for r in spark.read.parquet(f"{stores.target("accepted")}/batch=1").collect())
+    batch1 = lambda: sorted(r.seq for r in si.read_target(spark, stores, "accepted").where("batch = 1").collect())
+    before = batch1()
     si.process_batch(feed.where("seq >= 30 AND seq < 60"), 1, stores)
-    assert sorted(r.seq for r in spark.read.parquet(f"{stores.target("accepted")}/batch=1").collect()) == before
+    assert batch1() == before
+    assert si.remove_uncommitted(spark, stores) > 0 and batch1() == before
+    assert si.remove_uncommitted(spark, stores) == 0
 
 
 def test_ordered_release_across_batches(spark):
@@ -129,3 +132,73 @@ def test_ledger_log_reads_touched_buckets_and_removes_old(spark):
     assert [r.url for r in one.collect()] == ["u7"]
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+
+
+def test_broken_batch_is_invisible(spark):
+    """A batch that breaks at any of its writes shows nothing, in targets
+    and ledger; its replay shows everything once."""
+    import pytest
+
+    times = [None, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)]
+    feed = spark.createDataFrame([(i, "text", "s", f"u{i % 6}", times[(i * 5) % 3]) for i in range(30)], SCHEMA)
+    stores = si.StreamStores(scratch_path(spark, "broken"))
+    si.process_batch(feed.where("seq < 15"), 0, stores)
+    first = {n: si.read_target(spark, stores, n).count() for n in ("rejects", "documents", "accepted")}
+    state = {tuple(r) for r in si.ledger_state(spark, stores).collect()}
+
+    class Broken(si.StreamStores):
+        lost = ""
+
+        def target(self, name):
+            if name == self.lost:
+                raise OSError("lost")
+            return super().target(name)
+
+        @property
+        def commits(self):
+            if self.lost == "commits":
+                raise OSError("lost")
+            return super().commits
+
+    for lost in ("passthrough", "accepted", "commits"):
+        bad = Broken(stores.root)
+        bad.lost = lost
+        with pytest.raises(OSError):
+            si.process_batch(feed.where("seq >= 15"), 1, bad)
+        assert {n: si.read_target(spark, stores, n).count() for n in first} == first
+        assert {tuple(r) for r in si.ledger_state(spark, stores).collect()} == state
+    si.process_batch(feed.where("seq >= 15"), 1, stores)
+    got = sorted(r.seq for r in si.accepted_documents(spark, stores).collect())
+    assert got == sorted(r.seq for r in led.accept(feed).collect())
+    assert si.read_target(spark, stores, "documents").count() == len(got)
+
+
+def test_commit_records_replace_each_other(spark):
+    from quire.sinks.commits import CommitLog
+
+    log = CommitLog(scratch_path(spark, "records"))
+    assert log.records(spark) == {} and log.last(spark) is None
+    log.write(spark, 1, {"a": "x/1"})
+    log.write(spark, 0, {"a": "x/0", "b": "y/0"})
+    log.write(spark, 1, {"a": "x/2"})
+    assert log.folders(spark, "a") == ["x/0", "x/2"] and log.folders(spark, "b") == ["y/0"] and log.folders(spark, "a", before=1) == ["x/0"]
+    assert log.last(spark) == 1
+
+
+def test_release_keeps_rows_without_slots(spark):
+    """T4: null and negative slots are rejected in whichever batch they come; the rest is released."""
+    import json as _json
+
+    from quire.streaming import release as rs
+
+    def art(text):
+        return _json.dumps({"dateModified": "2024-01-01T00:00:00+00:00", "mainEntityOfPage": [{"name": "markdown", "text": text}]})
+
+    schema = "url string, status int, body string, page_no long, position long, arrival long"
+    batches = [[("u1", 200, art("one"), 1, 1, 1), ("n1", 200, art("x"), 1, None, 2), ("n2", 200, art("x"), None, 0, 2)],
+               [("u0", 200, art("zero"), 1, 0, 3), ("n3", 200, art("x"), 1, -1, 3)], [("n4", 200, art("x"), 1, None, 4), ("u2", 200, art("two"), 1, 2, 4)]]
+    stores = rs.ReleaseStores(scratch_path(spark, "slots"))
+    for b, rows in enumerate(batches):
+        rs.process_batch(spark.createDataFrame(rows, schema), b, stores, "s")
+    assert [r.html for r in spark.read.parquet(stores.items).orderBy("seq").collect()] == ["zero", "one", "two"]
+    assert sorted((r.url, r.reason) for r in spark.read.parquet(stores.rejects).collect()) == [(f"n{i}", "no slot") for i in range(1, 5)]
