@@ -18,7 +18,7 @@ from quire.session import checkpoint_dir, ship_package
 ARROW_ROWS = 512
 # A key set of at most this many rows (16 bytes each) may be broadcast.
 BROADCAST_KEYS = 1_000_000
-# The column of row keys (``by_row``); they are 50 bytes long, so fewer are broadcast.
+# The column of row keys (``by_row``) starts so; a key is 50 bytes long, so fewer are broadcast.
 ROW = "__row_key"
 BROADCAST_ROW_KEYS = 200_000
 
@@ -60,12 +60,12 @@ def without_ids(docs: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose id is not in ``ids`` (one column ``doc_id``, no
     repeats). The ids are broadcast only when counted to at most
     ``BROADCAST_KEYS``; beyond that Spark joins by shuffle. Null ids stay."""
-    gone = small(ids.select(F.col("doc_id").alias("_gone")), BROADCAST_ROW_KEYS if id_col == ROW else None)
+    gone = small(ids.select(F.col("doc_id").alias("_gone")), BROADCAST_ROW_KEYS if id_col.startswith(ROW) else None)
     return docs.join(gone, docs[f"`{id_col}`"].cast(id_type(id_col)) == gone["_gone"], "left_anti")
 
 
 def id_type(id_col: str) -> str:
-    return "string" if id_col == ROW else "long"
+    return "string" if id_col.startswith(ROW) else "long"
 
 
 def row_key(id_col: str, text_col: str):
@@ -78,8 +78,10 @@ def row_key(id_col: str, text_col: str):
 def by_row(docs: DataFrame, id_col: str, text_col: str, drop) -> DataFrame:
     """``drop(docs, key column)`` with row keys in place of ids: rows without
     id are judged like all others, and of an id with several texts only the
-    rows whose own text is to go."""
-    return drop(docs.withColumn(ROW, row_key(id_col, text_col)), ROW).drop(ROW)
+    rows whose own text is to go. The key's column has a name of its own, so
+    that no input column can be lost."""
+    key = f"{ROW}_{uuid.uuid4().hex}"
+    return drop(docs.withColumn(key, row_key(id_col, text_col)), key).drop(key)
 
 
 def with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -113,6 +115,14 @@ def one_model(key: tuple, build):
     return _MODEL[key]
 
 
+def free_model() -> None:
+    """Lets go of a model that an earlier stage left in this worker process;
+    called by operators that keep none of their own."""
+    if _MODEL:
+        _MODEL.clear()
+        gc.collect()
+
+
 class Recent(dict):
     """A cache of at most ``2 * limit`` entries in two generations: when the
     young one is full it becomes the old one, and what is used again moves

@@ -1,188 +1,168 @@
-"""Global line dedup over content-defined chunks.
+"""Global line dedup over content-defined chunks, grown to whole passages.
 
 A text's lines are hashed; a rolling hash over the last two line hashes sets a
 boundary where it is divisible by ``PERIOD`` and the one before it is not, so
 that chunks have two lines at least, boundaries depend on the lines around
 them alone and an insertion shifts only its own chunk. A line of
-``LONG_WORDS`` words or more is a whole passage and a chunk by itself. A chunk
-may be removed when it has two lines with words and ``LEAST_WORDS`` words, or
-is such a long line; single short lines stay, however common.
-
-Of each chunk that occurs more than once in the whole corpus the first
-occurrence (smallest doc_id, then position) stays. Hashes only find the
-candidates: every removal has been compared byte by byte with the occurrence
-that stays.
-
-The cut misses repeats that hold no whole chunk. ``dedup_runs`` has no cut:
-every two neighbouring lines with words are a candidate (with the blank lines
-between them), and so is every long line. A line goes when such a repeat
+``LONG_WORDS`` words or more is a whole passage and a chunk by itself. Chunks
+with two lines that hold words, and such long lines, may be removed, however
+few words they have; single short lines stay, however common.
+
+Chunks that occur more than once in the whole corpus go first. A boundary may
+cut a repeated passage anywhere, so every repeat is then grown to both of its
+ends: each two neighbouring lines with words (and the blank lines between
+them) that do not lie in a removed chunk are a unit of their own, and so runs
+that hold no whole chunk are found as well. A line goes when a repeated unit
 covers it, so a repeated passage goes from its first line to its last,
-whatever stands around it and however few words it has.
+whatever stands around it.
+
+Of each unit the first occurrence (smallest doc_id, then text hash and place)
+stays. Hashes only find the candidates: every removal has been compared byte
+by byte with the occurrence that stays.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.arrays import bind
 from quire.llm import common as C
+from quire.session import bounded_broadcast
 
 PERIOD = 2
 LONG_WORDS = 50
-LEAST_WORDS = 10
-WORD = r"[^\x20\x09-\x0D]+"
-# Repeated keys, and documents that lose chunks, are broadcast up to this many rows (about 50 MB).
-BROADCAST_ROWS = 200_000
-
-
-def _line_hash(line):
-    """First 32 bits of the line's MD5."""
-    return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
-
-
-def chunked(column: str):
-    """array<struct<pos, body, lines, able>> of a text column: start line,
-    bytes, number of lines, and whether the chunk may be removed."""
-    def with_hashes(lines):
-        return bind(F.transform(lines, lambda x: F.struct(_line_hash(x).alias("h"), F.regexp_count(x, F.lit(WORD)).alias("w"))),
-                   lambda marks: with_marks(lines, marks))
-
-    def with_marks(lines, marks):
-        n = F.size(lines)
-
-        def ends(i):      # 1-based: does a chunk end with line i?
-            here, after = F.element_at(marks, i), F.element_at(marks, F.least(i + 1, n))
-            return ((i == n) | (here["w"] >= LONG_WORDS) | (after["w"] >= LONG_WORDS)
-                    | ((roll(i) % PERIOD == 0) & ((i == 1) | (roll(i - 1) % PERIOD != 0))))
-
-        def hash_at(i):   # 0 before the first line
-            return F.when(i > 0, F.element_at(marks, F.greatest(i, F.lit(1)))["h"]).otherwise(F.lit(0))
-
-        def roll(i):
-            return hash_at(i - 1) * 31 + hash_at(i)
-
-        return bind(F.filter(F.sequence(F.lit(1), n), ends), lambda last: F.transform(
-            last, lambda e, k: bind(F.when(k > 0, F.element_at(last, F.greatest(k, F.lit(1)))).otherwise(F.lit(0)),
-                                   lambda s: chunk(lines, marks, s, e))))
-
-    def chunk(lines, marks, start, end):
-        own = F.slice(marks, start + 1, end - start)
-        words = F.aggregate(own, F.lit(0), lambda a, m: a + m["w"])
-        return F.struct(start.alias("pos"), F.array_join(F.slice(lines, start + 1, end - start), "\n").alias("body"),
-                        (end - start).alias("lines"),
-                        ((words >= LONG_WORDS) | ((F.size(F.filter(own, lambda m: m["w"] > 0)) >= 2) & (words >= LEAST_WORDS))).alias("able"))
-
-    text = F.col(f"`{column}`")
-    return F.when(text.isNotNull(), bind(F.split(text, "\n", -1), with_hashes))
-
-
-def _able_chunks(own: DataFrame) -> DataFrame:
-    """One row per removable chunk: (doc_id, thash, pos, key, body)."""
-    rows = own.select("doc_id", F.md5("text").alias("thash"), F.explode(F.filter(chunked("text"), lambda c: c["able"])).alias("c"))
-    return rows.select("doc_id", "thash", F.col("c.pos").alias("pos"), F.md5("c.body").alias("key"), F.col("c.body").alias("body"))
-
-
-def repeats(own: DataFrame) -> DataFrame:
-    """(doc_id, thash, pos) of every chunk to remove."""
+BLANKS = " \t\n\x0b\x0c\r"
+# Rows of a join side that may be broadcast (its bytes are measured as well).
+BROADCAST_ROWS = 2_000_000
+_UNIT = "doc_id long, thash binary, pos int, lines int, key long"
+
+
+def _marks(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every line, whether it holds a word, and whether it is long."""
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) for x in lines), np.uint64, len(lines))
+    words = np.fromiter((bool(x.strip(BLANKS)) for x in lines), bool, len(lines))
+    long = np.fromiter((len(x) >= 2 * LONG_WORDS - 1 and len(x.encode("utf-8", "replace").split()) >= LONG_WORDS for x in lines), bool, len(lines))
+    return hashes, words, long
+
+
+def chunks(lines: list[str]) -> list[tuple[int, int]]:
+    """(first line, number of lines) of every removable chunk, without the
+    blank lines at its ends."""
+    hashes, words, long = _marks(lines)
+    before = np.concatenate(([np.uint64(0)], hashes[:-1]))
+    hit = C.mix64(before * np.uint64(31) + hashes) % np.uint64(PERIOD) == 0
+    ends = hit & ~np.concatenate(([False], hit[:-1]))
+    ends |= long | np.concatenate((long[1:], [False]))
+    ends[-1] = True
+    out, start = [], 0
+    for end in (np.flatnonzero(ends) + 1).tolist():
+        own = np.flatnonzero(words[start:end])
+        if len(own) >= 2 or (len(own) and long[start + own[0]]):
+            out.append((start + int(own[0]), int(own[-1] - own[0]) + 1))
+        start = end
+    return out
+
+
+def pairs(lines: list[str], gone: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(first line, number of lines) of every two neighbouring lines with
+    words, and of every long line, but for those inside one removed chunk."""
+    _, words, long = _marks(lines)
+    at = np.flatnonzero(words)
+    chunk = np.zeros(len(lines), np.int64)
+    for k, (start, n) in enumerate(gone, 1):
+        chunk[start:start + n] = k
+    inside = (chunk[at[:-1]] > 0) & (chunk[at[:-1]] == chunk[at[1:]])
+    two = [(int(i), int(j - i) + 1) for i, j in zip(at[:-1][~inside], at[1:][~inside], strict=True)]
+    return two + [(int(i), 1) for i in np.flatnonzero(long & (chunk == 0))]
+
+
+def _unit_rows(own: DataFrame, grown: bool, bodies: bool) -> DataFrame:
+    """One row per unit of every text: (doc_id, thash, pos, lines, key[, body])."""
+    names = ["doc_id", "thash", "pos", "lines", "key", *(["body"] if bodies else [])]
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for doc_id, thash, text, gone in zip(pdf["doc_id"], pdf["thash"], pdf["text"], pdf["gone"], strict=True):
+                if text is None:
+                    continue
+                lines = text.split("\n")
+                removed = [] if gone is None else [(int(g["pos"]), int(g["lines"])) for g in gone]
+                for pos, n in pairs(lines, removed) if grown else chunks(lines):
+                    body = "\n".join(lines[pos:pos + n])
+                    key = xxhash.xxh3_64_intdigest(body.encode("utf-8", "replace"))
+                    rows.append((doc_id, thash, pos, n, key - (1 << 64) if key >> 63 else key, *([body] if bodies else [])))
+            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+
+    return own.mapInPandas(run, _UNIT + (", body string" if bodies else ""))
+
+
+def _repeated(own: DataFrame, grown: bool) -> DataFrame:
+    """(doc_id, thash, pos, lines, first): units that repeat an earlier one, byte by byte."""
     at = F.struct("doc_id", "thash", "pos")
+    name = "grown" if grown else "chunk"
     # (1) keys alone are shuffled, counted per task first
-    common = C.stored(_able_chunks(own).select("key", at.alias("at")).groupBy("key")
-                      .agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first <> last").select("key", "first"), "line-keys")
-    # (2) bodies of repeated chunks only
-    rows = C.stored(_able_chunks(own).join(C.small(common, BROADCAST_ROWS), "key"), "line-chunks")
-    stays = (rows.where(at.eqNullSafe(F.col("first"))).groupBy("key").agg(F.first("body").alias("kept_body")))
+    common = C.stored(_unit_rows(own, grown, False).groupBy("key").agg(F.min(at).alias("first"), F.max(at).alias("last"))
+                      .where("first <> last").select("key", "first"), f"line-{name}-keys")
+    keys, _ = bounded_broadcast(common, BROADCAST_ROWS)
+    # (2) bodies of repeated units only
+    rows = C.stored(_unit_rows(own, grown, True).join(keys, "key"), f"line-{name}-units")
+    stays = rows.where(at.eqNullSafe(F.col("first"))).select("key", F.col("body").alias("kept_body")).distinct()
     return (rows.where(~at.eqNullSafe(F.col("first"))).join(stays, "key").where("body = kept_body")
-            .select("doc_id", "thash", "pos").distinct())
-
-
-def paired(column: str):
-    """array<struct<pos, body, lines>> of a text column: every two neighbouring
-    lines with words, and every line of ``LONG_WORDS`` words or more."""
-    def of(lines, at, words):       # 0-based places of the lines with words, and their word counts
-        def piece(i, j):
-            return F.struct(i.alias("pos"), F.array_join(F.slice(lines, i + 1, j - i + 1), "\n").alias("body"), (j - i + 1).alias("lines"))
-        pairs = F.transform(F.slice(at, 2, F.greatest(F.size(at) - 1, F.lit(0))), lambda j, k: piece(F.element_at(at, k + 1), j))
-        long = F.filter(at, lambda i, k: F.element_at(words, k + 1) >= LONG_WORDS)
-        return F.concat(pairs, F.transform(long, lambda i: piece(i, i)))
-
-    def with_counts(lines):
-        counts = F.transform(lines, lambda x, i: F.struct(i.alias("i"), F.regexp_count(x, F.lit(WORD)).alias("w")))
-        return bind(F.filter(counts, lambda c: c["w"] > 0), lambda own: bind(
-            F.transform(own, lambda c: c["i"]), lambda at: of(lines, at, F.transform(own, lambda c: c["w"]))))
-
-    text = F.col(f"`{column}`")
-    return F.when(text.isNotNull(), bind(F.split(text, "\n", -1), with_counts))
+            .select("doc_id", "thash", "pos", "lines", "first").distinct())
 
 
-def _pieces(own: DataFrame) -> DataFrame:
-    """One row per piece of ``paired``: (doc_id, thash, pos, lines, key, body)."""
-    rows = own.select("doc_id", F.unhex(F.md5("text")).alias("thash"), F.explode(paired("text")).alias("c"))
-    return rows.select("doc_id", "thash", F.col("c.pos").alias("pos"), F.col("c.lines").alias("lines"),
-                       F.unhex(F.md5("c.body")).alias("key"), F.col("c.body").alias("body"))
+def _with(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows (doc_id, thash, text) with the ``gone`` of their document; null without."""
+    small, _ = bounded_broadcast(gone, BROADCAST_ROWS)
+    small = small.withColumnsRenamed({"doc_id": "_i", "thash": "_h"})
+    return rows.join(small, rows["doc_id"].eqNullSafe(small["_i"]) & (rows["thash"] == small["_h"]), "left").drop("_i", "_h")
 
 
 def repeated_lines(own: DataFrame) -> DataFrame:
-    """(doc_id, thash, gone): the places of the lines of a text that repeat an earlier passage."""
-    at = F.struct("doc_id", "thash", "pos")
-    common = C.stored(_pieces(own).select("key", at.alias("at")).groupBy("key")
-                      .agg(F.min("at").alias("first"), F.max("at").alias("last")).where("first <> last").select("key", "first"), "run-keys")
-    rows = C.stored(_pieces(own).join(C.small(common, BROADCAST_ROWS), "key"), "run-pieces")
-    stays = rows.where(at.eqNullSafe(F.col("first"))).groupBy("key").agg(F.first("body").alias("kept_body"))
-    found = rows.where(~at.eqNullSafe(F.col("first"))).join(stays, "key").where("body = kept_body")
-    # a piece that overlaps the one that stays loses only what lies behind it
+    """(doc_id, thash, gone): the places of the lines of a text that repeat an
+    earlier passage, for ``own`` (doc_id, thash, text)."""
+    none = F.lit(None).cast("array<struct<pos:int,lines:int>>").alias("gone")
+    first = C.stored(_repeated(own.select("*", none), False), "line-chunks")
+    removed = C.stored(first.groupBy("doc_id", "thash").agg(F.collect_set(F.struct("pos", "lines")).alias("gone")), "line-removed")
+    more = C.stored(_repeated(_with(own, removed), True), "line-grown")
+    found = first.unionByName(more)
+    # a unit that overlaps the one that stays loses only what lies behind it
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("thash") == F.col("first.thash"))
     start = F.when(same, F.greatest("pos", F.col("first.pos") + F.col("lines"))).otherwise(F.col("pos"))
     return (found.select("doc_id", "thash", F.explode(F.sequence(start, F.col("pos") + F.col("lines") - 1)).alias("i"))
-            .groupBy("doc_id", "thash").agg(F.collect_set("i").alias("gone")))
-
-
-def dedup_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with every repeated run of two or more lines with words, and
-    every repeated long line, cut out of the text column; the earliest
-    occurrence (smallest doc_id, then text hash and place) stays.
-
-    Single short lines stay, and so do blank lines at the ends of a run. Rows,
-    null texts and ids as in ``dedup_lines``. The other columns pass unread.
-    """
-    C.prepare(docs.sparkSession)
-    gone = C.stored(repeated_lines(C.ids_only(docs, id_col, text_col))
-                    .select(F.col("doc_id").alias("__id"), F.col("thash").alias("__thash"), F.col("gone").alias("__gone")), "run-removals")
-    text = f"`{text_col}`"
-    base = docs.select("*", F.unhex(F.md5(text)).alias("__own_hash"))
-    out = base.join(C.small(gone, BROADCAST_ROWS),
-                    F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own_hash") == F.col("__thash")), "left")
-    cut = F.when(F.col("__gone").isNotNull(), bind(F.split(text, "\n", -1), lambda lines: F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__gone"), lambda i: F.element_at(lines, i + 1)), "\n")))
-    return out.select(*[F.coalesce(cut, F.col(text)).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+            .groupBy("doc_id", "thash").agg(F.array_sort(F.collect_set("i")).alias("gone")))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
-    """``docs`` with repeated chunks cut out of the text column, and with
-    ``counts`` three more: n_lines, n_chunks_removed, n_lines_removed (input
-    columns of these names give way to them).
+    """``docs`` with repeated passages cut out of the text column, and with
+    ``counts`` three more: n_lines, n_runs_removed (runs of removed lines),
+    n_lines_removed (input columns of these names give way to them).
 
-    Every row stays; a text whose chunks all stand elsewhere becomes empty.
+    Every row stays; a text whose passages all stand elsewhere becomes empty.
+    Single short lines stay, and so do blank lines at the ends of a passage.
     Null texts stay null with zero counts, empty and blank texts as they are.
     Rows that repeat id and text are one document and get one result; rows
     that repeat an id with other texts are told apart by their text. Null ids
-    order first. The other columns pass unread.
+    order first. The other columns, whatever their names, pass unread.
     """
     C.prepare(docs.sparkSession)
-    own = C.ids_only(docs, id_col, text_col)
-    gone = C.stored(repeats(own).groupBy("doc_id", "thash").agg(F.collect_set("pos").alias("__gone"))
-                    .select(F.col("doc_id").alias("__id"), F.col("thash").alias("__thash"), "__gone"), "line-removals")
-    gone = C.small(gone, BROADCAST_ROWS)
-    text = f"`{text_col}`"
-    base = docs.select("*", F.md5(text).alias("__own_hash"))
-    out = base.join(gone, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("__id")) & (F.col("__own_hash") == F.col("__thash")), "left")
-    # only documents that lose something are cut again
-    cut = F.when(F.col("__gone").isNotNull(), bind(chunked(text_col), lambda cs: F.struct(
-        F.array_join(F.transform(F.filter(cs, lambda c: ~F.array_contains("__gone", c["pos"])), lambda c: c["body"]), "\n").alias("body"),
-        F.aggregate(F.filter(cs, lambda c: F.array_contains("__gone", c["pos"])), F.lit(0).cast("int"), lambda a, c: a + c["lines"]).alias("lost"))))
-    out = out.withColumn("__cut", cut)
-    more = {"n_lines": F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)),
-            "n_chunks_removed": F.coalesce(F.size("__gone"), F.lit(0)),
-            "n_lines_removed": F.coalesce("__cut.lost", F.lit(0))} if counts else {}
-    return out.select(*[F.coalesce("__cut.body", text).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in more],
-                      *[c.cast("long").alias(name) for name, c in more.items()])
+    text, doc_id = F.col(f"`{text_col}`"), F.col(f"`{id_col}`").cast("long")
+    thash = F.unhex(F.md5(text))
+    own = docs.select(doc_id.alias("doc_id"), thash.alias("thash"), text.alias("text"))
+    gone = C.stored(repeated_lines(own), "line-removals")
+    # all input columns travel as one struct, so no name of theirs can clash
+    out = _with(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), doc_id.alias("doc_id"), thash.alias("thash"),
+                            text.alias("text")), gone)
+    cut = F.when(F.col("gone").isNotNull(), bind(F.split("text", "\n", -1), lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone"), lambda i: F.element_at(lines, i + 1)), "\n")))
+    runs = F.size(F.filter("gone", lambda x, k: (k == 0) | (F.get("gone", k - 1) != x - 1)))
+    more = {"n_lines": F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)), "n_runs_removed": F.coalesce(runs, F.lit(0)),
+            "n_lines_removed": F.coalesce(F.size("gone"), F.lit(0))} if counts else {}
+    made = out.select("row", F.struct(F.coalesce(cut, "text").alias("text"), *[c.cast("long").alias(name) for name, c in more.items()]).alias("made"))
+    return made.select(*[(F.col("made.text") if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns if c not in more],
+                       *[F.col(f"made.{name}").alias(name) for name in more])

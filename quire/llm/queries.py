@@ -71,30 +71,27 @@ def op4_fertility_rules(spark, sf_dir):
 
 
 @query("op8_line_chunk_dedup", sql=rf"""
-WITH l AS (SELECT doc_id, i, lines[i] AS line, len(lines) AS n
-           FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i
-                 FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL))),
-m AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM l),
-f AS (SELECT *, (coalesce(lag(h) OVER d, 0) * 31 + h) % 2 = 0 AS hit FROM m WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
-e AS (SELECT *, i = n OR w >= 50 OR lead(w) OVER d >= 50 OR (hit AND NOT coalesce(lag(hit) OVER d, false)) AS ends
-      FROM f WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
-c AS (SELECT *, coalesce(sum(CAST(ends AS INT)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
-      FROM e),
-k AS (SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS lines,
-             sum(w) >= 50 OR (count(*) FILTER (WHERE w > 0) >= 2 AND sum(w) >= 10) AS able
-      FROM c GROUP BY doc_id, chunk),
-r AS (SELECT *, able AND row_number() OVER (PARTITION BY able, body ORDER BY doc_id, chunk) > 1 AS gone FROM k),
-t AS (SELECT doc_id, sum(lines) AS n_lines, count(*) FILTER (WHERE gone) AS n_chunks_removed,
-             coalesce(sum(lines) FILTER (WHERE gone), 0) AS n_lines_removed,
-             string_agg(body, chr(10) ORDER BY chunk) FILTER (WHERE NOT gone) AS kept
-      FROM r GROUP BY doc_id)
+WITH l AS MATERIALIZED (SELECT doc_id, h, i, lines[i + 1] AS line, len(regexp_extract_all(lines[i + 1], '[^\x20\x09-\x0D]+')) AS w, len(lines) AS n
+           FROM (SELECT doc_id, h, lines, unnest(range(0, len(lines))) AS i
+                 FROM (SELECT doc_id, md5(text) AS h, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL))),
+p AS (SELECT *, lead(i) OVER (PARTITION BY doc_id, h ORDER BY i) AS j FROM l WHERE w > 0),
+d AS (SELECT doc_id, md5(text) AS h, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL),
+u AS MATERIALIZED (SELECT doc_id, h, i AS pos, j - i + 1 AS size, array_to_string(lines[i + 1:j + 1], chr(10)) AS body FROM p JOIN d USING (doc_id, h) WHERE j IS NOT NULL
+     UNION ALL SELECT doc_id, h, i, 1, line FROM l WHERE w >= 50),
+f AS (SELECT *, first_value(doc_id) OVER b AS fd, first_value(h) OVER b AS fh, first_value(pos) OVER b AS fp
+      FROM u WINDOW b AS (PARTITION BY body ORDER BY doc_id, h, pos)),
+g AS MATERIALIZED (SELECT DISTINCT doc_id, h, unnest(range(CASE WHEN doc_id = fd AND h = fh THEN greatest(pos, fp + size) ELSE pos END, pos + size)) AS i
+      FROM f WHERE NOT (doc_id = fd AND h = fh AND pos = fp)),
+t AS (SELECT l.doc_id, count(g.i) AS n_lines_removed, string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL) AS kept, max(n) AS n_lines
+      FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.h = l.h AND g.i = l.i GROUP BY l.doc_id),
+r AS (SELECT doc_id, count(*) AS runs FROM g a WHERE NOT EXISTS (SELECT 1 FROM g b WHERE b.doc_id = a.doc_id AND b.h = a.h AND b.i = a.i - 1) GROUP BY doc_id)
 SELECT doc_id, CASE WHEN text IS NOT NULL THEN coalesce(kept, '') END AS text, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
-       CAST(coalesce(n_chunks_removed, 0) AS BIGINT) AS n_chunks_removed, CAST(coalesce(n_lines_removed, 0) AS BIGINT) AS n_lines_removed
-FROM documents LEFT JOIN t USING (doc_id)""")
+       CAST(coalesce(runs, 0) AS BIGINT) AS n_runs_removed, CAST(coalesce(n_lines_removed, 0) AS BIGINT) AS n_lines_removed
+FROM documents LEFT JOIN t USING (doc_id) LEFT JOIN r USING (doc_id)""")
 def op8_line_chunk_dedup(spark, sf_dir):
-    """Every document without the line chunks that stand earlier in the corpus."""
+    """Every document without the passages that stand earlier in the corpus."""
     out = line_dedup.dedup_lines(C.table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "text", "n_lines", "n_chunks_removed", "n_lines_removed")
+    return out.select("doc_id", "text", "n_lines", "n_runs_removed", "n_lines_removed")
 
 
 @query("op6_benchmark_containment", sql=f"""
