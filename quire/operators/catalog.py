@@ -33,6 +33,11 @@ def all_empty(frames: list[DataFrame]) -> bool:
     return all(df.isEmpty() for df in frames)
 
 
+def first_run(spark: SparkSession, stores: list[str]) -> bool:
+    """S12 + A6: every store of the catalog is missing or empty."""
+    return all_empty([spark.table(name) for name in stores if exists(spark, name)])
+
+
 def projects_get_or_create(existing: DataFrame, names: DataFrame,
                            project_type: str = DEFAULT_PROJECT_TYPE,
                            type_filter: str = "") -> DataFrame:

@@ -19,10 +19,12 @@ from quire.operators.ordering import ordered_release
 from quire.plans import standins as S
 from quire.plans.annotation import TERM, TERMS, _spans_rows_sql
 from quire.plans.corpus import LEDGER1_SQL, BATCH2_SQL, ledger_accept_sql
+from quire.plans.graph import E1_SQL, _graph_dictionary, _order_edges
 from quire.plans.pages import ARRIVAL_SQL, REVIEW_STATUS_SQL, TIED_ARRIVAL, _arrivals, review_pages
 from quire.plans.registry import query
 from quire.plans.sources import CONDITIONS_SITE, NEWS_TIME, _article_responses, _news_pages
 from quire.session import keyed_filter, scratch_path
+from quire.sinks.keyed import DictionaryStore
 from quire.sources import extractors as ex
 from quire.streaming import ingest as si
 from quire.streaming import release as sr
@@ -344,3 +346,46 @@ def ledger_large_batch(spark, sf_dir):
     urls = b2.select(F.col("source_url").alias("url")).distinct()
     touched = keyed_filter(stored, urls, "url", "left_semi", 0).withColumn("touched", F.lit(True))
     return touched.unionByName(keyed_filter(stored, urls, "url", "left_anti", 0).withColumn("touched", F.lit(False)))
+
+
+# --- K3, K4: stores by key -------------------------------------------------------------------
+
+_STORE_SQL = f"""
+WITH d1 AS (SELECT 'order' AS item_type, CAST(o_orderkey AS VARCHAR) AS item_id, o_orderpriority AS name FROM orders WHERE o_orderstatus <> 'P'
+            UNION ALL SELECT 'part', CAST(p_partkey AS VARCHAR), p_name FROM part WHERE p_size <= 25),
+d AS (SELECT * FROM d1 WHERE NOT (item_type = 'part' AND item_id IN (SELECT CAST(p_partkey AS VARCHAR) FROM part WHERE p_size % 10 = 0))
+      UNION ALL SELECT 'part', CAST(p_partkey AS VARCHAR), 'new ' || p_name FROM part WHERE p_size % 10 = 0),
+e1 AS ({E1_SQL}),
+t AS (SELECT CAST(o_orderkey AS VARCHAR) AS id FROM orders WHERE o_orderkey % 4 = 0),
+e AS (SELECT * FROM e1 WHERE src_item_id NOT IN (SELECT id FROM t)
+      UNION ALL SELECT 'open', 'order', CAST(l_orderkey AS VARCHAR), 'part', CAST(l_partkey AS VARCHAR)
+      FROM lineitem WHERE l_orderkey % 4 = 0 AND l_linestatus = 'O')
+SELECT e.*, d2.name AS dst_name, d2.item_id IS NOT NULL AS resolved
+FROM e LEFT JOIN d d2 ON d2.item_type = e.dst_item_type AND d2.item_id = e.dst_item_id
+WHERE EXISTS (SELECT 1 FROM d WHERE d.item_type = e.src_item_type AND d.item_id = e.src_item_id)"""
+
+
+def keyed_store(spark, sf_dir, root=None):
+    """Two versions of a dictionary store over orders and parts; returns the store."""
+    store = DictionaryStore(root or scratch_path(spark, "keyed"))
+    items = _graph_dictionary(spark, sf_dir).select("item_type", "item_id", "name", F.lit("").alias("description"), F.lit(None).cast("string").alias("meta"),
+                                                    F.lit(0).cast("long").alias("seq"))
+    edges = _order_edges(spark, sf_dir)
+    store.update(spark, 0, items, edges.select("src_item_type", "src_item_id"), edges)
+    parts = S.table(spark, sf_dir, "part").where("p_size % 10 = 0").select(
+        F.lit("part").alias("item_type"), F.col("p_partkey").cast("string").alias("item_id"), F.concat(F.lit("new "), "p_name").alias("name"),
+        F.lit("").alias("description"), F.lit(None).cast("string").alias("meta"), F.lit(1).cast("long").alias("seq"))
+    touched = S.table(spark, sf_dir, "orders").where("o_orderkey % 4 = 0").select(
+        F.lit("order").alias("src_item_type"), F.col("o_orderkey").cast("string").alias("src_item_id"))
+    fresh = S.table(spark, sf_dir, "lineitem").where("l_orderkey % 4 = 0 AND l_linestatus = 'O'").select(
+        F.lit("open").alias("link_type"), F.lit("order").alias("src_item_type"), F.col("l_orderkey").cast("string").alias("src_item_id"),
+        F.lit("part").alias("dst_item_type"), F.col("l_partkey").cast("string").alias("dst_item_id"))
+    store.update(spark, 1, parts, touched, fresh)
+    return store
+
+
+@query("dictionary_store", sql=_STORE_SQL)
+def dictionary_store(spark, sf_dir):
+    """Dictionary and links as stored tables by key,
+    updated by a second batch, read back as links with their targets."""
+    return keyed_store(spark, sf_dir).resolved(spark, 1)

@@ -169,14 +169,18 @@ p AS (SELECT req.name, ex.id, FALSE AS created FROM req JOIN ex USING (name)
       SELECT name, (SELECT coalesce(max(id), 0) FROM ex) + row_number() OVER (ORDER BY name), TRUE
       FROM req WHERE name NOT IN (SELECT name FROM ex))
 SELECT *, 'SequenceLabeling' AS project_type, 'SequenceLabelingProject' AS resource_type,
-       array_to_string(string_split_regex('{cat.EXAMPLE_TYPE_FILTER}', ',\\s*'), ',') AS filters
+       array_to_string(string_split_regex('{cat.EXAMPLE_TYPE_FILTER}', ',\\s*'), ',') AS filters,
+       (SELECT count(*) = 0 FROM ex) AND (SELECT count(*) = 0 FROM labels) AS first_run
 FROM p""")
 def project_bootstrap(spark, sf_dir):
-    """Projects with their settings (type, resource type, concept
-    type filter split into a list)."""
+    """Projects with their settings (type, resource type,
+    concept type filter split into a list), and whether this is a first run:
+    every store that is there holds nothing."""
     names = S.table(spark, sf_dir, "documents").select(F.col("source").alias("name"))
-    out = cat.projects_get_or_create(_existing_projects(spark, sf_dir), names,
-                                     type_filter=cat.EXAMPLE_TYPE_FILTER)
+    existing = _existing_projects(spark, sf_dir)
+    cat.register(spark, {"corpus_projects": existing, "corpus_labels": S.table(spark, sf_dir, "labels")})
+    out = cat.projects_get_or_create(existing, names, type_filter=cat.EXAMPLE_TYPE_FILTER)
+    out = out.withColumn("first_run", F.lit(cat.first_run(spark, ["corpus_projects", "corpus_labels", "corpus_datasets"])))
     # the filter list, shown as text so both engines print it alike
     return out.withColumn("filters", F.array_join("filters", ","))
 

@@ -61,3 +61,21 @@ def test_bloom_lets_few_others_through(spark):
     inside = rows.where("k % 7 = 0 AND k < 35000")
     assert inside.where("NOT _maybe").count() == 0
     assert rows.where("_maybe").count() < 5_000 + 2_000
+
+
+def test_stores_by_key_join_without_exchange(spark):
+    """K3, K4: links by target meet the dictionary bucket by bucket, and so do
+    links by source; an update shuffles the batch, not the stored table."""
+    from quire.plans.history import keyed_store
+    from quire.operators import dictionary as dct
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store = keyed_store(spark, SF)
+        for df in (store.resolved(spark, 1), dct.links_with_source(store.links.read(spark, 1), store.items.read(spark, 1))):
+            plan = _plan(df)
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+            assert df.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
