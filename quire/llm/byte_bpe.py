@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
@@ -80,7 +81,7 @@ class PairTable:
 class ByteBpe:
     """Encoder and decoder of one rank file."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, cached: int | None = None):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
         self.token_bytes: list[bytes] = [b""] * (max(self.ranks.values()) + 1)
@@ -89,25 +90,25 @@ class ByteBpe:
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pairs = PairTable(self.ranks)
         self.pieces_of = regex.compile(pattern).findall
-        self.known: C.Recent = C.Recent(CACHED_PIECES)     # piece -> ids
+        self.known: C.Recent = C.Recent(cached or CACHED_PIECES)     # piece -> ids
 
-    def merge_rows(self, rows: list[bytes], width: int) -> list[np.ndarray]:
-        """Token ids of each row; rows have 1 to ``width`` bytes."""
+    def merge_rows(self, rows: list[bytes], width: int) -> list[bytes]:
+        """Token ids of each row as little-endian unsigned 32-bit integers;
+        rows have 1 to ``width`` bytes."""
         n = len(rows)
         lens = np.fromiter(map(len, rows), np.int64, n)
         ids = np.full((n, width), -1, np.int32)
         ids[np.arange(width) < lens[:, None]] = self.byte_ids[np.frombuffer(b"".join(rows), np.uint8)]
         rank = np.full((n, width), NONE, np.int32)
         rank[:, :-1] = self.pairs(ids[:, :-1], ids[:, 1:])
-        out: list[np.ndarray] = [ids[0]] * n
-        which = np.arange(n)
+        which, done = np.arange(n), []
         while n:
             at = rank.argmin(axis=1)                 # leftmost of the smallest
             best = rank[np.arange(n), at]
             over = best == NONE
             if over.any():
-                for k in np.flatnonzero(over):
-                    out[which[k]] = ids[k, :lens[k]].copy()
+                ended = ids[over]
+                done.append((which[over], lens[over], ended[np.arange(ended.shape[1]) < lens[over][:, None]]))
                 on = ~over
                 ids, rank, lens, which, at, best = ids[on], rank[on], lens[on], which[on], at[on], best[on]
                 n = len(which)
@@ -124,6 +125,12 @@ class ByteBpe:
             prev = np.maximum(at - 1, 0)
             has = at > 0
             rank[r[has], prev[has]] = self.pairs(ids[r[has], prev[has]], best[has])
+        flat = np.concatenate([x for *_, x in done]).astype("<u4").tobytes()
+        ends = 4 * np.cumsum(np.concatenate([x for _, x, _ in done]))
+        spans = map(slice, np.concatenate(([0], ends[:-1])).tolist(), ends.tolist())
+        out = [b""] * len(rows)
+        for k, ids_ in zip(np.concatenate([x for x, *_ in done]).tolist(), map(flat.__getitem__, spans), strict=True):
+            out[k] = ids_
         return out
 
     def merge_long(self, piece: bytes) -> np.ndarray:
@@ -152,22 +159,23 @@ class ByteBpe:
 
     def learn(self, pieces: set[str]) -> None:
         """Put the ids of the pieces into ``known``."""
-        by_width: dict[int, list[tuple[str, bytes]]] = {}
-        for p in self.known.missing(pieces):
+        known, ranks = self.known, self.ranks
+        by_width: list[tuple[list[str], list[bytes]]] = [([], []) for _ in BUCKETS]
+        for p in known.missing(pieces):
             raw = p.encode("utf-8")
-            whole = self.ranks.get(raw)
+            whole = ranks.get(raw)
             if whole is not None:
-                self.known[p] = np.uint32(whole).tobytes()
+                known[p] = whole.to_bytes(4, "little")
             elif len(raw) > LONG:
-                self.known[p] = self.merge_long(raw).astype("<u4").tobytes()
+                known[p] = self.merge_long(raw).astype("<u4").tobytes()
             else:
-                by_width.setdefault(next(w for w in BUCKETS if len(raw) <= w), []).append((p, raw))
-        for width, rows in by_width.items():
+                names, raws = by_width[bisect_left(BUCKETS, len(raw))]
+                names.append(p)
+                raws.append(raw)
+        for width, (names, raws) in zip(BUCKETS, by_width, strict=True):
             step = max(1, MATRIX_CELLS // width)
-            for i in range(0, len(rows), step):
-                part = rows[i:i + step]
-                for (p, _), ids in zip(part, self.merge_rows([raw for _, raw in part], width), strict=True):
-                    self.known[p] = ids.astype("<u4").tobytes()
+            for i in range(0, len(raws), step):
+                known.update(zip(names[i:i + step], self.merge_rows(raws[i:i + step], width), strict=True))
 
     @C.no_gc()
     def encode(self, texts: list) -> list[bytes]:

@@ -5,10 +5,11 @@ of byte-fallback tokens of a piece vocabulary, and the entropy of the byte-BPE
 token distribution. Tokens are those of the words, each behind one blank, so
 that layout does not count. Rejection bands come from the corpus itself, per
 language (or script where no language is given): median and interquartile
-range over all documents that pass the base rules; a language with few of them
-takes the wider band of its script, or of the corpus. Entropy grows with length,
-so its band is on what is left after a line fitted to the logarithm of the
-token count.
+range over all documents that pass the base rules, drawn towards those of the
+script and of the corpus as by ``PRIOR_DOCS`` more documents, so a language
+with few documents is judged mostly by the wider band. Entropy grows with
+length, so its band is on what is left after a line fitted to the logarithm of
+the token count.
 """
 
 from __future__ import annotations
@@ -28,13 +29,13 @@ from quire.llm import common as C
 PIECES = "piece_bpe_32k.model"
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
-CACHED_WORDS = 120_000
+CACHED_WORDS, CACHED_PIECES = 100_000, 60_000
 # Width of the bands in robust standard deviations (IQR / 1.349), the least
-# deviation taken, and the documents a language or script needs for a band of
-# its own. WHOLE names the corpus's band.
+# deviation taken, and the documents that the wider group counts for in a
+# language's or script's band. WHOLE names the corpus's band.
 CHARS_BAND, ENTROPY_BAND, FALLBACK_BAND = 8.0, 6.0, 10.0
 LEAST_SD = {"chars_per_token": 0.02, "fallback_share": 0.01, "entropy_rest": 0.05}
-LEAST_DOCS = 50
+PRIOR_DOCS = 50
 WHOLE = "all"
 SCRIPTS = ("Latin", "Cyrillic", "Greek", "Arabic", "Hebrew", "Devanagari", "Thai", "Han", "Hiragana", "Katakana", "Hangul")
 _SCHEMA = ("doc_id long, band string, script string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
@@ -47,7 +48,7 @@ class Meter:
     def __init__(self, bpe_path: str, pattern: str, piece_path: str):
         import sentencepiece
 
-        self.bpe = byte_bpe.ByteBpe(bpe_path, pattern)
+        self.bpe = byte_bpe.ByteBpe(bpe_path, pattern, CACHED_PIECES)
         self.sp = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         self.is_byte = np.array([self.sp.is_byte(i) for i in range(self.sp.vocab_size())], bool)
         self.known: C.Recent = C.Recent(CACHED_WORDS)     # word -> ids, pieces, byte pieces
@@ -66,7 +67,6 @@ class Meter:
         in_bytes = upto[ends] - upto[ends - sizes]
         for w, own, n, b in zip(new, self._token_ids(strs), sizes.tolist(), in_bytes.tolist(), strict=True):
             self.known[w] = (own, n, b)
-        self.bpe.known.clear()      # ids are kept per word here
 
     def _token_ids(self, strs: list[str]) -> list[bytes]:
         """Byte-BPE ids of each word behind one blank. Words without white
@@ -86,37 +86,55 @@ class Meter:
             out[k] = own
         return out
 
-    def measures(self, words: list[bytes], chars: int) -> tuple[int, float, float, float]:
-        if not words:
-            return 0, 0.0, 0.0, 0.0
-        own, pieces, byte_pieces = zip(*map(self.known.__getitem__, words), strict=True)
-        ids = np.frombuffer(b"".join(own), "<u4")
-        share = np.unique(ids, return_counts=True)[1] / len(ids)
-        return (len(ids), chars / len(ids), sum(byte_pieces) / max(1, sum(pieces)), float(-(share * np.log2(share)).sum()))
+    def measures(self, words: list[bytes], codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens, share of byte pieces and entropy of every document of a
+        batch: ``codes`` number its words in ``words``, documents end at ``ends``."""
+        docs = len(ends)
+        own, pieces, byte_pieces = zip(*map(self.known.__getitem__, words), strict=True) if words else ((), (), ())
+        pool = np.frombuffer(b"".join(own), "<u4").astype(np.int64)
+        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        first = np.cumsum(size) - size
+        doc = np.repeat(np.arange(docs), np.diff(ends, prepend=0))
+        n_tokens = np.bincount(doc, size[codes], docs).astype(np.int64)
+        per = [np.bincount(doc, np.asarray(x, float)[codes] if len(codes) else None, docs) for x in (pieces, byte_pieces)]
+        # every token of the batch as (document, id), sorted once
+        count = size[codes]
+        at = np.repeat(first[codes] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+        keys = np.sort((np.repeat(doc, count) << 32) | pool[at])
+        runs = np.flatnonzero(np.concatenate((keys[:1] >= 0, keys[1:] != keys[:-1])))
+        of = (keys[runs] >> 32).astype(np.int64)
+        share = np.diff(runs, append=len(keys)) / n_tokens[of]
+        entropy = -np.bincount(of, share * np.log2(share), docs)
+        return n_tokens, per[1] / np.maximum(1, per[0]), np.abs(entropy)
 
 
 def meter(bpe_path: str, pattern: str, piece_path: str) -> Meter:
     return C.one_model(("meter", bpe_path, pattern, piece_path), lambda: Meter(bpe_path, pattern, piece_path))
 
 
-def repeat_words(words: list[bytes], span: int = 3) -> int:
-    """Words inside a ``span``-word window that occurs at least twice in the text."""
-    n = len(words) - span + 1
+def repeat_words(codes: np.ndarray, ends: np.ndarray, span: int = 3) -> np.ndarray:
+    """Per document: words inside a ``span``-word window that occurs at least
+    twice in its text; ``codes`` number the words, documents end at ``ends``."""
+    docs, n = len(ends), len(codes) - span + 1
+    doc = np.repeat(np.arange(docs), np.diff(ends, prepend=0))
     if n < 2:
-        return 0
-    seen: dict[bytes, int] = {}
-    codes = np.array([seen.setdefault(w, len(seen)) for w in words], np.int64)
-    window = codes[:n]
-    for k in range(1, span):
-        if (int(window.max()) + 1) * len(seen) >= 2 ** 62:
-            window = np.unique(window, return_inverse=True)[1]
-        window = window * len(seen) + codes[k:n + k]
-    _, at, count = np.unique(window, return_inverse=True, return_counts=True)
-    twice = count[at] >= 2
-    covered = np.zeros(len(words), bool)
+        return np.zeros(docs, np.int64)
+    inside = np.flatnonzero(doc[:n] == doc[span - 1:])
+    base = int(codes.max()) + 1
+    window, most = doc[inside], docs
     for k in range(span):
-        covered[k:n + k] |= twice
-    return int(covered.sum())
+        if most * base >= 2 ** 62:
+            window = np.unique(window, return_inverse=True)[1]
+            most = len(window)
+        window, most = window * base + codes[inside + k], most * base
+    ordered = np.sort(window)
+    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    covered = np.zeros(len(codes), bool)
+    if len(twice):
+        hit = inside[twice[np.minimum(np.searchsorted(twice, window), len(twice) - 1)] == window]
+        for k in range(span):
+            covered[hit + k] = True
+    return np.bincount(doc[covered], minlength=docs)
 
 
 def dup_lines(text: str) -> int:
@@ -163,16 +181,22 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         for pdf in batches:
             texts = [t or "" for t in pdf["text"]]
             split = [t.encode("utf-8").split() for t in texts]
-            new: set[bytes] = set()
-            for words in split:
-                new.update(words)
-            m.learn(new)
+            distinct = list(set(itertools.chain.from_iterable(split)))
+            m.learn(set(distinct))
+            number = dict(zip(distinct, range(len(distinct)), strict=True))
+            sizes = np.fromiter(map(len, split), np.int64, len(split))
+            codes = np.fromiter(map(number.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(sizes.sum()))
+            ends = np.cumsum(sizes)
+            n_tokens, fallback, entropy = m.measures(distinct, codes, ends)
+            repeated = repeat_words(codes, ends)
             rows = []
-            for doc_id, text, lang, words in zip(pdf["doc_id"], texts, pdf["lang"], split, strict=True):
+            for k, (doc_id, text, lang) in enumerate(zip(pdf["doc_id"], texts, pdf["lang"], strict=True)):
                 chars = len(text) - sum(map(text.count, BLANKS))
                 script = script_of(text)
-                rows.append((doc_id, f"lang:{lang}" if isinstance(lang, str) else f"script:{script}", script, len(words), chars,
-                             sum(map(text.count, SYMBOLS)), dup_lines(text), repeat_words(words), *m.measures(words, chars)))
+                n = int(n_tokens[k])
+                rows.append((doc_id, f"lang:{lang}" if isinstance(lang, str) else f"script:{script}", script, int(sizes[k]), chars,
+                             sum(map(text.count, SYMBOLS)), dup_lines(text), int(repeated[k]), n, chars / n if n else 0.0,
+                             float(fallback[k]), float(entropy[k])))
             out = pd.DataFrame(rows, columns=[c.split(" ")[0] for c in _SCHEMA.split(", ")])
             yield out.astype({"doc_id": "Int64"}) if kind == "long" else out
 
@@ -183,52 +207,65 @@ def _entropy_rest():
     return F.col("entropy") - F.coalesce(F.col("slope") * F.log2("n_tokens") + F.col("offset"), F.col("entropy"))
 
 
+def _levels():
+    """The groups a document's band is made from: its language (or script),
+    its script over all languages, the corpus."""
+    whole = F.concat(F.lit(WHOLE), F.substring("script", 1, 0))      # a column, so that joins on it stay hash joins
+    return F.array("band", F.concat(F.lit(f"{WHOLE}:"), "script"), whole)
+
+
 def bands(passing: DataFrame) -> DataFrame:
-    """Per language or script: fitted entropy line, median and deviation of each measure. One row a language."""
+    """Per group (``band``): documents, fitted entropy line, median and
+    deviation of each measure. A group's figures count as its documents, next
+    to ``PRIOR_DOCS`` documents' worth of the wider group's, so that a few
+    documents say little and a language with many speaks for itself."""
     line = passing.groupBy("band").agg(F.count(F.lit(1)).alias("docs"), F.regr_slope("entropy", F.log2("n_tokens")).alias("slope"),
                                        F.regr_intercept("entropy", F.log2("n_tokens")).alias("offset"))
-    # one row a language: no shuffle by language, of which one may hold most rows
+    # one row a group: no shuffle by group, of which one may hold most rows
     rest = passing.join(C.small(C.stored(line, "fertility-lines")), "band").withColumn("entropy_rest", _entropy_rest())
     aggs = []
     for c in LEAST_SD:
         q = F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000)
         aggs += [q[1].alias(f"{c}_mid"), F.greatest((q[2] - q[0]) / 1.349, F.lit(LEAST_SD[c])).alias(f"{c}_sd")]
-    return rest.groupBy("band").agg(*aggs).join(line, "band").where((F.col("docs") >= LEAST_DOCS) | (F.col("band") == WHOLE))
+    return rest.groupBy("band").agg(*aggs).join(line, "band")
+
+
+FIGURES = ["slope", "offset", *[f"{c}_{x}" for c in LEAST_SD for x in ("mid", "sd")]]
 
 
-def _wider():
-    """The bands of a document, narrow to wide: its own, its script's over all languages, the corpus's."""
-    return F.array("band", F.concat(F.lit(f"{WHOLE}:"), "script"), F.lit(WHOLE))
+def _blended(m: DataFrame, passing: DataFrame) -> DataFrame:
+    """(band, script) -> the figures its documents are judged by: those of the
+    corpus, drawn towards the script's and then the language's by their documents."""
+    of = C.stored(bands(passing.withColumn("band", F.explode(_levels()))), "fertility-bands")
+    pairs = m.select("band", "script").distinct()
+    out = pairs
+    for k, name in ((2, "w"), (1, "s"), (0, "l")):
+        own = of.select(F.col("band").alias("_use"), F.col("docs").alias(f"{name}_docs"), *[F.col(c).alias(f"{name}_{c}") for c in FIGURES])
+        out = out.withColumn("_use", _levels()[k]).join(own, "_use", "left").drop("_use")
 
+    def drawn(base, name, c):
+        n = F.coalesce(f"{name}_docs", F.lit(0))
+        return (F.coalesce(f"{name}_{c}", base) * n + base * PRIOR_DOCS) / (n + PRIOR_DOCS)
 
-def _chosen(m: DataFrame, passing: DataFrame, judge_all: bool) -> DataFrame:
-    """(band, script) -> the narrowest of their bands that has enough documents."""
-    of = C.stored(bands(passing.withColumn("band", F.explode(_wider()))), "fertility-bands")
-    pairs = m.select("band", "script").distinct().select("band", "script", F.posexplode(_wider()).alias("rank", "use"))
-    if not judge_all:
-        pairs = pairs.where("rank = 0 OR band LIKE 'lang:%'")
-    narrow = pairs.join(of.select(F.col("band").alias("use")), "use").groupBy("band", "script").agg(F.min_by("use", "rank").alias("use"))
-    return C.stored(narrow.join(of.withColumnRenamed("band", "use"), "use").drop("use"), "fertility-chosen")
+    figures = [drawn(drawn(F.col(f"w_{c}"), "s", c), "l", c).alias(c) for c in FIGURES]
+    return C.stored(out.select("band", "script", *figures), "fertility-chosen")
 
 
 def rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang",
-          folder: str | None = None, judge_all: bool = False) -> DataFrame:
+          folder: str | None = None) -> DataFrame:
     """doc_id, base counts, base_failed, kept and the measures; one row per input row.
 
     Null and empty texts have no words and fail the base rules. Without a
     language (null, or no such column) the band is that of the text's main
-    script. Documents of a language with fewer than ``LEAST_DOCS`` passing
-    ones are judged by the band of their script over all languages, or by that
-    of the whole corpus if the script has too few as well. Documents without a
-    language whose script has too few of them have no band and are kept, but
-    with ``judge_all`` they are judged by the wider bands likewise. Repeated rows are judged alike; a null
-    doc_id stays null; other columns are not read.
+    script. Every document that passes the base rules is judged. Repeated rows
+    are judged alike; a null doc_id stays null; other columns are not read. An
+    empty table gives no rows.
     """
     m = measured(docs, id_col, text_col, lang_col, folder)
     m = C.stored(m.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))),
                  "fertility")
     passing = m.where(~F.col("base_failed"))
-    out = m.join(C.small(_chosen(m, passing, judge_all)), ["band", "script"], "left")
+    out = m.join(C.small(_blended(m, passing)), ["band", "script"], "left")
     low = F.col("chars_per_token") < F.col("chars_per_token_mid") - CHARS_BAND * F.col("chars_per_token_sd")
     high = F.col("chars_per_token") > F.col("chars_per_token_mid") + CHARS_BAND * F.col("chars_per_token_sd")
     bytes_ = F.col("fallback_share") > F.col("fallback_share_mid") + FALLBACK_BAND * F.col("fallback_share_sd")
@@ -239,11 +276,11 @@ def rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def drop_rejected(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang",
-                  folder: str | None = None, by_row: bool = False, judge_all: bool = False) -> DataFrame:
+                  folder: str | None = None, by_row: bool = False) -> DataFrame:
     """``docs`` without the documents the rules reject; all columns as they
     were. A doc_id goes if any of its rows is rejected; rows without id stay.
     With ``by_row`` every row goes or stays by its own verdict, with or without id."""
     if by_row:
-        return C.by_row(docs, id_col, text_col, lambda d, key: drop_rejected(d, key, text_col, lang_col, folder, judge_all=judge_all))
-    found = C.stored(rules(docs, id_col, text_col, lang_col, folder, judge_all).select("doc_id", "kept"), "fertility-verdicts")
+        return C.by_row(docs, id_col, text_col, lambda d, key: drop_rejected(d, key, text_col, lang_col, folder))
+    found = C.stored(rules(docs, id_col, text_col, lang_col, folder).select("doc_id", "kept"), "fertility-verdicts")
     return C.without_ids(docs, id_col, found.where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct())

@@ -19,12 +19,10 @@ def test_thin_languages_are_judged(spark):
     rows = [(i, t, "en") for i, t in enumerate(clean[:90])] + [(90 + i, t, "xx") for i, t in enumerate(clean[90:])]
     rows += [(200, junk[0], "xx"), (201, junk[1], "yy"), (202, junk[2], None), (203, thai, "th"), (204, clean[0], None)]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = {r["doc_id"]: r for r in ft.rules(df, judge_all=True).collect()}
+    got = {r["doc_id"]: r for r in ft.rules(df).collect()}
     assert len(got) == len(rows)
     assert not any(got[i]["base_failed"] for i in (200, 201, 202, 203, 204))
     assert not any(got[i]["kept"] for i in (200, 201, 202, 203)) and got[204]["kept"]
     assert all(got[i]["kept"] != got[i]["base_failed"] for i in range(100))
-    by_default = {r["doc_id"]: r["kept"] for r in ft.rules(df).collect()}
-    assert not by_default[200] and not by_default[201] and not by_default[203]
-    one = ft.drop_rejected(df, judge_all=True, by_row=True)
+    one = ft.drop_rejected(df, by_row=True)
     assert one.columns == df.columns and {r["doc_id"] for r in one.collect()} == {i for i, r in got.items() if r["kept"]}
