@@ -178,6 +178,7 @@ def _index(shared, width: int) -> ItemIndex:
 
 def _search(shared, width: int, percent: int, kind: str = "long"):
     def run(batches):
+        C.free_model()
         index = _index(shared, width)
         for pdf in batches:
             rows = [(doc_id, *hit) for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True)

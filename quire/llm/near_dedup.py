@@ -10,9 +10,13 @@ No group is ever expanded into all its pairs. Equal sets fall into one class
 first. Members of a band bucket are compared with one pivot, components are
 formed, and only buckets that still hold several components go on, without
 the settled pivot. Large open buckets take a second pivot; what is left is
-compared in blocks of ``BLOCK`` members inside tasks, which send out only
-confirmed links. Every candidate pair is thus either compared or already in
-one component.
+compared in blocks of ``BLOCK`` members (and ``BLOCK_BYTES`` of sets) inside
+tasks, which send out only confirmed links. Every candidate pair is thus
+either compared or already in one component.
+
+Nodes are numbers: ids as they are, and for string keys the place of a class
+among all classes, in key order. The sets of all nodes that share a bucket are
+made in one pass over the texts.
 
 With 32 bands of 4 rows a pair of similarity 0.8 shares no band with
 probability 5e-8; the estimate's margin is over four standard deviations.
@@ -28,11 +32,14 @@ from pyspark.sql import functions as F
 
 from quire.llm import common as C
 from quire.llm.components import connected_components
+from quire.operators.ids import sequential_ids
+from quire.session import bounded_broadcast
 
 PERMS, ROWS, BITS = 128, 4, 4
 SEED = 20240613
 MARGIN = 0.16
-BLOCK = 256
+BLOCK, BLOCK_BYTES = 256, 8 << 20
+MAX_BROADCAST_NODES = 2_000_000
 PIVOT_ROUNDS = 2
 _SIG = "doc_id long, n_shingles long, set_key string, bands array<long>, packed array<long>"
 
@@ -88,6 +95,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     kind = _kind(docs)
 
     def run(batches):
+        C.free_model()
         for pdf in batches:
             rows = []
             for doc_id, text in zip(pdf["doc_id"], pdf["text"], strict=True):
@@ -108,12 +116,13 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, members): the sorted set as little-endian 64-bit values."""
+    """(node, members) of ``docs`` (node, text): the sorted set as little-endian 64-bit values."""
     def run(batches):
+        C.free_model()
         for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "members": [shingle_set(t, width).tobytes() for t in pdf["text"]]})
+            yield pd.DataFrame({"node": pdf["node"], "members": [shingle_set(t, width).tobytes() for t in pdf["text"]]})
 
-    return docs.mapInPandas(run, f"doc_id {_kind(docs)}, members binary")
+    return docs.mapInPandas(run, "node long, members binary")
 
 
 def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -124,21 +133,17 @@ def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * n >= percent * (len(x) + len(y) - n)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union. Only sets
-    of documents that occur in a pair are made and shuffled."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = C.stored(shingle_sets(C.with_ids(docs, C.stored(nodes, "dedup-nodes")), width), "dedup-sets")
-
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with 100 * intersection >= percent * union."""
     def run(batches):
         for pdf in batches:
             keep = [alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
                     for x, y in zip(pdf["x"], pdf["y"], strict=True)]
             yield pdf.loc[keep, ["a", "b"]]
 
-    full = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("members").alias("x")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("members").alias("y")), "b"))
-    return full.mapInPandas(run, f"a {_kind(docs)}, b {_kind(docs)}")
+    full = (pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b"))
+    return full.mapInPandas(run, "a long, b long")
 
 
 def _estimated(pairs: DataFrame, packed: DataFrame, least: float) -> DataFrame:
@@ -147,24 +152,19 @@ def _estimated(pairs: DataFrame, packed: DataFrame, least: float) -> DataFrame:
     return p.where(_estimate("pa", "pb") >= least).select("a", "b").distinct()
 
 
-def _block_links(opened: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _block_links(opened: DataFrame, classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links (a, b) between different components of open buckets.
 
-    A bucket of n members is dealt into n / BLOCK blocks; each pair of blocks
-    is one bounded group, which gets its members' signatures and sets. Inside,
+    A bucket is dealt into blocks of about BLOCK members, fewer where their
+    sets are long; each pair of blocks is one bounded group, which gets its
+    members' signatures and sets. Inside,
     a pair that shares several buckets is looked at in its first one, pairs
     are taken by falling estimate, and a confirmed link joins the two
     components there and then, so that what it settles is not compared again.
     """
-    least, kind = percent / 100 - MARGIN, _kind(docs)
-    nodes = C.stored(opened.select(F.col("node").alias("doc_id")).distinct(), "dedup-nodes")
-    sets = C.stored(shingle_sets(C.with_ids(docs, nodes), width), "dedup-sets")
-    about = (classes.select(F.col("rep").alias("node"), "bands", "packed")
-             .join(sets.select(F.col("doc_id").alias("node"), "members"), "node"))
-    m = opened.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    m = m.withColumn("blk", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    m = m.select("key", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "node", "comp").join(about, "node")
+    least = percent / 100 - MARGIN
+    about = classes.select("node", "bands", "packed").join(sets, "node")
+    m = dealt(opened).join(about, "node")
 
     def run(pdf):
         key, i, j = pdf["key"].iat[0], pdf["i"].iat[0], pdf["j"].iat[0]
@@ -191,46 +191,74 @@ def _block_links(opened: DataFrame, classes: DataFrame, docs: DataFrame, width:
                         old = rc[y]
                         rc[rc == old] = lc[k]
                         lc[lc == old] = lc[k]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64" if kind == "bigint" else "object")
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return m.groupBy("key", "i", "j").applyInPandas(run, f"a {kind}, b {kind}").distinct()
+    return m.groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
 
 
 def links(docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame | None:
-    """(node, component) over class representatives; None when nothing is linked."""
+    """(node, component) over the classes' nodes; None when nothing is linked.
+    ``classes``: rep (id or key), node, n_shingles, bands, packed."""
     least = percent / 100 - MARGIN
-    packed = classes.select(F.col("rep").alias("node"), "packed")
-    rows = classes.select(F.col("rep").alias("node"), F.explode("bands").alias("key"))
+    packed = classes.select("node", "packed")
+    rows = classes.select("node", (F.col("n_shingles") * 8).alias("bytes"), F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     members = C.stored(rows.join(shared, "key").withColumn("pri", F.xxhash64("node")), "dedup-members")
+    nodes, _ = bounded_broadcast(classes.select("node", "rep").distinct().join(members.select("node"), "node", "left_semi"), MAX_BROADCAST_NODES)
+    # an id that stands for several texts has several sets
+    sets = C.stored(shingle_sets(docs.join(nodes, docs["doc_id"] == nodes["rep"]).select("node", "text"), width).distinct(), "dedup-sets")
+    return linked(members, lambda pairs: confirmed(_estimated(pairs, packed, least), sets, percent),
+                  lambda opened: _block_links(opened, classes, sets, percent))
+
+
+def linked(members: DataFrame, verify, in_blocks) -> DataFrame | None:
+    """(node, component) from bucket ``members`` (node, bytes, key, pri); None
+    when nothing is linked. ``verify`` keeps the true ones of pairs (a, b),
+    ``in_blocks`` gives the true links inside buckets that stay open."""
     edges: DataFrame | None = None
     comps: DataFrame | None = None
     for step in range(PIVOT_ROUNDS + 1):
         m = members.withColumn("comp", F.col("node")) if comps is None else (
             members.join(comps, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component"))
-        heads = m.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+        heads = m.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"),
                                      F.min_by(F.struct("node", "comp"), "pri").alias("head")).where("lo < hi")
-        opened = C.stored(m.join(heads.select("key", "n", "head"), "key"), "dedup-open")
+        opened = C.stored(m.join(heads.select("key", "n", "size", "head"), "key"), "dedup-open")
         most = opened.agg(F.max("n")).head()[0]
         if most is None:
             break
         last = step == PIVOT_ROUNDS or (step and most <= BLOCK)
-        if last:
-            good = _block_links(opened, classes, docs, width, percent)
-        else:
-            pairs = _estimated(opened.where("comp <> head.comp").select(F.col("node").alias("a"), F.col("head.node").alias("b"))
-                               .distinct(), packed, least)
-            good = confirmed(C.stored(pairs, "dedup-pairs"), docs, width, percent)
+        good = in_blocks(opened) if last else verify(
+            opened.where("comp <> head.comp").select(F.col("node").alias("a"), F.col("head.node").alias("b")).distinct())
         good = C.stored(good, "dedup-links")
         if good.head() is not None:
             edges = good if edges is None else edges.union(good)
             comps = C.stored(connected_components(edges), "dedup-components")
         if last:
             break
-        members = opened.where("node <> head.node").select("node", "key", "pri")
+        members = opened.where("node <> head.node").select("node", "bytes", "key", "pri")
     return comps
 
 
+def dealt(opened: DataFrame) -> DataFrame:
+    """Members of open buckets, dealt into bounded groups (key, i, j), one per
+    pair of blocks; ``blk`` tells a member's block. Members of a bucket's
+    largest component (blocks -1, -2, ..) meet the other components' members
+    only, not each other, so a bucket that is nearly settled costs about a row
+    a member."""
+    per = opened.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("c"))
+    big = per.groupBy("key").agg(F.max(F.struct("c", F.col("comp").alias("big"))).alias("b")).select("key", "b.c", "b.big")
+    m = opened.join(big, "key").withColumn("rest", F.col("n") - F.col("c"))
+    share = F.greatest(F.lit(1.0), F.col("size") / F.col("n") * BLOCK / BLOCK_BYTES)      # long sets make smaller blocks
+    m = m.withColumn("few", F.ceil(F.col("rest") / BLOCK * share).cast("int")).withColumn("many", F.ceil(F.col("c") / BLOCK * share).cast("int"))
+    few, many = F.sequence(F.lit(0), F.col("few") - 1), F.sequence(F.lit(0), F.col("many") - 1)
+    own = F.when(F.col("comp") == F.col("big"), -1 - F.pmod(F.xxhash64("node"), F.col("many"))).otherwise(F.pmod(F.xxhash64("node"), F.col("few"))).cast("int")
+    m = m.withColumn("blk", own)
+    pair = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+    groups = F.when(F.col("blk") < 0, F.transform(few, lambda o: pair(o, F.col("blk")))).otherwise(F.concat(
+        F.transform(few, lambda o: pair(F.least(o, F.col("blk")), F.greatest(o, F.col("blk")))), F.transform(many, lambda o: pair(F.col("blk"), -1 - o))))
+    return m.withColumn("g", F.explode(groups)).select("key", "g.i", "g.j", "blk", "node", "comp")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
                     percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per input row.
@@ -246,13 +274,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     C.prepare(docs.sparkSession)
     own = C.ids_only(docs, id_col, text_col)
     sig = C.stored(signatures(own, width), "dedup-signatures")
-    classes = C.stored(sig.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key")
-                       .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("packed").alias("packed")),
-                       "dedup-classes")
+    classes = (sig.where("set_key IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_key")
+               .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("packed").alias("packed")))
+    if _kind(own) == "string":
+        classes = C.stored(classes, "dedup-sets-classes")
+        classes = classes.join(sequential_ids(classes.select("rep"), ["rep"], id_col="node"), "rep")
+    else:
+        classes = classes.withColumn("node", F.col("rep"))
+    classes = C.stored(classes, "dedup-classes")
     comps = links(own.where("doc_id IS NOT NULL"), classes, width, percent)
-    of_class = classes.select("set_key", F.col("rep").alias("component_id")) if comps is None else (
-        classes.join(comps, classes["rep"] == comps["node"], "left")
-        .select("set_key", F.coalesce("component", "rep").alias("component_id")))
+    if comps is None:
+        of_class = classes.select("set_key", F.col("rep").alias("component_id"))
+    elif _kind(own) == "bigint":
+        of_class = classes.join(comps, "node", "left").select("set_key", F.coalesce("component", "rep").alias("component_id"))
+    else:
+        linked = classes.select("set_key", "rep", "node").join(comps, "node", "left")
+        heads = classes.select(F.col("node").alias("component"), F.col("rep").alias("head"))
+        of_class = linked.join(heads, "component", "left").select("set_key", F.coalesce("head", "rep").alias("component_id"))
     out = sig.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id",
