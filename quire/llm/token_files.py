@@ -27,7 +27,6 @@ import itertools
 import os
 import re
 import struct
-import unicodedata
 import uuid
 import zlib
 
@@ -43,35 +42,32 @@ from quire.session import checkpoint_dir
 VOCAB = "word_bpe_49k.json"
 DICT_DOCS, DICT_CHARS, DICT_BYTES = 1024, 4096, 64 << 10
 FILE_TEXT_BYTES = 32 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 LEVEL = 1
 MAGIC = b"IDFRAME\n"
-CACHED_WORDS = 200_000
+CACHED_WORDS, JOINED_WORDS = 250_000, 20_000
+MARKS = ".,!?;:"
+WORD_END = "</w>"
+# Below this every letter is composed by itself.
+_SIMPLE_LETTERS = "\u0130"
+_PROBES = ["word", "Word", "ÜBER", "naïve", "straße", "ĀĐĦ", "ª", "x" * 40]
 _INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("at", "<u8"), ("size", "<u4"), ("ids", "<u4")])
 _FOOTER = struct.Struct("<QQB32sQ")
 
 
 # --- encoding -----------------------------------------------------------------
 
-# Byte to character as byte-level vocabularies write it (fixed values of that
-# scheme): printable Latin-1 bytes stand for themselves, the others follow at 256.
-_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-_REST = [b for b in range(256) if b not in _PRINTABLE]
-_BYTE_CHARS = {b: b if b in _PRINTABLE else 256 + _REST.index(b) for b in range(256)}
-# Below this every letter is composed and lower-cases to one letter by itself.
-_SIMPLE_LETTERS = "\u0130"
-_PROBES = ["word", "Word", "ÜBER", "naïve", "straße", "ĀĐĦ", "ª", "x" * 40]
-
-
 class WordEncoder:
     """Ids by the ``tokenizers`` library, which sees each distinct word once.
 
     For a vocabulary whose pre-tokenizer drops white space no token spans two
-    words, so a text's ids are its words' ids in a row. Trailing ASCII
-    punctuation behind a letter is a pre-token of its own as well. A word of
-    simple letters only goes straight to the library's BPE model, in lower
-    case and byte characters as its normalizer would hand it over; the probes
-    make sure that the vocabulary is one for which this holds.
+    words, so a text's ids are its words' ids in a row. The new words of a
+    batch go to the library as texts of ``JOINED_WORDS`` words each. Words of
+    simple letters are one pre-token, so where the vocabulary marks
+    the last token of each, the marks cut such a text into its words; closing
+    punctuation is looked up by itself, and capitals like small letters where
+    the vocabulary folds them (the probes tell whether this holds).
+    Every other word is found by its place in the text.
     """
 
     def __init__(self, path: str):
@@ -80,38 +76,48 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: C.Recent = C.Recent(CACHED_WORDS)      # word -> ids
-        self.direct = [self._letters(w) for w in _PROBES] == [self.tokenizer.encode(w, add_special_tokens=False).ids for w in _PROBES]
-
-    def _letters(self, word: str) -> list[int]:
-        word = word.lower()
-        if not word.isascii():
-            word = word.encode("utf-8").decode("latin-1").translate(_BYTE_CHARS)
-        return [t.id for t in self.tokenizer.model.tokenize(word)]
-
-    def _ids(self, words: list[str]) -> dict[str, bytes]:
-        simple = [w for w in words if self.direct and w.isalpha() and max(w) < _SIMPLE_LETTERS]
-        other = list(set(words).difference(simple))
-        ids = [*map(self._letters, simple), *(e.ids for e in self.tokenizer.encode_batch(other, add_special_tokens=False))]
-        ends = list(itertools.accumulate(map(len, ids), initial=0))
-        flat = np.fromiter(itertools.chain.from_iterable(ids), "<u4", ends[-1]).tobytes()
-        return {w: flat[4 * i:4 * j] for w, i, j in zip([*simple, *other], ends, ends[1:], strict=False)}
+        one = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        self.apart = all(one(w + m) == one(w) + one(m) for w in _PROBES for m in (*MARKS, MARKS))
+        self.folds = all(one(w) == one(w.lower()) for w in _PROBES if w.isascii())
+        vocab = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
+
+    def _learn(self, words: list[str], simple: bool) -> None:
+        for i in range(0, len(words), JOINED_WORDS):
+            part = words[i:i + JOINED_WORDS]
+            text = " ".join(part)
+            if simple:
+                ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+                cut = np.concatenate(([0], np.flatnonzero(self.last[ids]) + 1))
+            if not simple or len(cut) != len(part) + 1:
+                found = self.tokenizer.encode(text, add_special_tokens=False)
+                ids = np.array(found.ids, "<u4")
+                starts = np.fromiter(itertools.accumulate((len(w) + 1 for w in part), initial=0), np.int64, len(part) + 1)
+                cut = np.searchsorted(np.fromiter((a for a, _ in found.offsets), np.int64, len(ids)), starts)
+            flat, cut = ids.tobytes(), (4 * cut).tolist()
+            self.known.update(zip(part, map(flat.__getitem__, map(slice, cut, cut[1:])), strict=True))
 
     def learn(self, words: set[str]) -> None:
-        split = []
-        for w in self.known.missing(words):
-            core = w.rstrip(".,!?;:")
-            # the last letter as the vocabulary's normalizer leaves it
-            if len(core) == len(w) or not core or not unicodedata.normalize("NFC", core[-1]).lower()[-1].isalpha():
-                core = w
-            rest = w[len(core):]
-            if self.direct and core.isascii() and core.isalpha():
-                core = core.lower()
-            split.append((w, core, rest))
-        ids = self._ids(list({p for _, core, rest in split for p in (core, rest) if p not in self.known}))
-        known = self.known
-        for w, core, rest in split:
-            own = ids[core] if core in ids else known[core]
-            known[w] = own + (ids[rest] if rest in ids else known[rest]) if rest else own
+        known, split, simple, other = self.known, [], [], []
+        cores: set[str] = set()
+        for w in known.missing(words):
+            core = w if w.isalpha() else w.rstrip(MARKS) if self.apart else ""
+            if not core.isalpha() or not (core.isascii() or max(core) < _SIMPLE_LETTERS):
+                other.append(w)
+                continue
+            low = core.lower() if self.folds and core.isascii() else core
+            if low == w:
+                simple.append(w)
+                continue
+            split.append((w, low, w[len(core):]))
+            if low not in known and low not in words:
+                cores.add(low)
+        other += {rest for _, _, rest in split if rest and rest not in known}.difference(other)
+        self._learn([*simple, *cores], True)
+        self._learn(other, False)
+        for w, low, rest in split:
+            known[w] = known[low] + known[rest] if rest else known[low]
 
     @C.no_gc()
     def encode(self, texts: list) -> list[bytes]:
