@@ -3,14 +3,18 @@
 Three steps: a tokenizer over one regular expression, a tree builder that
 supplies implied end tags, and a renderer with visibility and layout rules
 (block spacing with collapsing margins, list markers, indents, preformatted
-text, and tables with aligned columns). All visible text comes out; nothing is
-judged as boilerplate.
+text, and tables with columns aligned by display width). The page's style
+sheets decide on visibility as far as their selectors name an element by tag,
+class and id; combinators, pseudo-classes and media other than screens are not
+followed. All visible text comes out; nothing is judged as boilerplate.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+import sys
+import unicodedata
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -44,8 +48,9 @@ ENDS["tbody"] = ENDS["tfoot"] = ENDS["thead"]
 P_SCOPE = {"html", "table", "td", "th", "caption", "template", "button", "object", "marquee", "applet"}
 HEAD_TAGS = {"base", "basefont", "bgsound", "link", "meta", "noframes", "script", "style", "template", "title", "noscript"}
 
-DEPTH = 200          # deeper elements become siblings, as in browsers (which stop at 512)
-CELL_WIDTH = 60      # a longer cell does not widen its column
+DEPTH = 512          # deeper elements become siblings, as in browsers
+CELL_WIDTH = 60      # a wider line of a cell is not padded for: it would blow up every row of its column
+FRAMES = 20_000      # call depth the renderer may need for DEPTH levels
 
 _TOKEN = re.compile(
     r"""<!--(?:-?>|.*?(?:--!?>|\Z))"""
@@ -57,6 +62,11 @@ _ATTR = re.compile(r"""([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I) for t in RAW}
 _FOREIGN_UNSEEN = set().union(*FOREIGN.values())
 _UNQUOTED_END = re.compile(r"""=\s*[^\s"'>][^\s>]*\Z""")
+_CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_CSS_RULE = re.compile(r"([^{}]*)\{([^{}]*)(?:\}|\Z)")
+_CSS_MEDIA = re.compile(r"@media\s*((?:all|screen|\s|,|only)*)\{((?:[^{}]*\{[^{}]*\})*[^{}]*)(?:\}|\Z)", re.I)
+_CSS_GROUP = re.compile(r"@[a-z-]+[^{};]*\{(?:[^{}]*\{[^{}]*\})*[^{}]*(?:\}|\Z)|@[^{};]*;", re.I)
+_CSS_SIMPLE = re.compile(r"(\*|[a-z][a-z0-9-]*)?((?:[.#][\w-]+)*)", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _NUMBER = re.compile(r"\s*([+-]?\d{1,9})")
 # Stand-ins inside a run of text: line break, kept blank, kept tab.
@@ -66,10 +76,10 @@ _GAP = None          # among lines: a blank line wanted here
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "sheets")
 
     def __init__(self, tag: str, attrs: dict):
-        self.tag, self.attrs, self.children = tag, attrs, []
+        self.tag, self.attrs, self.children, self.sheets = tag, attrs, [], []
 
 
 def _attributes(raw: str) -> dict:
@@ -152,6 +162,8 @@ def parse(page: str) -> Node:
             end = _RAW_END[name].search(page, at)
             body = page[at:end.start()] if end else page[at:]
             node.children.append(entities.unescape(body) if name in DECODED_RAW else body)
+            if name == "style" and attrs.get("media", "all").lower() in ("", "all", "screen"):
+                root.sheets.append(body)
             at = page.find(">", end.end()) + 1 if end else size
             at = at or size
         elif name == "plaintext":
@@ -170,6 +182,63 @@ def _style(attrs: dict) -> dict:
     return out
 
 
+def visibility_rules(sheets: list[str]) -> list[tuple]:
+    """(weight, tag, id, classes, property, value) of every display and
+    visibility declaration behind a simple selector, lightest first."""
+    css = _CSS_MEDIA.sub(r"\2", _CSS_COMMENT.sub(" ", "\n".join(sheets)))
+    rules = []
+    for selectors, body in _CSS_RULE.findall(_CSS_GROUP.sub(" ", css)):
+        wanted = []
+        for part in body.lower().split(";"):
+            key, _, value = part.partition(":")
+            if key.strip() in ("display", "visibility"):
+                wanted.append((key.strip(), value.replace("!important", "").strip(), "!important" in value))
+        if not wanted:
+            continue
+        for one in selectors.split(","):
+            m = _CSS_SIMPLE.fullmatch(one.strip())
+            if not m or not m[0]:
+                continue
+            names = re.findall(r"([.#])([\w-]+)", m[2] or "")
+            ids, classes = [n for k, n in names if k == "#"], {n for k, n in names if k == "."}
+            tag = "" if m[1] in (None, "*") else m[1].lower()
+            for key, value, strong in wanted:
+                weight = (strong, len(ids), len(classes), bool(tag), len(rules))
+                rules.append((weight, tag, set(ids), classes, key, value))
+    return sorted(rules, key=lambda r: r[0])
+
+
+def _dress(root: Node) -> None:
+    """Writes what the style sheets say on visibility into the elements' own
+    styles: before them, or behind them where a sheet insists."""
+    rules = visibility_rules(root.sheets)
+    todo = [root] if rules else []
+    while todo:
+        node = todo.pop()
+        todo += [c for c in node.children if not isinstance(c, str)]
+        own, own_id = set(node.attrs.get("class", "").split()), {node.attrs.get("id", "")}
+        hits = [(w, f"{key}:{value}") for w, tag, ids, classes, key, value in rules
+                if (not tag or tag == node.tag) and ids <= own_id and classes <= own]
+        if hits:
+            before, behind = ([x for w, x in hits if w[0] == strong] for strong in (False, True))
+            node.attrs["style"] = ";".join([*before, node.attrs.get("style", ""), *behind])
+
+
+def _width(text: str) -> int:
+    """Columns a text takes: two for wide characters, none for combining ones."""
+    if text.isascii():
+        return len(text)
+    return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
+
+
+def _free(spans: list[list[int]], col: int) -> int:
+    """The first column from ``col`` on that no span (start, end, rows) holds."""
+    for start, end, _ in spans:
+        if start <= col < end:
+            col = end
+    return col
+
+
 def _number(value: str | None, default: int) -> int:
     m = _NUMBER.match(value or "")
     return int(m[1]) if m else default
@@ -313,9 +382,22 @@ def _rows(node: Node):
             yield "caption", child, None
 
 
+def _held(spans: list[list[int]], new: list[list[int]]) -> list[list[int]]:
+    """Spans left after a row, in order; neighbours that end together are one."""
+    out: list[list[int]] = []
+    for start, end, rows in sorted([*spans, *new]):
+        if rows > 1:
+            if out and out[-1][2] == rows - 1 and start <= out[-1][1]:
+                out[-1][1] = max(out[-1][1], end)
+            else:
+                out.append([start, end, rows - 1])
+    return out
+
+
 def _table(table: Node, seen: bool, depth: int) -> list[str | None]:
     """Rows with cells in aligned columns, two blanks apart; spans keep their columns free."""
-    out, grid, hanging = Sink(), [], {}
+    out, grid = Sink(), []
+    hanging: list[list[int]] = []            # columns held by cells of earlier rows, left to right
     for kind, node, children in list(_rows(table)):
         if kind == "caption":
             holder = Node("div", {})
@@ -323,7 +405,7 @@ def _table(table: Node, seen: bool, depth: int) -> list[str | None]:
             _render(holder, out, False, seen, depth + 1)
             out.flush()
             continue
-        row, col = {}, 0
+        row, col, new = {}, 0, []
         for cell in children:
             if isinstance(cell, str):
                 if not cell.strip(" \t\n\r\f"):
@@ -332,8 +414,7 @@ def _table(table: Node, seen: bool, depth: int) -> list[str | None]:
                 cell.children = [text]
             if cell.tag in UNSEEN or "hidden" in cell.attrs or _style(cell.attrs).get("display") == "none":
                 continue
-            while hanging.get(col, 0) > 0:
-                col += 1
+            col = _free(hanging, col)
             inner = Sink()
             if cell.tag in ("td", "th"):
                 shown = {"visible": True, "hidden": False}.get(_style(cell.attrs).get("visibility", ""), seen)
@@ -347,17 +428,16 @@ def _table(table: Node, seen: bool, depth: int) -> list[str | None]:
             tall = _number(cell.attrs.get("rowspan"), 1)
             tall = 65534 if tall == 0 else min(max(tall, 1), 65534)
             if tall > 1:
-                for c in range(col, col + wide):
-                    hanging[c] = tall
+                new.append([col, col + wide, tall])
             row[col] = (row[col], wide)
             col += wide
-        hanging = {c: n - 1 for c, n in hanging.items() if n > 1}
+        hanging = _held(hanging, new)
         grid.append(row)
     widths: dict[int, int] = {}
     for row in grid:
         for col, (lines, wide) in row.items():
             if wide == 1:
-                longest = max((len(x) for x in lines if len(x) <= CELL_WIDTH), default=0)
+                longest = max((w for w in map(_width, lines) if w <= CELL_WIDTH), default=0)
                 widths[col] = max(widths.get(col, 0), longest)
     places, total = {}, 0
     for col in sorted({c for row in grid for c in row}):
@@ -369,7 +449,8 @@ def _table(table: Node, seen: bool, depth: int) -> list[str | None]:
             for col in sorted(row):
                 lines, _ = row[col]
                 if k < len(lines) and lines[k]:
-                    line = (line + "  " if len(line) + 2 > places[col] and line else line.ljust(places[col])) + lines[k]
+                    wide = _width(line)
+                    line += ("  " if wide + 2 > places[col] and line else " " * (places[col] - wide)) + lines[k]
             out.lines.append(line.rstrip(" "))
     return out.done()
 
@@ -378,8 +459,10 @@ def visible_text(page: str | None) -> str | None:
     """Rendered text of a page; null stays null."""
     if page is None:
         return None
-    sink = Sink()
-    _render(parse(page), sink, False, True, 0)
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), FRAMES))
+    root, sink = parse(page), Sink()
+    _dress(root)
+    _render(root, sink, False, True, 0)
     lines = ["" if x is _GAP else x for x in sink.done()]
     return "\n".join(lines).replace(_BLANK, " ").replace(_TAB, "\t").replace("\xa0", " ")
 

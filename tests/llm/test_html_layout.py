@@ -39,6 +39,14 @@ CASES = {
     "<select><option>a<option>b</select>": "a\nb",
     "<div style='display:inline'>a</div><span style='display:block'>b</span>c": "a\nb\nc",
     "<input value=go type=submit><input type=hidden value=x>": "go",
+    "<style>.h{display:none}</style><p class=h>a<p class='x h'>b<p>c": "c",
+    "<style>/* .h */ p#i, .v .w {display:none} b{visibility:hidden}</style><p id=i>a<p class=w>b<b>c<i style='visibility:visible'>d</i></b>": "bd",
+    "<style>p{display:none} p.s{display:block}</style><p>a<p class=s>b": "b",
+    "<style>.h{display:none!important}</style><p class=h style='display:block'>a<p style='display:none'>b<p>c": "c",
+    "<style>@media print{p{display:none}} @media screen{.q{display:none}} @import 'x'; u{display:none</style><p>a<p class=q>b<u>c</u>": "a",
+    "<style media=print>p{display:none}</style><p>a": "a",
+    "<table><tr><td>漢字<td>b<tr><td>abcd<td>c<tr><td>e\u0301<td>d</table>": "漢字  b\nabcd  c\ne\u0301     d",
+    "<table><tr><td rowspan=3>a<td rowspan=2>b<td>c<tr><td>d<tr><td>e<td>f</table>": "a  b  c\n      d\n   e  f",
     "": "", " \n ": "", "<": "<", "<p": "", "<!--": "", "</": "</",
 }
 
@@ -67,6 +75,18 @@ def test_depth_and_size():
     assert visible_text("<table><tr><td>" + "y" * 5000 + "<td>a<tr><td>b<td>c</table>") == "y" * 5000 + "  a\nb  c"
 
 
+def test_spans_are_ranges():
+    """Wide and tall cells hold ranges of columns, not columns one by one."""
+    import time
+
+    page = "<table><tr>" + "<td colspan=1000 rowspan=0>x" * 300 + "<tr><td>y" * 300 + "</table>"
+    begun = time.process_time()
+    text = visible_text(page)
+    assert time.process_time() - begun < 1 and text.count("x") == 300 and text.count("y") == 300
+    mixed = "".join(f"<tr><td rowspan={k % 5} colspan={k % 3}>c{k}<td>d{k}" for k in range(400))
+    assert all(f"c{k}" in (out := visible_text(f"<table>{mixed}</table>")) for k in (0, 200, 399)) and "d399" in out
+
+
 def test_implied_ends():
     def tags(n):
         return [n.tag, *(tags(c) for c in n.children if not isinstance(c, str))]
