@@ -67,7 +67,7 @@ def op3_token_files(spark, sf_dir):
 @query("op4_fertility_rules")
 def op4_fertility_rules(spark, sf_dir):
     """Base counts and vocabulary measures of every document, with verdicts."""
-    return fertility.rules(C.table(spark, sf_dir, "documents"), judge_all=True)
+    return fertility.rules(C.table(spark, sf_dir, "documents"))
 
 
 @query("op8_line_chunk_dedup", sql=rf"""
@@ -136,13 +136,18 @@ _NORM_SQL = r"trim(regexp_replace(lower({}), '\s+', ' ', 'g'), ' ')"
 
 def _mail_view(c):
     """The conversations as mail: each turn quotes the turn before it, which
-    in its turn quoted the one before that."""
+    in its turn quoted the one before that. Every third turn quotes, below its
+    own text, the turn before the last once more on its own; every other third
+    one six words out of the middle of the last."""
     turns = c.groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
     back = lambda n, name: turns.select("conv_id", (F.col("turn") + n).alias("turn"), F.col("text").alias(name))
     quote = lambda col, mark: F.concat(F.lit(mark), F.regexp_replace(col, "\n", "\n" + mark), F.lit("\n"))
     m = c.join(back(1, "one"), ["conv_id", "turn"], "left").join(back(2, "two"), ["conv_id", "turn"], "left")
+    words = F.regexp_extract_all("one", F.lit(r"\S+"), 0)
+    below = (F.when((F.col("turn") % 3 == 2) & F.col("two").isNotNull(), F.concat(F.lit("\n"), quote("two", "> ")))
+             .when((F.col("turn") % 3 == 1) & (F.size(words) >= 8), F.concat(F.lit("\n> "), F.array_join(F.slice(words, 3, 6), " "), F.lit("\n"))))
     return m.select("conv_id", "turn", "role", F.concat(F.coalesce(quote("two", ">> "), F.lit("")), F.coalesce(quote("one", "> "), F.lit("")),
-                                                        F.lit("\n"), F.coalesce("text", F.lit(""))).alias("text"))
+                                                        F.lit("\n"), F.coalesce("text", F.lit("")), F.coalesce(below, F.lit(""))).alias("text"))
 
 
 @query("op9_quote_links", sql=rf"""
@@ -150,7 +155,10 @@ WITH RECURSIVE turns AS MATERIALIZED ({_TURN_SQL}),
 mail AS MATERIALIZED (
   SELECT c.conv_id, c.turn, min(c.role) AS role,
          min(coalesce('>> ' || replace(b.text, chr(10), chr(10) || '>> ') || chr(10), '')
-          || coalesce('> ' || replace(a.text, chr(10), chr(10) || '> ') || chr(10), '') || chr(10) || coalesce(c.text, '')) AS text
+          || coalesce('> ' || replace(a.text, chr(10), chr(10) || '> ') || chr(10), '') || chr(10) || coalesce(c.text, '')
+          || CASE WHEN c.turn % 3 = 2 AND b.text IS NOT NULL THEN chr(10) || '> ' || replace(b.text, chr(10), chr(10) || '> ') || chr(10)
+                  WHEN c.turn % 3 = 1 AND len(regexp_extract_all(a.text, '\S+')) >= 8
+                  THEN chr(10) || '> ' || array_to_string(regexp_extract_all(a.text, '\S+')[3:8], ' ') || chr(10) ELSE '' END) AS text
   FROM conversations c LEFT JOIN turns a ON a.conv_id = c.conv_id AND a.turn = c.turn - 1
   LEFT JOIN turns b ON b.conv_id = c.conv_id AND b.turn = c.turn - 2 GROUP BY c.conv_id, c.turn),
 ln AS (SELECT conv_id, turn, i, lines[i] AS x, regexp_extract(lines[i], '^(?:[ \t]*>)+', 0) AS marks
@@ -170,14 +178,20 @@ units AS (SELECT conv_id, u, min(turn) AS source FROM (
             UNION ALL SELECT conv_id, turn, {_NORM_SQL.format('y')} FROM (SELECT conv_id, turn, unnest(regexp_split_to_array(own, '\n[ \t]*\n')) AS y FROM own)
             UNION ALL SELECT conv_id, turn, {_NORM_SQL.format('y')} FROM (SELECT conv_id, turn, unnest(string_split(own, chr(10))) AS y FROM own))
           WHERE u <> '' GROUP BY ALL),
-quotes AS (SELECT conv_id, turn, level, u, min(rank) AS rank FROM (
-            SELECT conv_id, turn, level, 0 AS rank, {_NORM_SQL.format('body')} AS u FROM ps WHERE level > 0
-            UNION ALL SELECT conv_id, turn, level, 1, {_NORM_SQL.format('y')}
-            FROM (SELECT conv_id, turn, level, unnest(string_split(body, chr(10))) AS y FROM ps WHERE level > 0))
+quotes AS (SELECT conv_id, turn, run, level, u, min(rank) AS rank FROM (
+            SELECT conv_id, turn, run, level, 0 AS rank, {_NORM_SQL.format('body')} AS u FROM ps WHERE level > 0
+            UNION ALL SELECT conv_id, turn, run, level, 1, {_NORM_SQL.format('y')}
+            FROM (SELECT conv_id, turn, run, level, unnest(string_split(body, chr(10))) AS y FROM ps WHERE level > 0))
           WHERE u <> '' GROUP BY ALL),
-links AS MATERIALIZED (SELECT q.conv_id, q.turn, q.level, arg_min(source, rank * 1000000000 - source) AS source
+exact AS MATERIALIZED (SELECT q.conv_id, q.turn, q.run, q.level, min(rank) AS rank, arg_min(source, rank * 1000000000 - source) AS source
           FROM quotes q JOIN units s ON s.conv_id = q.conv_id AND s.u = q.u AND source < q.turn GROUP BY ALL),
-up AS (SELECT conv_id, turn, source AS parent FROM links WHERE level = 1),
+missed AS (SELECT conv_id, turn, run, level, {_NORM_SQL.format('body')} AS u FROM ps WHERE level > 0
+           AND NOT EXISTS (SELECT 1 FROM exact x WHERE x.conv_id = ps.conv_id AND x.turn = ps.turn AND x.run = ps.run)),
+partial AS (SELECT m.conv_id, m.turn, m.run, m.level, 2 AS rank, min(o.turn) AS source FROM missed m
+            JOIN own o ON o.conv_id = m.conv_id AND o.turn < m.turn AND contains(' ' || {_NORM_SQL.format('own')} || ' ', ' ' || u || ' ')
+            WHERE len(string_split(u, ' ')) >= 4 GROUP BY ALL),
+links AS MATERIALIZED (SELECT * FROM exact UNION ALL SELECT * FROM partial),
+up AS (SELECT conv_id, turn, arg_min(source, rank * 1000000000 - source) AS parent FROM links WHERE level = 1 GROUP BY ALL),
 walk AS (SELECT conv_id, turn, parent AS anc, CAST(1 AS BIGINT) AS depth FROM up
          UNION ALL SELECT w.conv_id, w.turn, u.parent, w.depth + 1 FROM walk w JOIN up u ON u.conv_id = w.conv_id AND u.turn = w.anc),
 ends AS (SELECT conv_id, turn, arg_max(anc, depth) AS root, max(depth) AS depth FROM walk GROUP BY ALL),

@@ -6,7 +6,10 @@ passages are normalised (lower case, blanks collapsed), hashed, and joined to
 the units of the messages' own text: the whole text, its paragraphs and its
 lines. Of several messages with the same unit the earliest one in the thread
 is the original; units are reduced to it before the join, so that a common
-line cannot multiply rows. A quote of level d then names the ancestor d steps
+line cannot multiply rows. A passage that matches no unit (it starts or ends
+inside a line, or was wrapped anew) is looked up by its first ``PROBE`` words
+among the word windows of the thread's texts, and linked to the earliest
+message whose text holds its words in a row. A quote of level d then names the ancestor d steps
 up; level 1 gives the parent. Roots and depths follow by pointer doubling, and
 messages sorted by (thread, root, depth, order) are the conversation, without
 quotes, every message behind the one it answers.
@@ -22,6 +25,8 @@ from quire.llm import common as C
 
 MARKS = r"^(?:[ \t]*>)+"
 ATTRIBUTION = r"(?i)\bwrote:\s*$"
+# Words by which a part of a text is found; shorter parts are not looked for.
+PROBE = 4
 
 
 def passages(text) -> Column:
@@ -80,8 +85,33 @@ def quote_links(parsed: DataFrame) -> DataFrame:
               .groupBy("thread", "msg", "part", "level", "key").agg(F.min("rank").alias("rank")))
     hits = quotes.join(units, ["thread", "key"]).where("source < msg")
     # whole passages before lines, then the latest of the originals
-    return (hits.groupBy("thread", "msg", "part", "level").agg(F.min(F.struct("rank", (-F.col("source")).alias("back"))).alias("b"))
-            .select("thread", "msg", "part", "level", F.col("b.rank").alias("rank"), (-F.col("b.back")).alias("source")))
+    exact = (hits.groupBy("thread", "msg", "part", "level").agg(F.min(F.struct("rank", (-F.col("source")).alias("back"))).alias("b"))
+             .select("thread", "msg", "part", "level", F.col("b.rank").alias("rank"), (-F.col("b.back")).alias("source")))
+    exact = C.stored(exact, "quotes-exact")
+    missed = (quoted.select("thread", "msg", "part", F.col("p.level").alias("level"), normalised(F.col("p.body")).alias("u"))
+              .join(exact.select("thread", "msg", "part"), ["thread", "msg", "part"], "left_anti"))
+    return exact.unionByName(_partial(missed.where(F.size(F.split("u", " ")) >= PROBE), parsed))
+
+
+def _partial(missed: DataFrame, parsed: DataFrame) -> DataFrame:
+    """Links of passages that are a run of words inside an earlier text.
+
+    One probe per passage meets the word windows of its thread. Windows are
+    made in threads with a probe only, and of equal texts once (for the
+    earliest message); texts are compared where a window is found."""
+    missed = C.stored(missed.withColumn("probe", F.xxhash64(F.slice(F.split("u", " "), 1, PROBE))), "quotes-missed")
+    texts = (parsed.join(missed.select("thread").distinct(), "thread", "left_semi").select("thread", "msg", normalised(F.col("own")).alias("text"))
+             .groupBy("thread", F.md5("text").alias("h")).agg(F.min("msg").alias("source"), F.first("text").alias("text")))
+    texts = C.stored(texts.select("thread", "source", "text"), "quotes-texts")
+    windows = texts.select("thread", "source", F.split("text", " ").alias("w")).where(F.size("w") >= PROBE)
+    windows = windows.select("thread", "source", F.explode(F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.size("w") - PROBE + 1), lambda i: F.xxhash64(F.slice("w", i, PROBE))))).alias("probe"))
+    near = (missed.select("thread", "msg", "part", "probe").join(windows, ["thread", "probe"]).where("source < msg")
+            .select("thread", "msg", "part", "source"))
+    found = (near.join(missed.select("thread", "msg", "part", "level", "u"), ["thread", "msg", "part"]).join(texts, ["thread", "source"])
+             .where(F.concat(F.lit(" "), "text", F.lit(" ")).contains(F.concat(F.lit(" "), F.col("u"), F.lit(" ")))))
+    return (found.groupBy("thread", "msg", "part", "level").agg(F.min("source").alias("source"))
+            .select("thread", "msg", "part", "level", F.lit(2).alias("rank"), "source"))
 
 
 def linked(messages: DataFrame, thread_col: str, order_col: str, role_col: str, text_col: str) -> DataFrame:

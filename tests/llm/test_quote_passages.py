@@ -18,3 +18,15 @@ def test_every_passage_is_linked(spark):
     rows = df.selectExpr("thread", "msg", "text").withColumn("parts", quotes.passages(df["text"]))
     links = quotes.quote_links(rows.withColumn("own", quotes.own_text(rows["parts"])))
     assert {(r["msg"], r["part"], r["source"]) for r in links.collect() if r["msg"] == 3} == {(3, 0, 0), (3, 2, 1), (3, 4, 2)}
+
+
+def test_parts_of_texts_are_linked(spark):
+    """Quotations that start or end inside a line, or were wrapped anew, and what must not match."""
+    rows = [("t", 1, "a", "one two three four five six\nseven eight nine ten\n\nother part here now"), ("t", 2, "a", "one two three four five six\nseven eight nine ten"),
+            ("t", 3, "b", "> two three four five\nyes"), ("t", 4, "b", "> five six seven\n> eight nine\nno"), ("t", 5, "b", "> wo three four five\nx"),
+            ("t", 6, "b", "> five six\nshort"), ("t", 7, "b", "> ten other part here\nover a paragraph"), ("u", 8, "b", "> two three four five\nother thread"),
+            ("t", 9, "b", ">> seven eight nine ten\n> three four five six\nboth")]
+    got = {r["msg"]: (r["n_quotes"], r["n_linked"], r["parent"]) for r in quotes.linked(
+        spark.createDataFrame(rows, "thread string, msg long, role string, text string"), "thread", "msg", "role", "text").collect()}
+    assert got == {1: (0, 0, None), 2: (0, 0, None), 3: (1, 1, 1), 4: (1, 1, 1), 5: (1, 0, None), 6: (1, 0, None), 7: (1, 1, 1),
+                   8: (1, 0, None), 9: (2, 2, 1)}
