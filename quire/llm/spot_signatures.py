@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm import common as C
+from quire.llm import near_dedup
 
 ANCHORS, LABEL_SHARE = 24, 100
 CHAIN, SPACING = 3, 1
@@ -150,6 +151,90 @@ def fingerprints(docs: DataFrame, anchors: list[str], id_col: str = "doc_id", te
     return C.ids_only(docs, id_col, text_col).mapInPandas(run, "doc_id long, fingerprint string, n_signatures long")
 
 
+# --- near duplicates ------------------------------------------------------------
+
+def _candidates(classes: DataFrame, percent: int) -> DataFrame:
+    """(node, bytes, key, pri): the buckets of every class. A set of n
+    signatures is entered under its rarest ones only, as many as two sets that
+    reach the threshold must share one of: in its own length partition, and in
+    the next one, whose sets may still be long enough."""
+    @F.pandas_udf("int")
+    def partition(sizes: pd.Series) -> pd.Series:
+        return sizes.map(lambda n: length_partition(int(n), percent)).astype("int32")
+
+    rows = classes.select("node", "n", partition("n").alias("part"), F.explode("sigs").alias("sig"))
+    counts = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("df"))
+    ranked = (rows.join(counts, "sig").groupBy("node", "n", "part").agg(F.array_sort(F.collect_list(F.struct("df", "sig"))).alias("s")))
+    needed = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
+    keys = ranked.select("node", "n", "part", F.explode(F.slice("s", 1, needed)).alias("x"))
+    keys = keys.select("node", "n", F.explode(F.array("part", F.col("part") + 1)).alias("part"), F.col("x.sig").alias("sig"))
+    return keys.select("node", (F.col("n") * 8).cast("long").alias("bytes"), F.xxhash64("part", "sig").alias("key"), F.xxhash64("node").alias("pri"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", percent: int = 80,
+                    anchors: list[str] | None = None) -> DataFrame:
+    """doc_id, n_signatures, component_id, kept: one row per input row.
+
+    Documents are linked when their fingerprints' Jaccard similarity reaches
+    ``percent``; component_id is the smallest id reachable, kept marks that
+    document. Texts without words have no signatures, are linked with nothing
+    and stay. Equal fingerprints are one class; buckets are compared with
+    pivots and in blocks, never all with all. Null ids take the component of
+    their class. Other columns are not read."""
+    C.prepare(docs.sparkSession)
+    if anchors is None:
+        lang = F.col(f"`{lang_col}`").cast("string") if lang_col in docs.columns else F.lit(None).cast("string")
+        anchors = anchor_words(docs.select(lang.alias("lang"), F.col(f"`{text_col}`").alias("text")))
+    prints = C.stored(fingerprints(docs, anchors, id_col, text_col), "spots-prints")
+    classes = (prints.where("n_signatures > 0 AND doc_id IS NOT NULL").groupBy("fingerprint")
+               .agg(F.min("doc_id").alias("node"), F.first("n_signatures").cast("int").alias("n")))
+    sigs = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.substring("fingerprint", i * DIGITS + 1, F.lit(DIGITS)))
+    classes = C.stored(classes.withColumn("sigs", sigs), "spots-classes")
+    members = C.stored(_shared(_candidates(classes, percent)), "spots-members")
+    sets = classes.select("node", "fingerprint")
+
+    def alike(x, y):
+        return pruned_jaccard(split(x), split(y), percent) * 100 >= percent
+
+    def verify(pairs):
+        def run(batches):
+            for pdf in batches:
+                keep = [alike(x, y) for x, y in zip(pdf["x"], pdf["y"], strict=True)]
+                yield pdf.loc[keep, ["a", "b"]]
+
+        full = (pairs.join(sets.select(F.col("node").alias("a"), F.col("fingerprint").alias("x")), "a")
+                .join(sets.select(F.col("node").alias("b"), F.col("fingerprint").alias("y")), "b"))
+        return full.mapInPandas(run, "a long, b long")
+
+    def in_blocks(opened):
+        def run(pdf):
+            i, j = pdf["i"].iat[0], pdf["j"].iat[0]
+            left, right = pdf[pdf["blk"] == i], pdf[pdf["blk"] == j]
+            comp, out = dict(zip(pdf["node"], pdf["comp"], strict=True)), []
+            for a, x in zip(left["node"], left["fingerprint"], strict=True):
+                for b, y in zip(right["node"], right["fingerprint"], strict=True):
+                    if comp[a] != comp[b] and alike(x, y):
+                        out.append((a, b))
+                        old, new = comp[b], comp[a]
+                        comp.update({n: new for n, c in comp.items() if c == old})
+            return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+        return near_dedup.dealt(opened).join(sets, "node").groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
+
+    comps = near_dedup.linked(members, verify, in_blocks)
+    of_class = classes.select("fingerprint", F.col("node").alias("component_id")) if comps is None else (
+        classes.join(comps, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("component_id")))
+    out = prints.join(of_class, "fingerprint", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    return out.select("doc_id", F.col("n_signatures"), "component_id",
+                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """Bucket rows whose bucket holds more than one class."""
+    several = rows.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
+    return rows.join(several, "key", "left_semi")
+
+
 # --- the next document --------------------------------------------------------
 
 def _bucketed(own: DataFrame) -> tuple[DataFrame, int]:

@@ -129,3 +129,49 @@ def test_long_text(spark):
     text = " ".join(f"the w{i} of" for i in range(150_000))
     got = run(spark, [(1, text, "en"), (2, "short the of", "en")]).where("doc_id = 1").collect()[0]
     assert got["n_chars"] == len(text) and 0 < got["near_edited"] <= 1
+
+
+def test_pruned_jaccard():
+    rng = random.Random(1)
+    for _ in range(500):
+        a, b = ({f"{rng.randrange(30):08x}" for _ in range(rng.randint(0, 25))} for _ in range(2))
+        exact = jaccard(a, b)
+        assert S.pruned_jaccard(sorted(a), sorted(b)) == pytest.approx(exact)
+        for percent in (50, 80, 100):
+            got = S.pruned_jaccard(sorted(a), sorted(b), percent)
+            assert got == pytest.approx(exact) if 100 * exact >= percent else got in (0.0, pytest.approx(exact))
+
+
+def test_length_partitions():
+    """Two sizes that can reach the threshold lie in one partition or in neighbours."""
+    for percent in (50, 80, 90):
+        parts = [S.length_partition(n, percent) for n in range(1, 300)]
+        assert parts == sorted(parts)
+        for n in range(1, 200):
+            assert S.length_partition(n * 100 // percent, percent) - S.length_partition(n, percent) <= 1
+
+
+@pytest.mark.parametrize("block", [256, 3])
+def test_near_duplicates_against_all_pairs(spark, monkeypatch, block):
+    from quire.llm import near_dedup as nd
+
+    monkeypatch.setattr(nd, "BLOCK", block)
+    rng = random.Random(block)
+    bases = [[rng.choice(["the", "of"]) if rng.random() < 0.4 else f"w{rng.randrange(5000)}" for _ in range(n)] for n in (30, 80, 81, 200)]
+    rows = []
+    for i in range(90):
+        w = list(rng.choice(bases))
+        for _ in range(rng.choice([0, 0, 1, 2, 4, 9])):
+            w[rng.randrange(len(w))] = f"w{rng.randrange(5000)}"
+        rows.append((i, " ".join(w), "en"))
+    rows += [(200, None, "en"), (201, "", "en"), (202, "alone", "en")]
+    anchors = ["of", "the"]
+    df = spark.createDataFrame([(*r, "x", "y", "z") for r in rows], SCHEMA)
+    got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in S.near_duplicates(df, anchors=anchors).collect()}
+    prints = {i: plain_print(t, set(anchors)) for i, t, _ in rows}
+    comp = {i: i for i in prints}
+    edges = [(a, b) for a in prints for b in prints if a < b and prints[a] and prints[b] and jaccard(prints[a], prints[b]) >= 0.8]
+    for _ in prints:
+        for a, b in edges:
+            comp[a] = comp[b] = min(comp[a], comp[b])
+    assert len(set(comp.values())) < 60 and got == {i: (c, c == i) for i, c in comp.items()}
