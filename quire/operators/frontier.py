@@ -57,18 +57,20 @@ def chain(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     known = cut_lineage(seeds.where("node IS NOT NULL").select("node", F.lit(0).alias("depth")).distinct())
     count, step = known.count(), 1
     while True:
-        ahead = known.join(jump, known["node"] == jump["src"]).select(F.col("dst").alias("node"), (F.col("depth") + step).alias("depth"))
+        ahead = known.join(jump.hint("merge"), known["node"] == jump["src"]).select(F.col("dst").alias("node"), (F.col("depth") + step).alias("depth"))
         known = cut_lineage(known.unionByName(ahead).groupBy("node").agg(F.min("depth").alias("depth")))
         now = known.count()
         if now == count:
             return known
         count, step = now, step * 2
         far = jump.select(F.col("src").alias("mid"), F.col("dst").alias("to"))
-        jump = cut_lineage(jump.join(far, F.col("dst") == F.col("mid")).select("src", F.col("to").alias("dst")))
+        jump = cut_lineage(jump.join(far.hint("merge"), F.col("dst") == F.col("mid")).select("src", F.col("to").alias("dst")))
 
 
 # Frontier pieces kept apart before they are folded into one.
 FOLD_PIECES = 8
+# A frontier of at most this many nodes is broadcast to the edges.
+MAX_BROADCAST_FRONTIER = 100_000
 
 
 def walk(seeds: DataFrame, edges: DataFrame) -> DataFrame:
@@ -77,19 +79,21 @@ def walk(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     nodes already seen are never expanded again, so the walk ends by itself
     however long a chain is. Null nodes are not followed.
 
-    Each step is one join and one anti join; only an emptiness check reaches
-    the driver. Edges are partitioned by ``src`` once; every new frontier is
-    cut into the shared checkpoint folder, and after ``FOLD_PIECES`` steps the
-    seen pieces become one, so that neither a plan nor the number of files a
-    step reads grows with the length of the walk. Where no node has two next
-    ones (chains of pages), :func:`chain` takes logarithmically many steps.
+    Each step is one join and one anti join; only the frontier's size and a
+    frontier counted to be small reach the driver. Edges and seen nodes are
+    never broadcast: every step would send them all again. Edges are
+    partitioned by ``src`` once; every new frontier is cut into the shared
+    checkpoint folder, and after ``FOLD_PIECES`` steps the seen pieces become
+    one, so that neither a plan nor the number of files a step reads grows with
+    the length of the walk. Where no node has two next ones (chains of pages),
+    :func:`chain` takes logarithmically many steps.
     """
     links = edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct()
     if links.groupBy("src").count().where("count > 1").isEmpty():
         return chain(seeds, links)
     edges = cut_lineage(edges.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct().repartition("src"))
     frontier = cut_lineage(seeds.select(F.col("node"), F.lit(0).alias("depth")).distinct())
-    pieces, depth = [frontier], 0
+    pieces, depth, count = [frontier], 0, frontier.count()
 
     def seen():
         out = pieces[0]
@@ -99,12 +103,14 @@ def walk(seeds: DataFrame, edges: DataFrame) -> DataFrame:
 
     while True:
         depth += 1
+        now = frontier.hint("broadcast" if count <= MAX_BROADCAST_FRONTIER else "merge")
         frontier = cut_lineage(
-            frontier.join(edges, frontier.node == edges.src)
+            edges.join(now, edges.src == now.node)
             .select(F.col("dst").alias("node")).distinct()
-            .join(seen().select("node"), "node", "left_anti")
+            .join(seen().select("node").hint("merge"), "node", "left_anti")
             .withColumn("depth", F.lit(depth)))
-        if frontier.isEmpty():
+        count = frontier.count()
+        if not count:
             return seen()
         pieces.append(frontier)
         if len(pieces) > FOLD_PIECES:
