@@ -105,6 +105,23 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+# Rows and bytes of one Arrow batch, so that long texts do not pile up in a worker.
+ARROW_ROWS, ARROW_BYTES = 512, 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Settings of the operators that hand texts to Python; safe to call again."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Rows dealt by ``cols`` to as many tasks as a shuffle has: for work that
+    costs far more than the bytes it reads tell, which Spark would put into a
+    few tasks. Without a number AQE would merge them again."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+
+
 # What a broadcast may weigh, measured before it is sent.
 MAX_BROADCAST_BYTES = 64 << 20
 

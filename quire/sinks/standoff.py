@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.session import bounded_batches
 from quire.sinks.files import qualified
 
 MANIFEST = T.StructType([
@@ -50,6 +51,7 @@ def export(docs: DataFrame, target: str, *, run_ts: Column, source_col: str = "s
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the files under ``target`` (a shared path or URI) and return
     the manifest ``(doc_id, file_name, n_chars)``."""
+    bounded_batches(docs.sparkSession)
     target = qualified(docs.sparkSession, target)
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                         export_name(F.col(source_col), run_ts, F.col(id_col), F.col(text_col)).alias("file_name"))

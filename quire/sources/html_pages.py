@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from quire.functions.arrays import bind
 from quire.functions.markup import strip_tags
 from quire.functions.text import comment_id, trim_ws
+from quire.session import bounded_batches
 from quire.sources import html_tree as ht
 
 # Review page layout, as element paths. Blocks lie anywhere under
@@ -68,6 +69,7 @@ def review_blocks(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "
     id``. The page is read as a tree, so attributes, nesting and further
     elements do not matter. Blocks without a headline, text or comment id get
     a reject ``status`` and no item; a blank headline counts as one."""
+    bounded_batches(pages.sparkSession)
     ex = pages.select(id_col, url_col, F.posexplode(_review_udf(F.col(html_col))).alias("block_no", "b"))
     cid = comment_id(F.col("b.href"))
     status = (F.when(F.coalesce(F.col("b.headline"), F.lit("")) == "", F.lit("no headline"))
