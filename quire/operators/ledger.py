@@ -40,7 +40,7 @@ DEFAULT_CHUNK = 1 << 20
 MAX_BROADCAST_MARKS = 100_000
 # URLs of one batch broadcast against the stored ledger (so the ledger is
 # scanned, not shuffled); larger batches use a shuffle join.
-MAX_BROADCAST_BATCH_URLS = 1_000_000
+MAX_BROADCAST_BATCH_URLS = 100_000
 
 
 def _prev_expr(policy: str, m: Column, w) -> Column:
@@ -105,8 +105,9 @@ def decide(items: DataFrame, ledger: DataFrame | None = None, *,
     accepted = first_row | (m.isNotNull() & F.col("_fm").isNotNull() & F.coalesce(changed, F.lit(False)))
     good = (j.where(~F.col("_ledger") & accepted)
             .select("_url", F.col("seq").alias("_seq"), F.lit(True).alias("_accepted")).distinct())
-    # a left join: no item can get lost, whatever its key
-    return (items.join(good, (items[url_col] == good["_url"]) & (items["seq"] == good["_seq"]), "left")
+    # a left join: no item can get lost, whatever its key; both sides grow with
+    # the batch and are joined where they lie, not by way of the driver
+    return (items.join(good.hint("merge"), (items[url_col] == good["_url"]) & (items["seq"] == good["_seq"]), "left")
             .select(*[items[c] for c in items.columns], F.coalesce("_accepted", F.lit(False)).alias("accepted")))
 
 

@@ -32,7 +32,7 @@ from quire.sinks.files import finished_folders, folder_names, remove_folder
 from quire.sinks.tables import VersionedTable
 
 LEDGER_COLUMNS = ["source_id", "url", "modified_at"]
-MAX_BROADCAST_BATCH_URLS = 1_000_000
+MAX_BROADCAST_BATCH_URLS = 100_000
 
 
 # Hash buckets of a small base; one with more rows than this per bucket takes
