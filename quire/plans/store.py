@@ -11,7 +11,7 @@ from quire.operators.frontier import walk
 from quire.operators.ordering import first_by
 from quire.plans import standins as S
 from quire.plans.registry import query
-from quire.session import bounded_broadcast, scratch_path
+from quire.session import bounded_broadcast, scratch_path, spread
 from quire.sinks import standoff
 from quire.sources import dictionary_pages as dp
 
@@ -218,7 +218,8 @@ DICT_SITE = "https://dictionary.example.org/"
 
 
 def _dictionary_pages(spark, sf_dir):
-    p = S.table(spark, sf_dir, "part")
+    # a row becomes a page that is a hundred times its size: few bytes, much work
+    p = spread(S.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size"), "p_partkey")
     k = F.col("p_partkey")
     ks = lambda x: x.cast("string")
     typ = F.element_at(F.array(*[F.lit(x) for x in LINK_CLASSES]), (k % 5 + 1).cast("int"))
