@@ -20,6 +20,7 @@ from quire.operators import ledger as led
 from quire.operators import links as lk
 from quire.operators.ids import sequential_ids
 from quire.operators.ordering import ordered_release
+from quire.session import bounded_broadcast, cut_lineage
 from quire.sources import dictionary_pages as dp
 from quire.sources import html_pages as hp
 from quire.sources import jsonpages as jp
@@ -42,6 +43,8 @@ EXTRACTORS: dict[str, Callable[..., SourceRun]] = {}
 NEWS_POST_REGION = ("div", "post")   # listing: links are taken inside these blocks
 NEWS_OLDER_CLASS = "older-posts"     # listing: link to the next (older) listing page
 NEWS_TEXT_BLOCK = ("div", "text")    # article: the block that is the document
+# Requests broadcast to their responses; more of them are joined by shuffle.
+MAX_BROADCAST_REQUESTS = 100_000
 
 
 def extractor(source_id: str):
@@ -88,8 +91,11 @@ def project_documents(spark, path: str, project_id: int) -> DataFrame:
 
 
 def carry_request_fields(responses: DataFrame, requests: DataFrame, fields: list[str]) -> DataFrame:
-    """Responses get the fields of the request that fetched them."""
-    return responses.join(requests.select("url", *fields), "url", "left")
+    """Responses get the fields of the request that fetched them. Responses
+    hold whole pages, which Spark takes for a few bytes where an expression makes
+    them; they are never broadcast. Requests are where they are measured to be small."""
+    small, broadcast = bounded_broadcast(requests.select("url", *fields), MAX_BROADCAST_REQUESTS)
+    return responses.join(small if broadcast else small.hint("merge"), "url", "left")
 
 
 def assign_seq(items: DataFrame, order: list[str]) -> DataFrame:
@@ -143,7 +149,7 @@ def conditions_release(articles: DataFrame, source_id: str = "conditions") -> Re
               .when(F.col("http_status") != 200, F.concat(F.lit("status "), F.col("http_status").cast("string")))
               .when(~F.col("has_date"), F.lit("no dateModified"))
               .when(F.coalesce(F.col("html"), F.lit("")) == "", F.lit("no text")))
-    r = r.withColumn("reason", F.when(F.col("status") != "pending", reason))
+    r = cut_lineage(r.withColumn("reason", F.when(F.col("status") != "pending", reason)))
     rejects = r.where(F.col("reason").isNotNull()).select(
         F.lit(source_id).alias("source_id"), "url", F.lit("extract").alias("stage"), "reason")
     ok = r.where((F.col("status") == "released") & F.col("reason").isNull())
@@ -201,7 +207,7 @@ def news_items(articles: DataFrame, run_ts: Column, source_id: str = "news",
                block=NEWS_TEXT_BLOCK) -> tuple[DataFrame, DataFrame]:
     """C4 article side: the first text block's markup is the item (P8: no
     block -> reject); the fetch time is the item's time."""
-    found = css(articles, "url", "html", first=block)
+    found = cut_lineage(css(articles, "url", "html", first=block))     # read once for items, their numbering and rejects
     items = found.where(F.col("first_html").isNotNull()).select(
         F.lit("html").alias("kind"), F.lit(source_id).alias("source_id"),
         F.col("key").alias("source_url"), F.col("first_html").alias("html"), run_ts.alias("modified_at"))
@@ -214,7 +220,7 @@ def news_items(articles: DataFrame, run_ts: Column, source_id: str = "news",
 def review_items(pages: DataFrame, source_id: str = "reviews") -> tuple[DataFrame, DataFrame]:
     """C4 reviews: several documents per page (N6), no time; blocks without
     headline, text or comment id are rejected (P14)."""
-    b = hp.review_blocks(pages)
+    b = cut_lineage(hp.review_blocks(pages))       # parsed once for items, their numbering and rejects
     items = b.where(F.col("status") == "ok").select(
         F.lit("html").alias("kind"), F.lit(source_id).alias("source_id"), "source_url", "html",
         F.lit(None).cast("timestamp").alias("modified_at"))
@@ -249,7 +255,7 @@ def dictionary_items(index_pages: DataFrame, item_pages: DataFrame, seeds_df: Da
     flat = dp.parse_index_pages(index_pages.where(F.col("item_type") != "dataSet"))
     tree = dp.expand_index(index_pages.where(F.col("item_type") == "dataSet"),
                            seeds_df.where(F.col("item_type") == "dataSet"))
-    entries = flat.unionByName(tree)
+    entries = cut_lineage(flat.unionByName(tree))      # pages are parsed once for all that follows
     bad = entries.where(F.col("status") != "ok").select(
         F.lit(source_id).alias("source_id"), F.col("href").alias("url"),
         F.lit("index").alias("stage"), F.lit("no id in href").alias("reason"))
