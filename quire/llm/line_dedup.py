@@ -85,6 +85,7 @@ def _unit_rows(own: DataFrame, grown: bool, bodies: bool) -> DataFrame:
     names = ["doc_id", "thash", "pos", "lines", "key", *(["body"] if bodies else [])]
 
     def run(batches):
+        C.free_model()
         for pdf in batches:
             rows = []
             for doc_id, thash, text, gone in zip(pdf["doc_id"], pdf["thash"], pdf["text"], pdf["gone"], strict=True):
