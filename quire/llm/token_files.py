@@ -32,6 +32,8 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,6 +48,7 @@ SHARD_BYTES = 4 << 20
 LEVEL = 1
 MAGIC = b"IDFRAME\n"
 CACHED_WORDS, JOINED_WORDS = 250_000, 20_000
+BLOCK_BYTES = 8 << 20
 MARKS = ".,!?;:"
 WORD_END = "</w>"
 # Below this every letter is composed by itself.
@@ -99,9 +102,12 @@ class WordEncoder:
             self.known.update(zip(part, map(flat.__getitem__, map(slice, cut, cut[1:])), strict=True))
 
     def learn(self, words: set[str]) -> None:
-        known, split, simple, other = self.known, [], [], []
+        known, split, other = self.known, [], []
         cores: set[str] = set()
-        for w in known.missing(words):
+        new = pa.array(known.missing(words), pa.large_string())
+        plain = pc.and_(pc.ascii_is_alpha(new), pc.ascii_is_lower(new))
+        simple = new.filter(plain).to_pylist()
+        for w in new.filter(pc.invert(plain)).to_pylist():
             core = w if w.isalpha() else w.rstrip(MARKS) if self.apart else ""
             if not core.isalpha() or not (core.isascii() or max(core) < _SIMPLE_LETTERS):
                 other.append(w)
@@ -120,19 +126,52 @@ class WordEncoder:
             known[w] = known[low] + known[rest] if rest else known[low]
 
     @C.no_gc()
+    def token_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and the place behind each text's last."""
+        for mark in "\n\t\r":
+            texts = pc.replace_substring(texts, mark, " ")
+        lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        flat = lists.flatten().dictionary_encode()
+        words, codes = flat.dictionary.to_pylist(), flat.indices.to_numpy()
+        self.learn(set(words))
+        own = list(map(self.known.__getitem__, words))
+        pool, size = np.frombuffer(b"".join(own), "<u4"), np.fromiter(map(len, own), np.int64, len(own)) // 4
+        count = size[codes]
+        upto = np.concatenate(([0], np.cumsum(count)))
+        at = np.repeat((np.cumsum(size) - size)[codes] - upto[:-1], count)
+        at += np.arange(upto[-1])
+        offsets = lists.offsets.to_numpy()
+        return pool[at], upto[offsets[1:] - offsets[0]]
+
     def encode(self, texts: list) -> list[bytes]:
-        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if t else [] for t in texts]
-        new: set[str] = set()
-        for words in cut:
-            new.update(words)
-        self.learn(new)
-        return [b"".join(map(self.known.__getitem__, words)) for words in cut]
+        ids, ends = self.token_ids(pa.array(texts, pa.large_string()))
+        return [x.tobytes() for x in np.split(ids, ends[:-1])] if texts else []
 
 
 def encoder(path: str) -> WordEncoder:
     return C.one_model(("words", path), lambda: WordEncoder(path))
 
 
+def blocks(batches):
+    """Arrow batches (doc_id, text) joined or cut to tables of about
+    ``BLOCK_BYTES`` of text: a word is looked up once a block. A longer text
+    is a block by itself."""
+    held, size = [], 0
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        first = 0
+        while first < batch.num_rows:
+            before = int(ends[first - 1]) if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + BLOCK_BYTES - size, "right")))
+            held.append(batch.slice(first, last - first))
+            size, first = size + int(ends[last - 1]) - before, last
+            if size >= BLOCK_BYTES or first < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 # --- the file format ----------------------------------------------------------
 
 @functools.lru_cache(maxsize=4)
@@ -238,17 +277,18 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
     def run(batches):
         enc = encoder(vocab_path)
         out = ShardWriter(dictionary, 2 if enc.tokenizer.get_vocab_size() <= 1 << 16 else 4)
-        end = b"" if end_id is None else np.uint32(end_id).tobytes()
-        for pdf in batches:
-            for doc_id, ids in zip(pdf["doc_id"].tolist(), enc.encode(pdf["text"].tolist()), strict=True):
-                doc_id = None if doc_id is None or doc_id != doc_id else int(doc_id)
-                out.add(doc_id, np.frombuffer(ids + end, "<u4"))
+        for block in blocks(batches):
+            ids, ends = enc.token_ids(block["text"].combine_chunks())
+            if end_id is not None:
+                ids, ends = np.insert(ids, ends, end_id), ends + np.arange(1, len(ends) + 1)
+            for doc_id, own in zip(block["doc_id"].to_pylist(), np.split(ids, ends[:-1]), strict=True):
+                out.add(doc_id, own)
                 if len(out.frames) >= SHARD_BYTES:
-                    yield pd.DataFrame({"shard": [out.finish()]})
+                    yield pa.record_batch({"shard": pa.array([out.finish()], pa.binary())})
         if out.index:
-            yield pd.DataFrame({"shard": [out.finish()]})
+            yield pa.record_batch({"shard": pa.array([out.finish()], pa.binary())})
 
-    ordered.mapInPandas(run, "shard binary").select(F.col("shard").cast("string")).write.text(f"{path}/ids")
+    ordered.mapInArrow(run, "shard binary").select(F.col("shard").cast("string")).write.text(f"{path}/ids")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

@@ -26,6 +26,24 @@ def test_words_equal_library(library):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_blocks_join_and_cut_batches(monkeypatch, library):
+    """Words are looked up once a block: small batches are joined, long ones
+    cut, and every row comes once and in order."""
+    pa = pytest.importorskip("pyarrow")
+    monkeypatch.setattr(tf, "BLOCK_BYTES", 100)
+    texts = ["ab cd"] * 30 + [None, "", "x " * 200, "tail\tEnd.\nä"] + ["ab cd"] * 50
+    rows = pa.table({"doc_id": pa.array([None, *range(1, len(texts))], pa.int64()), "text": pa.array(texts, pa.string())})
+    found = list(tf.blocks(rows.to_batches(max_chunksize=7)))
+    assert pa.concat_tables(found).to_pylist() == rows.to_pylist()
+    sizes = [sum(len((t or "").encode()) for t in b["text"].to_pylist()) for b in found]
+    assert len(found) < len(rows) / 7 and sorted(sizes)[-2] < 200
+    enc = tf.WordEncoder(P.path(tf.VOCAB))
+    for b in found:
+        ids, ends = enc.token_ids(b["text"].combine_chunks())
+        own = [x.tolist() for x in np.split(ids, ends[:-1])]
+        assert own == [library.encode(t or "", add_special_tokens=False).ids for t in b["text"].to_pylist()]
+
+
 def test_shards():
     rng = np.random.default_rng(0)
     docs = {i: rng.integers(0, 49408, n).astype("<u4") for i, n in enumerate([0, 1, 5, 30_000])}
