@@ -43,7 +43,7 @@ def _sum(arr: Column) -> Column:
     return F.aggregate(arr, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def _exclusive_prefix(steps: Column) -> Column:
+def exclusive_prefix(steps: Column) -> Column:
     """Exclusive prefix sums of a ``bigint`` array in O(k^1.5): sums of
     sqrt(k)-sized blocks, prefix over the blocks, then a short in-block sum
     per element (Spark SQL has no scan over arrays; a fold that appends
@@ -81,7 +81,7 @@ def rule_spans(text: Column | str, pattern: str = DEFAULT_PATTERN,
 
         def with_lengths(gl):
             # start_i = sum over j < i of (gap_j + match_j) + gap_i
-            before = _exclusive_prefix(F.zip_with(gl["g"], gl["l"], lambda g, m: g + m))
+            before = exclusive_prefix(F.zip_with(gl["g"], gl["l"], lambda g, m: g + m))
             return F.transform(
                 F.arrays_zip(before.alias("p"), gl["g"].alias("g"), gl["l"].alias("l"), r["labels"].alias("label")),
                 lambda x: F.struct((x["p"] + x["g"]).alias("start_offset"),

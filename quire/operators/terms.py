@@ -12,11 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.functions.spans import rule_spans
-from quire.session import bounded_broadcast
+from quire.functions.spans import exclusive_prefix
+from quire.session import bounded_broadcast, spread
 
 MAX_WORDS = 8
 MAX_PREFIXES = 5_000_000
+STRETCH = 8
 WORD = r"(\p{L}+)"
 
 
@@ -37,14 +38,28 @@ def prefix_table(terms: DataFrame, max_words: int = MAX_WORDS) -> DataFrame:
 
 
 def positions(docs: DataFrame, key: str, text: str, max_words: int) -> DataFrame:
-    """(key, pos, start, ends, w): every word of a text with the words (and
-    their end offsets) a term from here on could have."""
-    spans = docs.select(key, rule_spans(F.col(text), WORD).alias("s"))
-    ahead = F.transform("s", lambda x, i: F.struct(
-        i.cast("long").alias("pos"), x["start_offset"].alias("start"),
-        F.transform(F.slice("s", i + 1, max_words), lambda y: F.struct(F.lower(y["label"]).alias("w"), y["end_offset"].alias("e"))).alias("a")))
-    return spans.select(key, F.explode(ahead).alias("p")).select(
-        key, "p.pos", F.col("p.start").alias("start_offset"), F.col("p.a.w").alias("w"), F.col("p.a.e").alias("ends"))
+    """(key, pos, word, i, base, w, steps, sizes): every word of a text, in
+    lower case. Texts are cut into stretches of ``STRETCH`` words with those a
+    term may go on to (``w``), so that a word carries a few neighbours and not
+    a list of its own; it is the ``i``-th (from 0) of its stretch, which starts
+    at offset ``base``. ``steps`` are the lengths of words with the gap before
+    them, ``sizes`` without."""
+    # a file's few row groups must not decide how many tasks walk the words
+    docs = spread(docs.select(key, text))
+    cut = docs.select(key, F.regexp_extract_all(text, F.lit(WORD), 1).alias("ws"), F.split(text, WORD, -1).alias("gaps"))
+    length = lambda x: F.length(x).cast("long")
+    cut = cut.select(key, F.transform("ws", F.lower).alias("w"), F.transform("ws", length).alias("sizes"),
+                     F.zip_with(F.slice("gaps", 1, F.size("ws")), "ws", lambda g, x: length(g) + length(x)).alias("steps"))
+    count = F.ceil(F.size("w") / STRETCH).cast("int")
+    places = F.when(count > 0, F.sequence(F.lit(0), count - 1))
+    total = lambda k: F.aggregate(F.slice("steps", k * STRETCH + 1, STRETCH), F.lit(0).cast("long"), lambda a, x: a + x)
+    cut = cut.select("*", exclusive_prefix(F.transform(places, total)).alias("bases"))
+    wide = STRETCH + max_words - 1
+    own = lambda c, k: F.slice(c, k * STRETCH + 1, wide).alias(c)
+    rows = cut.select(key, F.explode(F.transform(places, lambda k: F.struct(
+        k.alias("k"), F.get("bases", k).alias("base"), own("w", k), own("steps", k), own("sizes", k)))).alias("p"))
+    rows = rows.select(key, "p.*").select("*", F.posexplode(F.slice("w", 1, STRETCH)).alias("i", "word"))
+    return rows.select(key, (F.col("k").cast("long") * STRETCH + F.col("i")).alias("pos"), "word", "i", "base", "w", "steps", "sizes")
 
 
 def longest_matches(docs: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "text", max_words: int = MAX_WORDS) -> DataFrame:
@@ -52,18 +67,20 @@ def longest_matches(docs: DataFrame, terms: DataFrame, key: str = "doc_id", text
     term at every word position, overlaps included."""
     table, _ = bounded_broadcast(prefix_table(terms, max_words), MAX_PREFIXES)
     rows = positions(docs, key, text, max_words).withColumn("_alive", F.lit(True))
-    best = F.lit(None).cast("struct<n:int,code:string>")
-    rows = rows.withColumn("_best", best)
+    rows = rows.withColumn("_best", F.lit(None).cast("struct<n:int,code:string>"))
+    words_of = lambda n: F.array_join(F.slice("w", F.col("i") + 1, n), " ")
     for n in range(1, max_words + 1):
         step = table.where(F.col("n") == n).select(F.col("prefix").alias("_prefix"), F.col("code").alias("_code"), F.col("longer").alias("_longer"))
-        run = F.when(F.col("_alive") & (F.size("w") >= n), F.array_join(F.slice("w", 1, n), " "))
+        run = F.col("word") if n == 1 else F.when(F.col("_alive") & (F.size("w") >= F.col("i") + n), words_of(n))
         rows = rows.join(step, run == F.col("_prefix"), "inner" if n == 1 else "left")
         found = F.when(F.col("_code").isNotNull(), F.struct(F.lit(n).alias("n"), F.col("_code").cast("string").alias("code")))
         rows = (rows.withColumn("_best", F.coalesce(found, "_best")).withColumn("_alive", F.coalesce("_longer", F.lit(False)))
-                .drop("_prefix", "_code", "_longer"))
+                .drop("_prefix", "_code", "_longer").where("_alive OR _best IS NOT NULL"))
     rows = rows.where("_best IS NOT NULL")
-    return rows.select(key, "pos", F.col("_best.n").alias("n_words"), "start_offset", F.element_at("ends", F.col("_best.n")).alias("end_offset"),
-                       F.array_join(F.slice("w", 1, F.col("_best.n")), " ").alias("term"), F.col("_best.code").alias("code"))
+    upto = lambda n: F.col("base") + F.aggregate(F.slice("steps", 1, n), F.lit(0).cast("long"), lambda a, x: a + x)
+    n_words = F.col("_best.n")
+    return rows.select(key, "pos", n_words.alias("n_words"), (upto(F.col("i") + 1) - F.get("sizes", "i")).alias("start_offset"),
+                       upto(F.col("i") + n_words).alias("end_offset"), words_of(n_words).alias("term"), F.col("_best.code").alias("code"))
 
 
 def leftmost(matches: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -36,6 +36,20 @@ def test_longest_leftmost(spark):
     assert found == sorted((i, *m) for i, t in docs for m in plain(t, codes))
 
 
+def test_words_are_spread_and_carry_few_neighbours(spark):
+    """One file of one row group is walked by all tasks, and however long a
+    text, a word's row holds a stretch of words, offsets included."""
+    text = "".join(f"{w}{', ' if i % 3 else ' -- '}" for i, w in enumerate(["Élan", "cat", "a"] * 70))
+    docs = spark.createDataFrame([(i, text, i) for i in range(40)], "doc_id long, text string, more int").coalesce(1)
+    rows = tm.positions(docs, "doc_id", "text", tm.MAX_WORDS)
+    assert rows.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = sorted(rows.where("doc_id = 7").collect(), key=lambda r: r.pos)
+    assert [r.pos for r in got] == list(range(210)) and max(len(r.w) for r in got) <= 2 * tm.MAX_WORDS
+    for r in got:
+        end = r.base + sum(r.steps[:r.i + 1])
+        assert r.w[r.i] == r.word == text[end - r.sizes[r.i]:end].lower()
+
+
 def test_empty_code_list(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert tm.coded(docs, spark.createDataFrame([], "term string, code string")).collect() == []
