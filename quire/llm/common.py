@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import gc
 import os
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,7 +112,7 @@ def one_model(key: tuple, build):
     """The worker process's model under ``key``, built on first use. Workers
     are used again by later stages, so a new model takes the old one's place."""
     if key not in _MODEL:
-        _MODEL.clear()
+        free_model()
         _MODEL[key] = build()
     return _MODEL[key]
 
@@ -120,7 +122,18 @@ def free_model() -> None:
     called by operators that keep none of their own."""
     if _MODEL:
         _MODEL.clear()
-        gc.collect()
+        give_back()
+
+
+def give_back() -> None:
+    """Returns the memory that this worker process holds free to the system.
+    Workers wait for later tasks beside a busy JVM, and neither Arrow's pool
+    nor the C library lets go of it by itself."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 class Recent(dict):

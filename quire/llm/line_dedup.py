@@ -86,6 +86,7 @@ def _unit_rows(own: DataFrame, grown: bool, bodies: bool) -> DataFrame:
 
     def run(batches):
         C.free_model()
+        pdf = rows = None
         for pdf in batches:
             rows = []
             for doc_id, thash, text, gone in zip(pdf["doc_id"], pdf["thash"], pdf["text"], pdf["gone"], strict=True):
@@ -98,6 +99,8 @@ def _unit_rows(own: DataFrame, grown: bool, bodies: bool) -> DataFrame:
                     key = xxhash.xxh3_64_intdigest(body.encode("utf-8", "replace"))
                     rows.append((doc_id, thash, pos, n, key - (1 << 64) if key >> 63 else key, *([body] if bodies else [])))
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
+        del pdf, rows         # gone before the worker waits for its next task
+        C.give_back()
 
     return own.mapInPandas(run, _UNIT + (", body string" if bodies else ""))
 

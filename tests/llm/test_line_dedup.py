@@ -136,3 +136,25 @@ def test_clashing_columns(spark):
     assert sorted((r["doc_id"], r["the text"], r["gone"], r["n_lines"]) for r in out.collect() if r["doc_id"] < 3) == [
         (1, "a b c\nd e f", "f", 2), (2, "", "f", 2)]
     assert ld.dedup_lines(df, text_col="the text", counts=False).columns == df.columns
+
+
+def test_freed_model_leaves_the_worker():
+    """What a stage's model held goes back to the system, also where later
+    objects lie behind it."""
+    import subprocess
+    import sys
+
+    code = """
+import re
+import numpy as np
+from quire.llm import common as C
+size = lambda: int(re.search(r"VmRSS:\\s+(\\d+)", open("/proc/self/status").read())[1]) // 1024
+before = size()
+C.one_model(("a",), lambda: [np.ones(8192) for _ in range(3000)])
+behind = np.ones(8192)
+held = size()
+C.free_model()
+print(held - before, size() - before)
+"""
+    held, left = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split())
+    assert held > 150 and left < 40
