@@ -10,6 +10,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -160,6 +161,30 @@ class Recent(dict):
         return new
 
 
+# --- batches of texts ---------------------------------------------------------
+
+def byte_slices(batch: pa.RecordBatch, col: str, most: int):
+    """The batch in slices of whole rows whose texts hold about ``most`` bytes."""
+    _, bounds = utf8_of(batch.column(col))
+    cuts = np.flatnonzero(np.diff((bounds[:-1] - bounds[0]) // most)) + 1 if len(bounds) > 1 else []
+    for i, j in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):
+        yield batch.slice(int(i), int(j - i))
+
+
+def utf8_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the texts one after another and their bounds; null is empty."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    _, bounds, data = texts.buffers()
+    bounds = np.frombuffer(bounds, np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[bounds[0]:bounds[-1]], bounds - bounds[0]
+
+
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one range after another."""
+    return np.arange(int(size.sum())) + np.repeat(start - np.cumsum(size) + size, size)
+
+
 # --- words and shingles -------------------------------------------------------
 
 def words_of(text) -> list[bytes]:

@@ -24,7 +24,8 @@ by byte with the occurrence that stays.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,93 +39,152 @@ LONG_WORDS = 50
 BLANKS = " \t\n\x0b\x0c\r"
 # Rows of a join side that may be broadcast (its bytes are measured as well).
 BROADCAST_ROWS = 2_000_000
+# Items of lists (20 to 40 bytes each) that may be broadcast, and bytes of text worked on at once.
+BROADCAST_ITEMS, BATCH_BYTES = 1_000_000, 4 << 20
 _UNIT = "doc_id long, thash binary, pos int, lines int, key long"
 
 
-def _marks(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of every line, whether it holds a word, and whether it is long."""
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(x.encode("utf-8", "replace")) for x in lines), np.uint64, len(lines))
-    words = np.fromiter((bool(x.strip(BLANKS)) for x in lines), bool, len(lines))
-    long = np.fromiter((len(x) >= 2 * LONG_WORDS - 1 and len(x.encode("utf-8", "replace").split()) >= LONG_WORDS for x in lines), bool, len(lines))
-    return hashes, words, long
+def _marks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every line of the texts, one text after another: its hash, whether
+    it holds a word, whether it is long, its text; and every text's first line."""
+    data, bounds = C.utf8_of(texts)
+    n = len(bounds) - 1
+    at = np.flatnonzero(data == 10)
+    stops = np.diff(np.searchsorted(at, bounds)) + 1           # lines of every text
+    last = np.cumsum(stops) - 1
+    first = last - stops + 1
+    start, end = np.empty(len(at) + n, np.int64), np.empty(len(at) + n, np.int64)
+    inner = np.ones(len(start), bool)
+    inner[first] = False
+    start[first], start[inner] = bounds[:-1], at + 1
+    inner[first], inner[last] = True, False
+    end[last], end[inner] = bounds[1:], at
+    raw = memoryview(data)
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(raw[i:j]) for i, j in zip(start.tolist(), end.tolist(), strict=True)), np.uint64, len(start))
+    # a word starts behind a blank or with its text
+    inside = ~_BLANK[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    edge = bounds[:-1][np.diff(bounds) > 0]
+    begins[edge] = inside[edge]
+    begins = np.flatnonzero(begins)
+    count = np.searchsorted(begins, end) - np.searchsorted(begins, start)
+    return hashes, count > 0, count >= LONG_WORDS, np.repeat(np.arange(n), stops), first
+
+
+_BLANK = np.isin(np.arange(256), np.frombuffer(BLANKS.encode(), np.uint8))
+
+
+def _chunks(marks) -> tuple[np.ndarray, np.ndarray]:
+    """First line (among all lines of ``marks``) and number of lines of every
+    removable chunk, without the blank lines at its ends."""
+    hashes, words, long, _, first = marks
+    opens = np.zeros(len(hashes), bool)
+    opens[first] = True
+    before = np.concatenate((hashes[:0], [np.uint64(0)], hashes[:-1]))[:len(hashes)]
+    before[first] = 0
+    hit = C.mix64(before * np.uint64(31) + hashes) % np.uint64(PERIOD) == 0
+    ends = hit & ~(np.concatenate(([False], hit[:-1])) & ~opens)
+    ends |= long | np.concatenate((long[1:], [False])) | np.concatenate((opens[1:], [True]))
+    at = np.flatnonzero(words)
+    chunk = (np.cumsum(ends) - ends)[at]
+    lead = np.flatnonzero(np.diff(chunk, prepend=-1))
+    size = np.diff(lead, append=len(at))
+    lead, size = (x[(size >= 2) | long[at[lead]]] for x in (lead, size))
+    return at[lead], at[lead + size - 1] - at[lead] + 1
+
+
+def _pairs(marks, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First line and number of lines of every two neighbouring lines with
+    words, and of every long line, but for those inside one of the removed
+    chunks, which are given in the same way."""
+    _, words, long, doc, _ = marks
+    at = np.flatnonzero(words)
+    chunk = np.zeros(len(words), np.int64)
+    chunk[C.ranges(start, size)] = np.repeat(np.arange(1, len(start) + 1), size)
+    i, j = at[:-1], at[1:]
+    two = (doc[i] == doc[j]) & ~((chunk[i] > 0) & (chunk[i] == chunk[j]))
+    alone = np.flatnonzero(long & (chunk == 0))
+    return np.concatenate((i[two], alone)), np.concatenate(((j - i)[two] + 1, np.ones(len(alone), np.int64)))
 
 
 def chunks(lines: list[str]) -> list[tuple[int, int]]:
-    """(first line, number of lines) of every removable chunk, without the
-    blank lines at its ends."""
-    hashes, words, long = _marks(lines)
-    before = np.concatenate(([np.uint64(0)], hashes[:-1]))
-    hit = C.mix64(before * np.uint64(31) + hashes) % np.uint64(PERIOD) == 0
-    ends = hit & ~np.concatenate(([False], hit[:-1]))
-    ends |= long | np.concatenate((long[1:], [False]))
-    ends[-1] = True
-    out, start = [], 0
-    for end in (np.flatnonzero(ends) + 1).tolist():
-        own = np.flatnonzero(words[start:end])
-        if len(own) >= 2 or (len(own) and long[start + own[0]]):
-            out.append((start + int(own[0]), int(own[-1] - own[0]) + 1))
-        start = end
-    return out
-
-
-def pairs(lines: list[str], gone: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """(first line, number of lines) of every two neighbouring lines with
-    words, and of every long line, but for those inside one removed chunk."""
-    _, words, long = _marks(lines)
-    at = np.flatnonzero(words)
-    chunk = np.zeros(len(lines), np.int64)
-    for k, (start, n) in enumerate(gone, 1):
-        chunk[start:start + n] = k
-    inside = (chunk[at[:-1]] > 0) & (chunk[at[:-1]] == chunk[at[1:]])
-    two = [(int(i), int(j - i) + 1) for i, j in zip(at[:-1][~inside], at[1:][~inside], strict=True)]
-    return two + [(int(i), 1) for i in np.flatnonzero(long & (chunk == 0))]
+    """(first line, number of lines) of every removable chunk of one text."""
+    start, size = _chunks(_marks(pa.array(["\n".join(lines)])))
+    return list(zip(start.tolist(), size.tolist(), strict=True))
+
 
+def _keys(hashes: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hash of every unit from those of its lines and their order."""
+    if not len(start):
+        return np.empty(0, np.int64)
+    lead = np.cumsum(size) - size
+    place = (np.arange(int(size.sum())) - np.repeat(lead, size)).astype(np.uint64)
+    mixed = C.mix64(hashes[C.ranges(start, size)] + place * np.uint64(0x9E3779B97F4A7C15))
+    return C.mix64(np.add.reduceat(mixed, lead) + size.astype(np.uint64)).view(np.int64)
 
-def _unit_rows(own: DataFrame, grown: bool, bodies: bool) -> DataFrame:
-    """One row per unit of every text: (doc_id, thash, pos, lines, key[, body])."""
-    names = ["doc_id", "thash", "pos", "lines", "key", *(["body"] if bodies else [])]
 
+def _unit_rows(own: DataFrame, grown: bool) -> DataFrame:
+    """One row per unit of every text: (doc_id, thash, pos, lines, key)."""
     def run(batches):
         C.free_model()
-        pdf = rows = None
-        for pdf in batches:
-            rows = []
-            for doc_id, thash, text, gone in zip(pdf["doc_id"], pdf["thash"], pdf["text"], pdf["gone"], strict=True):
-                if text is None:
-                    continue
-                lines = text.split("\n")
-                removed = [] if gone is None else [(int(g["pos"]), int(g["lines"])) for g in gone]
-                for pos, n in pairs(lines, removed) if grown else chunks(lines):
-                    body = "\n".join(lines[pos:pos + n])
-                    key = xxhash.xxh3_64_intdigest(body.encode("utf-8", "replace"))
-                    rows.append((doc_id, thash, pos, n, key - (1 << 64) if key >> 63 else key, *([body] if bodies else [])))
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
-        del pdf, rows         # gone before the worker waits for its next task
+        batch = part = None
+        for batch in batches:
+            for part in C.byte_slices(batch, "text", BATCH_BYTES):
+                yield units(part)
+        del batch, part       # gone before the worker waits for its next task
         C.give_back()
 
-    return own.mapInPandas(run, _UNIT + (", body string" if bodies else ""))
+    def units(part):
+        marks = _marks(part.column("text"))
+        hashes, *_, doc, first = marks
+        if grown:
+            gone = part.column("gone")
+            place = pc.list_flatten(gone)
+            owner = pc.list_parent_indices(gone).to_numpy(zero_copy_only=False)
+            pos, size = (place.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("pos", "lines"))
+            start, size = _pairs(marks, first[owner] + pos, size)
+        else:
+            start, size = _chunks(marks)
+        of = doc[start]
+        take = pa.array(of)
+        return pa.RecordBatch.from_arrays(
+            [part.column("doc_id").take(take), part.column("thash").take(take), pa.array((start - first[of]).astype(np.int32)),
+             pa.array(size.astype(np.int32)), pa.array(_keys(hashes, start, size))], names=["doc_id", "thash", "pos", "lines", "key"])
+
+    return own.mapInArrow(run, _UNIT)
 
 
 def _repeated(own: DataFrame, grown: bool) -> DataFrame:
     """(doc_id, thash, pos, lines, first): units that repeat an earlier one, byte by byte."""
     at = F.struct("doc_id", "thash", "pos")
     name = "grown" if grown else "chunk"
-    # (1) keys alone are shuffled, counted per task first
-    common = C.stored(_unit_rows(own, grown, False).groupBy("key").agg(F.min(at).alias("first"), F.max(at).alias("last"))
-                      .where("first <> last").select("key", "first"), f"line-{name}-keys")
-    keys, _ = bounded_broadcast(common, BROADCAST_ROWS)
-    # (2) bodies of repeated units only
-    rows = C.stored(_unit_rows(own, grown, True).join(keys, "key"), f"line-{name}-units")
-    stays = rows.where(at.eqNullSafe(F.col("first"))).select("key", F.col("body").alias("kept_body")).distinct()
-    return (rows.where(~at.eqNullSafe(F.col("first"))).join(stays, "key").where("body = kept_body")
-            .select("doc_id", "thash", "pos", "lines", "first").distinct())
-
-
-def _with(rows: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows (doc_id, thash, text) with the ``gone`` of their document; null without."""
-    small, _ = bounded_broadcast(gone, BROADCAST_ROWS)
+    # (1) places and keys of all units, without their bodies; keys alone are shuffled
+    units = C.stored(_unit_rows(own, grown), f"line-{name}-units")
+    twice = C.stored(units.groupBy("key").count().where("count > 1").select("key"), f"line-{name}-keys")
+    keys, _ = bounded_broadcast(twice, BROADCAST_ROWS)
+    again = C.stored(units.join(keys, "key").distinct(), f"line-{name}-again")
+    common = C.stored(again.groupBy("key").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").select("key", "first"),
+                      f"line-{name}-first")
+    firsts, _ = bounded_broadcast(common, BROADCAST_ROWS)
+    # (2) bodies of repeated units only, cut from the texts that hold one
+    wanted = again.join(firsts, "key").select("doc_id", "thash", F.struct("pos", "lines", "key", at.eqNullSafe(F.col("first")).alias("stays")).alias("u"))
+    wanted = C.stored(wanted.groupBy("doc_id", "thash").agg(F.collect_list("u").alias("u")), f"line-{name}-wanted")
+    cut = bind(F.split("text", "\n", -1), lambda lines: F.transform("u", lambda u: F.struct(
+        u["pos"].alias("pos"), u["lines"].alias("lines"), u["key"].alias("key"), u["stays"].alias("stays"),
+        F.array_join(F.slice(lines, u["pos"] + 1, u["lines"]), "\n").alias("body"))))
+    rows = C.stored(_with(own.select("doc_id", "thash", "text"), wanted, "u", "inner").select("doc_id", "thash", F.inline(cut)), f"line-{name}-bodies")
+    stays = rows.where("stays").select("key", F.col("body").alias("kept_body"), at.alias("first")).distinct()
+    return rows.where("NOT stays").join(stays, "key").where("body = kept_body").select("doc_id", "thash", "pos", "lines", "first").distinct()
+
+
+def _with(rows: DataFrame, lists: DataFrame, name: str = "gone", how: str = "left") -> DataFrame:
+    """Rows (doc_id, thash, text) with the list of that name of their document;
+    null without. The lists are broadcast only if their items are few."""
+    items = lists.agg(F.coalesce(F.sum(F.size(name)), F.lit(0))).head()[0]
+    small = F.broadcast(lists) if items <= min(BROADCAST_ROWS, BROADCAST_ITEMS) else lists
     small = small.withColumnsRenamed({"doc_id": "_i", "thash": "_h"})
-    return rows.join(small, rows["doc_id"].eqNullSafe(small["_i"]) & (rows["thash"] == small["_h"]), "left").drop("_i", "_h")
+    return rows.join(small, rows["doc_id"].eqNullSafe(small["_i"]) & (rows["thash"] == small["_h"]), how).drop("_i", "_h")
 
 
 def repeated_lines(own: DataFrame) -> DataFrame:

@@ -158,3 +158,40 @@ print(held - before, size() - before)
 """
     held, left = map(int, subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout.split())
     assert held > 150 and left < 40
+
+
+def test_texts_reach_python_twice_and_bodies_never(spark, monkeypatch):
+    """Units come from two passes over the texts (chunks, then pairs) as places
+    and keys; bodies are cut from the texts that hold a repeated unit."""
+    real, passes = ld._unit_rows, []
+    monkeypatch.setattr(ld, "_unit_rows", lambda *a: passes.append(real(*a)) or passes[-1])
+    got = run(spark, [(1, "a b\nc d"), (2, "x\na b\nc d\ny"), (3, None), (4, "")])
+    assert dict(got)[2][0] == "x\ny" and len(passes) == 2
+    assert all(p.columns == ["doc_id", "thash", "pos", "lines", "key"] for p in passes)
+
+
+def test_units_of_a_batch_are_those_of_each_text():
+    import numpy as np
+    import pyarrow as pa
+
+    from quire.llm import common as C
+
+    rng = random.Random(8)
+    texts = [None, "", "\n", "w " * 60, " \t\x0b\n\x85y　\nzz\n"] + [
+        "\n".join(" ".join(rng.choice(["a", "é", "", "\x0c", "漢字"]) for _ in range(rng.choice([0, 1, 3, 120]))) for _ in range(rng.randint(1, 30)))
+        for _ in range(60)]
+    batch = pa.record_batch({"text": pa.array([*texts, "x"])}).slice(0, len(texts))
+    found = []
+    for part in C.byte_slices(batch, "text", 2000):
+        marks = ld._marks(part.column("text"))
+        hashes, words, long, doc, first = marks
+        for k, text in enumerate(part.column("text").to_pylist()):
+            lines = (text or "").split("\n")
+            own = np.flatnonzero(doc == k)
+            count = [len(x.encode().split()) for x in lines]
+            assert words[own].tolist() == [c > 0 for c in count] and long[own].tolist() == [c >= ld.LONG_WORDS for c in count]
+            assert [hashes[own].tolist().index(h) for h in hashes[own]] == [lines.index(x) for x in lines]
+        start, size = ld._chunks(marks)
+        of = doc[start].tolist()
+        found += [[(int(s - first[k]), int(n)) for s, n, o in zip(start, size, of, strict=True) if o == k] for k in range(part.num_rows)]
+    assert found == [ld.chunks((t or "").split("\n")) for t in texts]
