@@ -29,7 +29,7 @@ from quire.llm import common as C
 PIECES = "piece_bpe_32k.model"
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
-CACHED_WORDS, CACHED_PIECES = 100_000, 60_000
+CACHED_WORDS, CACHED_PIECES = 200_000, 60_000
 # Width of the bands in robust standard deviations (IQR / 1.349), the least
 # deviation taken, and the documents that the wider group counts for in a
 # language's or script's band. WHOLE names the corpus's band.
@@ -51,22 +51,37 @@ class Meter:
         self.bpe = byte_bpe.ByteBpe(bpe_path, pattern, CACHED_PIECES)
         self.sp = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         self.is_byte = np.array([self.sp.is_byte(i) for i in range(self.sp.vocab_size())], bool)
-        self.known: C.Recent = C.Recent(CACHED_WORDS)     # word -> ids, pieces, byte pieces
+        self.known, self.table = {}, _no_words()          # word -> its place in the table
+        self.old, self.old_table = {}, _no_words()
 
     @C.no_gc()
     def learn(self, words: set[bytes]) -> None:
-        new = self.known.missing(words)
-        if not new:
-            return
-        strs = [w.decode("utf-8") for w in new]
+        """Puts the words into the table. It holds ``CACHED_WORDS`` words or
+        those of one batch; a full one becomes the old one, from which words
+        that come again move back, so frequent words stay."""
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > CACHED_WORDS:
+            self.old, self.old_table, self.known, self.table, new = self.known, self.table, {}, _no_words(), words
+        fresh = list(new.difference(self.old))
+        again = list(new.difference(fresh))
+        sizes, pieces, in_bytes, pool = self.old_table
+        at = np.fromiter(map(self.old.__getitem__, again), np.int64, len(again))
+        tables = [self.table, (sizes[at], pieces[at], in_bytes[at], pool[C.ranges((np.cumsum(sizes) - sizes)[at], sizes[at])])]
+        if fresh:
+            tables.append(self._table(fresh))
+        self.known.update(zip(itertools.chain(again, fresh), range(len(self.known), len(self.known) + len(new)), strict=True))
+        self.table = tuple(map(np.concatenate, zip(*tables, strict=True)))
+
+    def _table(self, words: list[bytes]) -> tuple[np.ndarray, ...]:
+        """Tokens, pieces and byte pieces of each word, and its token ids one word after another."""
+        strs = [w.decode("utf-8") for w in words]
         pieces = self.sp.encode(strs, num_threads=1)
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         flags = self.is_byte[np.fromiter(itertools.chain.from_iterable(pieces), np.int64, int(sizes.sum()))]
         ends = np.cumsum(sizes)
         upto = np.concatenate(([0], np.cumsum(flags)))
-        in_bytes = upto[ends] - upto[ends - sizes]
-        for w, own, n, b in zip(new, self._token_ids(strs), sizes.tolist(), in_bytes.tolist(), strict=True):
-            self.known[w] = (own, n, b)
+        own = self._token_ids(strs)
+        return np.fromiter(map(len, own), np.int64, len(own)) // 4, sizes, upto[ends] - upto[ends - sizes], np.frombuffer(b"".join(own), "<u4")
 
     def _token_ids(self, strs: list[str]) -> list[bytes]:
         """Byte-BPE ids of each word behind one blank. Words without white
@@ -86,21 +101,18 @@ class Meter:
             out[k] = own
         return out
 
-    def measures(self, words: list[bytes], codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def measures(self, codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tokens, share of byte pieces and entropy of every document of a
-        batch: ``codes`` number its words in ``words``, documents end at ``ends``."""
+        batch: ``codes`` are the places of its words, documents end at ``ends``."""
         docs = len(ends)
-        own, pieces, byte_pieces = zip(*map(self.known.__getitem__, words), strict=True) if words else ((), (), ())
-        pool = np.frombuffer(b"".join(own), "<u4").astype(np.int64)
-        size = np.fromiter(map(len, own), np.int64, len(own)) // 4
+        size, pieces, byte_pieces, pool = self.table
         first = np.cumsum(size) - size
         doc = np.repeat(np.arange(docs), np.diff(ends, prepend=0))
         n_tokens = np.bincount(doc, size[codes], docs).astype(np.int64)
-        per = [np.bincount(doc, np.asarray(x, float)[codes] if len(codes) else None, docs) for x in (pieces, byte_pieces)]
+        per = [np.bincount(doc, x[codes], docs) for x in (pieces, byte_pieces)]
         # every token of the batch as (document, id), sorted once
         count = size[codes]
-        at = np.repeat(first[codes] - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
-        keys = np.sort((np.repeat(doc, count) << 32) | pool[at])
+        keys = np.sort((np.repeat(doc, count) << 32) | pool[C.ranges(first[codes], count)].astype(np.int64))
         runs = np.flatnonzero(np.concatenate((keys[:1] >= 0, keys[1:] != keys[:-1])))
         of = (keys[runs] >> 32).astype(np.int64)
         share = np.diff(runs, append=len(keys)) / n_tokens[of]
@@ -108,6 +120,10 @@ class Meter:
         return n_tokens, per[1] / np.maximum(1, per[0]), np.abs(entropy)
 
 
+def _no_words() -> tuple[np.ndarray, ...]:
+    return (*(np.empty(0, np.int64) for _ in range(3)), np.empty(0, "<u4"))
+
+
 def meter(bpe_path: str, pattern: str, piece_path: str) -> Meter:
     return C.one_model(("meter", bpe_path, pattern, piece_path), lambda: Meter(bpe_path, pattern, piece_path))
 
@@ -181,14 +197,15 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
         for pdf in batches:
             texts = [t or "" for t in pdf["text"]]
             split = [t.encode("utf-8").split() for t in texts]
-            distinct = list(set(itertools.chain.from_iterable(split)))
-            m.learn(set(distinct))
-            number = dict(zip(distinct, range(len(distinct)), strict=True))
+            m.learn(set(itertools.chain.from_iterable(split)))
             sizes = np.fromiter(map(len, split), np.int64, len(split))
-            codes = np.fromiter(map(number.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(sizes.sum()))
+            codes = np.fromiter(map(m.known.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(sizes.sum()))
             ends = np.cumsum(sizes)
-            n_tokens, fallback, entropy = m.measures(distinct, codes, ends)
-            repeated = repeat_words(codes, ends)
+            del split
+            n_tokens, fallback, entropy = m.measures(codes, ends)
+            present = np.zeros(len(m.known), bool)
+            present[codes] = True
+            repeated = repeat_words((np.cumsum(present) - 1)[codes], ends)     # numbered without gaps
             rows = []
             for k, (doc_id, text, lang) in enumerate(zip(pdf["doc_id"], texts, pdf["lang"], strict=True)):
                 chars = len(text) - sum(map(text.count, BLANKS))

@@ -130,3 +130,25 @@ def test_bands_have_no_switch(spark):
         figures.append({r["band"]: r["chars_per_token_mid"] for r in ft._blended(m, df).collect()}["lang:xx"])
     assert figures == sorted(figures) and figures[0] == 4.0 and 5.9 < figures[-1] <= 6.0
     assert max(b - a for a, b in zip(figures[3:5], figures[4:6])) < 0.05
+
+
+def test_words_keep_their_figures_when_the_table_is_renewed(monkeypatch):
+    """A small table forgets words and takes others over from the one before;
+    words taken over are not encoded again."""
+    import numpy as np
+    import public_tokenizers as P
+
+    texts = [[f"w{i}x" for i in range(k, k + 12)] + ["the", "où"] * 3 for k in range(0, 60, 6)]
+    codes = lambda m, t: np.array([m.known[w.encode()] for w in t], np.int64)
+    fresh = ft.Meter(P.path(ft.byte_bpe.VOCAB), P.PATTERN, P.path(ft.PIECES))
+    fresh.learn({w.encode() for t in texts for w in t})
+    monkeypatch.setattr(ft, "CACHED_WORDS", 20)
+    small = ft.Meter(P.path(ft.byte_bpe.VOCAB), P.PATTERN, P.path(ft.PIECES))
+    made, encode = [], small._token_ids
+    small._token_ids = lambda strs: made.extend(strs) or encode(strs)
+    for t in texts:
+        small.learn({w.encode() for w in t})
+        assert len(small.known) <= 20 and len(small.known) == len(small.table[0])
+        for x, y in zip(small.measures(codes(small, t), np.array([len(t)])), fresh.measures(codes(fresh, t), np.array([len(t)])), strict=True):
+            assert x.tolist() == pytest.approx(y.tolist())
+    assert made.count("the") == 1 and len(made) == len({w for t in texts for w in t})
