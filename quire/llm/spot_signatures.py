@@ -21,11 +21,12 @@ never gathered into one task.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
-from itertools import compress
+from collections import Counter, defaultdict
+from itertools import chain, filterfalse, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +43,7 @@ FLUSH_WORDS = 100_000
 
 def words_of(text) -> list[bytes]:
     """Words of the text in lower case (A-Z) without the marks at their end."""
-    marks = STRIPPED.encode()
-    return [w for w in (x.rstrip(marks) for x in C.words_of(text)) if w]
+    return list(filter(None, map(bytes.rstrip, C.words_of(text), repeat(STRIPPED.encode()))))
 
 
 # --- anchors ------------------------------------------------------------------
@@ -51,24 +51,30 @@ def words_of(text) -> list[bytes]:
 def word_counts(docs: DataFrame) -> DataFrame:
     """(label, word, n): documents of every label (null: empty) that hold the
     word; under the empty word, all documents of the label."""
-    def run(batches):
-        seen: Counter = Counter()
-
-        def rows():
-            out = pd.DataFrame([(a, w.decode("utf-8", "replace"), n) for (a, w), n in seen.items()], columns=["label", "word", "n"])
-            seen.clear()
-            return out
-
-        for pdf in batches:
-            for label, text in zip(pdf["lang"], pdf["text"], strict=True):
-                label = label or ""
-                seen[label, b""] += 1
-                seen.update((label, w) for w in set(words_of(text)))
-                if len(seen) > FLUSH_WORDS:
-                    yield rows()
-        yield rows()
+    def rows(seen):
+        sizes = list(map(len, seen.values()))
+        words = pa.array(list(chain.from_iterable(seen.values())), pa.binary())
+        counts = list(chain.from_iterable(c.values() for c in seen.values()))
+        labels = pa.array(list(seen), pa.string()).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+        return pa.RecordBatch.from_arrays([labels, words.cast(pa.string()), pa.array(counts, pa.int64())], names=["label", "word", "n"])
 
-    return docs.mapInPandas(run, "label string, word string, n long").groupBy("label", "word").agg(F.sum("n").alias("n"))
+    def run(batches):
+        seen: dict[str, Counter] = defaultdict(Counter)
+        held = 0
+        for batch in batches:
+            for label, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                own = seen[label or ""]
+                held -= len(own)
+                own[b""] += 1
+                own.update(set(words_of(text)))
+                held += len(own)
+                if held > FLUSH_WORDS:
+                    yield rows(seen)
+                    seen.clear()
+                    held = 0
+        yield rows(seen)
+
+    return docs.select("lang", "text").mapInArrow(run, "label string, word string, n long").groupBy("label", "word").agg(F.sum("n").alias("n"))
 
 
 def anchor_words(docs: DataFrame) -> list[str]:
@@ -87,18 +93,32 @@ def anchor_words(docs: DataFrame) -> list[str]:
 
 # --- fingerprints -------------------------------------------------------------
 
-def signatures(text, anchors: frozenset) -> list[str]:
-    """Sorted distinct signatures of a text; none without words."""
+def spots(text, anchors: frozenset) -> set[bytes]:
+    """The chains of a text, each behind its anchor; its word sequence if there is none."""
     words = words_of(text)
     if not words:
-        return []
-    common = [w in anchors for w in words]
-    content = [w for w, a in zip(words, common, strict=True) if not a]
-    before = (np.arange(len(words)) - np.cumsum(common) + 1)[np.asarray(common)].tolist()
-    reach, end, md5 = CHAIN * SPACING, len(content), hashlib.md5
-    spots = {b" ".join([a, *content[k:k + reach:SPACING]])
-             for a, k in zip(compress(words, common), before, strict=True) if k + reach - SPACING < end}
-    return sorted({md5(s).hexdigest()[:DIGITS] for s in spots or (b" ".join(words),)})
+        return set()
+    content = list(filterfalse(anchors.__contains__, words))
+    at = np.flatnonzero(np.fromiter(map(anchors.__contains__, words), bool, len(words)))
+    following = list(zip(*[content[i * SPACING:] for i in range(CHAIN)], strict=False))
+    before = at - np.arange(len(at))                  # content words ahead of the anchor
+    before = before[:np.searchsorted(before, len(following))]
+    found = {b" ".join((words[i], *following[k])) for i, k in zip(at.tolist(), before.tolist(), strict=False)}
+    return found or {b" ".join(words)}
+
+
+def digests(found: set[bytes], known: dict[bytes, bytes] | None = None) -> dict[bytes, bytes]:
+    """Signature of every spot; those in ``known`` are taken from there."""
+    md5, size = hashlib.md5, DIGITS // 2
+    new = found.difference(known) if known else found
+    out = {s: known[s] for s in found.difference(new)} if known else {}
+    out.update({s: md5(s).digest()[:size] for s in new})
+    return out
+
+
+def signatures(text, anchors: frozenset) -> list[str]:
+    """Sorted distinct signatures of a text; none without words."""
+    return [s.hex() for s in sorted(set(digests(spots(text, anchors)).values()))]
 
 
 def length_partition(size: int, percent: int) -> int:
@@ -110,7 +130,7 @@ def length_partition(size: int, percent: int) -> int:
     return k
 
 
-def pruned_jaccard(a: list[str], b: list[str], percent: int = 0) -> float:
+def pruned_jaccard(a: list, b: list, percent: int = 0) -> float:
     """Jaccard similarity of two sorted signature lists; 0.0 as soon as it is
     clear that ``percent`` is not reached. Two empty sets are alike."""
     if not a or not b:
@@ -122,6 +142,9 @@ def pruned_jaccard(a: list[str], b: list[str], percent: int = 0) -> float:
         if 100 * len(a) < percent * len(b):
             return 0.0
         need = -(-percent * total // (100 + percent))
+    if not need:
+        common = len(set(a).intersection(b))
+        return common / (total - common)
     inside, missed, common = set(b), 0, 0
     for s in a:
         if s in inside:
@@ -276,20 +299,22 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _edits(batches, known: frozenset):
-    """Streams sorted rows; a row is complete once the next one is there."""
+    """Streams sorted rows; a row is complete once the next one is there. Most
+    spots of an edited text stand in one of the two texts it is made from."""
     last = None
     for pdf in batches:
         out = []
         for bucket, guest, doc_id, text in zip(pdf["bucket"], pdf["guest"], pdf["doc_id"], pdf["text"], strict=True):
-            prints = signatures(text, known)
+            of = digests(spots(text, known))
+            prints = sorted(set(of.values()))
             if last is not None and last[0] == bucket:
-                _, i, old, mine = last
+                _, i, old, before, mine = last
                 cut = len(old) // 3
                 edited = old[:len(old) - cut] + text[:cut]
-                changed = signatures(edited, known)
-                out.append((i, len(old), hashlib.sha256(edited.encode("utf-8", "replace")).hexdigest(), "".join(mine), "".join(changed),
+                changed = sorted(set(digests(spots(edited, known), before | of).values()))
+                out.append((i, len(old), hashlib.sha256(edited.encode("utf-8", "replace")).hexdigest(), b"".join(mine).hex(), b"".join(changed).hex(),
                             pruned_jaccard(mine, changed), pruned_jaccard(mine, prints)))
-            last = None if guest else (bucket, doc_id, text, prints)
+            last = None if guest else (bucket, doc_id, text, of, prints)
         cols = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
         yield pd.DataFrame(out, columns=cols).astype({"doc_id": "Int64"})
 

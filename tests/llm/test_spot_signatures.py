@@ -175,3 +175,23 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, block):
         for a, b in edges:
             comp[a] = comp[b] = min(comp[a], comp[b])
     assert len(set(comp.values())) < 60 and got == {i: (c, c == i) for i, c in comp.items()}
+
+
+def test_spots_of_neighbours_are_hashed_once(monkeypatch):
+    """An edited text's spots that stand in one of its two texts are not hashed again."""
+    import pandas as pd
+
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["the", "of", "Ba,", "co", "du!?", "eg"]) for _ in range(400)) for _ in range(12)] + ["", " . ", "the", "é of a b c d."]
+    known = frozenset([b"the", b"of"])
+    want = [S.signatures(t, known) for t in texts]
+    real, calls = S.hashlib.md5, []
+    monkeypatch.setattr(S.hashlib, "md5", lambda s: calls.append(s) or real(s))
+    rows = pd.DataFrame({"bucket": 0, "guest": [False] * len(texts) + [True], "doc_id": range(len(texts) + 1), "text": [*texts, texts[0]]})
+    out = pd.concat(list(S._edits([rows[:5], rows[5:]], known)))
+    assert len(calls) < 1.1 * (sum(map(len, want)) + len(want[0]))
+    assert out["fingerprint"].tolist() == ["".join(w) for w in want]
+    follows = [*texts[1:], texts[0]]
+    edited = [t[:len(t) - len(t) // 3] + f[:len(t) // 3] for t, f in zip(texts, follows, strict=True)]
+    assert out["edited_fingerprint"].tolist() == ["".join(S.signatures(t, known)) for t in edited]
+    assert out["near_next"].tolist() == pytest.approx([jaccard(set(a), set(b)) for a, b in zip(want, [*want[1:], want[0]], strict=True)])
