@@ -26,9 +26,9 @@ from quire.llm import common as C
 VOCAB = "byte_bpe_multi_50k.tiktoken"
 LONG = 256
 BUCKETS = (4, 6, 8, 12, 16, 24, 32, 64, 128, LONG)
-MATRIX_CELLS = 1 << 20
+MATRIX_CELLS = 1 << 18
 CACHED_PIECES = 150_000
-TEXT_CHARS = 4_000_000
+TEXT_CHARS = 1_000_000
 NONE = np.int32(2 ** 31 - 1)
 
 
@@ -78,15 +78,29 @@ class PairTable:
         return out.reshape(a.shape)
 
 
+def _ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as f:
+        return {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
+
+
+def _tokens(ranks: dict[bytes, int]) -> list[bytes]:
+    """Bytes of every id."""
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    return tokens
+
+
+def joined(tokens: list[bytes], ids: bytes) -> bytes:
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 class ByteBpe:
     """Encoder and decoder of one rank file."""
 
     def __init__(self, path: str, pattern: str, cached: int | None = None):
-        with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, f)}
-        self.token_bytes: list[bytes] = [b""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
-            self.token_bytes[rank] = token
+        self.ranks = _ranks(path)
+        self.token_bytes = _tokens(self.ranks)
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.pairs = PairTable(self.ranks)
         self.pieces_of = regex.compile(pattern).findall
@@ -196,7 +210,7 @@ class ByteBpe:
         return out
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.token_bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return joined(self.token_bytes, ids)
 
 
 def load(path: str, pattern: str) -> ByteBpe:
@@ -228,17 +242,20 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
         for pdf in batches:
             ids = bpe.encode(pdf["text"].tolist())
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": [len(x) // 4 for x in ids], "token_ids": ids})
+        pdf = ids = None      # gone before the worker waits for its next task
+        C.give_back()
 
     return C.ids_only(docs, id_col, text_col).mapInPandas(run, "doc_id long, n_tokens long, token_ids binary")
 
 
 def decode(encoded: DataFrame, vocab: str = VOCAB, folder: str | None = None, pattern: str | None = None) -> DataFrame:
-    """The encoded rows with ``decoded``, the bytes of their tokens."""
-    path, pat = _parts(vocab, folder, pattern)
+    """The encoded rows with ``decoded``, the bytes of their tokens. A worker
+    that decodes holds the tokens alone, none of the encoder's tables."""
+    path, _ = _parts(vocab, folder, pattern)
 
     def run(batches):
-        bpe = load(path, pat)
+        tokens = C.one_model(("byte_bpe tokens", path), lambda: _tokens(_ranks(path)))
         for pdf in batches:
-            yield pdf.assign(decoded=[bpe.decode(x) for x in pdf["token_ids"]])
+            yield pdf.assign(decoded=[joined(tokens, x) for x in pdf["token_ids"]])
 
     return encoded.mapInPandas(run, "doc_id long, n_tokens long, token_ids binary, decoded binary")

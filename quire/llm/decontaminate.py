@@ -185,6 +185,8 @@ def _search(shared, width: int, percent: int, kind: str = "long"):
                     for hit in index.contained(text, percent)]
             out = pd.DataFrame(rows, columns=["doc_id", "item_id", "n_item", "n_found"])
             yield out.astype({"item_id": "Int64"} | ({"doc_id": "Int64"} if kind == "long" else {}))
+        pdf = out = None      # gone before the worker waits for its next task
+        C.give_back()
     return run
 
 

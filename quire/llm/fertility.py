@@ -216,6 +216,8 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
                              float(fallback[k]), float(entropy[k])))
             out = pd.DataFrame(rows, columns=[c.split(" ")[0] for c in _SCHEMA.split(", ")])
             yield out.astype({"doc_id": "Int64"}) if kind == "long" else out
+        pdf = texts = codes = rows = out = None      # gone before the worker waits for its next task
+        C.give_back()
 
     return own.mapInPandas(run, _SCHEMA.replace("doc_id long", f"doc_id {kind}"))
 

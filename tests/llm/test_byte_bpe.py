@@ -61,3 +61,16 @@ def test_dataframe(spark, both):
     empty = hashlib.sha256(b"").hexdigest()
     assert got == sorted([one, one, (2, 0, empty, b""), (None, 0, empty, b"")], key=str)
     assert byte_bpe.encode(df.limit(0)).count() == 0
+
+
+def test_pipeline_tasks_hold_one_worker(spark):
+    """Encoder and decoder do not run side by side in one task, and a decoder needs no tables of the encoder."""
+    import corpus_pipeline
+
+    texts = [(1, "one two"), (2, None), (None, "drei\nfünf")]
+    out = corpus_pipeline.token_ids(spark, spark.createDataFrame(texts, "doc_id long, text string"), "")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 1
+    assert {(r["doc_id"], r["decoded_sha256"]) for r in out.collect()} == {(i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in texts}
+    bpe = byte_bpe.load(P.path(byte_bpe.VOCAB), P.PATTERN)
+    ids = bpe.encode(["für 1 text"])[0]
+    assert byte_bpe.joined(byte_bpe._tokens(byte_bpe._ranks(P.path(byte_bpe.VOCAB))), ids).decode() == "für 1 text"
