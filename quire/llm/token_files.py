@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import itertools
 import os
 import re
 import struct
@@ -47,12 +46,13 @@ FILE_TEXT_BYTES = 32 << 20
 SHARD_BYTES = 4 << 20
 LEVEL = 1
 MAGIC = b"IDFRAME\n"
-CACHED_WORDS, JOINED_WORDS = 250_000, 20_000
-BLOCK_BYTES = 8 << 20
-MARKS = ".,!?;:"
+CACHED_WORDS, JOINED_WORDS = 400_000, 2_000
+BLOCK_BYTES = 4 << 20
+# Closing punctuation: no apostrophe, and nothing of the added tokens ``<|...|>``.
+MARKS = ".,!?;:\"#$%&()*+-/=@[\\]^_`{}~"
 WORD_END = "</w>"
-# Below this every letter is composed by itself.
-_SIMPLE_LETTERS = "\u0130"
+# The letters below U+0130, each of which is composed by itself.
+SIMPLE = "^[A-Za-zªµºÀ-ÖØ-öø-\u012f]+$"
 _PROBES = ["word", "Word", "ÜBER", "naïve", "straße", "ĀĐĦ", "ª", "x" * 40]
 _INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("at", "<u8"), ("size", "<u4"), ("ids", "<u4")])
 _FOOTER = struct.Struct("<QQB32sQ")
@@ -61,16 +61,18 @@ _FOOTER = struct.Struct("<QQB32sQ")
 # --- encoding -----------------------------------------------------------------
 
 class WordEncoder:
-    """Ids by the ``tokenizers`` library, which sees each distinct word once.
+    """Ids by the ``tokenizers`` library, which sees each distinct piece once.
 
     For a vocabulary whose pre-tokenizer drops white space no token spans two
-    words, so a text's ids are its words' ids in a row. The new words of a
-    batch go to the library as texts of ``JOINED_WORDS`` words each. Words of
-    simple letters are one pre-token, so where the vocabulary marks
-    the last token of each, the marks cut such a text into its words; closing
-    punctuation is looked up by itself, and capitals like small letters where
-    the vocabulary folds them (the probes tell whether this holds).
-    Every other word is found by its place in the text.
+    words, so a text's ids are its words' ids in a row. A word of simple
+    letters and closing punctuation is two pieces, its letters (capitals as
+    small letters where the vocabulary folds them; the probes tell whether
+    both hold) and its punctuation; every other word is one piece. All pieces
+    of a batch are found at once in one Arrow array, and the new ones go to
+    the library as texts of ``JOINED_WORDS`` pieces each. Simple letters are
+    one pre-token, so where the vocabulary marks the last token of each, the
+    marks cut such a text into its pieces; every other piece is found by its
+    place in the text.
     """
 
     def __init__(self, path: str):
@@ -78,64 +80,92 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: C.Recent = C.Recent(CACHED_WORDS)      # word -> ids
         one = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
         self.apart = all(one(w + m) == one(w) + one(m) for w in _PROBES for m in (*MARKS, MARKS))
         self.folds = all(one(w) == one(w.lower()) for w in _PROBES if w.isascii())
         vocab = self.tokenizer.get_vocab()
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for t, i in vocab.items() if t.endswith(WORD_END)]] = True
+        # The pieces known, the place and number of their ids, and the batch that last used them.
+        self.known, self.ids = pa.array([], pa.large_string()), np.zeros(0, "<u4")
+        self.at, self.size, self.used, self.batch = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+
+    def _pieces(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """First and second piece of every word; the second may be empty."""
+        core = pc.utf8_rtrim(words, MARKS) if self.apart else words
+        simple = pc.match_substring_regex(core, SIMPLE)
+        data, bounds = C.utf8_of(words)
+        tail = np.where(simple, np.diff(bounds) - pc.binary_length(core).to_numpy(), 0)
+        rest = pa.LargeStringArray.from_buffers(len(words), pa.py_buffer(np.concatenate(([0], np.cumsum(tail)))),
+                                                pa.py_buffer(data[C.ranges(bounds[1:] - tail, tail)]))
+        low = pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core) if self.folds else core
+        return pc.if_else(simple, low, words), rest
+
+    def _ids(self, part: pa.Array, simple: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces in a row and the number of each."""
+        text = " ".join(part.to_pylist())
+        if simple:
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            cut = np.concatenate(([0], np.flatnonzero(self.last[ids]) + 1))
+        if not simple or len(cut) != len(part) + 1:
+            found = self.tokenizer.encode(text, add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            starts = np.concatenate(([0], np.cumsum(pc.utf8_length(part).to_numpy() + 1)))
+            cut = np.searchsorted(np.fromiter((a for a, _ in found.offsets), np.int64, len(ids)), starts)
+        return ids, np.diff(cut)
+
+    def _drop(self, more: int) -> None:
+        """Lets go of the pieces used longest ago if ``more`` would not fit; those of this batch stay."""
+        if len(self.known) + more <= CACHED_WORDS:
+            return
+        since = np.sort(self.used)[-(CACHED_WORDS // 2):][0] if len(self.used) else 0
+        keep = np.flatnonzero(self.used > min(since, self.batch - 1))
+        self.known, self.ids = self.known.take(pa.array(keep)), self.ids[C.ranges(self.at[keep], self.size[keep])]
+        self.size, self.used = self.size[keep], self.used[keep]
+        self.at = np.cumsum(self.size) - self.size
+
+    def places(self, pieces: pa.Array) -> np.ndarray:
+        """Place of each of the distinct pieces among the known; new ones are learned."""
+        self.batch += 1
+        found = pc.index_in(pieces, value_set=self.known)
+        new = pieces.filter(found.is_null())
+        place = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        old = place >= 0
+        self.used[place[old]] = self.batch
+        if not len(new):
+            return place
+        before = np.cumsum(self.used == self.batch) - 1
+        held = place[old]
+        self._drop(len(new))
+        if len(self.used) < len(before):
+            place[old] = np.flatnonzero(self.used == self.batch)[before[held]]
+        simple = pc.match_substring_regex(new, SIMPLE)
+        order = np.argsort(~simple.to_numpy(zero_copy_only=False), kind="stable")
+        n, ids, size = pc.sum(simple).as_py() or 0, [self.ids], [self.size]
+        new = new.take(pa.array(order))
+        for first, end in ((0, n), (n, len(new))):
+            for i in range(first, end, JOINED_WORDS):
+                own, count = self._ids(new.slice(i, min(end - i, JOINED_WORDS)), first < n)
+                ids.append(own)
+                size.append(count)
+        place[np.flatnonzero(~old)[order]] = len(self.known) + np.arange(len(new))
+        self.known = pa.concat_arrays([self.known, new])
+        self.ids, self.size = np.concatenate(ids), np.concatenate(size)
+        self.at = np.cumsum(self.size) - self.size
+        self.used = np.concatenate((self.used, np.full(len(new), self.batch)))
+        return place
 
-    def _learn(self, words: list[str], simple: bool) -> None:
-        for i in range(0, len(words), JOINED_WORDS):
-            part = words[i:i + JOINED_WORDS]
-            text = " ".join(part)
-            if simple:
-                ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-                cut = np.concatenate(([0], np.flatnonzero(self.last[ids]) + 1))
-            if not simple or len(cut) != len(part) + 1:
-                found = self.tokenizer.encode(text, add_special_tokens=False)
-                ids = np.array(found.ids, "<u4")
-                starts = np.fromiter(itertools.accumulate((len(w) + 1 for w in part), initial=0), np.int64, len(part) + 1)
-                cut = np.searchsorted(np.fromiter((a for a, _ in found.offsets), np.int64, len(ids)), starts)
-            flat, cut = ids.tobytes(), (4 * cut).tolist()
-            self.known.update(zip(part, map(flat.__getitem__, map(slice, cut, cut[1:])), strict=True))
-
-    def learn(self, words: set[str]) -> None:
-        known, split, other = self.known, [], []
-        cores: set[str] = set()
-        new = pa.array(known.missing(words), pa.large_string())
-        plain = pc.and_(pc.ascii_is_alpha(new), pc.ascii_is_lower(new))
-        simple = new.filter(plain).to_pylist()
-        for w in new.filter(pc.invert(plain)).to_pylist():
-            core = w if w.isalpha() else w.rstrip(MARKS) if self.apart else ""
-            if not core.isalpha() or not (core.isascii() or max(core) < _SIMPLE_LETTERS):
-                other.append(w)
-                continue
-            low = core.lower() if self.folds and core.isascii() else core
-            if low == w:
-                simple.append(w)
-                continue
-            split.append((w, low, w[len(core):]))
-            if low not in known and low not in words:
-                cores.add(low)
-        other += {rest for _, _, rest in split if rest and rest not in known}.difference(other)
-        self._learn([*simple, *cores], True)
-        self._learn(other, False)
-        for w, low, rest in split:
-            known[w] = known[low] + known[rest] if rest else known[low]
-
-    @C.no_gc()
     def token_ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the place behind each text's last."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
         for mark in "\n\t\r":
             texts = pc.replace_substring(texts, mark, " ")
-        lists = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        lists = pc.split_pattern(texts, " ")
         flat = lists.flatten().dictionary_encode()
-        words, codes = flat.dictionary.to_pylist(), flat.indices.to_numpy()
-        self.learn(set(words))
-        own = list(map(self.known.__getitem__, words))
-        pool, size = np.frombuffer(b"".join(own), "<u4"), np.fromiter(map(len, own), np.int64, len(own)) // 4
+        both = pa.concat_arrays(self._pieces(flat.dictionary)).dictionary_encode()
+        place = self.places(both.dictionary)[both.indices.to_numpy().reshape(2, -1).T]
+        pool, size = self.ids[C.ranges(self.at[place].ravel(), self.size[place].ravel())], self.size[place].sum(axis=1)
+        codes = flat.indices.to_numpy()
         count = size[codes]
         upto = np.concatenate(([0], np.cumsum(count)))
         at = np.repeat((np.cumsum(size) - size)[codes] - upto[:-1], count)
@@ -287,6 +317,7 @@ def write(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "t
                     yield pa.record_batch({"shard": pa.array([out.finish()], pa.binary())})
         if out.index:
             yield pa.record_batch({"shard": pa.array([out.finish()], pa.binary())})
+        C.give_back()
 
     ordered.mapInArrow(run, "shard binary").select(F.col("shard").cast("string")).write.text(f"{path}/ids")
 
@@ -299,6 +330,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/ids")
 
     def run(batches):
+        C.free_model()
         unzip, digest = unzipper(dictionary), hashlib.sha256(dictionary).digest()
         for pdf in batches:
             for name, data in zip(pdf["path"], pdf["content"], strict=True):

@@ -88,3 +88,61 @@ def test_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     tf.write(docs, f"file://{tmp_path}/none")
     assert tf.read(spark, f"file://{tmp_path}/none").count() == 0
+
+
+class Seen:
+    """The library, with a list of the words it was given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.words = tokenizer, []
+
+    def encode(self, text, **kw):
+        self.words += text.split()
+        return self.tokenizer.encode(text, **kw)
+
+    def encode_batch_fast(self, texts, **kw):
+        self.words += [w for t in texts for w in t.split()]
+        return self.tokenizer.encode_batch_fast(texts, **kw)
+
+
+def test_library_sees_each_piece_once(library):
+    """A word is not encoded again for the punctuation that closes it."""
+    enc = tf.WordEncoder(P.path(tf.VOCAB))
+    enc.tokenizer = seen = Seen(enc.tokenizer)
+    texts = ['River. RIVER, river) river" "river', "River; river) Äther äther] don't", 'River" river.\nriver']
+    for text in texts:
+        assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sorted(seen.words) == sorted(["river", ".", ",", ")", '"', '"river', ";", "Äther", "äther", "]", "don't"])
+
+
+def test_closing_marks_and_letters(library):
+    """Every mark and every letter that is cut off or folded gives the library's ids."""
+    enc, rng = tf.WordEncoder(P.path(tf.VOCAB)), random.Random(4)
+    assert enc.apart and enc.folds
+    letters = [chr(c) for c in range(0x41, 0x140) if chr(c).isalpha()] + ["́", "̸", "ſ", "ß", "1"]
+    words = [rng.choice(letters) + w + m for w in ("", "a", "Él", "é") for m in (*tf.MARKS, "'s", "'", "<", ">", "|", "…")]
+    words += ["".join(rng.choices(letters, k=rng.randint(1, 6))) + "".join(rng.choices(tf.MARKS + "'<|>", k=rng.randint(0, 3))) for _ in range(4000)]
+    whole = tf.WordEncoder(P.path(tf.VOCAB))
+    whole.apart = whole.folds = False       # as for a vocabulary that fails the probes
+    for w, ids, same in zip(words, enc.encode(words), whole.encode(words), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == library.encode(w, add_special_tokens=False).ids, repr(w)
+        assert ids == same
+    pa, pc = pytest.importorskip("pyarrow"), pytest.importorskip("pyarrow.compute")
+    points = [chr(c) for c in range(1, 0x400)]
+    simple = pc.match_substring_regex(pa.array(points), tf.SIMPLE).to_pylist()
+    assert simple == [c.isalpha() and c < "İ" for c in points]
+
+
+def test_known_pieces_are_bounded(monkeypatch, library):
+    """Pieces used longest ago go, those of the batch at hand stay, ids are the library's."""
+    monkeypatch.setattr(tf, "CACHED_WORDS", 60)
+    monkeypatch.setattr(tf, "JOINED_WORDS", 7)
+    enc, rng = tf.WordEncoder(P.path(tf.VOCAB)), random.Random(5)
+    for k in range(60):
+        texts = [" ".join(rng.choice(["the", "Of,", f"w{rng.randint(0, 300)}", "x" * rng.randint(1, 40) + "!", "漢字"])
+                          for _ in range(rng.choice([0, 3, 30]))) for _ in range(rng.randint(1, 5 if k % 9 else 40))]
+        for t, ids in zip(texts, enc.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+        own = {p for w in " ".join(texts).split(" ") for p in (w, w.lower(), w.rstrip(tf.MARKS).lower(), w[len(w.rstrip(tf.MARKS)):])}
+        assert len(enc.known) == len(enc.at) == len(enc.size) == len(enc.used) == len(set(enc.known.to_pylist()))
+        assert len(enc.known) <= max(60, len(own))
