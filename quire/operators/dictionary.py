@@ -79,10 +79,11 @@ def latest_edges(edges: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFra
     ``items(src_item_type, src_item_id, seq)`` lists every processed item
     (links or not); ``edges`` carry the ``seq`` of their item. The latest
     seq per key is a ``max`` aggregate; edges are kept by a semi join -
-    no key's edges are ever gathered into one array.
+    no key's edges are ever gathered into one array, and the keys, which grow
+    with the batch, are never broadcast.
     """
     last = items.groupBy("src_item_type", "src_item_id").agg(F.max("seq").alias("seq"))
-    return last, edges.join(last, ["src_item_type", "src_item_id", "seq"], "left_semi")
+    return last, edges.join(last.hint("merge"), ["src_item_type", "src_item_id", "seq"], "left_semi")
 
 
 def replace_links(existing: DataFrame | None, items: DataFrame) -> DataFrame:

@@ -94,7 +94,9 @@ def decide(items: DataFrame, ledger: DataFrame | None = None, *,
         (F.col("_chunk") == F.min("_chunk").over(w_url)).alias("_first_chunk"),
         _prev_expr(policy, F.col("_chunk_last"), w_carry).alias("_carry"))
 
-    j = local.join(summary, ["_url", "_chunk"])
+    # a summary row per URL and chunk: as many as the batch has URLs, however few
+    # the planner takes them for (a stored feed's size is an estimate)
+    j = local.join(summary.hint("merge"), ["_url", "_chunk"])
     if policy == "different":
         prev = F.coalesce(F.col("_prev"), F.col("_carry"))
         changed = prev != m
