@@ -21,7 +21,7 @@ its time differs from the last non-null time before it.
 Skew: a per-URL window would put a hot URL's whole history in one task. The
 scan is therefore split by ``seq`` range into chunks: a window per
 ``(url, chunk)`` computes everything local, one small per-chunk summary row
-carries the "last time before this chunk" across chunks. Windows and
+heads the chunk and carries the "last time before this chunk" across chunks. Windows and
 summaries only see ``(url, seq, modified_at)``; the wide rows are shuffled
 once, to be marked with the accepted keys.
 """
@@ -73,38 +73,34 @@ def decide(items: DataFrame, ledger: DataFrame | None = None, *,
         feed = feed.unionByName(prior)
     feed = feed.withColumn("_chunk", F.expr(f"seq div {int(chunk)}"))
 
-    w_local = Window.partitionBy("_url", "_chunk").orderBy("seq")
-    w_before = w_local.rowsBetween(Window.unboundedPreceding, -1)
-    local = (feed
-             .withColumn("_rn", F.row_number().over(w_local))
-             .withColumn("_prev", _prev_expr(policy, m, w_before)))
-
     if policy == "different":
         chunk_last = F.max_by(m, F.when(m.isNotNull(), F.col("seq")))
     else:
         chunk_last = F.max(m)
-    summary = (local.groupBy("_url", "_chunk")
+    summary = (feed.groupBy("_url", "_chunk")
                .agg(F.min_by(m, F.col("seq")).alias("_chunk_first_m"),
                     chunk_last.alias("_chunk_last")))
     w_url = Window.partitionBy("_url")
     w_carry = Window.partitionBy("_url").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.select(
-        "_url", "_chunk",
-        F.min_by(F.struct(F.col("_chunk_first_m").alias("m")), F.col("_chunk")).over(w_url)["m"].alias("_fm"),
-        (F.col("_chunk") == F.min("_chunk").over(w_url)).alias("_first_chunk"),
-        _prev_expr(policy, F.col("_chunk_last"), w_carry).alias("_carry"))
-
-    # a summary row per URL and chunk: as many as the batch has URLs, however few
-    # the planner takes them for (a stored feed's size is an estimate)
-    j = local.join(summary.hint("merge"), ["_url", "_chunk"])
-    if policy == "different":
-        prev = F.coalesce(F.col("_prev"), F.col("_carry"))
-        changed = prev != m
-    else:
-        prev = F.greatest(F.col("_prev"), F.col("_carry"))
-        changed = m > prev
-    first_row = F.col("_first_chunk") & (F.col("_rn") == 1)
-    accepted = first_row | (m.isNotNull() & F.col("_fm").isNotNull() & F.coalesce(changed, F.lit(False)))
+        "_url", F.lit(None).cast("long").alias("seq"),
+        _prev_expr(policy, F.col("_chunk_last"), w_carry).alias("modified_at"), F.lit(False).alias("_ledger"), "_chunk",
+        F.struct(
+            F.min_by(F.struct(F.col("_chunk_first_m").alias("m")), F.col("_chunk")).over(w_url)["m"].alias("fm"),
+            (F.col("_chunk") == F.min("_chunk").over(w_url)).alias("first_chunk")).alias("_head"))
+
+    # the summary is the row that heads its chunk (no ``seq``: it sorts first) and
+    # brings the time before it: nothing is joined, so nothing can be broadcast
+    w_local = Window.partitionBy("_url", "_chunk").orderBy(F.col("seq").asc_nulls_first())
+    w_before = w_local.rowsBetween(Window.unboundedPreceding, -1)
+    j = (feed.withColumn("_head", F.lit(None).cast(summary.schema["_head"].dataType)).unionByName(summary)
+         .withColumn("_rn", F.row_number().over(w_local))
+         .withColumn("_prev", _prev_expr(policy, m, w_before))
+         .withColumn("_head", F.first("_head").over(w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+         .where("seq IS NOT NULL"))
+    changed = F.col("_prev") != m if policy == "different" else m > F.col("_prev")
+    first_row = F.col("_head.first_chunk") & (F.col("_rn") == 2)
+    accepted = first_row | (m.isNotNull() & F.col("_head.fm").isNotNull() & F.coalesce(changed, F.lit(False)))
     good = (j.where(~F.col("_ledger") & accepted)
             .select("_url", F.col("seq").alias("_seq"), F.lit(True).alias("_accepted")).distinct())
     # a left join: no item can get lost, whatever its key; both sides grow with
